@@ -78,7 +78,7 @@ _STEP = _U(0xD6E8FEB86659FD93)
 _POWERS = np.ones(64, np.uint64)
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
     global _POWERS
     if n > len(_POWERS):
         p = np.full(n, _STEP, np.uint64)
@@ -131,7 +131,7 @@ class Words:
         self.lengths = np.diff(np.append(at, len(chars)))
         if len(at):
             within = np.arange(len(chars)) - np.repeat(at, self.lengths)
-            p = _powers(int(self.lengths.max()) + 1)
+            p = powers(int(self.lengths.max()) + 1)
             self.hashes = mix(np.add.reduceat(_BYTE[chars] * p[within], at) + self.lengths.astype(np.uint64))
         else:
             self.hashes = np.zeros(0, np.uint64)
