@@ -7,19 +7,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lunaria.llm import jaccard, mixing, sharding
-from lunaria.llm.common import shared_dir
+from lunaria.llm import decontaminate, jaccard, mixing, quality, sharding
+from lunaria.llm.common import cut, shared_dir, table
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects (score below 0.3)."""
+    model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model, "__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (five-word shingles, Jaccard 0.8): the smallest id.
     Rows with a null id stay; of rows that repeat a kept id one stays."""
     own = jaccard.jaccard_components(docs, 5, 80)
-    kept = own.where("doc_id = component_id").groupBy("doc_id").count()
-    chosen = docs.join(kept.select(F.col("doc_id").alias("__kept"), F.col("count").alias("__n")), F.col("doc_id") == F.col("__kept"))
-    once = chosen.where("__n = 1").select(*docs.columns)
-    repeated = chosen.where("__n > 1").select(*docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    kept = cut(own.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
+    ids = kept.select(F.col("doc_id").alias("__kept"))
+    out = docs.join(ids, F.col("doc_id") == F.col("__kept"), "left_semi")
+    twice = kept.where("count > 1").select(F.col("doc_id").alias("__kept"))
+    if not twice.isEmpty():
+        again = F.col("doc_id") == F.col("__kept")
+        out = out.join(twice, again, "left_anti").unionByName(docs.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+    return out.unionByName(docs.where("doc_id is null"))
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold an exact or edited copy of a benchmark item."""
+    return decontaminate.with_flag(docs, table(spark, sf_dir, "benchmark"), "__copy_of").where(~F.col("__copy_of")).drop("__copy_of")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +47,9 @@ def shard_corpus(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality classifier", keep_quality),
     ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", remove_benchmark),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard_corpus),
 ]
