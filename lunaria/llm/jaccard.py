@@ -12,11 +12,11 @@ A document is its set of distinct word shingles. Two documents link when
    so if every remaining segment differed by v_i or more, the difference would exceed H: the pair
    shares a signature. R and the number of segments with v_i = 2 come from a cost model over the
    band's population.
-3. Signatures shared by two or more classes are verified on the whole texts, but not all pairs at
-   once: first every member against the bucket's smallest set, then (twice) against other leaders,
-   only where the two are not yet in one component; last, every pair of a bucket that still lies in
-   two components. Thus a bucket of g copies costs about g verifications, and no link between
-   components is lost.
+3. Documents that share a signature meet in a bucket. Parity sketches bound their difference from
+   below, so a pair beyond the bound goes at once. First each member is paired with one leader of its
+   bucket at most, these pairs are verified on the whole texts, and the links give components. Then
+   every pair of a bucket that still lies in two components is tried and, if the sketches allow a
+   link, verified. Thus g copies cost about g verifications, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -95,18 +95,108 @@ def signatures(shingles: np.ndarray, band: int, plan: tuple[int, int, int]) -> n
     return np.concatenate(out)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of hashed cells, at least two cells per shingle (a power of two). Each element of a
+    symmetric difference flips one cell, so the cells that differ never outnumber the difference."""
+    cells = 64
+    while cells < 2 * len(shingles):
+        cells *= 2
+    odd = np.bincount(((shingles >> _U(17)) & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _fingerprints(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 w = Words(data, offsets)
-                size, f1, f2 = (np.zeros(hi - lo, np.int64) for _ in range(3))
+                size, f1, f2, marks = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64), []
                 for i in range(hi - lo):
                     s = shingle_set(w.hashes[w.doc_first[i] : w.doc_first[i + 1]], n)
                     size[i] = len(s)
                     f1[i] = mix(s, 21).sum(dtype=np.uint64).astype(np.int64)
                     f2[i] = mix(s, 22).sum(dtype=np.uint64).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2)], ["doc_id", "n_shingles", "f1", "f2"])
+                    marks.append(sketch(s))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sketch"])
+
+    return run
+
+
+def _bucket_pairs(percent: int, leaders: bool):
+    """Pairs of one bucket (rows sorted by sig, t1, t2) whose sketches and sizes allow a link. With
+    leaders, each row meets the leaders before it until one may be its partner: at most a pair a row.
+    Else all pairs with different labels and, in a tile of two salts, different salts."""
+
+    def folded(marks: list[bytes]) -> np.ndarray:
+        least = min(map(len, marks))
+        out = np.zeros((len(marks), least // 8), np.uint64)
+        for i, m in enumerate(marks):
+            v = np.frombuffer(m, np.uint64)
+            while len(v) > least // 8:
+                v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+            out[i] = v
+        return out
+
+    def bucket(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]):
+        x = folded(marks)
+        h = lambda i, j: (n[i] + n[j]) * (100 - percent) // (100 + percent)
+        near = lambda i, j: (np.bitwise_count(x[i] ^ x[j]).sum(1) <= h(i, j)) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+        if leaders:
+            rest = np.lexsort((ids, n))
+            while len(rest) > 1:
+                first, others = rest[0], rest[1:]
+                ok = near(first, others)
+                yield np.full(int(ok.sum()), ids[first]), ids[others[ok]]
+                rest = others[~ok]
+        else:
+            for i in range(len(ids) - 1):
+                j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((salt[i + 1 :] != salt[i]) | (not tile)))
+                if len(j):
+                    j = j[near(i, j)]
+                    yield np.full(len(j), ids[i]), ids[j]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        held: list[pa.RecordBatch] = []
+
+        def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
+            sig, t1, t2, ids, n, label, salt = (part.column(i).to_numpy() for i in range(7))
+            marks = part.column(7)
+            new = np.flatnonzero((sig[1:] != sig[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])) + 1
+            a, b = [], []
+            for lo, hi in zip(np.append(0, new), np.append(new, len(sig)), strict=True):
+                if hi - lo < 2:
+                    continue
+                if hi - lo <= 64:  # the same few documents share many signatures
+                    key = np.sort(ids[lo:hi]).tobytes()
+                    if key in seen:
+                        continue
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(key)
+                for x, y in bucket(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist()):
+                    a.append(x)
+                    b.append(y)
+            if a:
+                x, y = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = [batch.column(i).to_numpy() for i in range(3)]
+            last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
+            at = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on
+            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(3))):
+                if not at:
+                    yield from work(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                else:
+                    yield from work(pa.Table.from_batches([*held, batch.slice(0, at)]).combine_chunks())
+                    held = []
+            held.append(batch.slice(at))
+        if held:
+            yield from work(pa.Table.from_batches(held).combine_chunks())
 
     return run
 
@@ -170,14 +260,19 @@ def _verify(n: int, percent: int):
     return run
 
 
+#: Rows of a bucket that one task compares; a larger bucket is dealt out to tiles of this size.
+TILE = 20_000
+
+
 class _Join:
     def __init__(self, docs: DataFrame, n: int, percent: int):
         self.n, self.percent = n, percent
         self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-        self.rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long"), "sets")
+        self.rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "sets")
         classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
         self.classes = cut(classes, "classes")
-        self.reps = self.classes.where("rep is not null").select(F.col("rep").alias("doc_id"))
+        kept = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id = rep")
+        self.marks = kept.select(F.col("doc_id").alias("id"), "sketch")
 
     def members(self) -> DataFrame:
         """(sig, id, n) of the signatures that two or more representatives share."""
@@ -192,10 +287,25 @@ class _Join:
         copies = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id")
         docs = self.texts.join(cut(copies, "copies"), "doc_id", "left_anti")
         sigs = docs.mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
-        w = Window.partitionBy("sig").orderBy("n", "id")
-        first = F.first("id").over(w)
-        last = F.lead("id").over(w)
-        return cut(sigs.select("*", first.alias("leader"), last.alias("after")).where("id <> leader or after is not null").select("sig", "id", "n", "leader"), "shared")
+        w = Window.partitionBy("sig").orderBy("id")
+        shared = sigs.select("*", F.first("id").over(w).alias("low"), F.lead("id").over(w).alias("after"), F.lag("id").over(w).alias("before"))
+        shared = shared.where("id <> low or after is not null").where("before is null or before <> id")
+        return cut(shared.select("sig", "id", "n"), "shared")
+
+    def candidates(self, members: DataFrame, leaders: bool) -> DataFrame:
+        """Distinct pairs (a, b) of members(sig, id, n, label) that share a bucket and may link.
+        Buckets above TILE rows are split by salts into tiles (pairs of salts; with leaders, salts)."""
+        counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+        counts = counts.where("rows > 1 and l1 <> l2").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts"))
+        x = members.join(counts, "sig").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+        if leaders:
+            x = x.withColumn("t1", F.col("salt")).withColumn("t2", F.col("salt"))
+        else:
+            x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            x = x.withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
+        x = x.join(self.marks, "id").select("sig", "t1", "t2", "id", "n", "label", "salt", "sketch")
+        x = x.repartition("sig", "t1", "t2").sortWithinPartitions("sig", "t1", "t2", "id")
+        return x.mapInArrow(_bucket_pairs(self.percent, leaders), "a long, b long").distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
@@ -205,38 +315,20 @@ class _Join:
         full = full.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
         return cut(full.mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "verified")
 
-    def fits(self, x: str = "n1", y: str = "n2"):
-        return (F.least(x, y) * 100 >= F.greatest(x, y) * self.percent)
-
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(links between representatives that were verified, labels(id, label))."""
         shared = self.members()
-        sizes = self.reps_sizes()
-        star = shared.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        star = star.join(sizes.toDF("a", "n1"), "a").join(sizes.toDF("b", "n2"), "b").where(self.fits()).select("a", "b")
-        done = self.verified(cut(star, "pairs"))
+        done = self.verified(cut(self.candidates(shared.withColumn("label", F.col("id")), True), "pairs"))
         labels = components(done.where("linked"))
-        for turn in (1, 2, 3):
-            tagged = shared.join(labels.withColumnRenamed("label", "l"), "id", "left").select("sig", "id", "n", F.coalesce("l", "id").alias("label"))
-            mixed = tagged.groupBy("sig").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("sig")
-            tagged = cut(tagged.join(mixed, "sig"), "mixed")
-            if turn < 3:
-                by = Window.partitionBy("sig").orderBy(F.xxhash64("id", F.lit(turn)), "id")
-                x = tagged.select("id", "n", "label", *[F.first(c).over(by).alias(f"{c}_1") for c in ("id", "n", "label")]).toDF("a", "n1", "la", "b", "n2", "lb")
-            else:
-                x = tagged.toDF("sig", "a", "n1", "la").join(tagged.toDF("sig", "b", "n2", "lb"), "sig").where("a < b")
-            x = x.where("la <> lb").where(self.fits()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            x = cut(x.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-            if not x.isEmpty():
-                more = self.verified(x)
-                done = done.union(more)
-                if not more.where("linked").isEmpty():
-                    labels = components(done.where("linked"))
+        tagged = shared.join(labels.withColumnRenamed("label", "l"), "id", "left").select("sig", "id", "n", F.coalesce("l", "id").alias("label"))
+        rest = cut(self.candidates(tagged, False).join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            more = self.verified(rest)
+            done = done.union(more)
+            if not more.where("linked").isEmpty():
+                labels = components(done.where("linked"))
         return done.where("linked").select("a", "b"), labels
 
-    def reps_sizes(self) -> DataFrame:
-        return self.classes.where("rep is not null").groupBy("rep").agg(F.max("n_shingles").cast("int").alias("n"))
-
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id.
