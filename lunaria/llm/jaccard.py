@@ -275,7 +275,7 @@ class _Join:
         self.marks = kept.select(F.col("doc_id").alias("id"), "sketch")
 
     def members(self) -> DataFrame:
-        """(sig, id, n) of the signatures that two or more representatives share."""
+        """(sig, id, n) of the distinct buckets: sets of representatives that share a signature."""
         most = self.classes.agg(F.max("n_shingles")).first()[0] or 1
         edges = bands(most)
         index = F.lit(-1)
@@ -287,17 +287,22 @@ class _Join:
         copies = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id")
         docs = self.texts.join(cut(copies, "copies"), "doc_id", "left_anti")
         sigs = docs.mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
-        w = Window.partitionBy("sig").orderBy("id")
-        shared = sigs.select("*", F.first("id").over(w).alias("low"), F.lead("id").over(w).alias("after"), F.lag("id").over(w).alias("before"))
-        shared = shared.where("id <> low or after is not null").where("before is null or before <> id")
-        return cut(shared.select("sig", "id", "n"), "shared")
+        w = Window.partitionBy("sig")
+        same = F.bit_xor(F.xxhash64("id")).over(w)
+        shared = sigs.select("id", "n", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), same.alias("sig")).where("low <> high")
+        # signatures with the same members are one bucket (and two lists of one hash merge harmlessly)
+        return cut(shared.select("sig", "id", "n").dropDuplicates(["sig", "id"]), "shared")
 
     def candidates(self, members: DataFrame, leaders: bool) -> DataFrame:
         """Distinct pairs (a, b) of members(sig, id, n, label) that share a bucket and may link.
         Buckets above TILE rows are split by salts into tiles (pairs of salts; with leaders, salts)."""
         counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        counts = counts.where("rows > 1 and l1 <> l2").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts"))
-        x = members.join(counts, "sig").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+        if leaders:  # only buckets above TILE rows need salts; there is one per TILE rows at most
+            many = cut(counts.where(F.col("rows") > TILE).select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts")), "large")
+            x = members.join(F.broadcast(many), "sig", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        else:
+            x = members.join(counts.where("l1 <> l2").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts")), "sig")
+        x = x.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
         if leaders:
             x = x.withColumn("t1", F.col("salt")).withColumn("t2", F.col("salt"))
         else:
