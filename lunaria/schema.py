@@ -28,9 +28,9 @@ STAGE_CLASSES = ("W", "N1", "N2", "N3", "REM")
 UNKNOWN, ARTIFACT, UNSCORED = "UNKNOWN", "ARTIFACT", "Uns"
 YASA_LABELS = {"W": "W", "N1": "N1", "N2": "N2", "N3": "N3", "REM": "R", "ARTIFACT": "Art", "UNKNOWN": "Uns"}
 HEADBAND_CHANNELS = {
-    "EEG L": "EEG", "EEG R": "EEG", "dX": "ACCELEROMETER", "dY": "ACCELEROMETER", "dZ": "ACCELEROMETER",
-    "OXY_IR_AC": "PPG", "OXY_IR_DC": "PPG", "OXY_R_AC": "PPG", "OXY_R_DC": "PPG", "OXY_DARK_AC": "PPG", "OXY_DARK_DC": "PPG",
-    "BODY TEMP": "OTHER", "LIGHT": "OTHER", "NASAL L": "OTHER", "NASAL R": "OTHER", "NOISE": "OTHER", "BATT": "OTHER", "RSSI": "OTHER",
+    "EEG R": "EEG", "EEG L": "EEG", "dX": "ACCELEROMETER", "dY": "ACCELEROMETER", "dZ": "ACCELEROMETER", "BODY TEMP": "BODY", "BATT": "BATTERY",
+    "NOISE": "NOISE", "LIGHT": "LIGHT", "NASAL L": "NASAL", "NASAL R": "NASAL", "OXY_IR_AC": "OXIMETER", "OXY_R_AC": "OXIMETER",
+    "OXY_DARK_AC": "OXIMETER", "OXY_IR_DC": "OXIMETER", "OXY_R_DC": "OXIMETER", "OXY_DARK_DC": "OXIMETER",
 }
 
 
