@@ -60,6 +60,9 @@ class Model:
             return np.full(docs, -1), np.zeros(docs)
         letters = np.concatenate([[0], np.cumsum(letter)])
         some = letters[at[1:]] > letters[at[:-1]]
+        for i in np.flatnonzero(~some & (np.diff(offsets) > 0)):  # letters beyond the basic plane count too
+            own = data[offsets[i] : offsets[i + 1]]
+            some[i] = bool((own >= 0xF0).any()) and any(c.isalpha() for c in own.tobytes().decode("utf-8", "replace"))
         total, used = np.zeros((docs, k)), np.zeros(docs)
         full = np.flatnonzero(at[1:] > at[:-1])
         for s in found:

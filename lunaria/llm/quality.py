@@ -49,14 +49,9 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     w = Words(data, offsets, fold=False)
     first, n = w.doc_first, np.maximum(np.diff(w.doc_first), 1)
     size = np.maximum(np.diff(offsets), 1)
-    last_byte = data[w.starts + 0] if not len(w.starts) else None
     total = len(w.starts)
     doc_of = np.repeat(np.arange(docs), np.diff(first))
-    if total:
-        # words never hold white space, so a word ends lengths bytes after its start
-        last_byte = data[w.starts + w.lengths - 1]
-    else:
-        last_byte = np.zeros(0, np.uint8)
+    last_byte = data[w.starts + w.lengths - 1]  # words hold no white space
     ends_symbol = _SYMBOL[last_byte]
     bare = ends_symbol & (w.lengths == 1)
     repeat = np.zeros(total, bool)
@@ -97,7 +92,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     cum, cum_short = (np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]) for x in (junk, short))
     share = (cum[we] - cum[ws]) / np.maximum(we - ws, 1)
     share_short = (cum_short[we] - cum_short[ws]) / np.maximum(we - ws, 1)
-    worst, least_short, bad = np.zeros(docs), np.ones(docs), np.bincount(wdoc, share > 0.5, docs)
+    worst, least_short, bad = np.zeros(docs), (count > 0) * 1.0, np.bincount(wdoc, share > 0.5, docs)
     np.maximum.at(worst, wdoc, share)
     np.minimum.at(least_short, wdoc, share_short)
     mean = _per_doc(w.lengths, first) / n
@@ -107,7 +102,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         np.log1p(np.diff(first)), mean, spread,
         _per_doc(_UPPER[data], offsets) / size, _per_doc(_DIGIT[data], offsets) / size, _per_doc(_SYMBOL[data], offsets) / size, _per_doc(_STOP[data], offsets) / size,
         _per_doc(ends_symbol, first) / n, _per_doc(bare, first) / n, _per_doc(repeat, first) / n, distinct / n, top / n, _per_doc(short, first) / n,
-        lines / n, 1 - own_lines / np.maximum(lines, 1), worst, bad / windows, np.bincount(wdoc, share, docs) / windows, least_short,
+        lines / n, (lines - own_lines) / np.maximum(lines, 1), worst, bad / windows, np.bincount(wdoc, share, docs) / windows, least_short,
     ]
     return np.column_stack(out).astype(np.float32)
 

@@ -27,6 +27,11 @@ TERMS = 600
 MIN_CONTEXTS = 3
 LEAST, LONGEST = 4, 24
 WINDOW = 50
+#: Weights of a hit with an edit and of a quoted hit; stems' lengths, and words that a stem must have.
+NEAR, QUOTED = 0.7, 0.25
+STEM, STEM_WORDS = (4, 6), 3
+#: Bound of the chance that any term at all gets into the lexicon by accident.
+CHANCE = 0.01
 THRESHOLD = 0.5
 #: Opening and closing quotation marks (code points).
 QUOTES = (0x22, 0xAB, 0xBB, 0x201C, 0x201D, 0x201E)
@@ -38,16 +43,18 @@ def edits(term: str) -> int:
 
 
 class Automaton:
-    """Accepts all words within edits(term) of a term; `found` gives per state -1 or the least edits."""
+    """Accepts all words within edits(term) of a term, or, for a stem (written stem*), whose beginning
+    is; `found` gives per state -1 or the least edits."""
 
     def __init__(self, terms: list[str]):
-        self.terms = sorted(set(terms))
+        stems = {t[:-1] for t in terms if t.endswith("*")}
+        self.terms = sorted({t.rstrip("*") for t in terms})
         letters = sorted({ord(c) for t in self.terms for c in t})
         self.code = np.zeros(65536, np.int16)  # 0: a letter of no term
         for i, c in enumerate(letters):
             self.code[c] = i + 1
         child: list[dict[int, int]] = [{}]
-        most, ends = [0], [-1]
+        most, ends, open_end = [0], [-1], [False]
         for t in self.terms:
             node, k = 0, edits(t)
             most[0] = max(most[0], k)
@@ -58,9 +65,10 @@ class Automaton:
                     child.append({})
                     most.append(0)
                     ends.append(-1)
+                    open_end.append(False)
                 node = child[node][i]
                 most[node] = max(most[node], k)
-            ends[node] = k
+            ends[node], open_end[node] = k, t in stems
 
         def closed(state: dict[int, int]) -> frozenset:
             todo = list(state.items())
@@ -77,7 +85,9 @@ class Automaton:
         def step(state: frozenset, c: int) -> frozenset:
             out: dict[int, int] = {}
             for node, e in state:
-                if e + 1 <= most[node] and e + 1 < out.get(node, 99):  # a letter too many
+                if open_end[node] and e <= ends[node]:  # what follows a stem is free
+                    out[node] = min(e, out.get(node, 99))
+                elif e + 1 <= most[node] and e + 1 < out.get(node, 99):  # a letter too many
                     out[node] = e + 1
                 for i, nxt in child[node].items():
                     cost = e + (i != c)
@@ -142,7 +152,7 @@ def letter_words(data: np.ndarray, offsets: np.ndarray):
     return low, at, cp, starts, lengths, np.searchsorted(starts, at)
 
 
-MEASURES = ("exact", "near", "crowd", "share", "quoted", "any")
+MEASURES = ("hits", "crowd", "share", "any", "quoted", "near")
 
 
 class Model:
@@ -160,16 +170,16 @@ class Model:
         before = marks[starts[k]] - marks[at[doc]]
         after = marks[at[doc + 1]] - marks[starts[k]]
         quoted = (before % 2 == 1) & (after > 0)
-        weight = np.where(hit[k] == 0, 1.0, 0.5) * np.where(quoted, 0.25, 1.0)
+        weight = np.where(hit[k] == 0, 1.0, NEAR) * np.where(quoted, QUOTED, 1.0)
         total = np.concatenate([[0.0], np.cumsum(weight)])
         crowd = np.zeros(docs)
         if len(k):
             until = np.searchsorted(k, np.minimum(k + WINDOW, first[doc + 1]))
             np.maximum.at(crowd, doc, total[until] - total[np.arange(len(k))])
-        clear = ~quoted
-        exact, near, q = (np.bincount(doc, m, docs) for m in (clear & (hit[k] == 0), clear & (hit[k] > 0), quoted))
+        hits, near, q = (np.bincount(doc, m, docs) for m in (np.where(quoted, 0.0, weight), ~quoted & (hit[k] > 0), quoted))
         words = np.maximum(np.diff(first), 1)
-        return np.column_stack([np.log1p(exact), np.log1p(near), np.log1p(crowd), 10 * np.minimum(0.2, np.bincount(doc, weight, docs) / words), np.log1p(q), (exact > 0) * 1.0])
+        share = 10 * np.minimum(0.2, np.bincount(doc, weight, docs) / words)
+        return np.column_stack([np.log1p(hits), np.log1p(crowd), share, np.minimum(hits, 1.0), np.log1p(q), np.log1p(near)])
 
     def score_texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.automaton is None:
@@ -223,13 +233,28 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30
     return w[:-1], float(w[-1])
 
 
+def choose_terms(seen: DataFrame, share: float, words: int, most: int) -> list[str]:
+    """Terms and stems of (word, before, y) contexts that occur in toxic contexts (nearly) alone, and in
+    so many that chance (the toxic share of all contexts, over all words) does not explain it. Contexts
+    are counted, not documents: copies of one text repeat its contexts. Words of a chosen stem go."""
+    if not 0 < share < 1:
+        return []
+    least = max(MIN_CONTEXTS, int(np.ceil((np.log(max(words, 1)) - np.log(CHANCE)) / -np.log(share))))
+    picked = lambda df: df.where((F.col("bad") >= least) & (F.col("bad") >= 0.95 * F.col("all")))
+    counts = seen.groupBy("word").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("all"))
+    stems = counts.select(F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in range(STEM[0], STEM[1] + 1)])).alias("stem"), "bad", "all").where("stem is not null")
+    stems = stems.groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("all").alias("all"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS)
+    found = sorted(r.stem for r in picked(stems).orderBy(F.desc("bad"), "stem").limit(most).collect())
+    short = [s for s in found if not any(s != t and s.startswith(t) for t in found)]
+    alone = [r.word for r in picked(counts).orderBy(F.desc("bad"), "word").limit(most).collect()]
+    return ([s + "*" for s in short] + [w for w in alone if not any(w.startswith(s) for s in short)])[:most]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS, terms: int = TERMS) -> Model:
     sample = labelled_sample(docs, labels, label, most)
     seen = sample.mapInArrow(_contexts, "word string, before string, y int").distinct()
-    counts = seen.groupBy("word").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("all"))
-    # contexts, not documents, are counted: copies of one text repeat its contexts
-    picked = counts.where((F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") >= 0.95 * F.col("all"))).orderBy(F.desc("bad"), "word").limit(terms)
-    lexicon = [r.word for r in picked.collect()]
+    total = seen.agg(F.avg("y").alias("p"), F.count_distinct("word").alias("n")).first()
+    lexicon = choose_terms(seen, total.p or 0.0, total.n or 0, terms)
     share = sample.agg(F.sum((F.col("label") > 0).cast("int")), F.count(F.lit(1))).first()
     prior = ((share[0] or 0) + 1) / (share[1] + 2)
     if not lexicon:
