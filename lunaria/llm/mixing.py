@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Fixed values of the contract.
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -67,7 +69,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     repeat its draw. A source without words has target 0. An empty table gives an empty result.
     """
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"))
-    targets = source_targets(sized)
+    targets = cut(source_targets(sized), "targets")
     joined = sized.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source"))
     return joined.select("d.doc_id", "d.size", "t.source_size", "t.target", (F.col("d.size") * copies()).cast("long").alias("taken"))
 
@@ -76,8 +78,8 @@ def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """docs with every row repeated as often as the mix takes it (not at all, if 0), columns unchanged.
     Words are counted once for the targets; the second pass over docs reads only their rates."""
     sized = docs.select(F.col(source_col).alias("source"), word_count(text_col).alias("size"))
-    t = source_targets(sized).select(F.col("source").alias("__t_source"), "source_size", "target")
-    t = t.select("__t_source", F.struct("source_size", "target").alias("__t"))
+    # written first: its size is then known to the join, and texts need not be shuffled to it
+    t = cut(source_targets(sized).select(F.col("source").alias("__t_source"), F.struct("source_size", "target").alias("__t")), "targets")
     joined = docs.join(t, F.col(source_col).eqNullSafe(F.col("__t_source")))
     rate = F.when(F.col("__t.source_size") > 0, F.col("__t.target") / F.col("__t.source_size").cast("double")).otherwise(F.lit(0.0))
     n = (F.floor(rate) + (draw(id_col) < rate - F.floor(rate)).cast("long")).cast("int")
