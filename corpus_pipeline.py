@@ -20,15 +20,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (five-word shingles, Jaccard 0.8): the smallest id.
     Rows with a null id stay; of rows that repeat a kept id one stays."""
-    own = jaccard.jaccard_components(docs, 5, 80)
-    kept = cut(own.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    ids = kept.select(F.col("doc_id").alias("__kept"))
-    out = docs.join(ids, F.col("doc_id") == F.col("__kept"), "left_semi")
-    twice = kept.where("count > 1").select(F.col("doc_id").alias("__kept"))
+    own = cut(jaccard.jaccard_components(docs, 5, 80), "components")
+    again = F.col("doc_id") == F.col("__id")
+    # the copies are a small part or a large one: Spark picks the join by the size of their table
+    out = docs.join(cut(own.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")), "copies"), again, "left_anti")
+    twice = cut(own.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "repeated")
     if not twice.isEmpty():
-        again = F.col("doc_id") == F.col("__kept")
-        out = out.join(twice, again, "left_anti").unionByName(docs.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.where("doc_id is null"))
+        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+    return out
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
