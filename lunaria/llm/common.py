@@ -24,13 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lunaria-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lunaria-")
+    return _OWN[app]
 
 
 def cut(df: DataFrame, tag: str = "t") -> DataFrame:

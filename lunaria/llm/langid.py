@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from .common import bounded_sample, held_out, text_chunks
 
 #: Documented bound of the rows that the model is fitted on.
 FIT_ROWS = 20_000
+#: Languages that are learned at most (the most frequent ones): with SLOTS, the bound of the broadcast.
+LANGUAGES = 256
 SLOTS = 1 << 15
 ORDERS = (1, 2, 3)
 SMOOTH = 0.5
@@ -83,6 +86,7 @@ def _counts(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), SLOTS + 1), np.int64)
         for batch in batches:
+            batch = batch.filter(pa.compute.is_in(batch.column(0), value_set=pa.array(languages, pa.string())))
             lang = np.array([order[x] for x in batch.column(0).to_pylist()], np.int64)
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 found, at, _ = slots(data, offsets)
@@ -102,7 +106,7 @@ def train(docs: DataFrame, most: int = FIT_ROWS) -> Model:
     by (language, slot), so the driver gets at most languages x SLOTS numbers."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out())
     sample = bounded_sample(known.select("doc_id", "lang", "text"), "doc_id", most).select("lang", "text").repartition(8)
-    languages = sorted(r.lang for r in known.select("lang").distinct().collect())
+    languages = sorted(r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
     if not languages:
         return Model([], np.zeros((SLOTS + 1, 0), np.float32))
     rows = sample.mapInArrow(_counts(languages), "lang int, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()

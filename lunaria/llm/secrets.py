@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -25,8 +27,9 @@ KINDS = ("assign", "access", "hex", "novel")
 
 #: Words that make what follows sensitive, how far they reach, and what a candidate looks like.
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authorization|bearer|signature|client[_-]?id|pwd", re.IGNORECASE | re.ASCII)
-REACH = 64
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+REACH, LEAST = 64, 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 AROUND = 256
 #: Compressed bytes per character from which a candidate is reported.
 NOVELTY = 0.5
@@ -63,17 +66,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], measure: Novelty) -> list[tuple[int, int, int]]:
     """Candidates with digits and letters near a sensitive word that are novel and touch no base span."""
+    starts = [a for a, _, _ in base]
+    reached = list(accumulate((b for _, b, _ in base), max))
     out, done = [], 0
     for m in SENSITIVE.finditer(text):
-        for c in CANDIDATE.finditer(text, max(done, m.end()), len(text)):
-            if c.start() > m.end() + REACH:
-                break
-            done = c.end()
-            s = c.group()
-            if any(a < c.end() and c.start() < b for a, b, _ in base) or not (any(x.isdigit() for x in s) and any(x.isalpha() for x in s)):
+        at = max(done, m.end())
+        while c := CANDIDATE.search(text, at, m.end() + REACH + LEAST):
+            at = done = RUN.match(text, c.start()).end()
+            s, k = text[c.start() : at], bisect_left(starts, at)
+            if k and reached[k - 1] > c.start() or not (any(x.isdigit() for x in s) and any(x.isalpha() for x in s)):
                 continue
-            if measure.of(text, c.start(), c.end()) >= NOVELTY:
-                out.append((c.start(), c.end(), 3))
+            if measure.of(text, c.start(), at) >= NOVELTY:
+                out.append((c.start(), at, 3))
     return out
 
 

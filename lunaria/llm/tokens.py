@@ -43,6 +43,18 @@ def encoder(path: str = VOCABULARY):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(code, text: str) -> np.ndarray:
+    """The ids of a text. Runs of white space that are too long for the encoder's own splitter are
+    split by the same pattern outside of it, which gives the same pieces."""
+    try:
+        return code.encode_to_numpy(text, disallowed_special=())
+    except ValueError:
+        import regex
+
+        pieces = regex.findall(PATTERN, text)
+        return np.array([i for p in pieces for i in code._encode_single_piece(p)], np.uint32)
+
+
 def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
     """The keyed permutation of 0..n-1 at x: a balanced Feistel network on the smallest even number of
     bits that holds n, applied again to what falls outside (fewer than four times on average)."""
@@ -72,7 +84,7 @@ def _tokenise(path: str, end: int):
                 piece = batch.slice(at, 500)
                 out, starts = [], []
                 for text in piece.column(1):
-                    ids = code.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                    ids = token_ids(code, text.as_py() or "")
                     out.append(ids.astype(WIDTH).tobytes() + tail)
                     starts.append(start)
                     start += len(ids) + 1
