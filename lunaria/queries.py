@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators import aggregate, align, annotate, dsp, merge, metrics, motion, pulse, scores, segment, select, split
+from .operators import aggregate, align, annotate, dsp, merge, metrics, models, motion, pulse, scores, segment, select, split
+from .plans.pipeline import bundled
+from .plans.transforms import Signal
 from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, YASA_LABELS
 from .views import EMB, IMU, LAB, SIG, ann, emb, imu, sig, table
 
@@ -476,6 +478,61 @@ def full_features(spark, d):
     return dsp.full_features(_epochs(spark, d), 64.0, ("samples",))
 
 
+@query("SELECT c_mktsegment AS dataset, count(DISTINCT c_custkey) AS n FROM customer GROUP BY 1")
+def recording_count(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_mktsegment").alias("dataset"), F.col("c_custkey").alias("recording_id"))
+    return aggregate.recording_ids(c).select("dataset", "n")
+
+
+@query("""WITH v AS (SELECT vec_id % 10 AS recording_id, vec_id * 1000 AS ts_ns, list_transform(embedding[1:3], lambda x: x::DOUBLE) AS e FROM embeddings),
+s AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY ts_ns) - 1 AS sample_idx FROM v)
+SELECT recording_id, 'channel_' || (i - 1) AS channel, sample_idx, ts_ns, round(e[i], 6) AS value FROM s, (SELECT unnest([1, 2, 3]) AS i)""")
+def samples_to_signal(spark, d):
+    v = emb(spark, d).select((F.col("vec_id") % 10).alias("recording_id"), (F.col("vec_id") * 1000).alias("ts_ns"), F.slice("e", 1, 3).alias("values"))
+    return rounded(align.samples_to_signal(v), "value")
+
+
+@query(f"""WITH {EMB}, v AS (SELECT vec_id, unnest([CASE WHEN list_max(e[1:5]) < 0.2::DOUBLE THEN -1 ELSE list_position(e[1:5], list_max(e[1:5])) - 1 END,
+CASE WHEN list_max(e[6:10]) < 0.2::DOUBLE THEN -1 ELSE list_position(e[6:10], list_max(e[6:10])) - 1 END, CASE WHEN list_max(e[11:15]) < 0.2::DOUBLE THEN -1 ELSE list_position(e[11:15], list_max(e[11:15])) - 1 END]) AS l FROM emb)
+SELECT vec_id, CAST(CASE WHEN count(DISTINCT l) FILTER (WHERE l <> -1) = 1 THEN max(l) ELSE -1 END AS BIGINT) AS label FROM v GROUP BY 1""")
+def consensus_many(spark, d):
+    e = emb(spark, d)
+    votes = [e.select("vec_id", scores.confident(F.slice("e", at, 5), 0.2).alias("label")) for at in (1, 6, 11)]
+    return scores.consensus_many(votes[0].union(votes[1]).union(votes[2]), ("vec_id",))
+
+
+@query(f"""WITH {IMU}, q AS (SELECT recording_id, quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.5) AS m, quantile_cont(y, 0.75) AS b FROM imu GROUP BY 1)
+SELECT recording_id, sample_idx, round((least(greatest(y, a - 0.5 * (b - a)), b + 0.5 * (b - a)) - m) / (b - a), 6) AS value FROM imu JOIN q USING (recording_id)""")
+def quality_control(spark, d):
+    s = imu(spark, d).select("recording_id", "sample_idx", F.col("y").alias("value"))
+    return rounded(models.quality_control(s, 1, 0.5, ("recording_id",)), "value")
+
+
+@query(f"""WITH {_PEAKS}, i AS (SELECT recording_id, sample_idx, (sample_idx - lag(sample_idx) OVER (PARTITION BY recording_id ORDER BY sample_idx))::DOUBLE / 4 * 1000 AS ibi FROM pk),
+k AS (SELECT *, ibi - lag(ibi) OVER (PARTITION BY recording_id ORDER BY sample_idx) AS step FROM i WHERE ibi > 0)
+SELECT recording_id, count(*) AS n_beats, round(avg(ibi), 4) AS mean_ibi, round(stddev_samp(ibi), 4) AS sdnn, round(sqrt(avg(step * step)), 4) AS rmssd,
+round(avg(CASE WHEN step IS NULL THEN NULL WHEN abs(step) > 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS pnn50, round(60000 / avg(ibi), 4) AS bpm FROM k GROUP BY 1""")
+def beat_measures(spark, d):
+    beats = pulse.beat_intervals(_peaks(spark, d), 4.0).select("recording_id", "sample_idx", "ibi")
+    return rounded(aggregate.beat_measures(beats), "mean_ibi", "sdnn", "rmssd", "pnn50", "bpm", digits=4)
+
+
+@query()
+def accelerometer_pipeline(spark, d):
+    """The bundled accelerometer pipeline: a fork into dynamic and gravity parts."""
+    wide = imu(spark, d)
+    given = {f"ACCELEROMETER_{a.upper()}": Signal(wide.select("recording_id", F.lit(a).alias("channel"), "sample_idx", F.col(a).alias("value")), (a,), 64.0) for a in ("x", "y", "z")}
+    made = bundled("accelerometer").run(given, ["ACCELEROMETER_magnitude", "ACCELEROMETER_pitch"])
+    return rounded(made["ACCELEROMETER_magnitude"].df.unionByName(made["ACCELEROMETER_pitch"].df), "value")
+
+
+@query()
+def ppg_pipeline(spark, d):
+    """The bundled pulse-wave pipeline."""
+    made = bundled("ppg").run({"PPG": Signal(_long_y(spark, d), ("y",), 64.0)}, ["PPG_ibi", "PPG_quality"])
+    return rounded(made["PPG_ibi"].df.unionByName(made["PPG_quality"].df), "value")
+
+
 # ------------------------------------------------------------------ flagship
 
 _FLAG = f"""{LAB}, {_PPG}, a AS (SELECT recording_id, l.epoch_idx, CASE WHEN valid_ratio < 0.5 THEN 'ARTIFACT' ELSE label END AS label FROM lab l LEFT JOIN seg USING (recording_id, epoch_idx)),
