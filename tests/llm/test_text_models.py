@@ -258,6 +258,27 @@ def test_permutation(n):
 needs_vocabulary = pytest.mark.skipif(not os.path.exists(tokens.VOCABULARY), reason="no vocabulary here")
 
 
+@needs_vocabulary
+def test_long_white_space_is_tokenised():
+    import regex
+
+    code = tokens.encoder()
+    for text in ("ab \n\n  cd   e\t\t\n f'll 12x  ", " " * 300_000 + "x", "\n" * 300_000):
+        got = tokens.token_ids(code, text)
+        assert code.decode_bytes(got.tolist()).decode() == text
+        if len(text) < 100:
+            assert got.tolist() == [i for p in regex.findall(tokens.PATTERN, text) for i in code._encode_single_piece(p)]
+
+
+def test_secrets_of_a_long_text_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("secret " * 100_000, "secret abcdefghij1234567890 " * 20_000, "password=" * 100_000, "A" * 1_000_000):
+        secrets.scan_text(text, secrets.Novelty())
+    assert time.perf_counter() - began < 20
+
+
 @needs_vocabulary
 def test_tokens_round_trip(spark, tmp_path):
     rng = random.Random(0)
