@@ -26,15 +26,21 @@ def _kinds(df: DataFrame, key: Sequence[str]) -> str:
     return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
 
 
-def _blocks(signal: DataFrame, key: Sequence[str], block: int, halo: int) -> DataFrame:
+def sizes_of(signal: DataFrame, key: Sequence[str] = (*KEY, "channel")) -> DataFrame:
+    """(key, n): samples of each channel. Where a signal is itself computed, give its sizes instead of
+    counting it: counting would run the computation once more."""
+    return signal.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _blocks(signal: DataFrame, key: Sequence[str], block: int, halo: int, sizes: DataFrame | None) -> DataFrame:
     """signal with its length and, for each block that needs it, a copy of each sample."""
-    n = signal.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    n = (sizes_of(signal, key) if sizes is None else sizes).select(*key, F.col("n").alias("__n"))
     slim = signal.select(*key, INDEX, "value").join(n, list(key))
     reach = F.array_distinct(F.array(F.expr(f"greatest({INDEX} - {halo}, 0) div {block}"), F.expr(f"{INDEX} div {block}"), F.expr(f"least({INDEX} + {halo}, __n - 1) div {block}")))
     return slim.withColumn("__block", F.explode(reach))
 
 
-def _grouped(signal: DataFrame, key: Sequence[str], work: Callable[[np.ndarray, np.ndarray, int, int], tuple[np.ndarray, np.ndarray]], block: int, halo: int) -> DataFrame:
+def _grouped(signal: DataFrame, key: Sequence[str], work: Callable[[np.ndarray, np.ndarray, int, int], tuple[np.ndarray, np.ndarray]], block: int, halo: int, sizes: DataFrame | None) -> DataFrame:
     """work(indexes, values, block number, length) gives the indexes and values that the block owns."""
     halo = min(halo, block)
     names = [*key, INDEX, "value"]
@@ -42,13 +48,13 @@ def _grouped(signal: DataFrame, key: Sequence[str], work: Callable[[np.ndarray,
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by(INDEX)
         at, out = work(t.column(INDEX).to_numpy(), t.column("value").to_numpy().astype(np.float64), t.column("__block")[0].as_py(), t.column("__n")[0].as_py())
-        same = [pa.array([t.column(k)[0].as_py()] * len(at), t.schema.field(k).type) for k in key]
+        same = [pa.repeat(t.column(k)[0], len(at)) for k in key]
         return pa.table([*same, pa.array(at.astype(np.int64)), pa.array(out.astype(np.float64))], names=names)
 
-    return _blocks(signal, key, block, halo).groupBy(*key, "__block").applyInArrow(run, f"{_kinds(signal, key)}, {INDEX} long, value double")
+    return _blocks(signal, key, block, halo, sizes).groupBy(*key, "__block").applyInArrow(run, f"{_kinds(signal, key)}, {INDEX} long, value double")
 
 
-def fir_filter(signal: DataFrame, rate: float, low: float | None = None, high: float | None = None, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK) -> DataFrame:
+def fir_filter(signal: DataFrame, rate: float, low: float | None = None, high: float | None = None, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
     """Zero-phase FIR filter of each channel. Indexes are 0..n-1 of each recording."""
     taps = fir.design(rate, low, high)
     pad = len(taps) // 2
@@ -66,10 +72,10 @@ def fir_filter(signal: DataFrame, rate: float, low: float | None = None, high: f
         first = at[0] + (pad if at[0] > 0 else 0)
         return np.arange(lo, hi), y[lo - first : hi - first] if own else y
 
-    return _grouped(signal, key, work, block, pad + 1)
+    return _grouped(signal, key, work, block, pad + 1, sizes)
 
 
-def resample_signal(signal: DataFrame, rate: float, target: float, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK) -> DataFrame:
+def resample_signal(signal: DataFrame, rate: float, target: float, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
     """Each channel at another rate, indexes anew from 0; equal rates give the signal back."""
     up, down = resample.factors(rate, target)
     if up == down:
@@ -86,7 +92,7 @@ def resample_signal(signal: DataFrame, rate: float, target: float, key: Sequence
         y = resample.resampled(x, up, down)
         return np.arange(lo, hi), y[lo - first : hi - first]
 
-    return _grouped(signal, key, work, block, halo)
+    return _grouped(signal, key, work, block, halo, sizes)
 
 
 def process_ppg(signal: DataFrame, rate: float, peak_method: str = "elgendi", quality_method: str = "templatematch", interpolation: str = "monotone_cubic", correct: bool = False, key: Sequence[str] = KEY) -> DataFrame:

@@ -60,22 +60,47 @@ class Pipeline:
         left out, with those given passed through."""
         if lost := self.missing(signals):
             raise MissingChannel(f"pipeline {self.name} needs {', '.join(sorted(lost))}")
+        # a name stands for a channel of a signal; channels that one step makes stay in one signal, so
+        # that a later step which reads them all has one plan below it, not one for each channel
         store = {n: s.renamed((n,)) if len(s.channels) == 1 else s for n, s in signals.items()}
         steps = self.steps if outputs is None else self.needed(outputs)
         keep = self.shared() if cache else set()
         for step in steps:
-            s = stacked([store[n] for n in step.inputs])
+            if not step.transforms and len(step.inputs) == len(step.outputs):
+                store |= {o: _only(store[i], i).renamed((o,)) for i, o in zip(step.inputs, step.outputs, strict=True)}
+                continue
+            s = _together([(n, store[n]) for n in step.inputs])
             for name, config in step.transforms:
                 if name == "Resample" and config.get("new_sample_rate") == s.rate:
                     continue
                 s = find(name, config)(s)
             if len(s.channels) != len(step.outputs):
                 raise ChannelCountMismatch(f"{len(step.outputs)} outputs for {len(s.channels)} channels")
-            rates = [s.rate if s.rate == s.rate else store[n].rate for n in (step.inputs if s.rate != s.rate else step.outputs)]
-            for channel, out, rate in zip(s.channels, step.outputs, rates, strict=True):
-                one = Signal(s.select(channel).df, (channel,), rate).renamed((out,))
-                store[out] = Signal(one.df.cache(), one.channels, one.rate) if out in keep else one
-        return store if outputs is None else {n: store[n] for n in outputs if n in store}
+            s = s.renamed(step.outputs)
+            if keep & set(step.outputs):
+                s = Signal(s.df.cache(), s.channels, s.rate, s.sizes)
+            store |= dict.fromkeys(step.outputs, s)
+        return {n: _only(store[n], n) for n in (store if outputs is None else outputs) if n in store}
+
+
+def _only(s: Signal, name: str) -> Signal:
+    return s.select(name) if len(s.channels) > 1 and name in s.channels else s
+
+
+def _together(inputs: list[tuple[str, Signal]]) -> Signal:
+    """The inputs, in order, as one signal; those that lie in one signal are taken from it at once."""
+    groups: dict[int, tuple[Signal, list[str]]] = {}
+    for name, s in inputs:
+        groups.setdefault(id(s), (s, []))[1].append(name)
+    parts = []
+    for s, names in groups.values():
+        if set(names) == set(s.channels) or len(s.channels) == 1 or not set(names) <= set(s.channels):
+            parts.append(s)
+        else:
+            parts.append(s.select(*names))
+    whole = stacked(parts)
+    order = tuple(n for n, _ in inputs)
+    return Signal(whole.df, order, whole.rate, whole.sizes) if set(order) == set(whole.channels) else whole
 
 
 def parse(config: Mapping) -> Pipeline:

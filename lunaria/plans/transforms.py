@@ -24,18 +24,29 @@ KEY = ("recording_id",)
 
 @dataclass(frozen=True)
 class Signal:
+    """sizes (recording_id, channel, n), where known, spare later steps a count of computed samples."""
+
     df: DataFrame
     channels: tuple[str, ...]
     rate: float
+    sizes: DataFrame | None = None
+
+    def counted(self) -> DataFrame:
+        return dsp.sizes_of(self.df, (*KEY, "channel")) if self.sizes is None else self.sizes
+
+    def _with(self, change: Callable[[DataFrame], DataFrame], names: tuple[str, ...]) -> Signal:
+        return Signal(change(self.df), names, self.rate, None if self.sizes is None else change(self.sizes))
 
-    def select(self, channel: str) -> Signal:
-        return Signal(self.df.where(F.col("channel") == channel), (channel,), self.rate)
+    def select(self, *channels: str) -> Signal:
+        return self._with(lambda df: df.where(F.col("channel").isin(*channels)), channels)
 
     def renamed(self, names: tuple[str, ...]) -> Signal:
         if names == self.channels:
             return self
+        if len(names) == 1:
+            return self._with(lambda df: df.withColumn("channel", F.lit(names[0])), names)
         table = F.create_map(*[F.lit(x) for pair in zip(self.channels, names, strict=True) for x in pair])
-        return Signal(self.df.withColumn("channel", F.element_at(table, F.col("channel"))), names, self.rate)
+        return self._with(lambda df: df.withColumn("channel", F.element_at(table, F.col("channel"))), names)
 
     def wide(self) -> DataFrame:
         return align.stack_long(self.df, self.channels)
@@ -51,7 +62,8 @@ def stacked(signals: list[Signal]) -> Signal:
         frames = [f.withColumn("value", F.col("value").cast("string")) for f in frames]
     out = reduce(DataFrame.unionByName, frames)
     rates = {s.rate for s in signals}
-    return Signal(out, tuple(c for s in signals for c in s.channels), rates.pop() if len(rates) == 1 else float("nan"))
+    sizes = None if any(s.sizes is None for s in signals) else reduce(DataFrame.unionByName, [s.sizes for s in signals])
+    return Signal(out, tuple(c for s in signals for c in s.channels), rates.pop() if len(rates) == 1 else float("nan"), sizes)
 
 
 def one_rate(s: Signal, name: str) -> float:
@@ -70,12 +82,15 @@ def plain(value):
 
 
 def resample_to(s: Signal, new_sample_rate: float) -> Signal:
-    resample.factors(one_rate(s, "Resample"), new_sample_rate)
-    return Signal(dsp.resample_signal(s.df, s.rate, new_sample_rate, (*KEY, "channel")), s.channels, float(new_sample_rate))
+    up, down = resample.factors(one_rate(s, "Resample"), new_sample_rate)
+    n = s.counted()
+    out = dsp.resample_signal(s.df, s.rate, new_sample_rate, (*KEY, "channel"), sizes=n)
+    return Signal(out, s.channels, float(new_sample_rate), n.withColumn("n", F.expr(f"(n * {up} + {down - 1}) div {down}")))
 
 
 def fir(s: Signal, low_cutoff: float | None = None, high_cutoff: float | None = None) -> Signal:
-    return replace(s, df=dsp.fir_filter(s.df, one_rate(s, "FIRFilter"), low_cutoff, high_cutoff, (*KEY, "channel")))
+    n = s.counted()
+    return replace(s, df=dsp.fir_filter(s.df, one_rate(s, "FIRFilter"), low_cutoff, high_cutoff, (*KEY, "channel"), sizes=n), sizes=n)
 
 
 def _from_wide(wide: DataFrame, channels: tuple[str, ...], rate: float) -> Signal:
