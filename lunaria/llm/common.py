@@ -38,15 +38,27 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that this application writes to."""
+    return f"{shared_dir(spark).rstrip('/')}/lunaria-{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, tag: str = "t") -> DataFrame:
     """Writes df to the shared folder and reads it back: later stages survive lost executors and
     nothing above is computed twice."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Removes all that `cut` has written for this application. Results that are not stored yet read
+    from it, so call it when the job is done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True where crc32 of the id as text leaves 0 modulo 5; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

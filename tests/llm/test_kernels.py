@@ -61,3 +61,11 @@ def test_alnum_words():
     h, first = chars.alnum_words(data, offsets)
     assert np.diff(first).tolist() == [4, 2, 0]
     assert h[2] == h[3] and h[0] == h[4] and h[1] == h[5]
+
+
+def test_cut_and_clear(spark):
+    df = common.cut(spark.range(5))
+    assert df.count() == 5 and common.own_dir(spark).startswith(common.shared_dir(spark).rstrip("/"))
+    common.clear(spark)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        df.count()
