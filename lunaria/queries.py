@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .operators import aggregate, align, annotate, dsp, merge, metrics, models, motion, pulse, scores, segment, select, split
 from .plans.pipeline import bundled
 from .plans.transforms import Signal
-from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, YASA_LABELS
+from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, SHORT_LABELS
 from .views import EMB, IMU, LAB, SIG, ann, emb, imu, sig, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,7 +110,7 @@ def map_labels(spark, d):
 
 @query(f"WITH {LAB} SELECT recording_id, epoch_idx, CASE label WHEN 'UNKNOWN' THEN 'Uns' WHEN 'REM' THEN 'R' ELSE label END AS label FROM lab")
 def map_labels_composed(spark, d):
-    both = select.composed(STAGES, YASA_LABELS, UNSCORED)
+    both = select.composed(STAGES, SHORT_LABELS, UNSCORED)
     return select.map_labels(ann(spark, d), both, UNSCORED).select("recording_id", "epoch_idx", "label")
 
 

@@ -26,7 +26,7 @@ HEADBAND_RATE = 256.0
 STAGES = {0: "W", 1: "N1", 2: "N2", 3: "N3", 4: "REM", 5: "REM"}
 STAGE_CLASSES = ("W", "N1", "N2", "N3", "REM")
 UNKNOWN, ARTIFACT, UNSCORED = "UNKNOWN", "ARTIFACT", "Uns"
-YASA_LABELS = {"W": "W", "N1": "N1", "N2": "N2", "N3": "N3", "REM": "R", "ARTIFACT": "Art", "UNKNOWN": "Uns"}
+SHORT_LABELS = {"W": "W", "N1": "N1", "N2": "N2", "N3": "N3", "REM": "R", "ARTIFACT": "Art", "UNKNOWN": "Uns"}
 HEADBAND_CHANNELS = {
     "EEG R": "EEG", "EEG L": "EEG", "dX": "ACCELEROMETER", "dY": "ACCELEROMETER", "dZ": "ACCELEROMETER", "BODY TEMP": "BODY", "BATT": "BATTERY",
     "NOISE": "NOISE", "LIGHT": "LIGHT", "NASAL L": "NASAL", "NASAL R": "NASAL", "OXY_IR_AC": "OXIMETER", "OXY_R_AC": "OXIMETER",
