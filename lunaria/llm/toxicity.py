@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chars import code_points, letter_table
-from .common import held_out, text_chunks
+from .common import cut, held_out, text_chunks
 from .quality import labelled_sample, with_score
 
 #: Documented bounds: labelled rows that lexicon and weights are fitted on, and lexicon terms.
@@ -251,8 +251,8 @@ def choose_terms(seen: DataFrame, share: float, words: int, most: int) -> list[s
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS, terms: int = TERMS) -> Model:
-    sample = labelled_sample(docs, labels, label, most)
-    seen = sample.mapInArrow(_contexts, "word string, before string, y int").distinct()
+    sample = cut(labelled_sample(docs, labels, label, most), "fit")  # one scan of the corpus for all that follows
+    seen = cut(sample.mapInArrow(_contexts, "word string, before string, y int").distinct(), "contexts")
     total = seen.agg(F.avg("y").alias("p"), F.count_distinct("word").alias("n")).first()
     lexicon = choose_terms(seen, total.p or 0.0, total.n or 0, terms)
     share = sample.agg(F.sum((F.col("label") > 0).cast("int")), F.count(F.lit(1))).first()
