@@ -13,10 +13,11 @@ A document is its set of distinct word shingles. Two documents link when
    shares a signature. R and the number of segments with v_i = 2 come from a cost model over the
    band's population.
 3. Documents that share a signature meet in a bucket. Parity sketches bound their difference from
-   below, so a pair beyond the bound goes at once. First each member is paired with one leader of its
-   bucket at most, these pairs are verified on the whole texts, and the links give components. Then
-   every pair of a bucket that still lies in two components is tried and, if the sketches allow a
-   link, verified. Thus g copies cost about g verifications, and no link between components is lost.
+   below, so a pair beyond the bound goes at once. First, in a share of the buckets, each member is
+   paired with one leader of its bucket at most; these pairs are verified on the whole texts, and the
+   links give components. The same follows in all buckets whose members still differ in component.
+   Last, in the buckets of which not all pairs have been tried so, every pair that still lies in two
+   components is, and if the sketches allow a link it is verified. Thus g copies cost about g verifications, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ from .common import Words, cut, mix, shingle_set, text_chunks
 from .components import components
 
 BAND = 1.5
+#: What a chance partner (a sketch comparison) and a row in a chance bucket (shuffled with its sketch)
+#: cost beside a signature (made, shuffled, sorted).
+PARTNER, MEMBER = 0.01, 10.0
 _U = np.uint64
 
 
@@ -47,27 +51,33 @@ def bands(most: int) -> list[int]:
 def allocate(low: int, high: int, population: int, percent: int) -> tuple[int, int, int] | None:
     """(segments with v=1, segments with v=2, R) for sizes low..high-1; None if only equal sets link.
 
-    The cost of a document is its signatures plus the chance partners it meets: unrelated documents
-    share a signature mostly where both subsets are empty.
+    The cost of a document is its signatures, the chance buckets it lands in and the partners it meets
+    there: unrelated documents share a signature mostly where both subsets are empty. A document has
+    about Poisson many empty segments, and leaves out R of them.
     """
     h = (high - 1) * (100 - percent) // percent
     if h < 1:
         return None
     size, best = (low + high) / 2, None
-    for r in [0, *sorted({max(1, round(h * f)) for f in (0.01, 0.02, 0.04, 0.07, 0.1, 0.15)})]:
+    for r in range(0, max(2, h // 8) + 1):
         units = h + 1 + 2 * r
         for two in sorted({0, 1, 2, units // 8, units // 4, units // 2}):
             one = units - 2 * two
             if one < r or two > units // 2:
                 continue
-            segments = one + two
-            each = size / segments
-            empty = segments * math.exp(-each)
-            left = max(0.0, empty - r) + (two / segments) * empty
-            spread = empty * math.exp(-max(0.0, (r - empty)) ** 2 / (2 * empty + 1e-9)) if r >= empty else left
-            cost = one - r + two * (1 + each) + population * (max(left, spread) / segments) * math.exp(-each) * segments
+            each = size / (one + two)
+            share = math.exp(-each)
+            mean, p, left = one * share, math.exp(-one * share), 0.0
+            for k in range(1, r + 40 + int(3 * mean)):  # the mean of what exceeds r
+                p *= mean / k
+                left += p * max(0, k - r)
+            left += two * share
+            crowd = min(1.0, population * share)
+            cost = one - r + two * (1 + each) + left * (MEMBER * crowd + PARTNER * population * share)
             if best is None or cost < best[0]:
                 best = (cost, one, two, r)
+        if r > 8 and best[3] < r - 8:
+            break
     return best[1:]
 
 
@@ -96,10 +106,10 @@ def signatures(shingles: np.ndarray, band: int, plan: tuple[int, int, int]) -> n
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of hashed cells, at least two cells per shingle (a power of two). Each element of a
+    """Parities of hashed cells, at least three for four shingles (a power of two). Each element of a
     symmetric difference flips one cell, so the cells that differ never outnumber the difference."""
     cells = 64
-    while cells < 2 * len(shingles):
+    while 4 * cells < 3 * len(shingles):
         cells *= 2
     odd = np.bincount(((shingles >> _U(17)) & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -123,9 +133,14 @@ def _fingerprints(n: int):
 
 
 def _bucket_pairs(percent: int, leaders: bool):
-    """Pairs of one bucket (rows sorted by sig, t1, t2) whose sketches and sizes allow a link. With
-    leaders, each row meets the leaders before it until one may be its partner: at most a pair a row.
-    Else all pairs with different labels and, in a tile of two salts, different salts."""
+    """Pairs whose sketches and sizes allow a link, of the buckets in rows sorted by low, t1, t2, sig.
+
+    With leaders, each member of a bucket meets the leaders before it until one may be its partner: at
+    most a pair a member. A bucket in which members were left out so (or for their common label) is
+    named in a row (sig, null); of the others all pairs have been tried. Without leaders, all pairs
+    with different labels and, in a tile of two salts, different salts. Buckets with one low stand
+    together, and a pair is given once for all of them.
+    """
 
     def folded(marks: list[bytes]) -> np.ndarray:
         least = min(map(len, marks))
@@ -137,63 +152,60 @@ def _bucket_pairs(percent: int, leaders: bool):
             out[i] = v
         return out
 
-    def bucket(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]):
-        x = folded(marks)
+    def bucket(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]) -> tuple[list, bool]:
+        x, found, skipped = folded(marks), [], False
         h = lambda i, j: (n[i] + n[j]) * (100 - percent) // (100 + percent)
         near = lambda i, j: (np.bitwise_count(x[i] ^ x[j]).sum(1) <= h(i, j)) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
         if leaders:
-            rest = np.lexsort((ids, n))
+            rest = np.argsort(ids, kind="stable")
             while len(rest) > 1:
                 first, others = rest[0], rest[1:]
-                ok = near(first, others)
-                yield np.full(int(ok.sum()), ids[first]), ids[others[ok]]
-                rest = others[~ok]
+                apart = label[others] != label[first]
+                ok = near(first, others) & apart
+                found += [(int(ids[first]), int(y)) for y in ids[others[ok]]]
+                rest = others[apart & ~ok]
+                skipped |= len(rest) < len(others)
         else:
             for i in range(len(ids) - 1):
                 j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((salt[i + 1 :] != salt[i]) | (not tile)))
                 if len(j):
-                    j = j[near(i, j)]
-                    yield np.full(len(j), ids[i]), ids[j]
+                    found += [(min(int(ids[i]), int(y)), max(int(ids[i]), int(y))) for y in ids[j[near(i, j)]]]
+        return found, skipped
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         held: list[pa.RecordBatch] = []
+        given: set[tuple[int, int]] = set()
+        place: tuple = ()
 
         def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            sig, t1, t2, ids, n, label, salt = (part.column(i).to_numpy() for i in range(7))
-            marks = part.column(7)
-            new = np.flatnonzero((sig[1:] != sig[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])) + 1
-            a, b = [], []
+            nonlocal place
+            low, t1, t2, sig, ids, n, label, salt = (part.column(i).to_numpy() for i in range(8))
+            marks, out = part.column(8), []
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in (low, t1, t2, sig)], axis=0)) + 1
             for lo, hi in zip(np.append(0, new), np.append(new, len(sig)), strict=True):
                 if hi - lo < 2:
                     continue
-                if hi - lo <= 64:  # the same few documents share many signatures
-                    key = np.sort(ids[lo:hi]).tobytes()
-                    if key in seen:
-                        continue
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    seen.add(key)
-                for x, y in bucket(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist()):
-                    a.append(x)
-                    b.append(y)
-            if a:
-                x, y = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                if place != (here := (low[lo], t1[lo], t2[lo])):
+                    place = here
+                    given.clear()
+                found, skipped = bucket(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist())
+                out += [p for p in found if p not in given]
+                given.update(found)
+                if skipped:
+                    out.append((int(sig[lo]), None))
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [batch.column(i).to_numpy() for i in range(3)]
+            key = [batch.column(i).to_numpy() for i in range(4)]
             last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
             at = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on
-            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(3))):
-                if not at:
-                    yield from work(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                else:
-                    yield from work(pa.Table.from_batches([*held, batch.slice(0, at)]).combine_chunks())
-                    held = []
+            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(4))):
+                yield from work(pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]).combine_chunks())
+                held = []
             held.append(batch.slice(at))
         if held:
             yield from work(pa.Table.from_batches(held).combine_chunks())
@@ -260,8 +272,10 @@ def _verify(n: int, percent: int):
     return run
 
 
-#: Rows of a bucket that one task compares; a larger bucket is dealt out to tiles of this size.
+#: Rows that one task compares; what would be more is dealt out to tiles of this size.
 TILE = 20_000
+#: One in so many buckets is looked at first.
+FIRST = 8
 
 
 class _Join:
@@ -272,7 +286,7 @@ class _Join:
         classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
         self.classes = cut(classes, "classes")
         kept = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id = rep")
-        self.marks = kept.select(F.col("doc_id").alias("id"), "sketch")
+        self.marks = cut(kept.select(F.col("doc_id").alias("id"), "sketch"), "marks")
 
     def members(self) -> DataFrame:
         """(sig, id, n) of the distinct buckets: sets of representatives that share a signature."""
@@ -293,24 +307,23 @@ class _Join:
         # signatures with the same members are one bucket (and two lists of one hash merge harmlessly)
         return cut(shared.select("sig", "id", "n").dropDuplicates(["sig", "id"]), "shared")
 
-    def candidates(self, members: DataFrame, leaders: bool) -> DataFrame:
-        """Distinct pairs (a, b) of members(sig, id, n, label) that share a bucket and may link.
-        Buckets above TILE rows are split by salts into tiles (pairs of salts; with leaders, salts)."""
-        counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        if leaders:  # only buckets above TILE rows need salts; there is one per TILE rows at most
-            many = cut(counts.where(F.col("rows") > TILE).select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts")), "large")
-            x = members.join(F.broadcast(many), "sig", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        else:
-            x = members.join(counts.where("l1 <> l2").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("salts")), "sig")
+    def candidates(self, members: DataFrame, leaders: bool) -> tuple[DataFrame, DataFrame]:
+        """(pairs(a, b) of members(sig, id, n, label) that share a bucket, have different labels and may
+        link; the buckets (sig) of which not all such pairs have been tried). Buckets stand together by
+        their lowest id; where that makes more than TILE rows they are split by salts of the ids (with
+        leaders) or into tiles, which are pairs of salts."""
+        counts = members.groupBy("sig").agg(F.min("id").alias("low"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+        x = members.join(counts.where("l1 <> l2").select("sig", "low"), "sig")
+        many = cut(x.groupBy("low").count().where(F.col("count") > TILE).select("low", F.ceil(F.col("count") / TILE).cast("int").alias("salts")), "large")
+        x = x.join(many, "low", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
         x = x.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-        if leaders:
-            x = x.withColumn("t1", F.col("salt")).withColumn("t2", F.col("salt"))
-        else:
-            x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-            x = x.withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
-        x = x.join(self.marks, "id").select("sig", "t1", "t2", "id", "n", "label", "salt", "sketch")
-        x = x.repartition("sig", "t1", "t2").sortWithinPartitions("sig", "t1", "t2", "id")
-        return x.mapInArrow(_bucket_pairs(self.percent, leaders), "a long, b long").distinct()
+        others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
+        x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
+        x = x.join(self.marks, "id").select("low", "t1", "t2", "sig", "id", "n", "label", "salt", "sketch")
+        x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "sig", "id")
+        found = cut(x.mapInArrow(_bucket_pairs(self.percent, leaders), "a long, b long"), "found")
+        split = members.join(counts.join(many, "low").select("sig"), "sig", "left_semi").select("sig")  # salts apart have not met
+        return found.where("b is not null").distinct(), found.where("b is null").select(F.col("a").alias("sig")).union(split).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
@@ -322,15 +335,24 @@ class _Join:
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(links between representatives that were verified, labels(id, label))."""
-        shared = self.members()
-        done = self.verified(cut(self.candidates(shared.withColumn("label", F.col("id")), True), "pairs"))
-        labels = components(done.where("linked"))
-        tagged = shared.join(labels.withColumnRenamed("label", "l"), "id", "left").select("sig", "id", "n", F.coalesce("l", "id").alias("label"))
-        rest = cut(self.candidates(tagged, False).join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not rest.isEmpty():
-            more = self.verified(rest)
-            done = done.union(more)
-            if not more.where("linked").isEmpty():
+        shared, done, labels = self.members(), None, None
+        for turn in range(3):
+            if labels is None:
+                members = shared.where(F.pmod("sig", F.lit(FIRST)) == 0).select("sig", "id", "n", F.col("id").alias("label"))
+            else:
+                own = labels.select("id", F.col("label").alias("l"))
+                members = shared.join(own, "id", "left").select("sig", "id", "n", F.coalesce("l", "id").alias("label"))
+            pairs, unfinished = self.candidates(members, turn < 2)
+            if turn == 1:  # the other buckets have been tried in full
+                shared = shared.join(unfinished, "sig", "left_semi")
+            if done is not None:
+                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = cut(pairs, "pairs")
+            if done is not None and pairs.isEmpty():
+                continue
+            more = self.verified(pairs)
+            done = more if done is None else done.union(more)
+            if labels is None or not more.where("linked").isEmpty():
                 labels = components(done.where("linked"))
         return done.where("linked").select("a", "b"), labels
 
