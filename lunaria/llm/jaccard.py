@@ -12,12 +12,12 @@ A document is its set of distinct word shingles. Two documents link when
    so if every remaining segment differed by v_i or more, the difference would exceed H: the pair
    shares a signature. R and the number of segments with v_i = 2 come from a cost model over the
    band's population.
-3. Documents that share a signature meet in a bucket. Parity sketches bound their difference from
-   below, so a pair beyond the bound goes at once. First, in a share of the buckets, each member is
-   paired with one leader of its bucket at most; these pairs are verified on the whole texts, and the
-   links give components. The same follows in all buckets whose members still differ in component.
-   Last, in the buckets of which not all pairs have been tried so, every pair that still lies in two
-   components is, and if the sketches allow a link it is verified. Thus g copies cost about g verifications, and no link between components is lost.
+3. Documents that share a signature meet in a group, named by the lowest id that shares it. Parity
+   sketches bound their difference from below, so a pair beyond the bound goes at once. First each
+   member is paired with one leader of its group at most; these pairs are verified on the whole
+   texts, and the links give components. Then, in the groups of which not all pairs have been tried
+   so, every pair that still lies in two components is, and if the sketches allow a link it is
+   verified. Thus g copies cost about g verifications, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -106,10 +106,10 @@ def signatures(shingles: np.ndarray, band: int, plan: tuple[int, int, int]) -> n
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of hashed cells, at least three for four shingles (a power of two). Each element of a
+    """Parities of hashed cells, at least two for each shingle (a power of two). Each element of a
     symmetric difference flips one cell, so the cells that differ never outnumber the difference."""
     cells = 64
-    while 4 * cells < 3 * len(shingles):
+    while cells < 2 * len(shingles):
         cells *= 2
     odd = np.bincount(((shingles >> _U(17)) & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -132,14 +132,14 @@ def _fingerprints(n: int):
     return run
 
 
-def _bucket_pairs(percent: int, leaders: bool):
-    """Pairs whose sketches and sizes allow a link, of the buckets in rows sorted by low, t1, t2, sig.
+def _group_pairs(percent: int, leaders: bool):
+    """Pairs (a, b) with different labels whose sketches and sizes allow a link, of the groups in rows
+    sorted by low, t1, t2.
 
-    With leaders, each member of a bucket meets the leaders before it until one may be its partner: at
-    most a pair a member. A bucket in which members were left out so (or for their common label) is
-    named in a row (sig, null); of the others all pairs have been tried. Without leaders, all pairs
-    with different labels and, in a tile of two salts, different salts. Buckets with one low stand
-    together, and a pair is given once for all of them.
+    With leaders, each member of a group meets the leaders before it until one may be its partner: at
+    most a pair a member. A group in which members were left out so (or for their common label) is
+    named in a row (low, null); of the others all pairs have been tried. Without leaders all pairs
+    are, and in a tile of two salts those with different salts.
     """
 
     def folded(marks: list[bytes]) -> np.ndarray:
@@ -152,58 +152,54 @@ def _bucket_pairs(percent: int, leaders: bool):
             out[i] = v
         return out
 
-    def bucket(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]) -> tuple[list, bool]:
-        x, found, skipped = folded(marks), [], False
-        h = lambda i, j: (n[i] + n[j]) * (100 - percent) // (100 + percent)
-        near = lambda i, j: (np.bitwise_count(x[i] ^ x[j]).sum(1) <= h(i, j)) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
-        if leaders:
-            rest = np.argsort(ids, kind="stable")
-            while len(rest) > 1:
-                first, others = rest[0], rest[1:]
-                apart = label[others] != label[first]
-                ok = near(first, others) & apart
-                found += [(int(ids[first]), int(y)) for y in ids[others[ok]]]
-                rest = others[apart & ~ok]
-                skipped |= len(rest) < len(others)
-        else:
-            for i in range(len(ids) - 1):
-                j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((salt[i + 1 :] != salt[i]) | (not tile)))
-                if len(j):
-                    found += [(min(int(ids[i]), int(y)), max(int(ids[i]), int(y))) for y in ids[j[near(i, j)]]]
-        return found, skipped
+    def group(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]) -> tuple[list, list, bool]:
+        x, a, b, skipped = folded(marks), [], [], False
+
+        def near(i: int, j: np.ndarray) -> np.ndarray:
+            size = (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent) & (label[j] != label[i])
+            k = np.flatnonzero(size)
+            size[k] = np.bitwise_count(x[i] ^ x[j[k]]).sum(1, dtype=np.int64) <= (n[i] + n[j[k]]) * (100 - percent) // (100 + percent)
+            return size
+
+        rest = np.arange(len(ids))
+        while len(rest) > 1:
+            first, others = rest[0], rest[1:]
+            ok = near(first, others)
+            if tile:
+                ok &= salt[others] != salt[first]
+            a.append(np.full(int(ok.sum()), ids[first]))
+            b.append(ids[others[ok]])
+            rest = others[~ok & (label[others] != label[first])] if leaders else others
+            skipped |= len(rest) < len(others)
+        return a, b, skipped
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        given: set[tuple[int, int]] = set()
-        place: tuple = ()
 
         def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            nonlocal place
-            low, t1, t2, sig, ids, n, label, salt = (part.column(i).to_numpy() for i in range(8))
-            marks, out = part.column(8), []
-            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in (low, t1, t2, sig)], axis=0)) + 1
-            for lo, hi in zip(np.append(0, new), np.append(new, len(sig)), strict=True):
-                if hi - lo < 2:
-                    continue
-                if place != (here := (low[lo], t1[lo], t2[lo])):
-                    place = here
-                    given.clear()
-                found, skipped = bucket(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist())
-                out += [p for p in found if p not in given]
-                given.update(found)
-                if skipped:
-                    out.append((int(sig[lo]), None))
-            if out:
-                a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            low, t1, t2, ids, n, label, salt = (part.column(i).to_numpy() for i in range(7))
+            marks, a, b, left = part.column(7), [], [], []
+            new = np.flatnonzero((low[1:] != low[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])) + 1
+            for lo, hi in zip(np.append(0, new), np.append(new, len(low)), strict=True):
+                if hi - lo > 1:
+                    x, y, skipped = group(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist())
+                    a += x
+                    b += y
+                    if skipped:
+                        left.append(int(low[lo]))
+            if a:
+                x, y = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.nulls(len(left), pa.int64())], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [batch.column(i).to_numpy() for i in range(4)]
+            key = [batch.column(i).to_numpy() for i in range(3)]
             last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
-            at = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on
-            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(4))):
+            at = int(last[-1]) + 1 if len(last) else 0  # the last group may go on
+            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(3))):
                 yield from work(pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]).combine_chunks())
                 held = []
             held.append(batch.slice(at))
@@ -274,8 +270,6 @@ def _verify(n: int, percent: int):
 
 #: Rows that one task compares; what would be more is dealt out to tiles of this size.
 TILE = 20_000
-#: One in so many buckets is looked at first.
-FIRST = 8
 
 
 class _Join:
@@ -289,7 +283,9 @@ class _Join:
         self.marks = cut(kept.select(F.col("doc_id").alias("id"), "sketch"), "marks")
 
     def members(self) -> DataFrame:
-        """(sig, id, n) of the distinct buckets: sets of representatives that share a signature."""
+        """(low, id, n): representatives that share a signature, grouped by the lowest id that shares it.
+        A pair that shares a signature is in one group; buckets of one low id are one group, so a pair is
+        compared about once, however many signatures it shares."""
         most = self.classes.agg(F.max("n_shingles")).first()[0] or 1
         edges = bands(most)
         index = F.lit(-1)
@@ -302,28 +298,23 @@ class _Join:
         docs = self.texts.join(cut(copies, "copies"), "doc_id", "left_anti")
         sigs = docs.mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
         w = Window.partitionBy("sig")
-        same = F.bit_xor(F.xxhash64("id")).over(w)
-        shared = sigs.select("id", "n", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), same.alias("sig")).where("low <> high")
-        # signatures with the same members are one bucket (and two lists of one hash merge harmlessly)
-        return cut(shared.select("sig", "id", "n").dropDuplicates(["sig", "id"]), "shared")
+        shared = sigs.select("id", "n", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high")).where("low <> high")
+        return cut(shared.select("low", "id", "n").dropDuplicates(["low", "id"]), "shared")
 
     def candidates(self, members: DataFrame, leaders: bool) -> tuple[DataFrame, DataFrame]:
-        """(pairs(a, b) of members(sig, id, n, label) that share a bucket, have different labels and may
-        link; the buckets (sig) of which not all such pairs have been tried). Buckets stand together by
-        their lowest id; where that makes more than TILE rows they are split by salts of the ids (with
-        leaders) or into tiles, which are pairs of salts."""
-        counts = members.groupBy("sig").agg(F.min("id").alias("low"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        x = members.join(counts.where("l1 <> l2").select("sig", "low"), "sig")
-        many = cut(x.groupBy("low").count().where(F.col("count") > TILE).select("low", F.ceil(F.col("count") / TILE).cast("int").alias("salts")), "large")
-        x = x.join(many, "low", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        x = x.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+        """(pairs(a, b) of members(low, id, n, label) of one group that have different labels and may link;
+        the groups (low) of which not all such pairs have been tried). Groups above TILE rows are split
+        by salts of the ids (with leaders) or into tiles, which are pairs of salts."""
+        counts = members.groupBy("low").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+        chosen = counts.where("l1 <> l2").select("low", F.ceil(F.col("rows") / TILE).cast("int").alias("salts"))
+        x = members.join(chosen, "low").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
         others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
         x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
-        x = x.join(self.marks, "id").select("low", "t1", "t2", "sig", "id", "n", "label", "salt", "sketch")
-        x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "sig", "id")
-        found = cut(x.mapInArrow(_bucket_pairs(self.percent, leaders), "a long, b long"), "found")
-        split = members.join(counts.join(many, "low").select("sig"), "sig", "left_semi").select("sig")  # salts apart have not met
-        return found.where("b is not null").distinct(), found.where("b is null").select(F.col("a").alias("sig")).union(split).distinct()
+        x = x.join(self.marks, "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
+        x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
+        found = cut(x.mapInArrow(_group_pairs(self.percent, leaders), "a long, b long"), "found")
+        left = found.where("b is null").select(F.col("a").alias("low")).union(chosen.where("salts > 1").select("low"))  # salts apart have not met
+        return found.where("b is not null").distinct(), left.distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
@@ -335,24 +326,17 @@ class _Join:
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(links between representatives that were verified, labels(id, label))."""
-        shared, done, labels = self.members(), None, None
-        for turn in range(3):
-            if labels is None:
-                members = shared.where(F.pmod("sig", F.lit(FIRST)) == 0).select("sig", "id", "n", F.col("id").alias("label"))
-            else:
-                own = labels.select("id", F.col("label").alias("l"))
-                members = shared.join(own, "id", "left").select("sig", "id", "n", F.coalesce("l", "id").alias("label"))
-            pairs, unfinished = self.candidates(members, turn < 2)
-            if turn == 1:  # the other buckets have been tried in full
-                shared = shared.join(unfinished, "sig", "left_semi")
-            if done is not None:
-                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-            pairs = cut(pairs, "pairs")
-            if done is not None and pairs.isEmpty():
-                continue
+        shared = self.members()
+        pairs, unfinished = self.candidates(shared.withColumn("label", F.col("id")), True)
+        done = self.verified(cut(pairs, "pairs"))
+        labels = components(done.where("linked"))
+        own = labels.select("id", F.col("label").alias("l"))
+        rest = shared.join(unfinished, "low", "left_semi").join(own, "id", "left").select("low", "id", "n", F.coalesce("l", "id").alias("label"))
+        pairs = cut(self.candidates(rest, False)[0].join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
             more = self.verified(pairs)
-            done = more if done is None else done.union(more)
-            if labels is None or not more.where("linked").isEmpty():
+            done = done.union(more)
+            if not more.where("linked").isEmpty():
                 labels = components(done.where("linked"))
         return done.where("linked").select("a", "b"), labels
 
