@@ -13,11 +13,15 @@ A document is its set of distinct word shingles. Two documents link when
    shares a signature. R and the number of segments with v_i = 2 come from a cost model over the
    band's population.
 3. Documents that share a signature meet in a group, named by the lowest id that shares it. Parity
-   sketches bound their difference from below, so a pair beyond the bound goes at once. First each
-   member is paired with one leader of its group at most; these pairs are verified on the whole
-   texts, and the links give components. Then, in the groups of which not all pairs have been tried
-   so, every pair that still lies in two components is, and if the sketches allow a link it is
-   verified. Thus g copies cost about g verifications, and no link between components is lost.
+   sketches bound their difference from below, so a pair beyond the bound goes at once.
+4. The join (jaccard_join, jaccard_links): the pairs that sketches allow cut each group into clusters,
+   and in a cluster the sets of all pairs are compared, in blocks of bounded size to which each text is
+   sent once. A pair that shares several groups is compared in the first of them. No link is lost.
+5. Components alone (jaccard_components): first each member is paired with one leader of its group at
+   most; these pairs are verified on the whole texts, and the links give components. Then, in the
+   groups of which not all pairs have been tried so, every pair that still lies in two components is,
+   and if the sketches allow a link it is verified. Thus g copies cost about g verifications, and no
+   link between components is lost.
 """
 
 from __future__ import annotations
@@ -132,6 +136,164 @@ def _fingerprints(n: int):
     return run
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Rows sorted by their first columns, as tables of whole groups, with the bounds of the groups of two or more."""
+
+    def bounds(part: pa.Table) -> list[tuple[int, int]]:
+        key = [part.column(i).to_numpy() for i in range(keys)]
+        new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        return [(int(lo), int(hi)) for lo, hi in zip(np.append(0, new), np.append(new, part.num_rows), strict=True) if hi - lo > 1]
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = [batch.column(i).to_numpy() for i in range(keys)]
+        last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
+        at = int(last[-1]) + 1 if len(last) else 0  # the last group may go on
+        if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(keys))):
+            part = pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]).combine_chunks()
+            yield part, bounds(part)
+            held = []
+        held.append(batch.slice(at))
+    if held:
+        part = pa.Table.from_batches(held).combine_chunks()
+        yield part, bounds(part)
+
+
+def _folded(marks: list[bytes]) -> np.ndarray:
+    least = min(map(len, marks))
+    out = np.zeros((len(marks), least // 8), np.uint64)
+    for i, m in enumerate(marks):
+        v = np.frombuffer(m, np.uint64)
+        while len(v) > least // 8:
+            v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+        out[i] = v
+    return out
+
+
+class _Sets:
+    """Sets of whole numbers, one a row, for the sizes of their intersections. Numbers that one set alone
+    holds are left out."""
+
+    def __init__(self, owner: np.ndarray, values: np.ndarray, rows: int):
+        u, code, count = np.unique(values, return_inverse=True, return_counts=True)
+        keep = count[code] > 1
+        self.code, self.at = code[keep], np.searchsorted(owner[keep], np.arange(rows + 1))
+        self.mark = np.zeros(len(u), bool)
+
+    def common(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of set i with others (rows in rising order)."""
+        mine = self.code[self.at[i] : self.at[i + 1]]
+        if not len(mine) or not len(others):
+            return np.zeros(len(others), np.int64)
+        self.mark[mine] = True
+        size = self.at[others + 1] - self.at[others]
+        end = np.cumsum(size)
+        if others[-1] - others[0] + 1 == len(others):
+            codes = self.code[self.at[others[0]] : self.at[others[-1] + 1]]
+        else:
+            codes = self.code[np.repeat(self.at[others] - end + size, size) + np.arange(end[-1])]
+        hit = np.concatenate([[0], np.cumsum(self.mark[codes])])
+        self.mark[mine] = False
+        return hit[end] - hit[end - size]
+
+
+def _earlier(lows: pa.Array, low: int) -> _Sets:
+    """Each row's groups before group low: a pair that shares one has met there."""
+    owner, v = np.repeat(np.arange(len(lows)), lows.value_lengths().to_numpy()), lows.flatten().to_numpy()
+    return _Sets(owner[v < low], v[v < low], len(lows))
+
+
+def _clusters(percent: int):
+    """The rows of groups (low, t1, t2) that may link with a row of their group, with the lowest id that
+    is reached by such pairs (cluster). Pairs that have met in an earlier group are not looked at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, bounds in _whole_groups(batches, 3):
+            low, t1, t2, ids, size, salt = (part.column(i).to_numpy() for i in range(6))
+            rows, cluster = [], []
+            for lo, hi in bounds:
+                x, n, s, tile = _folded(part.column(8)[lo:hi].to_pylist()), size[lo:hi].astype(np.int64), salt[lo:hi], t1[lo] != t2[lo]
+                met = _earlier(part.column(7)[lo:hi].combine_chunks(), low[lo])
+                rest = np.arange(hi - lo)
+                while len(rest) > 1:
+                    queue, rest = [int(rest[0])], rest[1:]
+                    mine = list(queue)
+                    while queue and len(rest):
+                        i = queue.pop()
+                        ok = np.minimum(n[i], n[rest]) * 100 >= np.maximum(n[i], n[rest]) * percent
+                        if tile:
+                            ok &= s[rest] != s[i]
+                        k = np.flatnonzero(ok)
+                        k = k[np.bitwise_count(x[i] ^ x[rest[k]]).sum(1, dtype=np.int64) <= (n[i] + n[rest[k]]) * (100 - percent) // (100 + percent)]
+                        k = k[met.common(i, rest[k]) == 0]
+                        queue += rest[k].tolist()
+                        mine += rest[k].tolist()
+                        rest = np.delete(rest, k)
+                    if len(mine) > 1:
+                        rows.append(lo + np.array(mine))
+                        cluster.append(np.full(len(mine), ids[rows[-1]].min()))
+            if rows:
+                out = part.take(pa.array(np.concatenate(rows))).combine_chunks()
+                own = [pa.array(np.concatenate(cluster)), *(out.column(i).combine_chunks() for i in range(8))]
+                yield pa.RecordBatch.from_arrays(own, ["cluster", "low", "t1", "t2", "id", "n", "salt", "docs", "lows"])
+
+    return run
+
+
+def _linked(n: int, percent: int, counted: bool):
+    """All links (a, b) of the rows of each block (cluster, low, t1, t2, u1, u2) that have not met in an
+    earlier group, by their whole texts; tree marks links that are enough to connect the block. If counted, only the
+    latter are written, and one row (a, null) for each row with links: the documents of its partners."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, bounds in _whole_groups(batches, 6):
+            _, low, t1, t2, u1, u2, ids, size, salt, turn, docs = (part.column(i).to_numpy() for i in range(11))
+            for lo, hi in bounds:
+                sets = []
+                for first, last, data, offsets in text_chunks(part.column(12)[lo:hi]):
+                    w = Words(data, offsets)
+                    sets += [shingle_set(w.hashes[w.doc_first[k] : w.doc_first[k + 1]], n) for k in range(last - first)]
+                own = _Sets(np.repeat(np.arange(hi - lo), [len(s) for s in sets]), np.concatenate(sets), hi - lo)
+                met = _earlier(part.column(11)[lo:hi].combine_chunks(), low[lo])
+                m, label, a, b, tree = size[lo:hi].astype(np.int64), np.arange(hi - lo), [], [], []
+                total, own_docs = np.zeros(hi - lo, np.int64), docs[lo:hi]
+                for i in range(hi - lo - 1):
+                    k = np.arange(i + 1, hi - lo)
+                    ok = np.minimum(m[i], m[k]) * 100 >= np.maximum(m[i], m[k]) * percent
+                    if t1[lo] != t2[lo]:
+                        ok &= salt[lo + k] != salt[lo + i]
+                    if u1[lo] != u2[lo]:
+                        ok &= turn[lo + k] != turn[lo + i]
+                    k = k[ok]
+                    both = own.common(i, k)
+                    k = k[(100 * both >= percent * (m[i] + m[k] - both)) & (both > 0)]
+                    k = k[met.common(i, k) == 0]
+                    if not len(k):
+                        continue
+                    joined, at = np.unique(label[k], return_index=True)
+                    new = np.zeros(len(k), bool)
+                    new[at[joined != label[i]]] = True
+                    if new.any():
+                        label[np.isin(label, joined)] = label[i]
+                    total[i] += own_docs[k].sum()
+                    total[k] += own_docs[i]
+                    if counted:
+                        k, new = k[new], new[new]
+                    a.append(np.full(len(k), ids[lo + i]))
+                    b.append(ids[lo + k])
+                    tree.append(new)
+                if a:
+                    x = [pa.array(np.concatenate(x)) for x in (a, b, tree)]
+                    yield pa.RecordBatch.from_arrays([*x, pa.nulls(len(x[0]), pa.int64())], ["a", "b", "tree", "docs"])
+                    if counted:
+                        k = np.flatnonzero(total)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[lo + k]), pa.nulls(len(k), pa.int64()), pa.array(np.zeros(len(k), bool)), pa.array(total[k])], ["a", "b", "tree", "docs"])
+
+    return run
+
+
 def _group_pairs(percent: int, leaders: bool):
     """Pairs (a, b) with different labels whose sketches and sizes allow a link, of the groups in rows
     sorted by low, t1, t2.
@@ -142,18 +304,8 @@ def _group_pairs(percent: int, leaders: bool):
     are, and in a tile of two salts those with different salts.
     """
 
-    def folded(marks: list[bytes]) -> np.ndarray:
-        least = min(map(len, marks))
-        out = np.zeros((len(marks), least // 8), np.uint64)
-        for i, m in enumerate(marks):
-            v = np.frombuffer(m, np.uint64)
-            while len(v) > least // 8:
-                v = v[: len(v) // 2] ^ v[len(v) // 2 :]
-            out[i] = v
-        return out
-
     def group(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]) -> tuple[list, list, bool]:
-        x, a, b, skipped = folded(marks), [], [], False
+        x, a, b, skipped = _folded(marks), [], [], False
 
         def near(i: int, j: np.ndarray) -> np.ndarray:
             size = (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent) & (label[j] != label[i])
@@ -174,38 +326,21 @@ def _group_pairs(percent: int, leaders: bool):
         return a, b, skipped
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        for part, bounds in _whole_groups(batches, 3):
             low, t1, t2, ids, n, label, salt = (part.column(i).to_numpy() for i in range(7))
             marks, a, b, left = part.column(7), [], [], []
-            new = np.flatnonzero((low[1:] != low[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])) + 1
-            for lo, hi in zip(np.append(0, new), np.append(new, len(low)), strict=True):
-                if hi - lo > 1:
-                    x, y, skipped = group(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist())
-                    a += x
-                    b += y
-                    if skipped:
-                        left.append(int(low[lo]))
+            for lo, hi in bounds:
+                x, y, skipped = group(ids[lo:hi], n[lo:hi].astype(np.int64), label[lo:hi], salt[lo:hi], bool(t1[lo] != t2[lo]), marks[lo:hi].to_pylist())
+                a += x
+                b += y
+                if skipped:
+                    left.append(int(low[lo]))
             if a:
                 x, y = np.concatenate(a), np.concatenate(b)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.nulls(len(left), pa.int64())], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = [batch.column(i).to_numpy() for i in range(3)]
-            last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
-            at = int(last[-1]) + 1 if len(last) else 0  # the last group may go on
-            if at or (held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(3))):
-                yield from work(pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]).combine_chunks())
-                held = []
-            held.append(batch.slice(at))
-        if held:
-            yield from work(pa.Table.from_batches(held).combine_chunks())
-
     return run
 
 
@@ -270,6 +405,8 @@ def _verify(n: int, percent: int):
 
 #: Rows that one task compares; what would be more is dealt out to tiles of this size.
 TILE = 20_000
+#: Documents, and their shingles, that a block of whole texts takes from one cluster on either side.
+BLOCK, BLOCK_SHINGLES = 500, 500_000
 
 
 class _Join:
@@ -277,10 +414,10 @@ class _Join:
         self.n, self.percent = n, percent
         self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
         self.rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "sets")
-        classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+        classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"))
         self.classes = cut(classes, "classes")
         kept = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id = rep")
-        self.marks = cut(kept.select(F.col("doc_id").alias("id"), "sketch"), "marks")
+        self.marks = cut(kept.select(F.col("doc_id").alias("id"), "sketch", "docs").dropDuplicates(["id"]), "marks")
 
     def members(self) -> DataFrame:
         """(low, id, n): representatives that share a signature, grouped by the lowest id that shares it.
@@ -310,7 +447,7 @@ class _Join:
         x = members.join(chosen, "low").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
         others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
         x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
-        x = x.join(self.marks, "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
+        x = x.join(self.marks.drop("docs"), "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
         x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_group_pairs(self.percent, leaders), "a long, b long"), "found")
         left = found.where("b is null").select(F.col("a").alias("low")).union(chosen.where("salts > 1").select("low"))  # salts apart have not met
@@ -325,7 +462,8 @@ class _Join:
         return cut(full.mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "verified")
 
     def run(self) -> tuple[DataFrame, DataFrame]:
-        """(links between representatives that were verified, labels(id, label))."""
+        """(links between representatives that connect the components, labels(id, label)). Pairs that
+        already share a component are not tried."""
         shared = self.members()
         pairs, unfinished = self.candidates(shared.withColumn("label", F.col("id")), True)
         done = self.verified(cut(pairs, "pairs"))
@@ -341,6 +479,32 @@ class _Join:
         return done.where("linked").select("a", "b"), labels
 
 
+    def links(self, counted: bool) -> DataFrame:
+        """All links (a, b, tree) between representatives, each once with a < b; those with tree connect the
+        components. If counted, the latter alone and rows (a, null, docs), whose sums are the documents that
+        a's links lead to."""
+        shared = self.members()
+        lows = shared.groupBy("id").agg(F.collect_list("low").alias("lows"))
+        sizes = shared.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("salts"))
+        x = _tiles(shared.join(sizes, "low"), F.xxhash64("id"), "salt", "t1", "t2").join(lows, "id").join(self.marks, "id")
+        x = x.select("low", "t1", "t2", "id", "n", "salt", "docs", "lows", "sketch").repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
+        found = cut(x.mapInArrow(_clusters(self.percent), "cluster long, low long, t1 int, t2 int, id long, n int, salt int, docs long, lows array<long>"), "clusters")
+        texts = cut(self.texts.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "texts")
+        keys = ["cluster", "low", "t1", "t2"]
+        sizes = found.groupBy(keys).agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("salts"))
+        keys += ["u1", "u2"]
+        x = _tiles(found.join(sizes, keys[:4]), F.xxhash64("id", F.lit("block")), "turn", "u1", "u2").join(texts, "id")
+        x = x.select(*keys, "id", "n", "salt", "turn", "docs", "lows", "text").repartition(*keys).sortWithinPartitions(*keys, "id")
+        return cut(x.mapInArrow(_linked(self.n, self.percent, counted), "a long, b long, tree boolean, docs long"), "links")
+
+
+def _tiles(rows: DataFrame, value, salt: str, t1: str, t2: str) -> DataFrame:
+    """rows in each pair (t1, t2) of salts (of a value, as many as salts says) that holds their own salt."""
+    x = rows.withColumn(salt, F.pmod(value, F.col("salts")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    return x.withColumn(t1, F.least(salt, "other")).withColumn(t2, F.greatest(salt, "other")).drop("other", "salts")
+
+
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id.
 
@@ -351,11 +515,30 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     """
     join = _Join(docs, n, percent)
     _, labels = join.run()
-    reps = join.classes.join(labels, join.classes.rep == labels.id, "left").select("f1", "f2", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    return _labelled(join, labels).select("doc_id", "n_shingles", "component_id")
+
+
+def _labelled(join: _Join, labels: DataFrame) -> DataFrame:
+    """The rows with component_id and, of their class, rep and docs."""
+    reps = join.classes.join(labels, join.classes.rep == labels.id, "left").select("f1", "f2", "n_shingles", "rep", "docs", F.coalesce("label", "rep").alias("label"))
     out = join.rows.join(reps, ["f1", "f2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
+    return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")))
+
+
+def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """jaccard_components with n_links: the number of other documents that the row links with, copies
+    included. All links are found. Rows with a null doc_id have a null n_links and count for nobody;
+    texts without shingles have 0. A doc_id with several texts counts once for each.
+    """
+    join = _Join(docs, n, percent)
+    links = join.links(True)
+    degrees = links.where("b is null").groupBy("a").agg(F.sum("docs").alias("linked"))
+    out = _labelled(join, components(links.where("tree"))).join(degrees, F.col("rep") == F.col("a"), "left")
+    count = F.coalesce(F.col("docs") - 1, F.lit(0)) + F.coalesce("linked", F.lit(0))
+    return out.select("doc_id", "n_shingles", "component_id", F.when(F.col("doc_id").isNotNull(), count).alias("n_links"))
 
 
 def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """The verified links (a, b) between class representatives that connect the components."""
-    return _Join(docs, n, percent).run()[0]
+    """All links (a, b), a < b, between documents with different shingle sets; a class of documents with
+    equal sets is named by its smallest id."""
+    return _Join(docs, n, percent).links(False).select("a", "b")

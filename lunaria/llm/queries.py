@@ -39,7 +39,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 4, 85)
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"), 4, 85)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,12 +121,47 @@ def test_components_through_tiles(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()}
 
 
+@pytest.mark.parametrize(("tile", "block"), [(20_000, 500), (7, 4)])
+def test_join_finds_all_links(spark, monkeypatch, tile, block):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(6)
+    texts = []
+    for size in (8, 60, 120, 240):
+        for _ in range(2):
+            base = " ".join(f"w{rng.randrange(3000)}" for _ in range(size))
+            texts += [base, base.upper()] + [family(rng, base, rng.randrange(0, 1 + size // 60 + (size > 8))) for _ in range(14)]
+    rng.shuffle(texts)
+    rows = [(i * 3, t) for i, t in enumerate([*texts, "", None])]
+    df = spark.createDataFrame([*rows, (None, texts[0]), rows[1]], "doc_id long, text string")
+    own = {i: shingles(t, 4) for i, t in rows}
+    rep = {s: min(i for i in own if own[i] == s) for s in own.values()}
+    links = [(a, b) for a, b in itertools.combinations(sorted(own), 2) if own[a] and own[b] and 100 * len(own[a] & own[b]) >= 85 * len(own[a] | own[b])]
+    want = {(a, b) for a, b in links if own[a] != own[b] and a == rep[own[a]] and b == rep[own[b]]}
+    got = [tuple(r) for r in jaccard.jaccard_links(df, 4, 85).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 80
+    out = jaccard.jaccard_join(df, 4, 85).collect()
+    label = brute_components(rows, 4, 85)
+    assert len(out) == len(rows) + 2
+    for r in out:
+        if r.doc_id is None:
+            assert r.component_id is None and r.n_links is None
+        else:
+            assert (r.n_shingles, r.component_id, r.n_links) == (*label[r.doc_id], sum(r.doc_id in p for p in links))
+
+
 def test_components_of_nothing(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     few = spark.createDataFrame([(3, None), (5, "")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.jaccard_components(few).collect())) == [(3, 0, 3), (5, 0, 5)]
 
 
+def test_join_of_nothing(spark):
+    assert jaccard.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    few = spark.createDataFrame([(3, None), (5, "")], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.jaccard_join(few).collect())) == [(3, 0, 3, 0), (5, 0, 5, 0)]
+
+
 @pytest.mark.parametrize("plan", [(5, 0, 0), (3, 1, 0), (1, 2, 0), (7, 0, 1), (5, 1, 1), (0, 3, 0)])
 def test_linked_sets_share_a_signature(plan):
     """The pigeonhole: whatever the allocation, sets within H share one."""
