@@ -53,6 +53,15 @@ def align(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray) -> tuple
     return best, at
 
 
+def reachable(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Pairs whose item words occur in the passage so often that the score can reach SIMILARITY."""
+    beyond = np.arange(passages.shape[1])[None, :] >= lengths[:, None]
+    found = np.zeros(len(items), np.int64)
+    for i in range(items.shape[1]):
+        found += ((passages == items[:, i : i + 1]) & ~beyond).any(1)
+    return found >= SIMILARITY * items.shape[1]
+
+
 class Block:
     """Items as word hashes, and their n-grams: sorted distinct values with (item, position) lists."""
 
@@ -110,18 +119,13 @@ class Block:
         diagonal = at - position
         order = np.lexsort((diagonal, item, doc))
         doc, item, position, diagonal = doc[order], item[order], position[order], diagonal[order]
-        slack = np.maximum(4, size[item] // 3)
+        # an alignment that reaches SIMILARITY affords this many gaps, so its seeds' diagonals chain and
+        # its cluster's window holds it whole; one seed is enough
+        slack = np.maximum(4, np.ceil(MATCH * (1 - SIMILARITY) * size[item] / -GAP).astype(np.int64))
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(doc))
-        cluster = np.repeat(np.arange(len(begin)), end - begin)
-        distinct = np.bincount(np.unique(cluster * (int(position.max()) + 1) + position) // (int(position.max()) + 1), minlength=len(begin))
-        need = np.where(self.count[item[begin]] >= 4, 2, 1)
-        chosen = np.flatnonzero(distinct >= need)
-        if not len(chosen):
-            return []
-        begin, end = begin[chosen], end[chosen]
         d, it = doc[begin], item[begin]
         lo = np.maximum(first[d], diagonal[begin] - slack[begin])
         hi = np.minimum(first[d + 1], diagonal[end - 1] + size[it] + slack[begin])
@@ -133,7 +137,12 @@ class Block:
                 w = int((hi - lo)[g].max())
                 index = lo[g][:, None] + np.arange(w)[None, :]
                 passages = hashes[np.minimum(index, len(hashes) - 1)]
-                score, stop = align(np.vstack([self.words[x] for x in it[g]]), passages, (hi - lo)[g])
+                items = np.vstack([self.words[x] for x in it[g]])
+                can = reachable(items, passages, (hi - lo)[g])
+                if not can.any():
+                    continue
+                g, w = g[can], int((hi - lo)[g[can]].max())
+                score, stop = align(items[can], passages[can, :w], (hi - lo)[g])
                 for x, s, e in zip(g, score.tolist(), stop.tolist(), strict=True):
                     m = int(size[it[x]])
                     share = s / (MATCH * m)

@@ -267,3 +267,31 @@ def test_long_document_is_searched_whole():
     text = words(rng, 200_000) + " " + item
     (_, _, data, offsets) = next(text_chunks(pa.array([text])))
     assert [(d, i) for d, i, *_ in block.hits(data, offsets)] == [(0, 0)]
+
+
+@pytest.mark.parametrize("kind", ["inserted", "spread", "both"])
+def test_edited_copies_against_plain_alignment(kind):
+    rng = random.Random(len(kind))
+    for m in (8, 15, 24, 38, 60):
+        item = [f"i{k}" for k in range(m)]
+        block = decontaminate.Block([7], [" ".join(item)])
+        block.keep_rare(np.ones(len(block.values)), 10)
+        texts, want = [], []
+        for trial in range(25):
+            w = list(item)
+            if kind != "inserted":
+                for at in rng.sample(range(m), rng.randrange(1, max(2, m // 4) + 1)):
+                    w[at] = f"edit{at}"
+            if kind != "spread":
+                at = rng.randrange(m // 3, 2 * m // 3)
+                w[at:at] = [f"new{k}" for k in range(int(m * rng.uniform(0.3, 0.9)))]
+            if kind == "spread" and m == 8 and trial == 0:
+                w = ["i0", "i1", "i2", "X", "i4", "X", "i6", "i7"]
+            text = words(rng, 40).split() + w + words(rng, 40).split()
+            score = smith_waterman(item, text)
+            texts.append(" ".join(text))
+            seeded = any(w[k : k + 3] == item[j : j + 3] for k in range(len(w) - 2) for j in range(m - 2))
+            want.append(score if score >= decontaminate.SIMILARITY * 2 * m and seeded else None)
+        (_, _, data, offsets) = next(text_chunks(pa.array(texts)))
+        got = {d: s for d, _, s, *_ in block.hits(data, offsets)}
+        assert got == {d: s for d, s in enumerate(want) if s is not None} and got
