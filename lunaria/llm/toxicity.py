@@ -9,6 +9,7 @@ between quotation marks is counted apart. A logistic model over these measures g
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from collections.abc import Iterator
 
@@ -38,8 +39,8 @@ QUOTES = (0x22, 0xAB, 0xBB, 0x201C, 0x201D, 0x201E)
 
 
 def edits(term: str) -> int:
-    """Edits allowed for a term: none below 5 letters, else one."""
-    return 0 if len(term) < 5 else 1
+    """Edits allowed for a term: none below 5 letters, one below 9, else two."""
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 class Automaton:
@@ -152,6 +153,41 @@ def letter_words(data: np.ndarray, offsets: np.ndarray):
     return low, at, cp, starts, lengths, np.searchsorted(starts, at)
 
 
+@functools.cache
+def _space_table() -> np.ndarray:
+    return np.array([chr(c).isspace() for c in range(65536)])
+
+
+def disguised(low: np.ndarray, at: np.ndarray, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """Words written with digits or symbols inside or with stretched letters: letters, starts and lengths
+    of their plain spelling, and the first letter run of each and the run after its last. A plain spelling
+    leaves out what is no letter (so a replaced letter is one edit) and repeats in runs of three or more."""
+    if not len(starts):
+        return low[:0], starts, lengths, starts, starts
+    space = np.concatenate([[0], np.cumsum(_space_table()[cp])])
+    doc = np.searchsorted(at, starts, "right")
+    head = np.ones(len(starts), bool)
+    head[1:] = (space[starts[1:]] != space[starts[:-1] + lengths[:-1]]) | (doc[1:] != doc[:-1])
+    begin = np.flatnonzero(head)
+    end = np.append(begin[1:], len(starts))
+    stretched = np.zeros(len(begin), bool)
+    triple = np.flatnonzero((low[2:] > 0) & (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]))
+    stretched[np.searchsorted(starts[begin], triple, "right") - 1] = True
+    chosen = np.flatnonzero(stretched | (end - begin > 1))
+    begin, end = begin[chosen], end[chosen]
+    runs = np.repeat(begin - np.cumsum(end - begin) + (end - begin), end - begin) + np.arange((end - begin).sum())
+    size = lengths[runs]
+    index = np.repeat(starts[runs] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    word = np.repeat(np.repeat(np.arange(len(begin)), end - begin), size)
+    letters = low[index]
+    again = np.zeros(len(letters), bool)
+    again[1:] = (letters[1:] == letters[:-1]) & (word[1:] == word[:-1])
+    run = np.cumsum(~again)
+    keep = ~(again & (np.bincount(run)[run] >= 3)) if len(run) else again
+    size = np.bincount(word[keep], minlength=len(begin))
+    return letters[keep], np.cumsum(size) - size, size, begin, end
+
+
 MEASURES = ("hits", "crowd", "share", "any", "quoted", "near")
 
 
@@ -164,6 +200,11 @@ class Model:
         docs = len(offsets) - 1
         low, at, cp, starts, lengths, first = letter_words(data, offsets)
         hit = self.automaton.run(self.automaton.code[low], starts, lengths)
+        plain, begin, size, run, after_run = disguised(low, at, cp, starts, lengths)
+        if len(run):
+            own = np.concatenate([[0], np.cumsum(hit >= 0)])
+            new = np.where(own[after_run] == own[run], self.automaton.run(self.automaton.code[plain], begin, size), -1)
+            hit[run[new >= 0]] = np.maximum(new[new >= 0], 1)  # a disguise counts as an edit
         k = np.flatnonzero(hit >= 0)
         doc = np.searchsorted(first, k, "right") - 1
         marks = np.concatenate([[0], np.cumsum(np.isin(cp, np.array(QUOTES, np.uint16)))])

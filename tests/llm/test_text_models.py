@@ -178,6 +178,15 @@ def test_context_separates_quotation(spark):
     assert not x[2:].any()
 
 
+def test_disguised_terms_are_hits():
+    m = toxicity.Model(toxicity.Automaton(["idiot", "moron", "stupid", "scoundrel"]), np.zeros(len(toxicity.MEASURES)), 0.0)
+    bad = ["id1ot", "mor0n", "st*pid", "i.d.i.o.t", "you st-upid", "scuondrel", "scondrell", "st" + "u" * 40 + "pid"]
+    calm = ["a calm text", "st upid", "well-known 12:30 a.b", "see https://x.org/a1b2", "", "id. iot"]
+    (_, _, data, offsets) = next(text_chunks(pa.array(bad + calm)))
+    hits = m.measures(data, offsets)[:, toxicity.MEASURES.index("hits")]
+    assert (hits[: len(bad)] > 0).all() and not hits[len(bad) :].any()
+
+
 def test_misspelled_terms_are_caught(spark):
     rng = random.Random(1)
     plain = ["".join(rng.choice("aeioulrstn") for _ in range(6)) for _ in range(300)]
