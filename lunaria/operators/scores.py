@@ -49,3 +49,9 @@ def consensus_many(votes: DataFrame, key: Sequence[str] = (*KEY, "epoch_idx")) -
     known = F.when(F.col("label") != NONE, F.col("label"))
     low, high = F.min(known), F.max(known)
     return votes.groupBy(*key).agg(F.when(low == high, low).otherwise(F.lit(NONE).cast("long")).alias("label"))
+
+
+def with_truth(predicted: DataFrame, truth: DataFrame, key: Sequence[str] = (*KEY, "epoch_idx")) -> DataFrame:
+    """Predictions joined with the truth of the same epoch; truth beyond the predictions is cut off, as are
+    predictions beyond the truth."""
+    return predicted.join(truth, list(key))

@@ -1,5 +1,5 @@
-"""Training a stage classifier on epoch features with Spark ML: weights per class, early stopping by a
-validation split. It stands in for gradient-boosted multiclass libraries and is not equal to them."""
+"""Training a stage classifier on epoch features with Spark ML: weights per class. It has no early
+stopping. It stands in for gradient-boosted multiclass libraries and is not equal to them."""
 
 from __future__ import annotations
 
@@ -8,8 +8,25 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import HypnogramMismatch
 from ..schema import UNSCORED
-from .select import features_by_prefix
+from .select import KEY, features_by_prefix
+
+
+def with_hypnogram(features: DataFrame, hypnogram: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """features(key, epoch_idx, ...) with the stage of hypnogram(key, epoch_idx, stage), by position. A
+    recording of features with another number of epochs in its hypnogram, or none, is an error; so are
+    epochs without a partner. Recordings of the hypnogram alone are ignored."""
+    key = list(key)
+    n = features.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    m = hypnogram.groupBy(key).agg(F.count(F.lit(1)).alias("m"))
+    out = features.join(hypnogram.select(*key, "epoch_idx", "stage"), [*key, "epoch_idx"])
+    met = out.groupBy(key).agg(F.count(F.lit(1)).alias("met"))
+    lengths = n.join(m, key, "left").join(met, key, "left").fillna(0, ["m", "met"])
+    bad = lengths.where((F.col("n") != F.col("m")) | (F.col("n") != F.col("met"))).orderBy(key).first()
+    if bad is not None:
+        raise HypnogramMismatch(f"{[bad[k] for k in key]}: {bad.n} epochs of features, {bad.m} of hypnogram, {bad.met} in both")
+    return out
 
 
 def training_rows(features: DataFrame, prefixes: Sequence[str], weights: Mapping[str, float] | None = None) -> tuple[DataFrame, list[str]]:

@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from lunaria.errors import AmbiguousLookup, DuplicateChannel, NoSamples, RateMismatch
-from lunaria.operators import align, merge, metrics, motion, scores, split
+from lunaria.errors import AmbiguousLookup, DuplicateChannel, HypnogramMismatch, NoSamples, RateMismatch
+from lunaria.operators import align, merge, metrics, motion, scores, split, train
 
 
 def test_consensus(spark):
@@ -92,3 +92,19 @@ def test_metrics(spark):
     assert tuple(none) == (0.0, 0.0, 0.0, 1.0)
     rows = spark.createDataFrame([("x", 1.0), ("x", 0.0), ("y", 1.0)], "dataset string, f1 double")
     assert {r.dataset: round(r.f1, 4) for r in metrics.macro(rows, ["f1"]).collect()} == {"x": 0.5, "y": 1.0, "TOTAL": 0.6667}
+
+
+def test_truth_is_cut_to_the_predictions(spark):
+    guess = spark.createDataFrame([("a", 0, 1), ("a", 1, 0), ("b", 0, 1)], "recording_id string, epoch_idx long, guess int")
+    truth = spark.createDataFrame([("a", 0, 1), ("a", 1, 1), ("a", 2, 0), ("b", 0, 0), ("c", 0, 1)], "recording_id string, epoch_idx long, truth int")
+    assert sorted(map(tuple, scores.with_truth(guess, truth).collect())) == [("a", 0, 1, 1), ("a", 1, 0, 1), ("b", 0, 1, 0)]
+
+
+def test_features_need_a_hypnogram_of_their_length(spark):
+    f = spark.createDataFrame([("a", 0, 0.5), ("a", 1, 0.7)], "recording_id string, epoch_idx long, eeg_x double")
+    schema = "recording_id string, epoch_idx long, stage int"
+    h = [("a", 1, 3), ("a", 0, 2), ("b", 0, 1)]
+    assert sorted(map(tuple, train.with_hypnogram(f, spark.createDataFrame(h, schema)).collect())) == [("a", 0, 0.5, 2), ("a", 1, 0.7, 3)]
+    for other in (h[1:], [*h, ("a", 2, 0)], [("a", 0, 2), ("a", 2, 1)], [("b", 0, 1)]):
+        with pytest.raises(HypnogramMismatch):
+            train.with_hypnogram(f, spark.createDataFrame(other, schema))
