@@ -1,36 +1,42 @@
 """Sharding by minimax contiguous partition (DataFrame functions only).
 
-Rows with equal texts form one atomic group. Groups are ordered by the 64-bit hash of the text (a
-null text hashes as a value of its own; texts whose hashes collide form one group, so equal texts
-always stay together). The smallest capacity C for which a greedy pass over the ordered group sizes
-needs at most K shards is found by binary search, and the order is cut where that pass cuts.
-
-No task and not the driver ever holds all group sizes. The driver works on at most a few thousand
-segment sums (ranges of the hash order). A greedy pass over segments gives two bounds: taking
-segments whole reaches no farther than the true pass, taking them as divisible reaches at least as
-far. Only the few segments in which a cut may still fall are split more finely (one narrow
-aggregation for each level) until both bounds agree, so C is exact over the groups.
+Rows with equal texts form one atomic group. Groups are ordered by 60 bits of the text's md5 (a null
+text comes first; texts whose hashes collide form one group, so equal texts always stay together).
+The smallest capacity C for which a greedy pass over the ordered group sizes needs at most K shards is
+found by binary search, and the order is cut where that pass cuts.
+
+No task and not the driver ever holds all group sizes. The driver works on segment sums (ranges of the
+hash order; a group above a small share of a shard is a segment by itself). A greedy pass over segments
+gives two bounds: taking segments whole reaches no farther than the true pass, taking them as divisible
+reaches at least as far. Only segments in which a cut may still fall are split more finely (one narrow
+aggregation over their groups for each level) until both bounds agree on C and on every cut.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
-FIRST_BITS, MORE_BITS = 12, 6
+#: Bits of the hash, bits of the first segments, and parts that a segment is split into.
+HASH_BITS, FIRST_BITS, FAN = 60, 12, 16
+#: Groups above 1 / HEAVY of a fair shard are segments by themselves: HEAVY x shards at most.
+HEAVY = 64
+#: Segments that are split at a level, the largest first: the bound of what the driver gets at once is FAN times that.
+SPLIT = 4096
 #: Slots of a shard are numbered in so many independent parts, so no task sorts a whole shard.
 PARTS = 256
+KEY = ["parent", "sub"]
 
 
 class _Segments:
-    """Ordered segments (bits, cell, bytes, groups): cell is the signed top bits of the hash."""
+    """Ordered segments (lowest hash, highest hash, bytes, groups)."""
 
     def __init__(self, rows: list[tuple[int, int, int, int]]):
-        self.rows = sorted(rows, key=lambda r: r[1] << (64 - r[0]))
+        self.rows = sorted(rows)
         self.edges = [0]
         for r in self.rows:
             self.edges.append(self.edges[-1] + r[2])
@@ -61,52 +67,71 @@ class _Segments:
             low, high = (low, mid) if reach(mid) >= self.total else (mid + 1, high)
         return low
 
+    def open(self, low: int, high: int, shards: int) -> list[int]:
+        """Segments of several groups in which a pass with a capacity from low to high may cut."""
+        found = set()
+        for a, b in zip(self.whole(low, shards), self.divided(high, shards), strict=True):
+            while a < len(self.rows) and self.edges[a] < b:
+                if self.rows[a][3] > 1:
+                    found.add(a)
+                a += 1
+        return sorted(found, key=lambda k: -self.rows[k][2])[:SPLIT]
+
 
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
-    """(capacity, lower hash of shards 1, 2, ...) for groups(h long, bytes long, one row a group).
-    Fewer groups than shards leave the last shards empty; no group gives (0, [])."""
-
-    def summed(bits: int, cells: list[tuple[int, int]] | None) -> list[tuple[int, int, int, int, int]]:
-        df = groups
-        if cells is not None:
-            spans = [(c << (64 - b), ((c + 1) << (64 - b)) - 1) for b, c in cells]
-            merged: list[list[int]] = []
-            for lo, hi in sorted(spans):
-                if merged and merged[-1][1] + 1 == lo:
-                    merged[-1][1] = hi
-                else:
-                    merged.append([lo, hi])
-            test = F.lit(False)
-            for lo, hi in merged:
-                test = test | F.col("h").between(lo, hi)
-            df = df.where(test)
-        rows = df.groupBy(F.shiftright("h", 64 - bits).alias("cell")).agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("m")).collect()
-        return [(bits, r.cell, r.b, r.n, r.m) for r in rows]
-
-    found = summed(FIRST_BITS, None)
-    if not found:
+    """(capacity, lowest hash of shards 1, 2, ...) for groups(h long, bytes long, one row a group), h from
+    -1 to 2^60 - 1. Fewer groups than shards leave the last shards empty; no group gives (0, [])."""
+    all_of = groups.agg(F.sum("bytes"), F.max("bytes")).first()
+    if all_of[0] is None:
         return 0, []
-    largest = max(r[4] for r in found)
-    seg = _Segments([r[:4] for r in found])
-    bits = FIRST_BITS
+    total, largest = all_of
+    cell = F.shiftright("h", HASH_BITS - FIRST_BITS)
+    heavy = F.col("bytes") > total // (HEAVY * shards)
+    alone = groups.where(heavy)
+    above = alone.groupBy(cell.alias("parent")).agg(F.collect_list("h").alias("heavy"))  # HEAVY x shards hashes at most
+    rows = groups.where(~heavy).withColumn("parent", cell).join(F.broadcast(above), "parent", "left")
+    below = F.coalesce(F.size(F.filter("heavy", lambda x: x < F.col("h"))), F.lit(0))
+    rows = rows.select("parent", F.when(F.col("heavy").isNull(), 0).otherwise(below).cast("long").alias("sub"), "h", "bytes")
+
+    def summed(rows: DataFrame) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
+        sums = cut(rows.groupBy(KEY).agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "segments")
+        return sums, [tuple(r) for r in sums.select("lo", "hi", "bytes", "n").collect()]
+
+    sums, found = summed(rows)
+    seg = _Segments(found + [(r.h, r.h, r.bytes, 1) for r in alone.select("h", "bytes").collect()])
+    levels = [(rows, sums, {r[0] for r in found})]  # the groups, the sums and the segments of each level
     while True:
-        least = max(largest, -(-seg.total // shards))
-        high = seg.search(lambda c: seg.edges[seg.whole(c, shards)[-1]], least, seg.total)
+        least = max(largest, -(-total // shards))
+        high = seg.search(lambda c: seg.edges[seg.whole(c, shards)[-1]], least, total)
         low = seg.search(lambda c: seg.divided(c, shards)[-1], least, high)
-        if low >= high or bits >= 64:
+        split = seg.open(low, high, shards)
+        if not split:
             ends = seg.whole(high, shards)
-            starts = [k for k in ends[:-1] if k < len(seg.rows)]
-            return high, [seg.rows[k][1] << (64 - seg.rows[k][0]) for k in starts]
-        split = set()
-        for a, b in zip(seg.whole(low, shards), seg.divided(high, shards), strict=True):
-            k = bisect_right(seg.edges, seg.edges[a]) - 1
-            while k < len(seg.rows) and seg.edges[k] <= b:
-                if seg.rows[k][3] > 1:
-                    split.add(k)
-                k += 1
-        bits = min(64, bits + MORE_BITS)
-        fine = summed(bits, [seg.rows[k][:2] for k in sorted(split)])
-        seg = _Segments([r for k, r in enumerate(seg.rows) if k not in split] + [r[:4] for r in fine])
+            return high, [seg.rows[k][0] for k in ends[:-1] if k < len(seg.rows)]
+        gone, more = {seg.rows[k][0] for k in split}, []
+        for rows, sums, own in list(levels):
+            if not (mine := gone & own):
+                continue
+            own -= mine
+            chosen = sums.where(F.col("lo").isin(sorted(mine))).select(*KEY, "lo", F.expr(f"(hi - lo) div {FAN} + 1").alias("step"))
+            finer = rows.join(F.broadcast(chosen), KEY).select(F.col("lo").alias("parent"), F.expr("(h - lo) div step").alias("sub"), "h", "bytes")
+            finer = cut(finer, "split")
+            new_sums, found = summed(finer)
+            levels.append((finer, new_sums, {r[0] for r in found}))
+            more += found
+        seg = _Segments([r for k, r in enumerate(seg.rows) if k not in set(split)] + more)
+
+
+def added(terms: list[Column]) -> Column:
+    """The sum of terms as a balanced tree, so that many terms do not nest deeply."""
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + ([terms[-1]] if len(terms) % 2 else [])
+    return terms[0]
+
+
+def text_hash(text_col: str) -> Column:
+    """60 bits of the text's md5; -1 for null."""
+    return F.coalesce(F.conv(F.substring(F.md5(F.col(text_col).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long"), F.lit(-1))
 
 
 def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,6 +140,7 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     size is the UTF-8 bytes of the text plus 1; a null text has size 1 and a null text_crc32 and
     forms a group of its own, apart from the empty text. Slots run from 0 without gaps in each shard.
     Repeated rows are equal texts, so they share a shard; the order of exact repeats is immaterial.
+    A text that outweighs a fair shard sets the capacity, and the greedy pass then fills fewer shards.
     An empty table gives an empty result; other columns are ignored.
     """
     narrow = cut(
@@ -122,16 +148,15 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
             F.col(id_col).alias("doc_id"),
             (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"),
-            F.when(F.col(text_col).isNull(), F.lit(-1).cast("long")).otherwise(F.xxhash64(text_col)).alias("h"),
+            text_hash(text_col).alias("h"),
         ),
         "sizes",
     )
     groups = cut(narrow.groupBy("h").agg(F.sum("size").alias("bytes")), "groups")
     _, cuts = minimax_cuts(groups, shards)
-    number = F.lit(0)
-    for c in cuts:
-        number = number + (F.col("h") >= F.lit(c)).cast("int")
-    placed = narrow.withColumn("shard", number.cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "h"), F.lit(PARTS)).cast("int"))
+    number = added([F.lit(0), *((F.col("h") >= F.lit(c)).cast("int") for c in cuts)])
+    part = F.conv(F.substring(F.md5(F.concat(F.lit("part:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), 1, 2), 16, 10).cast("int")
+    placed = narrow.withColumn("shard", number.cast("int")).withColumn("part", part)
     counts = placed.groupBy("shard", "part").count()  # at most shards x PARTS rows
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))

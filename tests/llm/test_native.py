@@ -37,19 +37,42 @@ def brute(sizes, k):
 @pytest.mark.parametrize(("seed", "n", "k"), [(0, 1, 3), (1, 5, 8), (2, 60, 4), (3, 300, 16), (4, 300, 2)])
 def test_capacity_is_the_least(spark, seed, n, k):
     rng = random.Random(seed)
-    rows = [(rng.getrandbits(64) - (1 << 63), rng.choice([1, 2, 3, rng.randrange(1, 400)])) for _ in range(n)]
+    rows = [(rng.getrandbits(60), rng.choice([1, 2, 3, rng.randrange(1, 400)])) for _ in range(n)]
     groups = spark.createDataFrame(rows, "h long, bytes long")
     capacity, cuts = sharding.minimax_cuts(groups, k)
     ordered = sorted(rows)
     assert capacity == brute([s for _, s in ordered], k)
-    load = [0] * k
+    assert cuts == greedy(ordered, capacity)
+
+
+def greedy(ordered, capacity):
+    """Hashes at which a greedy pass begins a new shard."""
+    cuts, room = [], capacity
     for h, s in ordered:
-        load[sum(h >= c for c in cuts)] += s
-    assert max(load) <= capacity
+        if s > room:
+            cuts.append(h)
+            room = capacity
+        room -= s
+    return cuts
+
+
+@pytest.mark.parametrize("seed", range(7))
+def test_hot_group_among_many(spark, seed):
+    """One group that outweighs a fair shard (or, in the last seeds, half of one) among 10,000 small ones."""
+    rng = random.Random(100 + seed)
+    rows = [(rng.getrandbits(60), rng.randrange(1, 60)) for _ in range(10_000)]
+    total = sum(s for _, s in rows)
+    rows.append((rng.getrandbits(60), 2 * total if seed < 4 else total // 30))
+    ordered = sorted(rows)
+    capacity, cuts = sharding.minimax_cuts(spark.createDataFrame(rows, "h long, bytes long"), 16)
+    sizes = [s for _, s in ordered]
+    fits = lambda c: c >= max(sizes) and len(greedy(ordered, c)) < 16
+    assert fits(capacity) and not fits(capacity - 1)
+    assert cuts == greedy(ordered, capacity)
 
 
 def test_hot_group_and_close_hashes(spark):
-    rows = [(h, 5) for h in range(40)] + [(1 << 40, 1000)] + [(-(1 << 62) + h, 7) for h in range(40)]
+    rows = [(h, 5) for h in range(-1, 39)] + [(1 << 40, 1000)] + [((1 << 59) + h, 7) for h in range(40)]
     capacity, _ = sharding.minimax_cuts(spark.createDataFrame(rows, "h long, bytes long"), 3)
     assert capacity == brute([s for _, s in sorted(rows)], 3) == 1000
 
