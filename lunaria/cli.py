@@ -1,4 +1,4 @@
-"""Command line: python -m lunaria.cli {process,export,intervals,score,usability,pipelines} ..."""
+"""Command line: python -m lunaria.cli {process,export,intervals,score,usability,features,train,evaluate,pipelines} ..."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ def plan(name: str) -> pipeline.Pipeline:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lunaria", description=__doc__)
     sub = p.add_subparsers(dest="job", required=True)
-    for name in ("process", "export", "intervals", "score", "usability"):
+    for name in ("process", "export", "intervals", "score", "usability", "features", "evaluate"):
         s = sub.add_parser(name)
         s.add_argument("--datasets", required=True, help="YAML list of datasets")
         s.add_argument("--dataset", action="append", required=True)
@@ -45,7 +45,16 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--rate", type=float)
         if name == "intervals":
             s.add_argument("--pulse", required=True)
-        if name in ("score", "usability"):
+        if name == "features":
+            s.add_argument("--eeg", required=True)
+            s.add_argument("--eog")
+            s.add_argument("--rate", type=float, default=100.0)
+            s.add_argument("--test-share", type=float, default=0.2)
+        if name == "evaluate":
+            s.add_argument("--store", action="append", required=True, help="the native store of each dataset, in order")
+            s.add_argument("--detector", required=True, help="module:function that finds intervals in class probabilities")
+            s.add_argument("--period", type=float, default=0.5, help="seconds a prediction")
+        if name in ("score", "usability", "evaluate"):
             s.add_argument("--model", required=True, help="module:function that makes the model")
             s.add_argument("--channels", action="append", required=True, help="A,B: a channel group")
         if name == "score":
@@ -53,6 +62,13 @@ def parser() -> argparse.ArgumentParser:
         if name == "usability":
             s.add_argument("--movement", required=True)
             s.add_argument("--features", type=int, required=True)
+    t = sub.add_parser("train")
+    t.add_argument("--features", required=True, help="a table that the job features has made")
+    t.add_argument("--prefix", action="append", required=True, help="of feature columns, such as eeg_")
+    t.add_argument("--weight", action="append", default=[], help="STAGE=WEIGHT")
+    t.add_argument("--out", required=True, help="folder of the fitted model")
+    t.add_argument("--trees", type=int, default=50)
+    t.add_argument("--depth", type=int, default=6)
     sub.add_parser("pipelines")
     return p
 
@@ -63,7 +79,15 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         print("\n".join(sorted(f.stem for f in pipeline.FOLDER.glob("*.yaml"))))
         return
     spark = spark or SparkSession.builder.appName(f"lunaria {a.job}").getOrCreate()
+    if a.job == "train":
+        jobs.train_stages(spark, a.features, a.prefix, a.out, {k: float(v) for k, v in (w.split("=", 1) for w in a.weight)}, a.trees, a.depth).show(truncate=False)
+        return
     existing, on_error = Existing[a.existing], OnError[a.on_error]
+    if a.job == "evaluate":
+        chosen = list(zip(pipeline.Datasets.load(a.datasets).choose(a.dataset), a.store, strict=True))
+        channels = [c for g in a.channels for c in g.split(",")]
+        jobs.evaluate_events(spark, chosen, channels, factory(a.model), factory(a.detector), a.out, a.period).show(truncate=False)
+        return
     for config in pipeline.Datasets.load(a.datasets).choose(a.dataset):
         out = f"{a.out}/{config.name}"
         if a.job == "process":
@@ -72,6 +96,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             jobs.export_channels(spark, config, dict(r.split("=", 1) for r in a.rename), out, a.rate, existing=existing, on_error=on_error)
         elif a.job == "intervals":
             jobs.export_intervals(spark, config, a.pulse, out, plan(a.pipeline), on_error)
+        elif a.job == "features":
+            jobs.export_features(spark, config, a.eeg, out, a.eog, a.rate, a.test_share, existing=existing, on_error=on_error)
         elif a.job == "score":
             jobs.score_stages(spark, config, [g.split(",") for g in a.channels], factory(a.model), out, a.threshold, on_error=on_error)
         else:

@@ -45,6 +45,10 @@ class AnnotationsMissing(LunariaError):
     """A recording has no annotations of the requested type."""
 
 
+class DurationMismatch(LunariaError):
+    """Channels that belong together differ in length."""
+
+
 class HypnogramMismatch(LunariaError):
     """A recording has other epochs in its features than in its hypnogram."""
 

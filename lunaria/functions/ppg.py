@@ -117,17 +117,9 @@ def _slopes_akima(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.where(w1 + w2 > 0, (w1 * d[1:-2] + w2 * d[2:-1]) / (w1 + w2), (d[1:-2] + d[2:-1]) / 2)
 
 
-def _slopes_spline(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural cubic spline."""
-    n, h, d = len(x), np.diff(x), np.diff(y) / np.diff(x)
-    a = np.zeros((n, n)) if n <= 2000 else None
-    if a is not None:
-        i = np.arange(1, n - 1)
-        a[i, i - 1], a[i, i], a[i, i + 1] = h[1:], 2 * (h[:-1] + h[1:]), h[:-1]
-        a[0, :2], a[-1, -2:] = (2, 1), (1, 2)
-        return np.linalg.solve(a, np.concatenate([[3 * d[0]], 3 * (h[1:] * d[:-1] + h[:-1] * d[1:]), [3 * d[-1]]]))
-    low, mid, up = np.append(h[1:], 1.0), np.concatenate([[2], 2 * (h[:-1] + h[1:]), [2]]), np.append(1.0, h[:-1])
-    rhs = np.concatenate([[3 * d[0]], 3 * (h[1:] * d[:-1] + h[:-1] * d[1:]), [3 * d[-1]]])
+def _banded(low: np.ndarray, mid: np.ndarray, up: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """The solution of a tridiagonal system (diagonally dominant, so no pivots are needed)."""
+    n, mid, rhs = len(mid), mid.astype(np.float64), rhs.astype(np.float64)
     for k in range(1, n):
         f = low[k - 1] / mid[k - 1]
         mid[k] -= f * up[k - 1]
@@ -139,12 +131,40 @@ def _slopes_spline(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return m
 
 
+def _slopes_spline(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural cubic spline."""
+    h, d = np.diff(x), np.diff(y) / np.diff(x)
+    low, mid, up = np.append(h[1:], 1.0), np.concatenate([[2], 2 * (h[:-1] + h[1:]), [2]]), np.append(1.0, h[:-1])
+    return _banded(low, mid, up, np.concatenate([[3 * d[0]], 3 * (h[1:] * d[:-1] + h[:-1] * d[1:]), [3 * d[-1]]]))
+
+
+def _quadratic(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Quadratic spline through all points, with knots midway between neighbours but for the outermost
+    two at either end, where one parabola goes on to the end."""
+    n = len(x)
+    knots = np.concatenate([[x[0]] * 3, ((x[1:] + x[:-1]) / 2)[1:-1], [x[-1]] * 3])
+
+    def basis(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        j = np.clip(np.searchsorted(knots, p, "right") - 1, 2, n - 1)
+        t = knots
+        width = t[j + 1] - t[j]
+        a = (t[j + 1] - p) ** 2 / ((t[j + 1] - t[j - 1]) * width)
+        c = (p - t[j]) ** 2 / ((t[j + 2] - t[j]) * width)
+        return j, np.column_stack([a, 1 - a - c, c])
+
+    j, b = basis(x)
+    rows = np.zeros((n, 5))  # columns i - 2 to i + 2; all but the middle three stay 0
+    for k in range(3):
+        rows[np.arange(n), j - 2 + k - np.arange(n) + 2] = b[:, k]
+    c = _banded(rows[1:, 1], rows[:, 2], rows[:-1, 3], y)
+    j, b = basis(at)
+    return (b * c[j[:, None] + np.arange(-2, 1)]).sum(1)
+
+
 def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray, method: str = "monotone_cubic") -> np.ndarray:
     """Values at given places; beyond the ends the end values hold."""
     if method not in INTERPOLATIONS:
         raise LunariaError(f"interpolation {method}")
-    if method == "quadratic":
-        raise LunariaError("quadratic interpolation is not built; use cubic or monotone_cubic")
     at = np.clip(at, x[0], x[-1])
     k = np.clip(np.searchsorted(x, at, "right") - 1, 0, max(len(x) - 2, 0))
     if len(x) == 1:
@@ -157,6 +177,8 @@ def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray, method: str = "mon
         return np.where(at - x[k] <= x[k + 1] - at, y[k], y[k + 1])
     if method in ("linear", "slinear") or len(x) < 3:
         return np.interp(at, x, y)
+    if method == "quadratic":
+        return _quadratic(x, np.asarray(y, np.float64), at)
     m = {"monotone_cubic": _slopes_monotone, "akima": _slopes_akima, "cubic": _slopes_spline}[method](x, y)
     h = x[k + 1] - x[k]
     t = (at - x[k]) / h

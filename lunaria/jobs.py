@@ -9,14 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .errors import MissingChannel, RateMismatch
-from .operators import aggregate, merge, models, scores, select
+from .errors import AnnotationsMissing, MissingChannel, RateMismatch
+from .operators import aggregate, dsp, evaluate, features, merge, metrics, models, scores, select, train
 from .plans.pipeline import Pipeline, rename_only
 from .plans.transforms import Signal
-from .schema import EPOCH_S, STAGE_CLASSES, UNKNOWN
+from .schema import EPOCH_S, SHORT_LABELS, STAGE_CLASSES, UNKNOWN, UNSCORED
 from .sinks import export
 from .sinks.policy import Existing, OnError, exists
-from .sources import edf, recordings, text
+from .sources import edf, recordings, store, text
 from .sources.recordings import DatasetConfig
 
 
@@ -37,10 +37,10 @@ def load_edf(spark: SparkSession, config: DatasetConfig, channels: Sequence[str]
     recs = recordings.scan(spark, config)
     if done is not None:
         recs = merge.pending(recs, done, retry_failed=retry_failed)
-    glob = f"{config.data_dir.rstrip('/')}/{config.pattern.strip('/')}/*.edf"
+    glob = f"{config.data_dir.rstrip('/')}/{config.pattern.strip('/')}"
     folder = F.regexp_replace("path", r"/[^/]*$", "")
     stem = F.replace(F.replace(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1), F.lit("%20"), F.lit(" ")), F.lit(" "), F.lit("_"))
-    files = spark.read.format("binaryFile").load(glob).select(folder.alias("folder"), stem.alias("channel")).where(F.col("channel").isin(*channels))
+    files = edf.files(spark, glob, channels).select(folder.alias("folder"), stem.alias("channel")).where(F.col("channel").isin(*channels))
     have = recs.join(files, "folder").groupBy("recording_id").agg(F.array_sort(F.collect_set("channel")).alias("have"))
     lost = F.array_except(F.array(*map(F.lit, sorted(set(channels)))), F.coalesce("have", F.array().cast("array<string>")))
     state = recs.join(have, "recording_id", "left").withColumn("lost", lost)
@@ -48,26 +48,35 @@ def load_edf(spark: SparkSession, config: DatasetConfig, channels: Sequence[str]
     if on_error is OnError.RAISE and (first := errors.limit(1).collect()):
         raise MissingChannel(f"{first[0].recording_id}: {first[0].error_message}")
     fine = state.where(F.size("lost") == 0).select(*recs.columns)
-    blocks = edf.read_edf(spark, glob).withColumn("folder", folder).withColumn("channel", stem).where(F.col("channel").isin(*channels))
-    own = blocks.join(fine.select("folder", "recording_id"), "folder")
+    # when resuming, only the folders that are left are listed (a path a recording); otherwise the pattern is
+    paths = glob if done is None else [r.folder.replace("%20", " ") for r in fine.select("folder").collect()]
+    named = lambda df: df.withColumn("folder", folder).withColumn("channel", stem).where(F.col("channel").isin(*channels)).join(fine.select("folder", "recording_id"), "folder")
     rates: dict[str, set[float]] = {c: set() for c in channels}
-    for r in own.select("channel", "sample_rate").distinct().collect():  # a row per channel and rate
+    if not paths:
+        return Loaded(fine, {}, annotations(spark, config, fine) if config.scoring_pattern else None, errors)
+    for r in named(edf.read_rates(spark, paths, channels)).select("channel", "sample_rate").distinct().collect():  # a row per channel and rate
         rates[r.channel].add(r.sample_rate)
     if odd := [c for c, r in rates.items() if len(r) > 1]:
         raise RateMismatch(f"{config.name}: {', '.join(odd)} have several rates")
-    long = edf.to_long(own, ("recording_id",))
+    long = edf.to_long(named(edf.read_edf(spark, paths, channels)), ("recording_id",))
     signals = {c: Signal(long.where(F.col("channel") == c), (c,), min(r)) for c, r in rates.items() if r}
     return Loaded(fine, signals, annotations(spark, config, fine) if config.scoring_pattern else None, errors)
 
 
-def annotations(spark: SparkSession, config: DatasetConfig, recs: DataFrame, annotation_type: str = text.SLEEP_STAGE) -> DataFrame:
-    """(recording_id, epoch_idx, label) from the scoring files that the recordings' names lead to."""
+def annotation_codes(spark: SparkSession, config: DatasetConfig, recs: DataFrame, annotation_type: str = text.SLEEP_STAGE) -> DataFrame:
+    """(recording_id, epoch_idx, code) from the scoring files that the recordings' names lead to."""
     named = recordings.scoring_path(recs, config).select("recording_id", F.element_at(F.split("scoring_file", "/"), -1).alias("file"))
     root = config.data_dir.rstrip("/")
     pattern = config.scoring_pattern.replace("{subject_id}", "*").replace("{session_id}", "*")
     codes = text.pick_annotation(text.read_scoring(spark, f"{root}/{pattern}"), annotation_type)
     codes = codes.withColumn("file", F.replace(F.element_at(F.split("path", "/"), -1), F.lit("%20"), F.lit(" ")))
-    return select.map_labels(named.join(codes, "file"), config.mapping, UNKNOWN).select("recording_id", "epoch_idx", "label")
+    return named.join(codes, "file").select("recording_id", "epoch_idx", "code")
+
+
+def annotations(spark: SparkSession, config: DatasetConfig, recs: DataFrame, annotation_type: str = text.SLEEP_STAGE) -> DataFrame:
+    """(recording_id, epoch_idx, label) of annotation_codes, by the dataset's mapping."""
+    codes = annotation_codes(spark, config, recs, annotation_type)
+    return select.map_labels(codes, config.mapping, UNKNOWN).select("recording_id", "epoch_idx", "label")
 
 
 def process(spark: SparkSession, config: DatasetConfig, pipeline: Pipeline, root: str, outputs: Iterable[str] | None = None, existing: Existing = Existing.RAISE, on_error: OnError = OnError.RAISE, resume: bool = True) -> DataFrame:
@@ -116,8 +125,6 @@ def export_intervals(spark: SparkSession, config: DatasetConfig, pulse: str, roo
 def score_stages(spark: SparkSession, config: DatasetConfig, groups: Sequence[Sequence[str]], factory: Callable, root: str, threshold: float = 0.0, low: float = 0.3, high: float = 30.0, model_rate: float = 128.0, on_error: OnError = OnError.RAISE) -> DataFrame:
     """(recording_id, epoch_idx, stage): band-pass, resample, a model per channel group, the consensus
     of the groups' confident labels; written as CSV."""
-    from .operators import dsp
-
     names = sorted({c for g in groups for c in g})
     loaded = load_edf(spark, config, names, on_error)
     votes = None
@@ -133,3 +140,75 @@ def score_stages(spark: SparkSession, config: DatasetConfig, groups: Sequence[Se
     out = scores.consensus_many(votes).withColumnRenamed("label", "stage")
     export.write_csv(out.repartition("recording_id").sortWithinPartitions("recording_id", "epoch_idx"), root)
     return out
+
+
+def evaluate_events(spark: SparkSession, datasets: Sequence[tuple[DatasetConfig, str]], channels: Sequence[str], factory: Callable, detector: evaluate.Detector, out: str, period_s: float = 0.5) -> DataFrame:
+    """(dataset, precision, recall, f1, accuracy, recording_count): means over recordings for each dataset
+    and in total, of events (arousals) that a detector finds in a model's class probabilities.
+
+    datasets pairs each configuration with the native store of its signals. The model scores each channel
+    by itself every period_s seconds, and the channels' probabilities are averaged. Truth and sleep stages
+    come from the scoring files, cut to the predicted epochs; epochs outside deep sleep, recordings that
+    are not stored, and recordings without a true event are left out. The table is written as CSV.
+    """
+    per = None
+    for config, root in datasets:
+        if not config.scoring_pattern:
+            raise AnnotationsMissing(f"{config.name} has no scoring pattern")
+        recs = recordings.scan(spark, config)
+        meta = store.read_meta(spark, root).where(F.col("channel").isin(*channels))
+        rates = sorted({(r.channel, r.sample_rate) for r in meta.select("channel", "sample_rate").distinct().collect()})
+        if lost := set(channels) - {c for c, _ in rates}:
+            raise MissingChannel(f"{config.name}: {', '.join(sorted(lost))}")
+        if len({r for _, r in rates}) > 1:
+            raise RateMismatch(f"{config.name}: {rates}")
+        signal = store.read_signal(spark, root, channels).join(recs.select("recording_id"), "recording_id", "left_semi")
+        scored = models.score_sleep(signal, rates[0][1], [[c] for c in channels], factory, period_s)
+        found = evaluate.detect_intervals(scored, detector)
+        lengths = scored.groupBy("recording_id").agg((F.max("epoch_idx") + 1).alias("n_samples"))
+        guess = evaluate.predicted_epochs(lengths, found, int(EPOCH_S / period_s))
+        truth = annotation_codes(spark, config, recs, text.AROUSAL).withColumnRenamed("code", "truth")
+        stages = annotation_codes(spark, config, recs).withColumnRenamed("code", "stage")
+        mine = evaluate.evaluated(guess, truth, stages).withColumn("dataset", F.lit(config.name))
+        per = mine if per is None else per.unionByName(mine)
+    table = metrics.macro(per, evaluate.MEASURES, count="recording_count")
+    export.write_csv(table.coalesce(1), out)  # a row a dataset
+    return spark.read.csv(out, header=True, inferSchema=True)
+
+
+def export_features(spark: SparkSession, config: DatasetConfig, eeg_channel: str, out: str, eog_channel: str | None = None, sampling_frequency: float = 100.0, test_split_size: float = 0.2, seed: int = 0, existing: Existing = Existing.RAISE, on_error: OnError = OnError.RAISE) -> DataFrame:
+    """Epoch features of an EEG (and an EOG) channel with stages, as one sorted Parquet table with
+    (set, dataset, subj, session, epoch_idx, stage, eeg_..., eog_...).
+
+    Channels are resampled; recordings whose channels or whose hypnogram differ in length are an error or,
+    with SKIP, left out. A share of the subjects is the test set. With APPEND, rows that are there stay.
+    """
+    skip = on_error is OnError.SKIP
+    kinds = {"eeg": eeg_channel} | ({"eog": eog_channel} if eog_channel else {})
+    loaded = load_edf(spark, config, list(kinds.values()), on_error)
+    if not loaded.signals or loaded.annotations is None:
+        raise AnnotationsMissing(f"no features extracted for {config.name}")
+    signal = None
+    for c in kinds.values():
+        s = dsp.resample_signal(loaded.signals[c].df, loaded.signals[c].rate, sampling_frequency, key=("recording_id", "channel"))
+        signal = s if signal is None else signal.unionByName(s)
+    own = features.combine_channels(signal, list(kinds.values()), skip)
+    table = features.epoch_features(own, sampling_frequency, kinds, EPOCH_S)
+    stage = loaded.annotations.withColumn("stage", select.lookup(F.col("label"), SHORT_LABELS, UNSCORED)).select("recording_id", "epoch_idx", "stage")
+    scored = train.with_hypnogram(table, stage.join(loaded.recordings.select("recording_id"), "recording_id", "left_semi"), skip=skip)
+    named = scored.join(loaded.recordings.select("recording_id", F.col("subject_id").alias("subj"), F.col("session_id").alias("session")), "recording_id").drop("recording_id")
+    rows = features.feature_table([named.withColumn("dataset", F.lit(config.name))], test_split_size, seed)
+    export.write_features(rows, out, existing)
+    return store.read_features(spark, out)
+
+
+def train_stages(spark: SparkSession, path: str, prefixes: Sequence[str], out: str, weights: Mapping[str, float] | None = None, trees: int = 50, depth: int = 6) -> DataFrame:
+    """Fits a classifier on the train set of a feature table, saves it to a new folder, and gives the report
+    (label, precision, recall, f1, support) over the test set, or over the train set if there is no other."""
+    table = store.read_features(spark, path)
+    rows = table.where("set = 'train'")
+    model = train.train(rows, prefixes, weights, trees, depth)
+    model.save(out)
+    test, _ = train.training_rows(table.where("set = 'test'"), prefixes)
+    guessed = train.predicted(model, rows.where(F.col("stage") != UNSCORED) if test.isEmpty() else test)
+    return metrics.class_report(guessed, "stage", "guess").orderBy("label")

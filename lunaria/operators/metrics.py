@@ -38,16 +38,27 @@ def scorable(rows: DataFrame, truth: str = "truth", guess: str = "guess") -> Dat
     return rows.where(F.col(truth).isin(0, 1) & F.col(guess).isin(0, 1))
 
 
+#: Fixed values of the workload: codes of wake, of the lightest stage and of unscored epochs.
+NOT_DEEP = (0, 1, -1)
+
+
+def deep_sleep(rows: DataFrame, stage: str = "stage") -> DataFrame:
+    """Rows whose stage code is none of 0, 1 and -1; a null stage counts as unscored."""
+    return rows.where(~F.col(stage).isin(*NOT_DEEP))
+
+
 def without_empty(rows: DataFrame, key: Sequence[str], truth: str = "truth") -> DataFrame:
     """Only recordings that have a positive label at all."""
     some = rows.groupBy(*key).agg(F.max(truth).alias("__m")).where("__m > 0").select(*key)
     return rows.join(some, list(key), "left_semi")
 
 
-def macro(per_recording: DataFrame, measures: Sequence[str], group: str = "dataset") -> DataFrame:
-    """Means over recordings per dataset and over all recordings (TOTAL, not a mean of means)."""
-    out = per_recording.rollup(group).agg(*[F.avg(m).alias(m) for m in measures], F.grouping(group).alias("__total"))
-    return out.select(F.when(F.col("__total") == 1, "TOTAL").otherwise(F.col(group)).alias(group), *measures)
+def macro(per_recording: DataFrame, measures: Sequence[str], group: str = "dataset", count: str | None = None) -> DataFrame:
+    """Means over recordings per dataset and over all recordings (TOTAL, not a mean of means); count names
+    a column for the number of recordings."""
+    n = [F.count(F.lit(1)).alias(count)] if count else []
+    out = per_recording.rollup(group).agg(*[F.avg(m).alias(m) for m in measures], *n, F.grouping(group).alias("__total"))
+    return out.select(F.when(F.col("__total") == 1, "TOTAL").otherwise(F.col(group)).alias(group), *measures, *([count] if count else []))
 
 
 def confusion_matrix(rows: DataFrame, truth: str = "truth", guess: str = "guess") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..errors import LunariaError
 from . import dsp, scores
-from .segment import frame_periods, segment_length
+from .segment import frame_channels, segment_length
 from .select import KEY
 
 Predict = Callable[[np.ndarray], np.ndarray]
@@ -31,8 +31,11 @@ def check_groups(groups: Sequence[Sequence[str]], channels: Sequence[str]) -> No
         raise LunariaError(f"no channels {', '.join(sorted(lost))}")
 
 
-def predict_epochs(epochs: DataFrame, columns: Sequence[str], factory: Callable[[], Predict], key: Sequence[str] = (*KEY, "period_idx"), batch: int = 64) -> DataFrame:
-    """(key, probs) from array columns: the model gets float32 (batch, samples, channels)."""
+def predict_epochs(epochs: DataFrame, columns: Sequence[str], factory: Callable[[], Predict], key: Sequence[str] = (*KEY, "period_idx"), batch: int = 64, periods: int | None = None) -> DataFrame:
+    """(key, probs) from array columns: the model gets float32 (batch, samples, channels), or, with
+    periods, (batch, periods, samples, channels) of arrays that hold so many periods each. A model that
+    makes several predictions of an array, (batch, ..., classes), gives a row for each: the key's last
+    column then counts predictions (array number x predictions an array + place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = factory()
@@ -40,27 +43,42 @@ def predict_epochs(epochs: DataFrame, columns: Sequence[str], factory: Callable[
             for at in range(0, b.num_rows, batch):
                 part = b.slice(at, batch)
                 x = np.stack([part.column(part.schema.get_field_index(c)).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1) for c in columns], -1)
+                if periods:
+                    x = x.reshape(len(x), periods, -1, len(columns))
                 y = np.asarray(model(x.astype(np.float32)), np.float64)
+                y = y.reshape(part.num_rows, -1, y.shape[-1])
+                each = y.shape[1]
+                own = [part.column(part.schema.get_field_index(k)).take(pa.array(np.repeat(np.arange(part.num_rows), each))) for k in key]
+                if each > 1:
+                    place = own[-1].to_numpy() * each + np.tile(np.arange(each), part.num_rows)
+                    own[-1] = pa.array(place, own[-1].type)
+                y = y.reshape(-1, y.shape[-1])
                 probs = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1]), pa.array(y.ravel()))
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(k)) for k in key), probs], [*key, "probs"])
+                yield pa.RecordBatch.from_arrays([*own, probs], [*key, "probs"])
 
     kinds = ", ".join(f"{k} {epochs.schema[k].dataType.simpleString()}" for k in key)
     return epochs.select(*key, *columns).mapInArrow(run, f"{kinds}, probs array<double>")
 
 
-def score_sleep(signal: DataFrame, rate: float, groups: Sequence[Sequence[str]], factory: Callable[[], Predict], period_s: float = 30.0, channels: Sequence[str] | None = None) -> DataFrame:
+def window_offset(rate: float, samples: int) -> int:
+    """The mean time (ns, truncated) of a signal's first samples: when a prediction over them is made."""
+    return int(np.mean((np.arange(max(1, samples)) * (1e9 / rate)).astype(np.int64)))
+
+
+def score_sleep(signal: DataFrame, rate: float, groups: Sequence[Sequence[str]], factory: Callable[[], Predict], period_s: float = 30.0, channels: Sequence[str] | None = None, n_periods: int | None = None) -> DataFrame:
     """(recording_id, epoch_idx, probs, stage): each channel group is scored, scores are averaged, the
-    tail of a recording is dropped."""
+    tail of a recording is dropped. All channels are framed in one shuffle.
+
+    With n_periods the model gets (batch, n_periods, samples, channels), and periods after the last whole
+    multiple of n_periods are dropped; epoch_idx then counts the model's predictions.
+    """
     names = list(channels or [c for g in groups for c in g])
     check_groups(groups, names)
-    length = segment_length(period_s, rate)
+    names = list(dict.fromkeys(c for g in groups for c in g))
+    wide = frame_channels(signal, names, segment_length(period_s, rate) * (n_periods or 1))
     out = None
     for g in groups:
-        wide = None
-        for i, c in enumerate(g):
-            p = frame_periods(signal.where(F.col("channel") == c), length, strict=False, key=KEY).withColumnRenamed("samples", f"c{i}")
-            wide = p if wide is None else wide.join(p, [*KEY, "period_idx"])
-        y = predict_epochs(wide, [f"c{i}" for i in range(len(g))], factory)
+        y = predict_epochs(wide, [f"c{names.index(c)}" for c in g], factory, periods=n_periods)
         out = y if out is None else out.unionByName(y)
     means = scores.mean_groups(out.withColumnRenamed("period_idx", "epoch_idx"))
     return scores.as_arrays(means).withColumn("stage", scores.argmax("probs"))
@@ -70,15 +88,15 @@ def score_usability(signal: DataFrame, rate: float, eeg: Sequence[str], movement
     """(recording_id, period_idx, left, right): the usability class of each EEG channel. The layout of
     the features (spectrograms, or spectrograms and statistics) follows from their number."""
     length = segment_length(period_s, rate)
-    frames = [frame_periods(signal.where(F.col("channel") == c), length, strict=False, key=KEY) for c in (*eeg, movement)]
-    move = frames[-1].withColumnRenamed("samples", "move")
+    bins = (length - dsp.spectro.SEGMENT) // (dsp.spectro.SEGMENT - dsp.spectro.OVERLAP) + 1
+    lite = 2 * bins * (dsp.spectro.SEGMENT // 2 + 1)
+    make = {lite: dsp.lite_features, lite + 2 * len(dsp.spectro.FEATURES): dsp.full_features}.get(n_features)
+    if make is None:
+        raise LunariaError(f"a model of {n_features} features; epochs give {lite} (spectrograms) or {lite + 2 * len(dsp.spectro.FEATURES)} (with statistics)")
+    frames = frame_channels(signal, [*eeg, movement], length)
     out = None
-    for side, f in zip(("left", "right"), frames[:-1], strict=True):
-        both = f.join(move, [*KEY, "period_idx"])
-        bins = (length - dsp.spectro.SEGMENT) // (dsp.spectro.SEGMENT - dsp.spectro.OVERLAP) + 1
-        lite = 2 * bins * (dsp.spectro.SEGMENT // 2 + 1)
-        make = dsp.lite_features if n_features == lite else dsp.full_features
-        feats = make(both, rate, ("samples", "move")).withColumn("x", F.col("features"))
+    for i, side in enumerate(("left", "right")):
+        feats = make(frames, rate, (f"c{i}", "c2")).withColumn("x", F.col("features"))
         y = predict_epochs(feats.select(*KEY, "period_idx", "x"), ["x"], functools.partial(_flat, factory))
         y = y.select(*KEY, "period_idx", scores.argmax("probs").alias(side))
         out = y if out is None else out.join(y, [*KEY, "period_idx"])
@@ -97,5 +115,3 @@ def quality_control(signal: DataFrame, length: int, k: float = 20.0, key: Sequen
     low, mid, high = (F.get("q", F.lit(i)) for i in range(3))
     held = F.least(F.greatest(F.col("value"), low - k * (high - low)), high + k * (high - low))
     return signal.join(q, list(key)).withColumn("value", F.coalesce(F.try_divide(held - mid, high - low), F.lit(0.0))).drop("q")
-
-

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators import aggregate, align, annotate, dsp, merge, metrics, models, motion, pulse, scores, segment, select, split
+from .functions import fir
+from .functions import resample as polyphase
+from .operators import aggregate, align, annotate, dsp, evaluate, features, merge, metrics, models, motion, pulse, scores, segment, select, split, train
 from .plans.pipeline import bundled
 from .plans.transforms import Signal
 from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, SHORT_LABELS
-from .views import EMB, IMU, LAB, SIG, ann, emb, imu, sig, table
+from .views import ANN, EMB, IMU, LAB, SIG, ann, emb, imu, sig, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -382,6 +384,75 @@ def macro_metrics(spark, d):
     return rounded(metrics.macro(each, ["precision", "recall", "f1"]), "precision", "recall", "f1", digits=4)
 
 
+@query(f"WITH {ANN} SELECT recording_id, epoch_idx, CAST(value > 50 AS INTEGER) AS guess, CAST(code = 1 AS INTEGER) AS truth FROM ann JOIN sig USING (recording_id) WHERE sample_idx = epoch_idx AND epoch_idx < 40")
+def truth_prediction_join(spark, d):
+    """Truth cut to the length of the predictions."""
+    guess = sig(spark, d).where("sample_idx < 40").select("recording_id", F.col("sample_idx").alias("epoch_idx"), (F.col("value") > 50).cast("int").alias("guess"))
+    return scores.with_truth(guess, ann(spark, d).select("recording_id", "epoch_idx", (F.col("code") == 1).cast("int").alias("truth")))
+
+
+@query(f"WITH {ANN} SELECT recording_id, epoch_idx, code FROM ann WHERE code NOT IN (0, 1, -1)")
+def deep_sleep_only(spark, d):
+    return metrics.deep_sleep(ann(spark, d), "code")
+
+
+@query(f"""WITH {ANN}, n AS (SELECT recording_id, (count(*) * 7 + 29) // 30 AS n FROM sig GROUP BY 1), spine AS (SELECT recording_id, unnest(range(n)) AS epoch_idx FROM n),
+i AS (SELECT recording_id, sample_idx * 7 AS a, sample_idx * 7 + CAST(trunc(value) AS BIGINT) % 60 AS b FROM sig WHERE event_type = 'signup'),
+t AS (SELECT DISTINCT recording_id, unnest(range(a // 30, b // 30 + 1)) AS epoch_idx FROM i),
+m AS (SELECT s.recording_id, s.recording_id % 4 AS dataset, CAST(t.epoch_idx IS NOT NULL AS INTEGER) AS guess, CAST(a.code = 3 AS INTEGER) AS truth
+  FROM spine s JOIN ann a USING (recording_id, epoch_idx) LEFT JOIN t ON s.recording_id = t.recording_id AND s.epoch_idx = t.epoch_idx WHERE a.code NOT IN (0, 1, -1)),
+k AS (SELECT * FROM m WHERE recording_id IN (SELECT recording_id FROM m GROUP BY 1 HAVING max(truth) > 0)),
+c AS (SELECT dataset, recording_id, {_B} FROM k GROUP BY 1, 2), p AS (SELECT dataset, {_R} FROM c)
+SELECT coalesce(CAST(dataset AS VARCHAR), 'TOTAL') AS dataset, round(avg(precision), 4) AS precision, round(avg(recall), 4) AS recall, round(avg(f1), 4) AS f1, round(avg(accuracy), 4) AS accuracy, count(*) AS recording_count FROM p GROUP BY ROLLUP (dataset)""")
+def event_evaluation(spark, d):
+    """Intervals to epochs, truth and stages joined, deep sleep alone, measures per recording, means per dataset."""
+    s = sig(spark, d)
+    lengths = s.groupBy("recording_id").agg((F.count(F.lit(1)) * 7).alias("n_samples"))
+    spans = s.where(F.col("event_type") == "signup").select("recording_id", (F.col("sample_idx") * 7).alias("start_idx"), (F.col("sample_idx") * 7 + F.col("value").cast("long") % 60).alias("end_idx"))
+    a = ann(spark, d)
+    truth = a.select("recording_id", "epoch_idx", (F.col("code") == 3).cast("int").alias("truth"))
+    per = evaluate.evaluated(evaluate.predicted_epochs(lengths, spans, 30), truth, a.select("recording_id", "epoch_idx", F.col("code").alias("stage")))
+    per = rounded(per, *evaluate.MEASURES).withColumn("dataset", (F.col("recording_id") % 4).cast("string"))
+    return rounded(metrics.macro(per, evaluate.MEASURES, count="recording_count"), *evaluate.MEASURES, digits=4)
+
+
+@query(f"WITH {SIG}, {LAB.replace(SIG + ', ', '')} SELECT recording_id, s.sample_idx AS epoch_idx, value AS feature, CASE label WHEN 'UNKNOWN' THEN 'Uns' WHEN 'REM' THEN 'R' ELSE label END AS stage FROM sig s JOIN lab l USING (recording_id) WHERE s.sample_idx = l.epoch_idx AND recording_id % 7 <> 0")
+def features_hypnogram(spark, d):
+    """Features with stages by position; recordings whose hypnogram is an epoch short are left out."""
+    made = sig(spark, d).select("recording_id", F.col("sample_idx").alias("epoch_idx"), F.col("value").alias("feature"))
+    stages = select.map_labels(ann(spark, d), select.composed(STAGES, SHORT_LABELS, UNSCORED), UNSCORED).select("recording_id", "epoch_idx", F.col("label").alias("stage"))
+    return train.with_hypnogram(made, stages.where("recording_id % 7 <> 0 or epoch_idx > 0"), skip=True)
+
+
+@query("""WITH r AS (SELECT 'a' AS dataset, user_id AS subj, event_id AS session, value AS eeg_mean, NULL::DOUBLE AS eog_mean FROM events WHERE event_type = 'view'
+  UNION ALL SELECT 'b', user_id, event_id, value, value * 2 FROM events WHERE event_type = 'click'),
+s AS (SELECT DISTINCT subj FROM r), n AS (SELECT CAST(trunc(count(*) * 0.2::DOUBLE) AS BIGINT) AS n FROM s),
+k AS (SELECT subj, row_number() OVER (ORDER BY ((subj % 2147483647 + 4) * 48271 % 2147483647) * 69621 % 2147483647, subj) AS k FROM s)
+SELECT dataset, subj, session, eeg_mean, eog_mean, CASE WHEN k <= n THEN 'test' ELSE 'train' END AS "set" FROM r JOIN k USING (subj), n""")
+def feature_union(spark, d):
+    """Feature tables of two datasets, one without EOG, as one table with a split by subject."""
+    e = table(spark, d, "events")
+    part = lambda t, name, *more: e.where(F.col("event_type") == t).select(F.lit(name).alias("dataset"), F.col("user_id").alias("subj"), F.col("event_id").alias("session"), F.col("value").alias("eeg_mean"), *more)
+    return features.feature_table([part("view", "a"), part("click", "b", (F.col("value") * 2).alias("eog_mean"))], 0.2, seed=3)
+
+
+@query(f"""WITH {SIG}, n AS (SELECT recording_id, count(*) FILTER (WHERE event_type = 'view') AS a, count(*) FILTER (WHERE event_type = 'click') AS b FROM sig GROUP BY 1)
+SELECT recording_id, event_type AS channel, sample_idx, value FROM sig JOIN n USING (recording_id) WHERE event_type IN ('view', 'click') AND a = b AND a > 0""")
+def combine_equal_channels(spark, d):
+    """Two channels of the recordings in which they are equally long."""
+    s = sig(spark, d).select("recording_id", F.col("event_type").alias("channel"), "sample_idx", "value")
+    return features.combine_channels(s, ["view", "click"], skip=True)
+
+
+@query(f"""WITH {IMU}, n AS (SELECT *, count(*) OVER (PARTITION BY recording_id) AS n FROM imu)
+SELECT recording_id, sample_idx // 64 AS period_idx, arg_min(x, sample_idx) AS x_first, arg_max(z, sample_idx) AS z_last, round(sum(x), 6) AS x_sum FROM n WHERE sample_idx < n // 64 * 64 GROUP BY 1, 2""")
+def frame_channels(spark, d):
+    """Two channels framed side by side in one shuffle."""
+    p = segment.frame_channels(align.to_long(imu(spark, d), ["x", "z"]), ["x", "z"], 64)
+    total = F.aggregate("c0", F.lit(0.0), lambda a, x: a + x)
+    return p.select("recording_id", "period_idx", F.get("c0", F.lit(0)).alias("x_first"), F.element_at("c1", -1).alias("z_last"), F.round(total, 6).alias("x_sum"))
+
+
 @query("SELECT quality AS truth, toxic AS guess, count(*) AS n FROM labels GROUP BY 1, 2")
 def confusion_matrix(spark, d):
     return metrics.confusion_matrix(table(spark, d, "labels").select(F.col("quality").alias("truth"), F.col("toxic").alias("guess")))
@@ -443,14 +514,36 @@ def _long_y(spark, d):
     return imu(spark, d).select("recording_id", F.lit("y").alias("channel"), "sample_idx", F.col("y").alias("value"))
 
 
-@query()
+def _listed(values) -> str:
+    return "[" + ", ".join(f"'{float(v)!r}'::DOUBLE" for v in values) + "]"
+
+
+_RATE, _LOW, _HIGH, _TARGET = 64.0, 2.0, 16.0, 40.0
+_Y = f"{IMU}, y AS (SELECT recording_id, sample_idx, y AS v, count(*) OVER (PARTITION BY recording_id) AS n FROM imu)"
+_TAPS = fir.design(_RATE, _LOW, _HIGH)
+_PAD = len(_TAPS) // 2
+_UP, _DOWN = polyphase.factors(_RATE, _TARGET)
+_KERNEL = polyphase.kernel(_UP, _DOWN)
+
+
+@query(f"""WITH {_Y}, e AS (SELECT recording_id, max(n) AS n, arg_min(v, sample_idx) AS a, arg_max(v, sample_idx) AS b FROM y GROUP BY 1),
+p AS (SELECT recording_id, sample_idx AS i, v FROM y UNION ALL SELECT recording_id, -sample_idx, 2 * a - v FROM y JOIN e USING (recording_id) WHERE sample_idx BETWEEN 1 AND {_PAD}
+  UNION ALL SELECT recording_id, 2 * (e.n - 1) - sample_idx, 2 * b - v FROM y JOIN e USING (recording_id) WHERE sample_idx BETWEEN e.n - 1 - {_PAD} AND e.n - 2),
+x AS (SELECT recording_id, sample_idx AS j, unnest(range(sample_idx - {_PAD}, sample_idx + {_PAD} + 1)) AS i FROM y)
+SELECT recording_id, 'y' AS channel, j AS sample_idx, round(sum(p.v * {_listed(_TAPS)}[i - j + {_PAD} + 1]), 6) + 0.0 AS value FROM x JOIN p USING (recording_id, i) GROUP BY recording_id, j""")
 def fir_filter(spark, d):
-    return rounded(dsp.fir_filter(_long_y(spark, d), 64.0, 2.0, 16.0), "value")
+    """The taps, which depend on the design alone, are literals in the SQL."""
+    return dsp.fir_filter(_long_y(spark, d), _RATE, _LOW, _HIGH).withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
-@query()
+@query(f"""WITH {_Y}, n AS (SELECT recording_id, max(n) AS n FROM y GROUP BY 1),
+o AS (SELECT recording_id, unnest(range((n * {_UP} + {_DOWN - 1}) // {_DOWN})) AS j FROM n),
+x AS (SELECT recording_id, j, unnest(range((j * {_DOWN} - {len(_KERNEL) // 2}) // {_UP} - 1, (j * {_DOWN} + {len(_KERNEL) // 2}) // {_UP} + 1)) AS i FROM o),
+k AS (SELECT x.*, j * {_DOWN} + {len(_KERNEL) // 2} - i * {_UP} AS k FROM x)
+SELECT k.recording_id, 'y' AS channel, j AS sample_idx, round(sum(v * {_listed(_KERNEL)}[k + 1]), 6) + 0.0 AS value FROM k JOIN y ON k.recording_id = y.recording_id AND k.i = y.sample_idx WHERE k BETWEEN 0 AND {len(_KERNEL) - 1} GROUP BY k.recording_id, j""")
 def resample(spark, d):
-    return rounded(dsp.resample_signal(_long_y(spark, d), 64.0, 40.0), "value")
+    """The kernel, which depends on the rates alone, is a literal in the SQL."""
+    return dsp.resample_signal(_long_y(spark, d), _RATE, _TARGET).withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
 @query()
@@ -462,15 +555,29 @@ def _epochs(spark, d):
     return segment.frame_periods(_long_y(spark, d), 512, strict=False, key=("recording_id",))
 
 
-@query()
+# density of a segment of 256 samples of an epoch of 512: mean removed, tapered, a plain Fourier sum
+_SPECTRUM = f"""x AS (SELECT recording_id, sample_idx // 512 AS period_idx, sample_idx % 512 AS i, v FROM y WHERE sample_idx < n // 512 * 512),
+c AS (SELECT 0 AS part, * FROM x UNION ALL SELECT 1, recording_id, period_idx, 511 - i, v FROM x),
+s AS (SELECT part, recording_id, period_idx, b, i - b * 224 AS i, (v - avg(v) OVER (PARTITION BY part, recording_id, period_idx, b)) * {_listed(dsp.spectro.tukey(256))}[i - b * 224 + 1] AS v
+  FROM c, (SELECT unnest([0, 1]) AS b) WHERE i - b * 224 BETWEEN 0 AND 255),
+f AS (SELECT part, recording_id, period_idx, b, k, sum(v * cos(2 * pi() * (i * k % 256) / 256)) AS re, sum(v * sin(2 * pi() * (i * k % 256) / 256)) AS im FROM s, (SELECT unnest(range(129)) AS k) GROUP BY ALL),
+r AS (SELECT recording_id, period_idx, part * 258 + b * 129 + k AS place, round((re * re + im * im) * CASE WHEN k IN (0, 128) THEN 1 ELSE 2 END / ({_RATE!r}::DOUBLE * {float((dsp.spectro.tukey(256) ** 2).sum())!r}::DOUBLE), 5) + 0.0 AS density FROM f)"""
+
+
+def _placed(df, column: str):
+    out = df.select("recording_id", "period_idx", F.posexplode(column).alias("place", "density"))
+    return out.select("recording_id", "period_idx", F.col("place").cast("long").alias("place"), (F.round("density", 5) + F.lit(0.0)).alias("density"))
+
+
+@query(f"WITH {_Y}, {_SPECTRUM} SELECT * FROM r WHERE place < 258")
 def spectrogram(spark, d):
-    return dsp.spectrograms(_epochs(spark, d), 64.0)
+    return _placed(dsp.spectrograms(_epochs(spark, d), _RATE), "density")
 
 
-@query()
+@query(f"WITH {_Y}, {_SPECTRUM} SELECT * FROM r")
 def lite_features(spark, d):
     e = _epochs(spark, d).withColumn("other", F.reverse("samples"))
-    return dsp.lite_features(e, 64.0, ("samples", "other"))
+    return _placed(dsp.lite_features(e, _RATE, ("samples", "other")), "features")
 
 
 @query()

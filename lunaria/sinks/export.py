@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..errors import LunariaError, RateMismatch
 from ..operators.aggregate import channel_stats, label_counts
 from ..operators.annotate import squeeze_runs
-from ..operators.merge import FAILED, SUCCESS, upsert
-from .policy import Existing, exists, write
+from ..operators.features import globally_sorted
+from ..operators.merge import FAILED, SUCCESS, combine_first, upsert
+from .policy import Existing, exists, replace, write
 
 PARTITIONS = ("dataset", "recording_id", "channel")
 
@@ -102,5 +103,15 @@ def write_usability(scores: DataFrame, path: str, left: str, right: str, existin
 
 
 def write_features(features: DataFrame, path: str, existing: Existing = Existing.RAISE) -> bool:
-    """Epoch features sorted by set, dataset, subject, session and epoch."""
-    return write(features.sortWithinPartitions("set", "dataset", "subj", "session", "epoch_idx"), path, existing)
+    """Epoch features in order of set, dataset, subject, session and epoch, from file to file as well.
+    With APPEND rows that are there stay, and new ones win over old ones of the same epoch."""
+    if existing is Existing.APPEND:
+        if exists(features, path):
+            on = ["set", "dataset", "subj", "session", "epoch_idx"]
+            whole = combine_first(features, features.sparkSession.read.parquet(path), on)
+            # the old table is one of the inputs: the new one is written beside it and takes its place when it is whole
+            globally_sorted(whole).write.mode("overwrite").parquet(f"{path}.next")
+            replace(features, f"{path}.next", path)
+            return True
+        existing = Existing.RAISE
+    return write(globally_sorted(features), path, existing)

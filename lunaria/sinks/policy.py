@@ -33,6 +33,16 @@ def exists(df: DataFrame, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def replace(df: DataFrame, new: str, path: str) -> None:
+    """Puts a folder that was written as a whole in the place of another; the old one goes last."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    a, b, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, path, f"{path}.old"))
+    fs = b.getFileSystem(conf)
+    if not fs.rename(b, old) or not fs.rename(a, b):
+        raise ExistingOutput(f"{new} could not be moved to {path}")
+    fs.delete(old, True)
+
+
 def write(df: DataFrame, path: str, existing: Existing = Existing.RAISE, form: str = "parquet", partition_by: tuple[str, ...] = (), **options: str) -> bool:
     """Writes df under a policy; False if it was skipped. An existing output is never deleted on failure."""
     if existing is not Existing.OVERWRITE and existing is not Existing.APPEND and exists(df, path):

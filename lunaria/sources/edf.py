@@ -16,15 +16,27 @@ BLOCK_SAMPLES = 1 << 16
 SCHEMA = "path string, channel string, unit string, sample_rate double, n_samples long, block_idx long, start_idx long, samples array<double>"
 
 
-def parse(data: bytes) -> list[tuple[str, str, float, np.ndarray]]:
-    """(label, unit, rate, samples in physical units) of each ordinary signal; annotation signals are skipped."""
+#: Bytes of the fixed header and of each signal's header.
+HEAD = 256
+#: Signals that a header pass reads at most; a file of more is read whole later on all the same.
+HEAD_SIGNALS = 64
+
+
+def header(data: bytes) -> tuple[int, float, list[list[str]], int]:
+    """(records, seconds a record, the ten fields of all signals, bytes of the header)."""
     text = lambda a, b: data[a:b].decode("latin-1").strip()
     records, seconds, ns = int(text(236, 244)), float(text(244, 252)), int(text(252, 256))
     widths = (16, 80, 8, 8, 8, 8, 8, 80, 8, 32)
-    fields, at = [], 256
+    fields, at = [], HEAD
     for w in widths:
         fields.append([text(at + i * w, at + (i + 1) * w) for i in range(ns)])
         at += w * ns
+    return records, seconds, fields, at
+
+
+def parse(data: bytes) -> list[tuple[str, str, float, np.ndarray]]:
+    """(label, unit, rate, samples in physical units) of each ordinary signal; annotation signals are skipped."""
+    records, seconds, fields, at = header(data)
     label, unit, count = fields[0], fields[2], [int(x) for x in fields[8]]
     low, high, dlow, dhigh = ([float(x) for x in fields[k]] for k in (3, 4, 5, 6))
     body = np.frombuffer(data, "<i2", offset=at)
@@ -57,10 +69,37 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(r, kinds, strict=True)], names)
 
 
-def read_edf(spark: SparkSession, glob: str) -> DataFrame:
-    """Blocks of all EDF files that match, through any file system that Spark reads."""
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    return files.mapInArrow(_batches, SCHEMA)
+def files(spark: SparkSession, paths: str | list[str], channels: Sequence[str] | None) -> DataFrame:
+    """Files by path. Those of other channels (by file name, a blank or an underscore alike) are left out
+    when folders are listed, so they are never opened."""
+    reader = spark.read.format("binaryFile")
+    if channels is not None:
+        names = ",".join(sorted({c.replace(" ", "?").replace("_", "?") for c in channels}))
+        reader = reader.option("pathGlobFilter", f"{{{names}}}.[eE][dD][fF]")
+    return reader.load(paths)
+
+
+def read_edf(spark: SparkSession, paths: str | list[str], channels: Sequence[str] | None = None) -> DataFrame:
+    """Blocks of all EDF files that match, through any file system that Spark reads; with channels, of the
+    files that bear their names alone."""
+    return files(spark, paths, channels).select("path", "content").mapInArrow(_batches, SCHEMA)
+
+
+def read_rates(spark: SparkSession, paths: str | list[str], channels: Sequence[str] | None = None) -> DataFrame:
+    """(path, sample_rate) of the ordinary signals of each file, from headers: no sample leaves the scan."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            path, rate = [], []
+            for i in range(batch.num_rows):
+                _, seconds, fields, _ = header(batch.column(1)[i].as_py())
+                own = {int(n) / seconds for name, n in zip(fields[0], fields[8], strict=True) if not name.endswith("Annotations")}
+                path += [batch.column(0)[i].as_py()] * len(own)
+                rate += own
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(rate, pa.float64())], ["path", "sample_rate"])
+
+    heads = files(spark, paths, channels).select("path", F.substring("content", 1, HEAD * (1 + HEAD_SIGNALS)).alias("head"))
+    return heads.mapInArrow(run, "path string, sample_rate double")
 
 
 def discover(spark: SparkSession, glob: str, channels: Sequence[str] = tuple(HEADBAND_CHANNELS)) -> DataFrame:

@@ -128,7 +128,7 @@ def test_process_regular_beats():
     assert np.isnan(few["ibi"]).all() and few["peaks"].sum() == 0
 
 
-@pytest.mark.parametrize("method", [m for m in ppg.INTERPOLATIONS if m != "quadratic"])
+@pytest.mark.parametrize("method", ppg.INTERPOLATIONS)
 def test_interpolations_meet_their_points(method):
     x, y = np.array([0.0, 2, 5, 9]), np.array([1.0, 3, 2, 4])
     assert np.allclose(ppg.interpolate(x, y, x, method), y)
@@ -139,7 +139,13 @@ def test_monotone_stays_monotone():
     z = ppg.interpolate(x, y, np.linspace(0, 4, 101))
     assert (np.diff(z) >= -1e-12).all()
     with pytest.raises(LunariaError):
-        ppg.interpolate(x, y, x, "quadratic")
+        ppg.interpolate(x, y, x, "septic")
+
+
+def test_quadratic_gives_parabolas_back():
+    x = np.array([0.0, 1, 4, 5, 9, 10, 12])
+    at = np.linspace(0, 12, 97)
+    assert np.allclose(ppg.interpolate(x, 2 * x**2 - 3 * x + 1, at, "quadratic"), 2 * at**2 - 3 * at + 1)
 
 
 def test_interval_correction():

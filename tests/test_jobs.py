@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 
 from lunaria import cli, jobs
-from lunaria.errors import ExistingOutput, MissingChannel
+from lunaria.errors import AnnotationsMissing, DurationMismatch, ExistingOutput, HypnogramMismatch, LunariaError, MissingChannel
 from lunaria.plans.pipeline import bundled
-from lunaria.sinks.policy import OnError
+from lunaria.operators import models
+from lunaria.sinks.policy import Existing, OnError
+from lunaria.sources import edf
 from lunaria.sources.recordings import DatasetConfig
 
 
@@ -71,5 +73,104 @@ def test_command_line(spark, nights, tmp_path, capsys):
     cli.main(["score", *base, "--out", str(tmp_path / "s"), "--model", "test_jobs:steady", "--channels", "EEG_L", "--threshold", "0.6"], spark)
     stages = spark.read.csv(str(tmp_path / "s/d"), header=True, inferSchema=True).collect()
     assert len(stages) == 7 and {r.stage for r in stages} == {1}
-    cli.main(["usability", *base, "--out", str(tmp_path / "u"), "--model", "test_jobs:steady", "--channels", "EEG_L,PPG", "--movement", "PPG", "--features", "1"], spark)
+    cli.main(["usability", *base, "--out", str(tmp_path / "u"), "--model", "test_jobs:steady", "--channels", "EEG_L,PPG", "--movement", "PPG", "--features", "516"], spark)
     assert spark.read.csv(str(tmp_path / "u/d"), header=True).count() == 18
+
+
+def test_only_wanted_files_are_opened(spark, nights):
+    glob = f"file://{nights}/s*/n*/device"
+    blocks = edf.read_edf(spark, glob, ["PPG"])
+    assert len(blocks.inputFiles()) == 2 and {r.channel for r in blocks.select("channel").collect()} == {"PPG"}
+    assert len(edf.read_edf(spark, glob, ["EEG_L"]).inputFiles()) == 3  # a blank in the file name
+    assert len(edf.read_edf(spark, glob).inputFiles()) == 5
+    assert {r.sample_rate for r in edf.read_rates(spark, glob, ["EEG_L"]).collect()} == {64.0}
+
+
+@pytest.fixture(scope="module")
+def scored_nights(tmp_path_factory):
+    root = tmp_path_factory.mktemp("scored")
+    rng = np.random.default_rng(0)
+    for k in range(1, 6):
+        for c in ("EEG R", "EEG L"):
+            put(root / f"s{k}/n1/device/{c}.edf", rng.normal(size=64 * 30 * 4), 64)
+        (root / f"s{k} n1.txt").write_text("0 0\n2 1\n3 0\n4 0\n")
+    return root
+
+
+def stages_of(root):
+    return DatasetConfig("d", f"file://{root}", "s*/n*/device", "grandparent_parent", "{subject_id} {session_id}.txt", mapping={0: "W", 2: "N2", 3: "N3", 4: "REM"})
+
+
+def test_features(spark, scored_nights, tmp_path):
+    out = str(tmp_path / "f")
+    rows = jobs.export_features(spark, stages_of(scored_nights), "EEG_R", out, "EEG_L", 32.0, 0.2, existing=Existing.RAISE, on_error=OnError.RAISE)
+    got = rows.collect()
+    assert len(got) == 20 and {r.stage for r in got} == {"W", "N2", "N3", "R"} and {"eeg_mean", "eog_delta"} <= set(rows.columns)
+    assert {r.set for r in got} == {"test", "train"} and len({r.subj for r in got if r.set == "test"}) == 1
+    order = [(r.set, r.dataset, r.subj, r.session, r.epoch_idx) for part in sorted(tmp_path.glob("f/*.parquet")) for r in spark.read.parquet(str(part)).collect()]
+    assert order == sorted(order)
+    with pytest.raises(ExistingOutput):
+        jobs.export_features(spark, stages_of(scored_nights), "EEG_R", out)
+    again = jobs.export_features(spark, stages_of(scored_nights), "EEG_R", out, None, 32.0, existing=Existing.APPEND)
+    assert again.count() == 20 and again.where("eog_mean is null").count() == 0  # the old values fill in
+    report = jobs.train_stages(spark, out, ["eeg_"], str(tmp_path / "m"), {"N2": 2.0}, 5, 3)
+    assert {r.label for r in report.collect()} == {"W", "N2", "N3", "R"}
+
+
+def test_features_of_unequal_lengths(spark, scored_nights, tmp_path):
+    c = stages_of(scored_nights)
+    put(scored_nights / "s9/n1/device/EEG R.edf", np.zeros(64 * 90), 64)
+    put(scored_nights / "s9/n1/device/EEG L.edf", np.zeros(64 * 60), 64)
+    (scored_nights / "s9 n1.txt").write_text("0 0\n2 1\n")
+    with pytest.raises(DurationMismatch):
+        jobs.export_features(spark, c, "EEG_R", str(tmp_path / "a"), "EEG_L", 32.0)
+    assert jobs.export_features(spark, c, "EEG_R", str(tmp_path / "b"), "EEG_L", 32.0, on_error=OnError.SKIP).count() == 20
+    with pytest.raises(HypnogramMismatch):
+        jobs.export_features(spark, c, "EEG_R", str(tmp_path / "c"), None, 32.0)
+    assert jobs.export_features(spark, c, "EEG_R", str(tmp_path / "e"), None, 32.0, on_error=OnError.SKIP).count() == 20
+    with pytest.raises(AnnotationsMissing):
+        jobs.export_features(spark, DatasetConfig("d", c.data_dir, c.pattern), "EEG_R", str(tmp_path / "g"))
+
+
+def halves():
+    return lambda x: np.tile([0.1, 0.9], (len(x), 1))
+
+
+def second_epoch(probs):
+    return [(2 * 15 + 1, 2 * 15 + 2)]  # 2 s a prediction: the third epoch of 30 s
+
+
+def test_evaluation(spark, scored_nights, tmp_path):
+    c = stages_of(scored_nights)
+    (scored_nights / "s2 n1.txt").write_text("0 0\n2 0\n3 1\n4 0\n")
+    for name in ("EEG R", "EEG L"):
+        put(scored_nights / f"s9/n1/device/{name}.edf", np.zeros(64 * 90), 64)
+    (scored_nights / "s9 n1.txt").write_text("0 0\n2 1\n")  # shorter than the predictions
+    book = tmp_path / "d.yaml"
+    book.write_text(f"- {{name: d, data_dir: '{c.data_dir}', pattern: '{c.pattern}', id_rule: grandparent_parent, scoring_pattern: '{c.scoring_pattern}'}}\n")
+    store = str(tmp_path / "x")
+    cli.main(["export", "--datasets", str(book), "--dataset", "d", "--on-error", "SKIP", "--out", store, "--rename", "EEG_R=R", "--rename", "EEG_L=L"], spark)
+    cli.main(["evaluate", "--datasets", str(book), "--dataset", "d", "--out", str(tmp_path / "t"), "--store", f"{store}/d", "--channels", "R,L", "--model", "test_jobs:halves", "--detector", "test_jobs:second_epoch", "--period", "2"], spark)
+    rows = {r.dataset: r for r in spark.read.csv(str(tmp_path / "t"), header=True, inferSchema=True).collect()}
+    # epochs from 1 on are deep; epoch 2 is predicted, which is true for s2 alone
+    assert rows["d"].recording_count == rows["TOTAL"].recording_count == 6
+    assert rows["d"].precision == pytest.approx(1 / 6)
+
+
+def test_batches_of_periods(spark):
+    """(batch, periods, samples, channels) with several predictions a batch; a tail of periods is dropped."""
+    df = spark.createDataFrame([("r", c, i, float(i)) for c in "ab" for i in range(70)], "recording_id string, channel string, sample_idx long, value double")
+
+    def make():
+        def model(x):
+            assert x.shape[1:] == (3, 10, 2) and x.dtype == np.float32
+            first = x[:, :, ::5, 0].reshape(len(x), -1)  # two predictions a period
+            return np.stack([first, -first], -1)
+
+        return model
+
+    out = models.score_sleep(df, 1.0, [["a", "b"]], make, 10.0, n_periods=3).orderBy("epoch_idx").collect()
+    assert [(r.epoch_idx, r.probs[0], r.stage) for r in out] == [(i, 5.0 * i, 0) for i in range(12)]
+    assert models.window_offset(256.0, 128) == int(np.mean((np.arange(128) * (1e9 / 256)).astype(np.int64)))
+    with pytest.raises(LunariaError):
+        models.score_usability(df, 1.0, ["a", "b"], "a", make, 7, 512.0)
