@@ -403,15 +403,21 @@ def _verify(n: int, percent: int):
     return run
 
 
-#: Rows that one task compares; what would be more is dealt out to tiles of this size.
-TILE = 20_000
+#: Rows of a group that one task compares with leaders; what would be more is dealt out.
+TILE = 4_000
+#: Where all pairs are compared, a group of n rows is dealt to tiles of its root: sqrt(n x UNIT) rows on
+#: either side, so that copies (n^1.5) and a tile's comparisons (n) both grow less than the pairs do.
+UNIT = 200
+#: One document in SAMPLE shows which signatures are common: those of COMMON_LEAST sampled documents and of
+#: 1 / COMMON of them all. They number COMMON times the signatures of a document at most.
+SAMPLE, COMMON, COMMON_LEAST = 64, 1_000, 64
 #: Documents, and their shingles, that a block of whole texts takes from one cluster on either side.
 BLOCK, BLOCK_SHINGLES = 500, 500_000
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, n: int, percent: int):
-        self.n, self.percent = n, percent
+    def __init__(self, docs: DataFrame, n: int, percent: int, population: int | None = None):
+        self.n, self.percent, self.population = n, percent, population
         self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
         self.rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "sets")
         classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"))
@@ -429,29 +435,43 @@ class _Join:
         for e in edges:
             index = index + (F.col("n_shingles") >= e).cast("int")
         found = {r.band: r["count"] for r in self.classes.groupBy(index.alias("band")).count().collect()}  # one row a band
-        plans = [allocate(edges[k], edges[k + 1], found.get(k, 0) + found.get(k + 1, 0), self.percent) for k in range(len(edges) - 1)]
+        plans = [allocate(edges[k], edges[k + 1], self.population or found.get(k, 0) + found.get(k + 1, 0), self.percent) for k in range(len(edges) - 1)]
         # the copies are few or many: Spark picks the join by the size of the table that holds them
-        copies = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id")
-        docs = self.texts.join(cut(copies, "copies"), "doc_id", "left_anti")
-        sigs = docs.mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
-        w = Window.partitionBy("sig")
-        shared = sigs.select("id", "n", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high")).where("low <> high")
-        return cut(shared.select("low", "id", "n").dropDuplicates(["low", "id"]), "shared")
+        copies = cut(self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id"), "copies")
+        sign = lambda df: df.join(copies, "doc_id", "left_anti").mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
+        some = sign(self.texts.where(F.pmod(F.xxhash64(F.lit("some"), "doc_id"), F.lit(SAMPLE)) == 0)).groupBy("sig").agg(F.count(F.lit(1)).alias("rows"))
+        least = max(COMMON_LEAST, sum(found.values()) // (SAMPLE * COMMON))
+        common = cut(some.where(F.col("rows") >= least).select("sig", F.ceil(F.col("rows") * SAMPLE / TILE).cast("int").alias("salts")), "common")
+        # rows of a common signature are looked through in parts, whose lowest and highest ids then meet
+        w, shown = Window.partitionBy("key"), F.col("salts").isNotNull()
+        sigs = sign(self.texts).join(F.broadcast(common), "sig", "left")
+        sigs = sigs.select("id", "n", F.when(shown, F.xxhash64("sig", F.pmod(F.xxhash64("id"), F.col("salts")))).otherwise(F.col("sig")).alias("key"), F.when(shown, F.col("sig")).alias("sig"))
+        part = sigs.select("id", "n", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), "sig")
+        part = cut(part.where("low <> high or sig is not null"), "buckets")
+        whole = cut(part.where("sig is not null").groupBy("sig").agg(F.min("low").alias("low"), F.max("high").alias("high")), "whole")
+        met = part.where("sig is not null").drop("low", "high").join(F.broadcast(whole), "sig").where("low <> high")
+        shared = part.where("sig is null").select("low", "id", "n").union(met.select("low", "id", "n"))
+        return cut(shared.dropDuplicates(["low", "id"]), "shared")
 
     def candidates(self, members: DataFrame, leaders: bool) -> tuple[DataFrame, DataFrame]:
         """(pairs(a, b) of members(low, id, n, label) of one group that have different labels and may link;
         the groups (low) of which not all such pairs have been tried). Groups above TILE rows are split
         by salts of the ids (with leaders) or into tiles, which are pairs of salts."""
         counts = members.groupBy("low").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        chosen = counts.where("l1 <> l2").select("low", F.ceil(F.col("rows") / TILE).cast("int").alias("salts"))
-        x = members.join(chosen, "low").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+        salts = F.ceil(F.col("rows") / TILE) if leaders else F.ceil(F.sqrt(F.col("rows") / UNIT))
+        counts = cut(counts.select("low", (F.col("l1") == F.col("l2")).alias("one"), salts.cast("int").alias("salts")).where("one or salts > 1"), "counts")
+        chosen = counts.where("not one").select("low", "salts")
+        x = members if leaders else members.join(cut(counts.where("one").select("low"), "one"), "low", "left_anti")
+        # the groups above a tile are few, so the members need not be shuffled to them
+        x = x.join(cut(chosen, "large"), "low", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        x = x.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
         others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
         x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
         x = x.join(self.marks.drop("docs"), "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
         x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_group_pairs(self.percent, leaders), "a long, b long"), "found")
-        left = found.where("b is null").select(F.col("a").alias("low")).union(chosen.where("salts > 1").select("low"))  # salts apart have not met
-        return found.where("b is not null").distinct(), left.distinct()
+        left = found.where("b is null").select(F.col("a").alias("low")).union(chosen.select("low"))  # salts apart have not met
+        return found.where("b is not null").distinct(), cut(left.distinct(), "unfinished")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
@@ -485,35 +505,38 @@ class _Join:
         a's links lead to."""
         shared = self.members()
         lows = shared.groupBy("id").agg(F.collect_list("low").alias("lows"))
-        sizes = shared.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("salts"))
-        x = _tiles(shared.join(sizes, "low"), F.xxhash64("id"), "salt", "t1", "t2").join(lows, "id").join(self.marks, "id")
+        sizes = shared.groupBy("low").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / UNIT)).cast("int").alias("salts"))
+        x = _tiles(shared, sizes, ["low"], F.xxhash64("id"), "salt", "t1", "t2").join(lows, "id").join(self.marks, "id")
         x = x.select("low", "t1", "t2", "id", "n", "salt", "docs", "lows", "sketch").repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_clusters(self.percent), "cluster long, low long, t1 int, t2 int, id long, n int, salt int, docs long, lows array<long>"), "clusters")
         texts = cut(self.texts.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "texts")
         keys = ["cluster", "low", "t1", "t2"]
         sizes = found.groupBy(keys).agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("salts"))
         keys += ["u1", "u2"]
-        x = _tiles(found.join(sizes, keys[:4]), F.xxhash64("id", F.lit("block")), "turn", "u1", "u2").join(texts, "id")
+        x = _tiles(found, sizes, keys[:4], F.xxhash64("id", F.lit("block")), "turn", "u1", "u2").join(texts, "id")
         x = x.select(*keys, "id", "n", "salt", "turn", "docs", "lows", "text").repartition(*keys).sortWithinPartitions(*keys, "id")
         return cut(x.mapInArrow(_linked(self.n, self.percent, counted), "a long, b long, tree boolean, docs long"), "links")
 
 
-def _tiles(rows: DataFrame, value, salt: str, t1: str, t2: str) -> DataFrame:
-    """rows in each pair (t1, t2) of salts (of a value, as many as salts says) that holds their own salt."""
-    x = rows.withColumn(salt, F.pmod(value, F.col("salts")).cast("int"))
+def _tiles(rows: DataFrame, sizes: DataFrame, keys: list[str], value, salt: str, t1: str, t2: str) -> DataFrame:
+    """rows in each pair (t1, t2) of salts (of a value, as many as sizes(*keys, salts) says) that holds their
+    own salt. Only the few keys of more salts than one are joined."""
+    x = rows.join(cut(sizes.where("salts > 1"), "large"), keys, "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    x = x.withColumn(salt, F.pmod(value, F.col("salts")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     return x.withColumn(t1, F.least(salt, "other")).withColumn(t2, F.greatest(salt, "other")).drop("other", "salts")
 
 
-def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, population: int | None = None) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id.
 
     component_id is the smallest doc_id reachable by links. A null, empty or blank text has no
     shingles, links with nothing, and is its own component. Rows that repeat a doc_id are one
     document. A row with a null doc_id links with nothing and has a null component_id. An empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored. population is the number of documents in a
+    size band that signatures are planned for (default: those counted); any plan gives the same result.
     """
-    join = _Join(docs, n, percent)
+    join = _Join(docs, n, percent, population)
     _, labels = join.run()
     return _labelled(join, labels).select("doc_id", "n_shingles", "component_id")
 

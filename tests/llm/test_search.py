@@ -112,7 +112,8 @@ def test_components(spark, n, percent, seed):
 
 
 def test_components_through_tiles(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "TILE", 4)
+    for name, value in (("TILE", 4), ("UNIT", 2), ("SAMPLE", 2), ("COMMON_LEAST", 2)):
+        monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(4)
     base = " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
     rows = [(i, family(rng, base, rng.randrange(0, 6))) for i in range(60)]
@@ -121,10 +122,28 @@ def test_components_through_tiles(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()}
 
 
-@pytest.mark.parametrize(("tile", "block"), [(20_000, 500), (7, 4)])
-def test_join_finds_all_links(spark, monkeypatch, tile, block):
-    monkeypatch.setattr(jaccard, "TILE", tile)
-    monkeypatch.setattr(jaccard, "BLOCK", block)
+def test_components_by_deletions(spark):
+    """Planned for large bands, small documents are found by one-deletion neighbourhoods."""
+    large = 10**9
+    chosen = [jaccard.allocate(a, b, large, 85) for a, b in itertools.pairwise(jaccard.bands(60)) if a >= 9]
+    assert sum(p[1] > 0 for p in chosen) >= 3  # segments with v = 2
+    rng = random.Random(9)
+    rows = []
+    for size in (12, 16, 22, 30, 40, 52):
+        for _ in range(3):
+            base = " ".join(f"w{rng.randrange(3000)}" for _ in range(size))
+            rows += [family(rng, base, rng.randrange(0, 1 + size // 14)) for _ in range(6)]
+    rows = list(enumerate(rows))
+    out = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85, large).collect()
+    want = brute_components(rows, 1, 85)
+    assert {r.doc_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()}
+    assert len({c for _, c in want.values()}) < len(rows) - 30
+
+
+@pytest.mark.parametrize(("unit", "block", "sample"), [(200, 500, 64), (2, 4, 1)])
+def test_join_finds_all_links(spark, monkeypatch, unit, block, sample):
+    for name, value in (("UNIT", unit), ("BLOCK", block), ("SAMPLE", sample), ("COMMON_LEAST", 8), ("TILE", 10 * unit)):
+        monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(6)
     texts = []
     for size in (8, 60, 120, 240):
@@ -249,6 +268,56 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+def test_repeated_sentence_in_a_long_document():
+    """64 items share a sentence that one document repeats to 60,000 words: bounded time and memory."""
+    import time
+    import tracemalloc
+
+    rng = random.Random(3)
+    shared = words(rng, 8)
+    block = decontaminate.Block(list(range(64)), [f"{words(rng, 15)} {shared} {words(rng, 15)}" for _ in range(64)])
+    block.keep_rare(np.zeros(len(block.values)), 1000)
+    hidden = " ".join(block_text(block, 5, rng))
+    text = " ".join([shared] * 7500) + " " + hidden
+    (_, _, data, offsets), *_ = text_chunks(pa.array([text]))
+    began = time.perf_counter()
+    found = block.hits(data, offsets)
+    assert time.perf_counter() - began < 2
+    tracemalloc.start()
+    assert [f[1] for f in block.hits(data, offsets)] == [f[1] for f in found] == [7]
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+
+def block_text(block, every, rng):
+    """The words of item 7, remade in the test, with one in `every` replaced."""
+    rng = random.Random(3)
+    shared = words(rng, 8)
+    texts = [f"{words(rng, 15)} {shared} {words(rng, 15)}" for _ in range(8)]
+    own = texts[7].split()
+    for at in range(2, len(own), every + 4):
+        own[at] = f"edit{at}"
+    return own
+
+
+def test_recall_against_all_pairs(spark):
+    """Every pair that plain Smith-Waterman over whole texts finds, at all rates of edits."""
+    rng = random.Random(12)
+    items = [(i, words(rng, rng.randrange(12, 40), 2000)) for i in range(12)]
+    docs = []
+    for k in range(150):
+        own = items[k % 12][1].split()
+        share = rng.choice([0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3])
+        own = [w for w in (x if rng.random() >= share else rng.choice(["", f"new{rng.randrange(99)}", f"{x} plus"]) for x in own) if w]
+        docs.append((k, f"{words(rng, 20, 2000)} {' '.join(own)} {words(rng, 20, 2000)}"))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(d, i) for d, t in docs for i, s in items if smith_waterman(s.split(), t.split()) >= decontaminate.SIMILARITY * 2 * len(s.split())}
+    assert got <= want and len(want) > 100
+    recall = len(got) / len(want)
+    print("recall", recall, len(want))
+    assert recall >= 0.95
+
+
 def test_items_in_blocks(spark, monkeypatch):
     rng = random.Random(1)
     items = [(i, words(rng, 30)) for i in range(12)]
