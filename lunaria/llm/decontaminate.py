@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Test items are taken in blocks of bounded size (one block for any usual benchmark), and a block is
-broadcast. A first pass over all documents counts in how many each word n-gram of the block occurs.
-An item's seeds are its rare n-grams: those below a share of the corpus, and in any case its rarer
-half, so that a passage which is itself common keeps its seeds. A second pass finds seeds in each
-document, clusters them by diagonal, and aligns item and passage; no text is shuffled.
+Test items are taken in blocks of bounded size (one block for any usual benchmark), one after another,
+and a block is broadcast. A first pass over all documents counts in how many each word n-gram of the
+block occurs. An item's seeds are its rare n-grams: those below a share of the corpus, and in any case
+its rarer half, so that a passage which is itself common keeps its seeds. A second pass finds seeds in
+each document, chains them by diagonal, leaves out windows that hold too few of the item's words, and
+aligns item and passage; no text is shuffled. Each block's findings are written, so neither the driver
+nor a task ever holds two blocks.
 """
 
 from __future__ import annotations
@@ -15,16 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .chars import alnum_words
-from .common import grams, text_chunks
+from .common import cut, fresh, grams, text_chunks
 
 SEED_WORDS = 3
 RARE = 1e-3
 #: Words of items in a block (8 bytes each): the proven bound of what is broadcast.
 BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words (pairs x passage) that are aligned at once; a longer passage is aligned alone.
+CELLS = 1 << 19
 #: Share of an item's best possible score from which a document is contaminated; items below
 #: SHORT words must match in full.
 SIMILARITY, SHORT = 0.6, 8
@@ -53,15 +56,6 @@ def align(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray) -> tuple
     return best, at
 
 
-def reachable(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Pairs whose item words occur in the passage so often that the score can reach SIMILARITY."""
-    beyond = np.arange(passages.shape[1])[None, :] >= lengths[:, None]
-    found = np.zeros(len(items), np.int64)
-    for i in range(items.shape[1]):
-        found += ((passages == items[:, i : i + 1]) & ~beyond).any(1)
-    return found >= SIMILARITY * items.shape[1]
-
-
 class Block:
     """Items as word hashes, and their n-grams: sorted distinct values with (item, position) lists."""
 
@@ -77,6 +71,10 @@ class Block:
         self.position = np.concatenate([np.arange(len(x)) for x in own]) if own else np.zeros(0, np.int64)
         self.sizes = sorted({min(SEED_WORDS, len(w)) for w in self.words if len(w)})
         self.values = np.unique(self.all)
+        flat = np.concatenate(self.words) if self.words else np.zeros(0, np.uint64)
+        self.vocabulary, code = np.unique(flat, return_inverse=True)
+        self.codes = np.split(code, np.cumsum([len(w) for w in self.words])[:-1]) if self.words else []
+        self.mark = np.zeros(len(self.vocabulary), bool)
 
     def find(self, hashes: np.ndarray, first: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, word position, index in values) of every n-gram of the documents among values."""
@@ -97,52 +95,71 @@ class Block:
         f = frequency[np.searchsorted(self.values, self.all)]
         limit = np.zeros(len(self.words))
         for i in range(len(self.words)):
-            mine = f[self.item == i] if len(self.words) < 500 else f[np.searchsorted(self.item, i) : np.searchsorted(self.item, i, "right")]
+            mine = f[np.searchsorted(self.item, i) : np.searchsorted(self.item, i, "right")]
             limit[i] = max(RARE * docs, np.median(mine)) if len(mine) else 0
         keep = f <= limit[self.item]
         order = np.argsort(self.all[keep], kind="stable")
         self.item, self.position = self.item[keep][order], self.position[keep][order]
-        self.seeds, self.start = np.unique(self.all[keep][order], return_index=True)
-        self.stop = np.append(self.start[1:], len(order))
-        self.count = np.bincount(self.item, minlength=len(self.words))
-
-    def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, float, int]]:
-        """(document, item, score, similarity, end word in the document) of contaminated documents."""
-        hashes, first = alnum_words(data, offsets)
-        doc, at, k = self.find(hashes, first, self.seeds)
-        if not len(doc):
-            return []
-        many = self.stop[k] - self.start[k]
-        which = np.repeat(self.start[k], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        doc, at, item, position = np.repeat(doc, many), np.repeat(at, many), self.item[which], self.position[which]
-        size = np.array([len(w) for w in self.words])
-        diagonal = at - position
+        self.seeds, start = np.unique(self.all[keep][order], return_index=True)
+        self.seed = np.repeat(np.arange(len(self.seeds)), np.diff(np.append(start, len(order))))
+
+    def reachable(self, item: int, words: np.ndarray) -> bool:
+        """Whether the item's words occur in words (places in the vocabulary) so often that the score can
+        reach SIMILARITY."""
+        self.mark[words] = True
+        found = np.count_nonzero(self.mark[self.codes[item]])
+        self.mark[words] = False
+        return found >= SIMILARITY * len(self.codes[item])
+
+    def windows(self, doc: np.ndarray, at: np.ndarray, k: np.ndarray, low: int, high: int, size: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, item, first word, word after the last) of the passages around seed hits (document,
+        word, seed) of items low to high - 1."""
+        own = np.flatnonzero((self.item >= low) & (self.item < high))  # in the order of seeds
+        many = np.bincount(self.seed[own], minlength=len(self.seeds))
+        start = np.cumsum(many) - many
+        many = many[k]
+        which = own[np.repeat(start[k], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
+        doc, item, diagonal = np.repeat(doc, many), self.item[which], np.repeat(at, many) - self.position[which]
         order = np.lexsort((diagonal, item, doc))
-        doc, item, position, diagonal = doc[order], item[order], position[order], diagonal[order]
+        doc, item, diagonal = doc[order], item[order], diagonal[order]
         # an alignment that reaches SIMILARITY affords this many gaps, so its seeds' diagonals chain and
-        # its cluster's window holds it whole; one seed is enough
+        # its window holds it whole; one seed is enough
         slack = np.maximum(4, np.ceil(MATCH * (1 - SIMILARITY) * size[item] / -GAP).astype(np.int64))
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(doc))
         d, it = doc[begin], item[begin]
-        lo = np.maximum(first[d], diagonal[begin] - slack[begin])
-        hi = np.minimum(first[d + 1], diagonal[end - 1] + size[it] + slack[begin])
+        return d, it, np.maximum(first[d], diagonal[begin] - slack[begin]), np.minimum(first[d + 1], diagonal[end - 1] + size[it] + slack[begin])
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, float, int]]:
+        """(document, item, score, similarity, end word in the document) of contaminated documents."""
+        hashes, first = alnum_words(data, offsets)
+        doc, at, k = self.find(hashes, first, self.seeds)
+        if not len(doc):
+            return []
+        size = np.array([len(w) for w in self.words])
+        # items in ranges, so that the seed hits of one range are bounded
+        each = np.bincount(self.item, np.bincount(k, minlength=len(self.seeds))[self.seed], len(self.words))
+        ranges = np.unique(np.append(np.floor(np.cumsum(each) / CELLS), -1)[:-1], return_index=True)[1]
+        parts = [self.windows(doc, at, k, lo, hi, size, first) for lo, hi in zip(ranges, np.append(ranges[1:], len(self.words)), strict=True)]
+        d, it, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+        k = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        known = np.flatnonzero(self.vocabulary[k] == hashes)  # words of any item
+        k, a, b = k[known], np.searchsorted(known, lo), np.searchsorted(known, hi)
+        can = np.array([self.reachable(x, k[y:z]) for x, y, z in zip(it, a, b, strict=True)], bool)
         best: dict[tuple[int, int], tuple[int, float, int]] = {}
-        order = np.lexsort((hi - lo, size[it]))
-        for group in np.split(order, np.flatnonzero(np.diff(size[it][order])) + 1):
-            for a in range(0, len(group), 256):
-                g = group[a : a + 256]
-                w = int((hi - lo)[g].max())
-                index = lo[g][:, None] + np.arange(w)[None, :]
+        width = hi - lo
+        order = np.flatnonzero(can)
+        order = order[np.lexsort((width[order], size[it[order]]))]
+        for group in np.split(order, np.flatnonzero(np.diff(size[it[order]])) + 1):
+            while len(group):  # widths rise, so the last of a batch is its widest
+                n = np.arange(1, len(group) + 1)
+                most = max(1, int(np.searchsorted(n * width[group], CELLS, "right")))
+                g, group = group[:most], group[most:]
+                index = lo[g][:, None] + np.arange(int(width[g[-1]]))[None, :]
                 passages = hashes[np.minimum(index, len(hashes) - 1)]
-                items = np.vstack([self.words[x] for x in it[g]])
-                can = reachable(items, passages, (hi - lo)[g])
-                if not can.any():
-                    continue
-                g, w = g[can], int((hi - lo)[g[can]].max())
-                score, stop = align(items[can], passages[can, :w], (hi - lo)[g])
+                score, stop = align(np.vstack([self.words[x] for x in it[g]]), passages, width[g])
                 for x, s, e in zip(g, score.tolist(), stop.tolist(), strict=True):
                     m = int(size[it[x]])
                     share = s / (MATCH * m)
@@ -166,14 +183,13 @@ def _frequencies(block: Block):
     return run
 
 
-def seeded_blocks(docs: DataFrame, items: DataFrame) -> list[Block]:
-    """The items in blocks, each with its seeds chosen over all documents."""
+def seeded_blocks(docs: DataFrame, items: DataFrame) -> Iterator[Block]:
+    """The items in blocks, one at a time, each with its seeds chosen over all documents."""
     fine = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     # code points bound words; a block holds about BLOCK_WORDS of them in expectation
     words = fine.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-words // (2 * BLOCK_WORDS)) or 1
     docs_n = docs.count()
-    out = []
     for p in range(parts):
         rows = sorted(fine.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).collect(), key=lambda r: (r.item_id, r.text))
         block = Block([r.item_id for r in rows], [r.text for r in rows])
@@ -183,7 +199,31 @@ def seeded_blocks(docs: DataFrame, items: DataFrame) -> list[Block]:
         frequency = np.zeros(len(block.values))
         frequency[found.column("k").to_numpy()] = found.column("n").to_numpy()
         block.keep_rare(frequency, docs_n)
-        out.append(block)
+        yield block
+
+
+def _found(block: Block, keys: list[str]):
+    """(keys of the document, item_id, score, similarity, end_word) of rows (keys, text)."""
+    ids, at = pa.array(block.ids), len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_chunks(batch.column(at)):
+                if rows := block.hits(data, offsets):
+                    d, i, s, q, e = zip(*rows, strict=True)
+                    own = [batch.column(k)[lo:hi].take(pa.array(d)) for k in range(at)]
+                    yield pa.RecordBatch.from_arrays([*own, ids.take(pa.array(i)), pa.array(s, pa.int32()), pa.array(q), pa.array(e, pa.int32())], [*keys, "item_id", "score", "similarity", "end_word"])
+
+    return run
+
+
+def _contaminated(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+    own = docs.select(*keys, "text")
+    kinds = [f"{k} {own.schema[k].dataType.simpleString()}" for k in keys]
+    schema = ", ".join([*kinds, f"item_id {items.schema['item_id'].dataType.simpleString()}", "score int, similarity double, end_word int"])
+    out = own.sparkSession.createDataFrame([], schema)
+    for block in seeded_blocks(own, items):
+        out = out.union(cut(own.mapInArrow(_found(block, keys), schema), "copies"))
     return out
 
 
@@ -195,38 +235,15 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     never found; nor is anything in null or empty texts. Repeated rows of docs repeat their results,
     as do repeated items. No items or no documents give an empty result; other columns are ignored.
     """
-    own = docs.select("doc_id", "text")
-    kinds = own.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score int, similarity double, end_word int"
-    out = None
-    for block in seeded_blocks(own, items):
-        ids = pa.array(block.ids)
-
-        def run(batches: Iterator[pa.RecordBatch], block=block, ids=ids) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                    if rows := block.hits(data, offsets):
-                        d, i, s, q, e = zip(*rows, strict=True)
-                        yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].take(pa.array(d)), ids.take(pa.array(i)), pa.array(s, pa.int32()), pa.array(q), pa.array(e, pa.int32())], ["doc_id", "item_id", "score", "similarity", "end_word"])
-
-        found = own.mapInArrow(run, schema)
-        out = found if out is None else out.union(found)
-    return own.sparkSession.createDataFrame([], schema) if out is None else out
+    return _contaminated(docs, items, ["doc_id"])
 
 
 def with_flag(docs: DataFrame, items: DataFrame, column: str = "contaminated") -> DataFrame:
-    """docs, all columns and rows unchanged, with a flag: the row holds a copy of an item."""
-    at = docs.columns.index("text")
-    blocks = seeded_blocks(docs.select("doc_id", "text"), items)
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flag = np.zeros(batch.num_rows, bool)
-            for lo, _, data, offsets in text_chunks(batch.column(at)):
-                for block in blocks:
-                    for d, *_ in block.hits(data, offsets):
-                        flag[lo + d] = True
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flag)], [*batch.schema.names, column])
-
-    return docs.mapInArrow(run, schema)
+    """docs, all columns and rows unchanged, with a flag: the row holds a copy of an item. What is found
+    is named by two hashes of the text, so rows that repeat an id may have different flags."""
+    one, two, hit = (fresh(docs, x) for x in ("__h1", "__h2", "__hit"))
+    keys = {one: F.xxhash64("text"), two: F.xxhash64(F.lit("again"), "text")}
+    bad = cut(_contaminated(docs.select("text").withColumns(keys), items, list(keys)).select(*keys).distinct(), "contaminated")
+    # Spark picks the join by the size of what was found
+    found = docs.withColumns(keys).join(bad.withColumn(hit, F.lit(True)), list(keys), "left")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(hit, F.lit(False)).alias(column))
