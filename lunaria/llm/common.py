@@ -6,6 +6,8 @@ without a Python object per document or word.
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,13 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _OWN: dict[str, str] = {}
+#: Paths that `cut` has written and nobody has removed.
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or, where that is unset and all runs in one
+    process (tests), a local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lunaria-")
@@ -49,14 +56,40 @@ def cut(df: DataFrame, tag: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Removes all that `cut` has written for this application. Results that are not stored yet read
     from it, so call it when the job is done."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, own_dir(spark))
+    _WRITTEN.clear()
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes what `cut` writes within the block at its end, when the block's own results are stored."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[before:]:
+            remove(spark, path)
+        del _WRITTEN[before:]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
 
 
 def held_out(doc_id: str = "doc_id"):

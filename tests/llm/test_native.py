@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
 import pytest
 
 from lunaria.llm import mixing, sharding
+from lunaria.llm.common import table
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -138,10 +140,19 @@ def test_mix_counts_and_reruns(spark):
         size[s] = size.get(s, 0) + len((t or "").replace("\t", " ").split(" ")) - (t or "").replace("\t", " ").split(" ").count("")
     for r in mixing.mix(d).groupBy("source_size", "target").sum("taken", "size").collect():
         assert r["sum(size)"] == r.source_size in size.values()
-        assert abs(r["sum(taken)"] - r.target) < 4 * (1000 * 0.25 * 23**2) ** 0.5  # four deviations of the draws
+        assert abs(r["sum(taken)"] - r.target) < 0.01 * r.target
     assert all(r.taken <= 3 * r["size"] for r in mixing.mix(d).collect())
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_taken_words_are_near_the_targets(spark, sf):
+    path = f"/root/testdata/{sf}"
+    if not os.path.isdir(path):
+        pytest.skip("the driver's tables are not here")
+    rows = mixing.mix(table(spark, path, "documents")).groupBy("source_size", "target").sum("taken").collect()
+    assert rows and all(abs(r["sum(taken)"] / r.target - 1) < 0.05 for r in rows)
+
+
 def test_emit_repeats_rows(spark):
     d = docs(spark, [(i, "w w", "a" if i % 10 else "b") for i in range(200)])
     taken = {r.doc_id: r.taken // 2 for r in mixing.mix(d).collect()}
