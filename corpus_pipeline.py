@@ -8,23 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lunaria.llm import decontaminate, jaccard, mixing, quality, sharding
-from lunaria.llm.common import cut, own_dir, table
+from lunaria.llm.common import cut, fresh, own_dir, remove, table, temporary
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects (score below 0.3)."""
     model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return quality.with_score(docs, model, "__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
+    score = fresh(docs, "__quality")
+    return quality.with_score(docs, model, score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (five-word shingles, Jaccard 0.8): the smallest id.
     Rows with a null id stay; of rows that repeat a kept id one stays."""
     own = cut(jaccard.jaccard_components(docs, 5, 80), "components")
-    again = F.col("doc_id") == F.col("__id")
+    key = fresh(docs, "__id")
+    again = F.col("doc_id") == F.col(key)
     # the copies are a small part or a large one: Spark picks the join by the size of their table
-    out = docs.join(cut(own.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")), "copies"), again, "left_anti")
-    twice = cut(own.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "repeated")
+    out = docs.join(cut(own.where("doc_id <> component_id").select(F.col("doc_id").alias(key)), "copies"), again, "left_anti")
+    twice = cut(own.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key), "repeated")
     if not twice.isEmpty():
         out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
     return out
@@ -32,7 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold an exact or edited copy of a benchmark item."""
-    return decontaminate.with_flag(docs, table(spark, sf_dir, "benchmark"), "__copy_of").where(~F.col("__copy_of")).drop("__copy_of")
+    flag = fresh(docs, "__copy_of")
+    return decontaminate.with_flag(docs, table(spark, sf_dir, "benchmark"), flag).where(~F.col(flag)).drop(flag)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +63,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{own_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{folder}/{k}")
+            return stage(spark, docs, sf_dir)
+        with temporary(spark):  # what a stage wrote on its way goes when its result is stored
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
         docs = spark.read.parquet(f"{folder}/{k}")
