@@ -565,3 +565,19 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """All links (a, b), a < b, between documents with different shingle sets; a class of documents with
     equal sets is named by its smallest id."""
     return _Join(docs, n, percent).links(False).select("a", "b")
+
+
+#: All pairs that share a shingle, for tables of a few thousand documents.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: hash(w[i], w[i + 1], w[i + 2], w[i + 3])) ELSE [hash(array_to_string(w, ' '))] END)) AS g FROM w WHERE len(w) > 0),
+t AS (SELECT * FROM s WHERE g IN (SELECT g FROM s GROUP BY g HAVING count(*) > 1)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id), d AS (SELECT a AS id, count(*) AS k FROM e GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id, coalesce(d.k, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN n USING (doc_id) JOIN m ON m.id = doc_id LEFT JOIN d ON d.id = doc_id
+"""

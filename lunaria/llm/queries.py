@@ -52,4 +52,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (op1_sharding, op2_exact_topk, op3_secret_scan, op4_language_id, op5_mixing, op6_decontamination, op7_token_output, op8_jaccard_join, op9_toxicity, op10_quality)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_sharding": sharding.ORACLE_SQL, "op2_exact_topk": topk.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL, "op8_jaccard_join": jaccard.ORACLE_SQL}

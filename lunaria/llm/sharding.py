@@ -166,3 +166,34 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         .join(F.broadcast(starts), ["shard", "part"])
         .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("k")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     )
+
+
+def _crc_table() -> str:
+    """The 256 values of the CRC-32 of the contract, as a list in SQL."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return "[" + ", ".join(f"{n}::BIGINT" for n in out) + "]"
+
+
+#: The same search over all groups: a recursion whose steps are the jumps of greedy passes.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, coalesce(strlen(text), 0) + 1 AS size, CASE WHEN text IS NULL THEN -1 ELSE ('0x' || substr(md5(text), 1, {HASH_BITS // 4}))::BIGINT END AS h,
+    ('0x' || substr(md5('part:' || coalesce(doc_id::VARCHAR, 'null')), 1, 2))::BIGINT AS part FROM documents),
+crc AS (SELECT DISTINCT h, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda y: ('0x' || y)::BIGINT)),
+  lambda c, y: xor(c >> 8, {_crc_table()}[(xor(c, y) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM (SELECT DISTINCT text, h FROM d WHERE text IS NOT NULL)),
+g AS (SELECT h, sum(size)::BIGINT AS b FROM d GROUP BY h), c AS (SELECT h, b, sum(b) OVER (ORDER BY h)::BIGINT AS e FROM g),
+total AS (SELECT sum(b)::BIGINT AS t, max(b)::BIGINT AS m FROM g),
+s AS (SELECT greatest(m, (t + 15) // 16) AS lo, t AS hi, 0::BIGINT AS pos, 0 AS step, t FROM total
+  UNION ALL SELECT CASE WHEN step = 16 AND pos < t THEN (lo + hi) // 2 + 1 ELSE lo END, CASE WHEN pos >= t THEN (lo + hi) // 2 ELSE hi END,
+    CASE WHEN step = 16 OR pos >= t THEN 0 ELSE (SELECT coalesce(max(e), 0) FROM c WHERE e <= s.pos + (s.lo + s.hi) // 2) END,
+    CASE WHEN step = 16 OR pos >= t THEN 0 ELSE step + 1 END, t FROM s WHERE lo < hi),
+cap AS (SELECT max(lo) AS cap FROM s WHERE lo >= hi),
+k AS (SELECT 0 AS step, 0::BIGINT AS pos UNION ALL SELECT step + 1, (SELECT coalesce(max(e), 0) FROM c WHERE e <= k.pos + (SELECT cap FROM cap)) FROM k WHERE step < 15),
+p AS (SELECT h, (SELECT count(*) FROM k WHERE step > 0 AND pos <= c.e - c.b)::INTEGER AS shard FROM c)
+SELECT d.doc_id, d.size::BIGINT AS size, crc.text_crc32, 'bytes' AS law, p.shard, row_number() OVER (PARTITION BY p.shard ORDER BY d.part, d.h, d.doc_id NULLS FIRST) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM d JOIN p USING (h) LEFT JOIN crc USING (h)
+"""
