@@ -1,16 +1,16 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, scored in context windows.
 
 The lexicon is learned: terms that occur in many contexts of toxic documents and in next to no
-others. Its trie is intersected with the Levenshtein automata of its terms into one deterministic
-automaton (subset construction over trie node and edits), which runs over all words of a chunk at
-once. Hits are weighed by edits and by context: a window in which terms crowd counts more, a hit
-between quotation marks is counted apart. A logistic model over these measures gives the score.
+others. Its trie is intersected with the Levenshtein automata of its terms (swapped neighbours count as
+one edit) into one deterministic automaton: the subset construction over trie node and edits, done for
+the states that the words of a corpus reach. It runs over all words of a chunk at once. Hits are weighed
+by edits and by context: a window in which terms crowd counts more, a hit between paired quotation marks
+is counted apart. A logistic model over these measures gives the score.
 """
 
 from __future__ import annotations
 
 import functools
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +22,11 @@ from .chars import code_points, letter_table
 from .common import cut, held_out, text_chunks
 from .quality import labelled_sample, with_score
 
-#: Documented bounds: labelled rows that lexicon and weights are fitted on, and lexicon terms.
+#: Documented bound: labelled rows that lexicon and weights are fitted on.
 FIT_ROWS = 20_000
-TERMS = 600
 MIN_CONTEXTS = 3
-LEAST, LONGEST = 4, 24
+#: Letters of a term at least, and states that a task keeps before it begins anew.
+LEAST, STATES = 4, 1 << 17
 WINDOW = 50
 #: Weights of a hit with an edit and of a quoted hit; stems' lengths, and words that a stem must have.
 NEAR, QUOTED = 0.7, 0.25
@@ -34,107 +34,166 @@ STEM, STEM_WORDS = (4, 6), 3
 #: Bound of the chance that any term at all gets into the lexicon by accident.
 CHANCE = 0.01
 THRESHOLD = 0.5
-#: Opening and closing quotation marks (code points).
-QUOTES = (0x22, 0xAB, 0xBB, 0x201C, 0x201D, 0x201E)
+#: Quotation marks (code points) of one kind, which pair with each other, and how far they reach.
+QUOTES = ((0x22,), (0xAB, 0xBB), (0x201C, 0x201D, 0x201E))
+QUOTE_REACH = 600
 
 
 def edits(term: str) -> int:
-    """Edits allowed for a term: none below 5 letters, one below 9, else two."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    """Edits allowed for a term: none below 5 letters, one below 8, else two."""
+    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
 
 class Automaton:
     """Accepts all words within edits(term) of a term, or, for a stem (written stem*), whose beginning
-    is; `found` gives per state -1 or the least edits."""
+    is; `found` gives per state -1 or the least edits.
+
+    A state is a set of (place, edits): a place is a trie node, or -1 - node while a swap is under way that
+    ends at node. Rows of the table are filled when a word first needs them (-1: not yet)."""
 
     def __init__(self, terms: list[str]):
+        self.source = list(terms)
         stems = {t[:-1] for t in terms if t.endswith("*")}
         self.terms = sorted({t.rstrip("*") for t in terms})
         letters = sorted({ord(c) for t in self.terms for c in t})
-        self.code = np.zeros(65536, np.int16)  # 0: a letter of no term
+        self.code = np.zeros(65536, np.int32)  # 0: a letter of no term
         for i, c in enumerate(letters):
             self.code[c] = i + 1
-        child: list[dict[int, int]] = [{}]
-        most, ends, open_end = [0], [-1], [False]
+        self.width = len(letters) + 1
+        self.child: list[dict[int, int]] = [{}]
+        self.most, self.ends, self.open_end, self.before = [0], [-1], [False], [0]
         for t in self.terms:
-            node, k = 0, edits(t)
-            most[0] = max(most[0], k)
+            node, k, label = 0, edits(t), 0
+            self.most[0] = max(self.most[0], k)
             for c in t:
                 i = int(self.code[ord(c)])
-                if i not in child[node]:
-                    child[node][i] = len(child)
-                    child.append({})
-                    most.append(0)
-                    ends.append(-1)
-                    open_end.append(False)
-                node = child[node][i]
-                most[node] = max(most[node], k)
-            ends[node], open_end[node] = k, t in stems
-
-        def closed(state: dict[int, int]) -> frozenset:
-            todo = list(state.items())
-            while todo:
-                node, e = todo.pop()
-                if state.get(node, 99) < e:
-                    continue
-                for nxt in child[node].values():  # a letter of the term is missing
-                    if e + 1 <= most[nxt] and e + 1 < state.get(nxt, 99):
-                        state[nxt] = e + 1
-                        todo.append((nxt, e + 1))
-            return frozenset(state.items())
-
-        def step(state: frozenset, c: int) -> frozenset:
-            out: dict[int, int] = {}
-            for node, e in state:
-                if open_end[node] and e <= ends[node]:  # what follows a stem is free
-                    out[node] = min(e, out.get(node, 99))
-                elif e + 1 <= most[node] and e + 1 < out.get(node, 99):  # a letter too many
-                    out[node] = e + 1
-                for i, nxt in child[node].items():
-                    cost = e + (i != c)
-                    if cost <= most[nxt] and cost < out.get(nxt, 99):
-                        out[nxt] = cost
-            return closed(out)
-
-        start = closed({0: 0})
-        index, queue, rows = {frozenset(): 0, start: 1}, deque([start]), [np.zeros(len(letters) + 1, np.int32)]
-        found = [-1]
-        while queue:
-            state = queue.popleft()
-            hit = [e for node, e in state if ends[node] >= e]
-            found.append(min(hit) if hit else -1)
-            known: set[int] = set()
-            for node, _ in state:
-                known.update(child[node])
-            nexts = {}
-            for c in [0, *known]:
-                s = step(state, c)
-                if s not in index:
-                    index[s] = len(index)
-                    queue.append(s)
-                nexts[c] = index[s]
-            row = np.full(len(letters) + 1, nexts.pop(0), np.int32)
-            for c, k in nexts.items():
-                row[c] = k
-            rows.append(row)
-        self.table, self.found, self.start = np.vstack(rows), np.array(found, np.int8), 1
+                if i not in self.child[node]:
+                    self.child[node][i] = len(self.child)
+                    self.child.append({})
+                    self.most.append(0)
+                    self.ends.append(-1)
+                    self.open_end.append(False)
+                    self.before.append(label)  # the label above the node's own
+                node, label = self.child[node][i], i
+                self.most[node] = max(self.most[node], k)
+            self.ends[node], self.open_end[node] = k, t in stems
+        self.clear()
+
+    def __reduce__(self):
+        return Automaton, (self.source,)
+
+    def clear(self) -> None:
+        self.states: list[frozenset] = [frozenset(), self.closed({0: 0})]
+        self.index = {x: i for i, x in enumerate(self.states)}
+        self.table = np.full((64, self.width), -1, np.int32)
+        self.found = np.full(64, -1, np.int8)
+        self.table[0] = 0
+
+    def closed(self, state: dict[int, int]) -> frozenset:
+        todo = list(state.items())
+        while todo:
+            node, e = todo.pop()
+            if node < 0 or state.get(node, 99) < e:
+                continue
+            for nxt in self.child[node].values():  # a letter of the term is missing
+                if e + 1 <= self.most[nxt] and e + 1 < state.get(nxt, 99):
+                    state[nxt] = e + 1
+                    todo.append((nxt, e + 1))
+        return frozenset(state.items())
+
+    def step(self, state: frozenset, c: int) -> frozenset:
+        out: dict[int, int] = {}
+
+        def put(place: int, cost: int) -> None:
+            if cost < out.get(place, 99):
+                out[place] = cost
+
+        for node, e in state:
+            if node < 0:  # the second letter of a swap
+                if c == self.before[-1 - node]:
+                    put(-1 - node, e)
+                continue
+            if self.open_end[node] and e <= self.ends[node]:  # what follows a stem is free
+                put(node, e)
+            elif e + 1 <= self.most[node]:  # a letter too many
+                put(node, e + 1)
+            for i, nxt in self.child[node].items():
+                cost = e + (i != c)
+                if cost <= self.most[nxt]:
+                    put(nxt, cost)
+                after = self.child[nxt].get(c)
+                if i != c and after is not None and e + 1 <= self.most[after]:  # the first letter of a swap
+                    put(-1 - after, e + 1)
+        return self.closed(out)
+
+    def number(self, state: frozenset) -> int:
+        if state not in self.index:
+            k = len(self.states)
+            if k == len(self.table):
+                self.table = np.vstack([self.table, np.full_like(self.table, -1)])
+                self.found = np.append(self.found, np.full_like(self.found, -1))
+            self.index[state] = k
+            self.states.append(state)
+            self.found[k] = min((e for node, e in state if node >= 0 and self.ends[node] >= e), default=-1)
+        return self.index[state]
+
+    def next(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        out = self.table[state, code]
+        todo = np.flatnonzero(out < 0)
+        if len(todo):
+            for pair in np.unique(state[todo].astype(np.int64) * self.width + code[todo]).tolist():
+                s, c = divmod(pair, self.width)
+                k = self.number(self.step(self.states[s], c))  # the table may grow here
+                self.table[s, c] = k
+            out = self.table[state, code]
+        return out
 
     def run(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Least edits of each word to a term, or -1."""
+        if len(self.states) > STATES:
+            self.clear()
         out = np.full(len(starts), -1, np.int8)
-        live = np.flatnonzero((lengths >= LEAST) & (lengths <= LONGEST))
-        state = np.full(len(live), self.start, np.int32)
-        for at in range(LONGEST + 1):
+        live = np.flatnonzero(lengths >= LEAST)
+        state, at = np.full(len(live), 1, np.int32), 0
+        while len(live):
             over = lengths[live] == at
             out[live[over]] = self.found[state[over]]
             go = ~over & (state > 0)
             live, state = live[go], state[go]
-            if not len(live):
-                break
-            state = self.table[state, codes[starts[live] + at]]
+            state = self.next(state, codes[starts[live] + at])
+            at += 1
         return out
 
 
+def quoted_spans(cp: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each kind of marks the places of opening marks and of the closing marks that end their quotation:
+    the next mark of the kind, at most QUOTE_REACH on in the same document. A mark opens if what stands
+    before it is no part of a word and what follows is; the other way round it closes; low and left
+    marks open and right ones close in any case where their shape is no evidence against it. A mark
+    without a partner (an inch mark, say) quotes nothing."""
+    out = []
+    for kind in QUOTES:
+        k = np.flatnonzero(np.isin(cp, np.array(kind, np.uint16)))
+        if not len(k):
+            continue
+        doc = np.searchsorted(at, k, "right")
+        table = _space_table()
+        free_before = (k == at[doc - 1]) | table[cp[k - 1]] | np.isin(cp[k - 1], _BRACKETS)
+        free_after = (k + 1 >= at[doc]) | table[cp[np.minimum(k + 1, len(cp) - 1)]]
+        opens = free_before & ~free_after
+        closes = ~free_before | free_after
+        both = free_before & free_after  # « so »
+        opens |= both & np.isin(cp[k], np.array((0xAB, 0x201E, 0x201C), np.uint16))
+        closes &= ~opens
+        pair = np.flatnonzero(opens[:-1] & closes[1:] & (doc[1:] == doc[:-1]) & (k[1:] - k[:-1] <= QUOTE_REACH))
+        out.append((k[pair], k[pair + 1]))
+    return out
+
+
+#: Characters after which a mark may open: brackets, dashes, colons.
+_BRACKETS = np.array([ord(c) for c in "([{<:-\u2013\u2014"], np.uint16)
+
+
 def letter_words(data: np.ndarray, offsets: np.ndarray):
     """Letters (lower case, 0 elsewhere), their offsets, raw code points, and starts and lengths of
     the maximal runs of letters, with the first run of each document."""
@@ -207,10 +266,11 @@ class Model:
             hit[run[new >= 0]] = np.maximum(new[new >= 0], 1)  # a disguise counts as an edit
         k = np.flatnonzero(hit >= 0)
         doc = np.searchsorted(first, k, "right") - 1
-        marks = np.concatenate([[0], np.cumsum(np.isin(cp, np.array(QUOTES, np.uint16)))])
-        before = marks[starts[k]] - marks[at[doc]]
-        after = marks[at[doc + 1]] - marks[starts[k]]
-        quoted = (before % 2 == 1) & (after > 0)
+        quoted = np.zeros(len(k), bool)
+        if len(k):
+            for left, right in quoted_spans(cp, at):
+                own = np.searchsorted(left, starts[k]) - 1
+                quoted |= (own >= 0) & (starts[k] < right[own]) if len(left) else False
         weight = np.where(hit[k] == 0, 1.0, NEAR) * np.where(quoted, QUOTED, 1.0)
         total = np.concatenate([[0.0], np.cumsum(weight)])
         crowd = np.zeros(docs)
@@ -229,7 +289,7 @@ class Model:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, word before, label) of every word of 4 to 24 letters, distinct within a chunk."""
+    """(word, word before, label) of every word of LEAST letters or more, distinct within a chunk."""
     for batch in batches:
         label = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, hi, data, offsets in text_chunks(batch.column(1), 1 << 20):
@@ -240,9 +300,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last, y = "", int(label[lo + d] > 0)
                 for w in range(first[d], first[d + 1]):
                     word = text[starts[w] : starts[w] + lengths[w]]
-                    if LEAST <= len(word) <= LONGEST:
+                    if len(word) >= LEAST:
                         rows.add((word, last, y))
-                    last = word[:LONGEST]
+                    last = word
             if rows:
                 w, p, y = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(p), pa.array(y, pa.int32())], ["word", "before", "y"])
@@ -274,10 +334,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30
     return w[:-1], float(w[-1])
 
 
-def choose_terms(seen: DataFrame, share: float, words: int, most: int) -> list[str]:
+def choose_terms(seen: DataFrame, share: float, words: int) -> list[str]:
     """Terms and stems of (word, before, y) contexts that occur in toxic contexts (nearly) alone, and in
     so many that chance (the toxic share of all contexts, over all words) does not explain it. Contexts
-    are counted, not documents: copies of one text repeat its contexts. Words of a chosen stem go."""
+    are counted, not documents: copies of one text repeat its contexts. Words of a chosen stem go. All that
+    pass are kept; the sample bounds their number."""
     if not 0 < share < 1:
         return []
     least = max(MIN_CONTEXTS, int(np.ceil((np.log(max(words, 1)) - np.log(CHANCE)) / -np.log(share))))
@@ -285,17 +346,17 @@ def choose_terms(seen: DataFrame, share: float, words: int, most: int) -> list[s
     counts = seen.groupBy("word").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("all"))
     stems = counts.select(F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in range(STEM[0], STEM[1] + 1)])).alias("stem"), "bad", "all").where("stem is not null")
     stems = stems.groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("all").alias("all"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS)
-    found = sorted(r.stem for r in picked(stems).orderBy(F.desc("bad"), "stem").limit(most).collect())
-    short = [s for s in found if not any(s != t and s.startswith(t) for t in found)]
-    alone = [r.word for r in picked(counts).orderBy(F.desc("bad"), "word").limit(most).collect()]
-    return ([s + "*" for s in short] + [w for w in alone if not any(w.startswith(s) for s in short)])[:most]
+    set_found = set(found := sorted(r.stem for r in picked(stems).select("stem").collect()))
+    short = [s for s in found if not any(s[:k] in set_found for k in range(STEM[0], len(s)))]
+    alone = sorted(r.word for r in picked(counts).select("word").collect())
+    return [s + "*" for s in short] + [w for w in alone if not any(w[:k] in set_found for k in range(STEM[0], STEM[1] + 1))]
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS, terms: int = TERMS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS) -> Model:
     sample = cut(labelled_sample(docs, labels, label, most), "fit")  # one scan of the corpus for all that follows
     seen = cut(sample.mapInArrow(_contexts, "word string, before string, y int").distinct(), "contexts")
     total = seen.agg(F.avg("y").alias("p"), F.count_distinct("word").alias("n")).first()
-    lexicon = choose_terms(seen, total.p or 0.0, total.n or 0, terms)
+    lexicon = choose_terms(seen, total.p or 0.0, total.n or 0)
     share = sample.agg(F.sum((F.col("label") > 0).cast("int")), F.count(F.lit(1))).first()
     prior = ((share[0] or 0) + 1) / (share[1] + 2)
     if not lexicon:
