@@ -1,22 +1,27 @@
 """Secret scans: fixed patterns plus dictionary-primed zstandard novelty.
 
-The fixed patterns give the base spans. The method adds spans: a string in a sensitive context is
-compressed together with the text around it, under a dictionary of common identifiers; what it adds
-to the compressed size, for each of its characters, is its novelty. Identifiers, repeated strings
-and prose add little; random keys cannot be compressed and are reported.
+The fixed patterns give the base spans. The method adds spans. Words are counted over the whole corpus, and
+the commonest are the dictionary of ordinary identifiers. A string in a sensitive context is compressed
+together with the text around it, under that dictionary; what it adds to the compressed size, for each of
+its characters, is its novelty. Identifiers, repeated strings and prose add little; random keys cannot be
+compressed. What separates the two at a length is measured on identifiers made of the dictionary's own
+words and on random strings, so it follows the corpus.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fixed patterns of the contract (letters of the first in either case), and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -25,35 +30,83 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words that make what follows sensitive, how far they reach, and what a candidate looks like.
+#: Words that make what stands near them sensitive, how far they reach on either side, and a candidate's
+#: least length (a documented bound of the method: shorter strings cannot be told from words).
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authorization|bearer|signature|client[_-]?id|pwd", re.IGNORECASE | re.ASCII)
-REACH, LEAST = 64, 16
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+REACH, LEAST = 64, 10
+RUN = re.compile(r"[!-~]+")
+EDGES = ".,;:!?()[]{}<>\"'`=|"
+#: Kinds of characters, of which a candidate has two at least: lower case, upper case within, digits, symbols within.
+CLASSES = (re.compile(r"[a-z]"), re.compile(r"(?<=.)[A-Z]"), re.compile(r"[0-9]"), re.compile(r"(?<=.)[^A-Za-z0-9](?=.)"))
+LETTER = re.compile(r"[A-Za-z]")  # dates and numbers are none
 AROUND = 256
-#: Compressed bytes per character from which a candidate is reported.
-NOVELTY = 0.5
-#: Common identifiers, as raw dictionary content.
-IDENTIFIERS = (
-    "password passwd secret token api_key apikey access_key private_key client_secret client_id credential authorization bearer signature "
-    "function return import export public private static const class interface struct string integer boolean default undefined null true false "
-    "username user_id session_id request_id response_headers content_type application_json configuration environment production development "
-    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 00000000000000000000000000000000 xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx "
-    "https://www.example.com/index.html get_value set_value load_config read_file write_file process_request handle_error update_status"
+#: Words of the dictionary, and pieces of a string that are looked up in it: a string that is for KNOWN of its characters such words is an identifier.
+PARTS, KNOWN = 4_000, 0.5
+PIECE = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
+LEVEL = 9
+#: Strings of either sort that thresholds are measured on, by length in steps of STEP up to LONGEST.
+TRIALS, STEP, LONGEST = 64, 8, 56
+#: Common words of code, in the dictionary of any corpus.
+CODE_WORDS = (
+    "abc account add admin api app application array auth authentication authorization base bean build bytes cache call class client code color command config "
+    "connection container content context controller convert count create credential current data database date debug default delete dev dict directory domain "
+    "edition element email enable encode endpoint entity entry env environment error event example export factory field file filter format function generate get "
+    "group handle handler hash header helper home host html http https image import index info init input instance interface item json key label language level "
+    "library link list load local location log login main manager map message method mode model module name node null number object option order output page param "
+    "password path person phone policy port preferences print private process profile project property provider public query read record region register remote "
+    "repository request reset resource response result return role route rule run save schema script search secret select send serial server service session set "
+    "settings share sign size sort source start state static status storage store stream string system table tag target task temp template test text theme time "
+    "title token transaction type update upload uri url user username usr util utils validate value var verify version view web widget window word words worker write www"
 )
 
 
+#: Sequences that are no keys though they look like none of the words.
+SEQUENCES = "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 abcdefghijklmnopqrstuvwxyz0123456789 00000000000000000000000000000000 xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx "
+
+
 class Novelty:
-    """Marginal compressed bytes of a string within its surroundings."""
+    """Marginal compressed bytes of a string within its surroundings, and from where it is novel."""
 
-    def __init__(self, identifiers: str = IDENTIFIERS, level: int = 3):
-        primer = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, parts: list[str] = (), level: int = LEVEL):
+        self.parts = list(parts)
+        self.known = {w.lower() for w in (*self.parts, *CODE_WORDS.split())}
+        content = SEQUENCES + CODE_WORDS + " " + " ".join(reversed(self.parts))  # the commonest last, where they cost least
+        primer = zstandard.ZstdCompressionDict(content.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.squeeze = zstandard.ZstdCompressor(level=level, dict_data=primer, write_checksum=False, write_content_size=False, write_dict_id=False).compress
+        self.bounds = self.measured()
+
+    def __reduce__(self):
+        return Novelty, (self.parts,)
 
     def of(self, text: str, start: int, end: int) -> float:
         around = (text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND] + "\n").encode("utf-8", "replace")
         return (len(self.squeeze(around + text[start:end].encode())) - len(self.squeeze(around))) / (end - start)
 
+    def measured(self) -> list[float]:
+        """For each length the novelty between that of identifiers (all but a few) and of random strings."""
+        rng, words = random.Random(0), [*self.parts, *CODE_WORDS.split()]
+        random_letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+        out = []
+        for length in range(STEP, LONGEST + 1, STEP):
+            found: tuple[list[float], list[float]] = ([], [])
+            for _ in range(TRIALS):
+                name = rng.choice(words)
+                while len(name) < length:
+                    name += rng.choice("_-/") + rng.choice(words) if rng.random() < 0.5 else rng.choice(words).capitalize()
+                for kind, s in enumerate((name[:length], "".join(rng.choices(random_letters, k=length)))):
+                    left, right = (" ".join(rng.choices(words, k=40)) for _ in range(2))
+                    found[kind].append(self.of(f"{left} {s} {right}", len(left) + 1, len(left) + 1 + length))
+            names, keys = map(sorted, found)
+            # nearer to the keys' low end where the two overlap: strings of known words are out already
+            out.append(max(names[TRIALS // 2], min(keys[TRIALS // 20], (names[TRIALS * 9 // 10] + keys[TRIALS // 10]) / 2)))
+        return out
+
+    def novel(self, text: str, start: int, end: int) -> bool:
+        s = text[start:end]
+        if sum(len(p) for p in PIECE.findall(s) if p.lower() in self.known) >= KNOWN * len(s):
+            return False
+        return self.of(text, start, end) >= self.bounds[min(len(s) // STEP, len(self.bounds)) - 1]
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the fixed patterns, by start and kind."""
@@ -64,20 +117,42 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Strings of printable characters of several kinds, a letter among them, near a sensitive word (or after one within the same
+    run), without the punctuation at their ends. Linear in the text: each run is looked at once."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts, out = [a for a, _ in words], []
+    for run in RUN.finditer(text):
+        a, b = run.span()
+        k = bisect_left(starts, b)  # words before k begin before the run's end
+        near = k < len(words) and words[k][0] - b <= REACH
+        if k:
+            end = words[k - 1][1]
+            near |= a - end <= REACH
+            if end > a:  # within the run: what follows it is the string
+                a = end
+                while a < b and text[a] in "-_/":
+                    a += 1
+        while a < b and text[a] in EDGES:
+            a += 1
+        while a < b and text[b - 1] in EDGES:
+            b -= 1
+        if near and b - a >= LEAST and LETTER.search(text, a, b) and sum(bool(c.search(text, a, b)) for c in CLASSES) > 1:
+            out.append((a, b))
+    return out
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], measure: Novelty) -> list[tuple[int, int, int]]:
-    """Candidates with digits and letters near a sensitive word that are novel and touch no base span."""
+    """Candidates that are novel and touch no base span."""
     starts = [a for a, _, _ in base]
     reached = list(accumulate((b for _, b, _ in base), max))
-    out, done = [], 0
-    for m in SENSITIVE.finditer(text):
-        at = max(done, m.end())
-        while c := CANDIDATE.search(text, at, m.end() + REACH + LEAST):
-            at = done = RUN.match(text, c.start()).end()
-            s, k = text[c.start() : at], bisect_left(starts, at)
-            if k and reached[k - 1] > c.start() or not (any(x.isdigit() for x in s) and any(x.isalpha() for x in s)):
-                continue
-            if measure.of(text, c.start(), at) >= NOVELTY:
-                out.append((c.start(), at, 3))
+    out = []
+    for a, b in candidates(text):
+        k = bisect_left(starts, b)
+        if not (k and reached[k - 1] > a) and measure.novel(text, a, b):
+            out.append((a, b, 3))
     return out
 
 
@@ -94,6 +169,31 @@ def scan_text(text: str | None, measure: Novelty) -> tuple[int, int, int, str, s
     return (*n, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, n): words of ASCII letters with their counts, summed up as far as a task's memory allows."""
+    found: Counter[str] = Counter()
+
+    def out() -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["part", "n"])
+        found.clear()
+        return rows
+
+    for batch in batches:
+        for text in batch.column(0):
+            found.update(re.findall(r"[A-Za-z]{3,}", text.as_py() or ""))
+            if len(found) > 200_000:
+                yield out()
+    yield out()
+
+
+def learn(docs: DataFrame, most: int = PARTS) -> Novelty:
+    """The measure with the `most` commonest words (as they are spelt) of all documents: a dictionary's size
+    is bounded by what it is for. Only words that occur twice count; ties go by the word."""
+    counts = docs.select("text").mapInArrow(_parts, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    rows = counts.where("n > 1 and length(part) <= 64").orderBy(F.desc("n"), "part").limit(most).collect()
+    return Novelty([r.part for r in rows])
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
@@ -102,9 +202,9 @@ def scan(docs: DataFrame) -> DataFrame:
     none. Whole texts are scanned. Repeated rows get equal results; an empty table gives an empty
     result; other columns are ignored.
     """
+    measure = learn(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        measure = Novelty()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
