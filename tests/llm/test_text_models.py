@@ -95,6 +95,74 @@ def test_language_learns_only_from_the_rest(spark):
     assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in out)
 
 
+def test_language_scores_by_brute_force(spark):
+    """Counts, priors and posteriors in plain Python, at any number of languages a broadcast."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(2)
+    spell = {k: rng.sample("abcdefghijklmnopqrstuvwxyzé", 9) for k in ("aa", "bb", "cc", "dd", "ee")}
+    rows = []
+    for i in range(260):
+        k = rng.choice(["aa", "aa", "bb", "cc", "dd", "ee"])
+        rows.append((i, " ".join("".join(rng.choices(spell[k], k=rng.randrange(1, 6))) for _ in range(rng.randrange(1, 30))), k, 0.0, 0))
+    rows.append((9000, "abc " * 3000, None, 0.0, 0))
+
+    def grams(text):
+        (_, _, data, offsets), *_ = text_chunks(pa.array([text]))
+        return Counter(int(x) for order in langid.slots(data, offsets)[0] for x in order if x < langid.SLOTS)
+
+    counts, docs = {k: Counter() for k in spell}, Counter()
+    for i, t, k, *_ in rows:
+        if k and not is_held_out(i):
+            counts[k] += grams(t)
+            docs[k] += 1
+    total = {k: sum(c.values()) + langid.SMOOTH * langid.SLOTS for k, c in counts.items()}
+    df = spark.createDataFrame(rows, DOC)
+    for width in (2, 256):
+        got = {r.doc_id: r for r in langid.identify(df, width).collect()}
+        for i, t, *_ in rows:
+            g = grams(t)
+            n = sum(g.values())
+            score = {k: math.log(docs[k] / docs.total()) + min(1, 50 / n) * sum(m * math.log((counts[k][s] + langid.SMOOTH) / total[k]) for s, m in g.items()) for k in spell}
+            best = max(sorted(score), key=score.get)
+            assert got[i].lang_pred == best
+            assert got[i].score == pytest.approx(1 / sum(math.exp(v - score[best]) for v in score.values()), abs=1e-3)
+
+
+def test_many_languages_cost_little_more():
+    import time
+
+    rng = random.Random(0)
+    (_, _, data, offsets), *_ = text_chunks(pa.array([" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(300)) for _ in range(200)]))
+
+    def seconds(n):
+        m = langid.Model([str(i) for i in range(n)], np.zeros((langid.SLOTS, n), np.float32), np.zeros(n))
+        m.scores(data, offsets)
+        began = time.perf_counter()
+        for _ in range(3):
+            m.scores(data, offsets)
+        return time.perf_counter() - began
+
+    assert seconds(128) < 3 * seconds(4)
+
+
+def test_split_gains_by_brute_force():
+    """The first tree's root and leaves against all splits tried one by one."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, (300, 4)).astype(np.float32)
+    y = ((x[:, 2] > 6) | (rng.random(300) < 0.2)).astype(float)
+    model = quality.fit(x, y, trees=1, depth=1)
+    share = (y.sum() + 1) / (len(y) + 2)
+    g, h = share - y, np.full(len(y), share * (1 - share))
+    part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+    best = max((part(x[:, f] > t) + part(x[:, f] <= t), f, t) for f in range(4) for t in range(12) if h[x[:, f] > t].sum() >= 1 and h[x[:, f] <= t].sum() >= 1)
+    f, t = int(model.feature[0, 0]), float(model.threshold[0, 0])
+    assert part(x[:, f] > t) + part(x[:, f] <= t) == pytest.approx(best[0]) and (f, t // 1) == best[1:]
+    right = x[:, f] > t
+    assert model.value[0].tolist() == pytest.approx([-0.15 * g[m].sum() / (h[m].sum() + 1) for m in (~right, right)])
+
+
 def test_bounded_sample(spark):
     df = spark.range(5000).withColumnRenamed("id", "doc_id")
     assert bounded_sample(df, "doc_id", 5000).count() == 5000
@@ -130,12 +198,14 @@ def test_statistics_by_hand():
 
 
 def distance(a, b):
-    d = list(range(len(b) + 1))
+    """Levenshtein distance in which swapped neighbours are one edit."""
+    d = [[max(i, j) if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
-        last, d[0] = d[0], i
         for j, y in enumerate(b, 1):
-            last, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, last + (x != y))
-    return d[-1]
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
 
 
 def test_automaton_is_levenshtein():
@@ -150,7 +220,10 @@ def test_automaton_is_levenshtein():
                 k = rng.randrange(3)
                 at = rng.randrange(len(w))
                 w[at : at + (k != 1)] = [] if k == 0 else [rng.choice("abcdefgmorstué")]
-            if 4 <= len(w) <= 24:
+            if rng.random() < 0.4 and len(w) > 1:
+                at = rng.randrange(len(w) - 1)
+                w[at], w[at + 1] = w[at + 1], w[at]
+            if len(w) >= 4:
                 words.add("".join(w))
     words = sorted(words)
     (_, _, data, offsets) = next(text_chunks(pa.array([" ".join(words)])))
@@ -168,6 +241,27 @@ def test_stems_take_any_ending():
     assert m.run(m.code[low], starts, lengths).tolist() == [0, 0, -1, 1, 1, 1, -1, 1, 1]
 
 
+def test_only_paired_marks_quote():
+    m = toxicity.Model(toxicity.Automaton(["horrible*", "garbage"]), np.zeros(len(toxicity.MEASURES)), 0.0)
+    texts = ['a 27" screen. you are horrible garbage and a "thing" too', '"so" he said. horrible garbage, 5" wide', "garbaeg", "g4rbage", 'they wrote "horrible garbage".', "ils disent \u00ab horrible garbage \u00bb", "er sagt \u201ehorrible garbage\u201c dazu", "\u201chorrible garbage\u201d", '"' + "x " * 400 + 'horrible garbage"', '("horrible garbage")', '" horrible garbage']
+    (_, _, data, offsets) = next(text_chunks(pa.array(texts)))
+    x = m.measures(data, offsets)
+    hits, quoted = (x[:, toxicity.MEASURES.index(c)] > 0 for c in ("hits", "quoted"))
+    assert hits.tolist() == [True] * 4 + [False] * 4 + [True, False, True]
+    assert quoted.tolist() == [False] * 4 + [True] * 4 + [False, True, False]
+
+
+def test_lexicon_has_no_cap():
+    rng = random.Random(8)
+    terms = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(6, 40))) for _ in range(3000)})
+    m = toxicity.Automaton(terms)
+    typo = [t[:3] + t[4:] for t in terms]
+    (_, _, data, offsets) = next(text_chunks(pa.array([" ".join([*terms, *typo])])))
+    low, _, _, starts, lengths, _ = toxicity.letter_words(data, offsets)
+    got = m.run(m.code[low], starts, lengths)
+    assert not got[: len(terms)].any() and set(got[len(terms) :].tolist()) <= {0, 1} and (got[len(terms) :] == 1).mean() > 0.99
+
+
 def test_context_separates_quotation(spark):
     m = toxicity.Model(toxicity.Automaton(["moron", "stupid"]), np.zeros(len(toxicity.MEASURES)), 0.0)
     (_, _, data, offsets) = next(text_chunks(pa.array(['you moron, you stupd fool', 'he said "you moron" and left', "a calm text", ""])))
@@ -180,7 +274,7 @@ def test_context_separates_quotation(spark):
 
 def test_disguised_terms_are_hits():
     m = toxicity.Model(toxicity.Automaton(["idiot", "moron", "stupid", "scoundrel"]), np.zeros(len(toxicity.MEASURES)), 0.0)
-    bad = ["id1ot", "mor0n", "st*pid", "i.d.i.o.t", "you st-upid", "scuondrel", "scondrell", "st" + "u" * 40 + "pid"]
+    bad = ["idoit", "id1ot", "mor0n", "st*pid", "i.d.i.o.t", "you st-upid", "scuondrel", "scondrell", "st" + "u" * 40 + "pid"]
     calm = ["a calm text", "st upid", "well-known 12:30 a.b", "see https://x.org/a1b2", "", "id. iot"]
     (_, _, data, offsets) = next(text_chunks(pa.array(bad + calm)))
     hits = m.measures(data, offsets)[:, toxicity.MEASURES.index("hits")]
@@ -255,6 +349,49 @@ def test_novelty_reports_what_cannot_be_compressed():
     assert "novel" not in secrets.scan_text(f"the secret name {key[:3]}", measure)[4]
 
 
+def test_novelty_separates_keys_from_identifiers():
+    """Planted on both sides of a sensitive word: precision and recall of what is reported."""
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = secrets.CODE_WORDS.split()
+    prose = ["".join(rng.choice(["la", "tion", "eau", "ver", "qui", "den", "sch"]) for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+    measure = secrets.Novelty(prose)
+
+    def name():
+        w = [rng.choice(names) for _ in range(rng.randrange(2, 6))]
+        return rng.choice(["_".join(w), w[0] + "".join(x.capitalize() for x in w[1:]), "/".join(w)]) + rng.choice(["", "2", "2024"])
+
+    def reported(s, i):
+        left, right = (" ".join(rng.choices(prose, k=60)) for _ in range(2))
+        text = f"{left} the password {s} {right}" if i % 2 else f"{left} {s} is the credential {right}"
+        at = text.index(f" {s} ") + 1
+        return any(a < at + len(s) and b > at for a, b, _ in secrets.novel_spans(text, secrets.base_spans(text), measure))
+
+    keys = sum(reported("".join(rng.choices(letters, k=rng.randrange(16, 40))), i) for i in range(300))
+    passwords = sum(reported("".join(rng.choices(letters + "!@#$%^&*-_+", k=rng.randrange(12, 20))), i) for i in range(300))
+    wrong = sum(reported(name(), i) for i in range(300))
+    print("recall", keys / 300, passwords / 300, "identifiers reported", wrong / 300)
+    assert keys >= 270 and passwords >= 255 and wrong <= 9
+
+
+def test_identifiers_are_no_secrets():
+    measure = secrets.Novelty()
+    for s in ("get_user_preferences_by_account_id2", "userAuthenticationProviderFactory2Bean", "/usr/share/dict/words2024edition/index/abc", "password-protected", "2024-11-28", "555-0100-123"):
+        assert "novel" not in secrets.scan_text(f"use the password {s} to log in", measure)[4], s
+    for text, s in (("the password is Xk9$wQ2!mZ7@pL4.", "Xk9$wQ2!mZ7@pL4"), ("Zq8vT2mXw9Lr4Kc7 is our secret", "Zq8vT2mXw9Lr4Kc7"), ("token->Hx7bN2vQp9sLm4Wd8R here", "Hx7bN2vQp9sLm4Wd8R")):
+        a = text.index(s)
+        assert f"novel:{a}:{a + len(s)}" in secrets.scan_text(text, measure)[4], text
+
+
+def test_candidates_take_linear_time():
+    import time
+
+    text = "token " * 20_000 + "a1-" * 100_000 + " secret Zq8vT2mXw9Lr4Kc7" * 5_000
+    began = time.perf_counter()
+    secrets.scan_text(text, secrets.Novelty())
+    assert time.perf_counter() - began < 10
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
 def test_permutation(n):
     a = tokens.permute(np.arange(n, dtype=np.uint64), n, 1)
