@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..errors import LunariaError
 from . import dsp, scores
 from .segment import frame_channels, segment_length
-from .select import KEY
+from .select import KEY, quantiles
 
 Predict = Callable[[np.ndarray], np.ndarray]
 
@@ -111,7 +111,8 @@ def _flat(factory: Callable[[], Predict]) -> Predict:
 def quality_control(signal: DataFrame, length: int, k: float = 20.0, key: Sequence[str] = (*KEY, "channel")) -> DataFrame:
     """Clips each channel to k interquartile ranges beyond its quartiles, then scales it by its median
     and interquartile range. Both steps are off unless asked for."""
-    q = signal.groupBy(*key).agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    low, mid, high = (F.get("q", F.lit(i)) for i in range(3))
+    q = quantiles(signal, (0.25, 0.5, 0.75), "value", key)
+    low, mid, high = (F.col(f"q{i}") for i in range(3))
     held = F.least(F.greatest(F.col("value"), low - k * (high - low)), high + k * (high - low))
-    return signal.join(q, list(key)).withColumn("value", F.coalesce(F.try_divide(held - mid, high - low), F.lit(0.0))).drop("q")
+    scaled = F.coalesce(F.try_divide(held - mid, high - low), F.lit(0.0))
+    return signal.join(q, list(key), "left").withColumn("value", scaled).drop("q0", "q1", "q2")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,16 +133,47 @@ def drop_tail(df: DataFrame, length: int, key: Sequence[str] = KEY, index: str =
     return df.join(n, list(key)).where(F.col(index) < F.expr(f"__n div {length} * {length}")).select(*df.columns)
 
 
+#: Accuracy of the sketch that brackets a quantile; an exact answer lies within twice its error.
+SKETCH = 1000
+
+
+def quantiles(df: DataFrame, at: Sequence[float], value: str = "value", key: Sequence[str] = KEY) -> DataFrame:
+    """(key, q0, q1, ...): exact quantiles with linear interpolation, a row for each recording that has a
+    value. NaN sorts above all numbers, null is left out.
+
+    No task holds a recording's values: a sketch brackets each quantile, values below the bracket are
+    counted, and only the distinct values within it (some thousandths of a recording) are ranked.
+    """
+    key = list(key)
+    own = df.where(F.col(value).isNotNull()).select(*key, F.col(value).cast("double").alias("__v"))
+    edges = [min(max(q + d, 0.0), 1.0) for q in at for d in (-2 / SKETCH, 2 / SKETCH)]
+    found = own.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", F.array(*map(F.lit, edges)), SKETCH).alias("__e"))
+    near = own.join(found, key)
+    few = F.col("__n") <= 2 * SKETCH  # a bracket would be narrower than the ranks next to it
+    place = [F.when(~few & (F.col("__v") < F.get("__e", F.lit(2 * i))), F.lit(-1)).when(few | (F.col("__v") <= F.get("__e", F.lit(2 * i + 1))), F.lit(i)) for i in range(len(at))]
+    # what lies below a bracket is one group of its recording and quantile, without its values
+    each = near.select(*key, "__n", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.when(p >= 0, F.col("__v")).alias("v"), p.alias("p")) for i, p in enumerate(place)])).alias("x")).where("x.p is not null")
+    counts = each.groupBy(*key, "__n", F.col("x.i").alias("__i"), F.col("x.v").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(Window.partitionBy(*key, "__i").orderBy(F.col("__v").asc_nulls_first()))
+    ranked = counts.withColumn("__upto", upto)
+    rank = F.element_at(F.array(*map(F.lit, at)), F.col("__i") + 1) * (F.col("__n") - 1)
+    low, high = (F.min(F.when(F.col("__v").isNotNull() & (F.col("__upto") > r), F.col("__v"))) for r in (F.floor(rank), F.ceil(rank)))
+    part = ranked.groupBy(*key, "__n", "__i").agg(low.alias("__a"), high.alias("__b"))
+    share = rank - F.floor(rank)
+    exact = part.select(*key, "__i", F.when(F.col("__a") == F.col("__b"), F.col("__a")).otherwise((1 - share) * F.col("__a") + share * F.col("__b")).alias("__q"))
+    return exact.groupBy(*key).agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q{i}") for i in range(len(at))])
+
+
 def quartiles(df: DataFrame, value: str = "value", key: Sequence[str] = KEY) -> DataFrame:
     """(key, q25, q75), exact with linear interpolation."""
-    return df.groupBy(*key).agg(F.percentile(value, 0.25).alias("q25"), F.percentile(value, 0.75).alias("q75"))
+    return quantiles(df, (0.25, 0.75), value, key).select(*key, F.col("q0").alias("q25"), F.col("q1").alias("q75"))
 
 
 def clip_iqr(df: DataFrame, k: float = 20.0, value: str = "value", key: Sequence[str] = KEY) -> DataFrame:
     """Holds values within [q25 - k IQR, q75 + k IQR] of their recording."""
     spread = k * (F.col("q75") - F.col("q25"))
     held = F.least(F.greatest(F.col(value), F.col("q25") - spread), F.col("q75") + spread)
-    return df.join(quartiles(df, value, key), list(key)).withColumn(value, held).select(*df.columns)
+    return df.join(quartiles(df, value, key), list(key), "left").withColumn(value, held).select(*df.columns)
 
 
 def features_by_prefix(columns: Sequence[str], prefixes: Sequence[str]) -> list[str]:

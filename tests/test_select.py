@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +92,16 @@ def test_beat_measures(spark):
     df = signal(spark, [800, 860, 800]).withColumnRenamed("value", "ibi")
     r = aggregate.beat_measures(df).first()
     assert (r.n_beats, r.rmssd, r.pnn50) == (3, 60.0, 1.0)
+
+
+def test_quantiles_are_exact(spark):
+    """Small, tied, constant and large recordings, at quantiles inside and at the ends."""
+    rng, at, rows, want = np.random.default_rng(0), (0.0, 0.01, 0.25, 0.5, 0.995, 1.0), [], {}
+    for k, n in enumerate((1, 2, 3, 10, 1999, 2001, 6000, 6000, 4000)):
+        v = np.full(n, 3.5) if k == 8 else np.round(rng.normal(size=n), 1) if k == 7 else rng.normal(size=n)
+        rows += [(str(k), float(x)) for x in v]
+        want[str(k)] = np.percentile(v, [100 * q for q in at])
+    df = spark.createDataFrame([*rows, ("none", None)], "recording_id string, value double")
+    got = {r.recording_id: list(r)[1:] for r in select.quantiles(df, at).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=1e-12, atol=1e-12) for k in want)
+    assert [r.value for r in select.clip_iqr(df.where("recording_id = 'none'")).collect()] == [None]
