@@ -16,7 +16,7 @@ V = "vec_id long, embedding array<float>, label int"
 
 
 def brute_topk(rows, k=5, every=50):
-    fine = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    fine = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q, a in fine:
         if q % every == 0:
@@ -25,14 +25,15 @@ def brute_topk(rows, k=5, every=50):
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard_rows", [16, 8192])
-def test_topk(spark, monkeypatch, shard_rows):
+@pytest.mark.parametrize(("shard_rows", "part"), [(16, (2, 5)), (8192, (512, 8192)), (8192, (3, 7))])
+def test_topk(spark, monkeypatch, shard_rows, part):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(topk, "SLICE", part)
     monkeypatch.setattr(topk, "QUERY_ROWS", 3)
     monkeypatch.setattr(topk, "FAN", 4)
     rng = random.Random(0)
     rows = [(i, [rng.choice([-0.5, 0.25, 0.0, rng.random()]) for _ in range(4)]) for i in range(0, 420, 1)]
-    rows += [(1001, None), (1050, [1.0, None, 0.0, 0.0]), (1100, [float("nan"), 0.0, 0.0, 0.0]), (1150, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0, 1.0, 1.0, 1.0]), (1200, []), (1250, [1.0, 2.0]), (1251, [1.0, 2.0])]
+    rows += [(1001, None), (1050, [1.0, None, 0.0, 0.0]), (1100, [float("nan"), 0.0, 0.0, 0.0]), (1150, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0, 1.0, 1.0, 1.0]), (1200, []), (1300, []), (1301, []), (1250, [1.0, 2.0]), (1251, [1.0, 2.0])]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], V).withColumnRenamed("label", "score")
     got = sorted(map(tuple, topk.search(df).collect()))
     assert got == brute_topk(rows)
