@@ -24,6 +24,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import cut, mix
 
@@ -32,6 +33,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END = 50256
 LENGTH, STRIDE, ROUNDS = 1024, 4096, 6
+#: Whole shards that one task writes at most, and tasks from which it writes more than one.
+SHARDS, TASKS = 64, 4_000
 WIDTH = np.dtype("<u2")
 
 
@@ -43,6 +46,11 @@ def encoder(path: str = VOCABULARY):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def max_id(path: str = VOCABULARY) -> int:
+    with open(path, "rb") as f:
+        return max(int(line.split()[1]) for line in f if line.strip())
+
+
 def token_ids(code, text: str) -> np.ndarray:
     """The ids of a text. Runs of white space that are too long for the encoder's own splitter are
     split by the same pattern outside of it, which gives the same pieces."""
@@ -158,8 +166,11 @@ def training_order(docs: DataFrame, vocabulary: str = VOCABULARY, length: int =
 
     A null or empty text is an end-of-text token alone. Repeated rows are tokenised again each time.
     A null doc_id stays null in doc_ids. An empty table gives an empty result; other columns are
-    ignored. The stream's order before the permutation is that of the scan's tasks.
+    ignored. The stream's order before the permutation is that of the scan's tasks. The vocabulary file has
+    the same path on all nodes; its ids and `end` fit 16 bits, or ValueError is raised. doc_id may be of any type.
     """
+    if not 0 <= end < 1 << 16 or max_id(vocabulary) >= 1 << 16:
+        raise ValueError(f"{vocabulary}: ids beyond 16 bits")
     field = docs.schema["doc_id"].dataType
     kind = field.simpleString()
     made = cut(docs.select("doc_id", "text").mapInArrow(_tokenise(vocabulary, end), f"doc_id {kind}, part int, start long, tokens binary"), "tokens")
@@ -171,15 +182,16 @@ def training_order(docs: DataFrame, vocabulary: str = VOCABULARY, length: int =
     placed = made.join(base.select("part", "base"), "part").select("doc_id", (F.col("base") + F.col("start")).alias("g"), "tokens")
     pieces = placed.mapInArrow(_pieces(n, length, key), f"slot long, at int, doc_id {kind}, piece binary")
     shards = max(1, -(-n // stride))
-    dealt = pieces.repartitionById(shards, F.expr(f"cast(slot div {stride} as int)")).sortWithinPartitions("slot", "at")
-    arrow = pa.int32() if kind == "int" else pa.int64() if kind == "bigint" else pa.string()
+    each = min(SHARDS, -(-shards // TASKS))
+    dealt = pieces.repartitionById(-(-shards // each), F.expr(f"cast(slot div {stride * each} as int)")).sortWithinPartitions("slot", "at")
+    arrow = to_arrow_type(field)
     return dealt.mapInArrow(_joined(length, stride, end, arrow), f"slot long, shard long, byte_offset long, n_tokens int, doc_ids array<{kind}>, tokens_crc32 long, tokens binary")
 
 
 def write_shards(sequences: DataFrame, folder: str) -> DataFrame:
     """Writes one file shard-<k>.bin per shard into a folder that all nodes mount, and gives the manifest
     (shard, first_slot, n_sequences, bytes). A file appears whole, by renaming, so a retried task
-    overwrites it with the same bytes and a run can skip shards that exist."""
+    overwrites it with the same bytes. All shards are written; reading can resume at any slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, temp, rows = None, None, "", []
