@@ -3,8 +3,10 @@ catalog, resume. Each job is a few plans; recordings are never looped over on th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from .plans.pipeline import Pipeline, rename_only
 from .plans.transforms import Signal
 from .schema import EPOCH_S, SHORT_LABELS, STAGE_CLASSES, UNKNOWN, UNSCORED
 from .sinks import export
-from .sinks.policy import Existing, OnError, exists
+from .sinks.policy import Existing, OnError, delete, exists
 from .sources import edf, recordings, store, text
 from .sources.recordings import DatasetConfig
 
@@ -86,26 +88,33 @@ def process(spark: SparkSession, config: DatasetConfig, pipeline: Pipeline, root
     names = sorted(pipeline.missing(()))
     loaded = load_edf(spark, config, names, on_error, done)
     wanted = list(outputs or dict.fromkeys(o for s in pipeline.steps for o in s.outputs))
-    made = pipeline.run(loaded.signals, wanted) if loaded.signals else {}
+    made = pipeline.together(loaded.signals, wanted) if loaded.signals else []
     if made:
-        frames = [s.df.select(F.lit(config.name).alias("dataset"), "recording_id", F.lit(n).alias("channel"), "sample_idx", F.col("value").cast("double").alias("value")) for n, s in made.items()]
-        signal = frames[0]
-        for f in frames[1:]:
-            signal = signal.unionByName(f)
-        signal = signal.cache()
-        rates = spark.createDataFrame([(n, s.rate) for n, s in made.items()], "channel string, sample_rate double")
-        meta = signal.groupBy("dataset", "recording_id", "channel").agg(F.count(F.lit(1)).alias("n_samples")).join(rates, "channel")
-        meta = meta.select("dataset", "recording_id", "channel", "sample_rate", "n_samples")
-        export.write_signals(signal, meta, root, existing if done is None else Existing.APPEND)
-        if loaded.annotations is not None:
-            export.write_runs(loaded.annotations, f"{root}/runs", Existing.OVERWRITE)
-        rows = export.catalog(loaded.recordings.select("recording_id").union(loaded.errors.select("recording_id")), signal, meta, list(made), loaded.annotations, (*STAGE_CLASSES, UNKNOWN), loaded.errors)
-        out = export.update_catalog(rows, book)
-        signal.unpersist()
-        return out
+        frames = [s.df.select(F.lit(config.name).alias("dataset"), "recording_id", "channel", "sample_idx", F.col("value").cast("double").alias("value")) for s in made]
+        # computed once, into a table beside the output: lengths, checks, statistics and the output read that
+        stage = f"{root}/.stage-{uuid.uuid4().hex}"
+        try:
+            reduce(DataFrame.unionByName, frames).write.parquet(stage)
+            return _store(spark, spark.read.parquet(stage), made, wanted, loaded, root, existing if done is None else Existing.APPEND)
+        finally:
+            delete(spark, stage)
     return text.read_catalog(spark, book) if done is not None else loaded.errors
 
 
+def _store(spark: SparkSession, signal: DataFrame, made: Sequence[Signal], wanted: Sequence[str], loaded: Loaded, root: str, existing: Existing) -> DataFrame:
+    """Writes signals with their metadata, runs of labels and the catalog; gives the catalog."""
+    names = {c for s in made for c in s.channels}
+    rates = spark.createDataFrame([(c, s.rate) for s in made for c in s.channels], "channel string, sample_rate double")
+    meta = signal.groupBy("dataset", "recording_id", "channel").agg(F.count(F.lit(1)).alias("n_samples")).join(rates, "channel")
+    meta = meta.select("dataset", "recording_id", "channel", "sample_rate", "n_samples")
+    export.write_signals(signal, meta, root, existing)
+    if loaded.annotations is not None:
+        export.write_runs(loaded.annotations, f"{root}/runs", Existing.OVERWRITE)
+    every = loaded.recordings.select("recording_id").union(loaded.errors.select("recording_id"))
+    rows = export.catalog(every, signal, meta, [n for n in wanted if n in names], loaded.annotations, (*STAGE_CLASSES, UNKNOWN), loaded.errors)
+    return export.update_catalog(rows, f"{root}/catalog")
+
+
 def export_channels(spark: SparkSession, config: DatasetConfig, names: Mapping[str, str], root: str, rate: float | None = None, **policies) -> DataFrame:
     """Channels renamed and, if a rate is given, resampled, then exported like a pipeline's outputs."""
     return process(spark, config, rename_only("export", names, rate), root, **policies)

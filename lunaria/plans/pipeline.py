@@ -58,6 +58,20 @@ class Pipeline:
     def run(self, signals: Mapping[str, Signal], outputs: Iterable[str] | None = None, cache: bool = False) -> dict[str, Signal]:
         """The asked-for outputs (all signals, given and made, by default). Names that no step makes are
         left out, with those given passed through."""
+        store = self.made(signals, outputs, cache)
+        return {n: _only(store[n], n) for n in (store if outputs is None else outputs) if n in store}
+
+    def together(self, signals: Mapping[str, Signal], outputs: Iterable[str], cache: bool = False) -> list[Signal]:
+        """The asked-for outputs, those that one step makes in one signal: written together they are
+        computed once."""
+        store, groups = self.made(signals, outputs, cache), {}
+        for n in dict.fromkeys(outputs):
+            if n in store:
+                groups.setdefault(id(store[n]), (store[n], []))[1].append(n)
+        return [s.select(*names) if len(names) < len(s.channels) else s for s, names in groups.values()]
+
+    def made(self, signals: Mapping[str, Signal], outputs: Iterable[str] | None = None, cache: bool = False) -> dict[str, Signal]:
+        """All signals by name after the steps that the outputs need; a signal may hold several names."""
         if lost := self.missing(signals):
             raise MissingChannel(f"pipeline {self.name} needs {', '.join(sorted(lost))}")
         # a name stands for a channel of a signal; channels that one step makes stay in one signal, so
@@ -80,7 +94,7 @@ class Pipeline:
             if keep & set(step.outputs):
                 s = Signal(s.df.cache(), s.channels, s.rate, s.sizes)
             store |= dict.fromkeys(step.outputs, s)
-        return {n: _only(store[n], n) for n in (store if outputs is None else outputs) if n in store}
+        return store
 
 
 def _only(s: Signal, name: str) -> Signal:

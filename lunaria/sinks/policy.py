@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ExistingOutput
@@ -33,6 +33,12 @@ def exists(df: DataFrame, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a temporary table of this package's own."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def replace(df: DataFrame, new: str, path: str) -> None:
     """Puts a folder that was written as a whole in the place of another; the old one goes last."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
