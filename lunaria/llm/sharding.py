@@ -93,13 +93,14 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     below = F.coalesce(F.size(F.filter("heavy", lambda x: x < F.col("h"))), F.lit(0))
     rows = rows.select("parent", F.when(F.col("heavy").isNull(), 0).otherwise(below).cast("long").alias("sub"), "h", "bytes")
 
-    def summed(rows: DataFrame) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
-        sums = cut(rows.groupBy(KEY).agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "segments")
-        return sums, [tuple(r) for r in sums.select("lo", "hi", "bytes", "n").collect()]
+    levels: list[tuple[DataFrame, dict[int, tuple[int, int, int]]]] = []  # groups, and (parent, sub, highest hash) of segments by lowest hash
 
-    sums, found = summed(rows)
-    seg = _Segments(found + [(r.h, r.h, r.bytes, 1) for r in alone.select("h", "bytes").collect()])
-    levels = [(rows, sums, {r[0] for r in found})]  # the groups, the sums and the segments of each level
+    def summed(rows: DataFrame) -> list[tuple[int, int, int, int]]:
+        sums = rows.groupBy(KEY).agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+        levels.append((rows, {r.lo: (r.parent, r["sub"], r.hi) for r in sums}))
+        return [(r.lo, r.hi, r.bytes, r.n) for r in sums]
+
+    seg = _Segments(summed(rows) + [(r.h, r.h, r.bytes, 1) for r in alone.select("h", "bytes").collect()])
     while True:
         least = max(largest, -(-total // shards))
         high = seg.search(lambda c: seg.edges[seg.whole(c, shards)[-1]], least, total)
@@ -109,16 +110,14 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
             ends = seg.whole(high, shards)
             return high, [seg.rows[k][0] for k in ends[:-1] if k < len(seg.rows)]
         gone, more = {seg.rows[k][0] for k in split}, []
-        for rows, sums, own in list(levels):
-            if not (mine := gone & own):
+        for rows, own in list(levels):
+            if not (mine := sorted(gone & own.keys())):
                 continue
-            own -= mine
-            chosen = sums.where(F.col("lo").isin(sorted(mine))).select(*KEY, "lo", F.expr(f"(hi - lo) div {FAN} + 1").alias("step"))
+            parts = [(*own[lo][:2], lo, (own.pop(lo)[2] - lo) // FAN + 1) for lo in mine]
+            values = ", ".join(f"({p}L, {s}L, {lo}L, {step}L)" for p, s, lo, step in parts)  # SPLIT rows at most
+            chosen = groups.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(parent, sub, lo, step)")
             finer = rows.join(F.broadcast(chosen), KEY).select(F.col("lo").alias("parent"), F.expr("(h - lo) div step").alias("sub"), "h", "bytes")
-            finer = cut(finer, "split")
-            new_sums, found = summed(finer)
-            levels.append((finer, new_sums, {r[0] for r in found}))
-            more += found
+            more += summed(cut(finer, "split"))
         seg = _Segments([r for k, r in enumerate(seg.rows) if k not in set(split)] + more)
 
 
