@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Fixed patterns of the contract (letters of the first in either case), and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a run of 20 or more: as AKIA[A-Z0-9]+ with shorter ones dropped
@@ -42,6 +44,7 @@ LETTER = re.compile(r"[A-Za-z]")  # dates and numbers are none
 AROUND = 256
 #: Words of the dictionary, and pieces of a string that are looked up in it: a string that is for KNOWN of its characters such words is an identifier.
 PARTS, KNOWN = 4_000, 0.5
+COMMON = 250_000
 PIECE = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
 LEVEL = 9
 #: Strings of either sort that thresholds are measured on, by length in steps of STEP up to LONGEST.
@@ -188,9 +191,12 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, most: int = PARTS) -> Novelty:
     """The measure with the `most` commonest words (as they are spelt) of all documents: a dictionary's size
-    is bounded by what it is for. Only words that occur twice count; ties go by the word."""
-    counts = docs.select("text").mapInArrow(_parts, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
-    rows = counts.where("n > 1 and length(part) <= 64").orderBy(F.desc("n"), "part").limit(most).collect()
+    is bounded by what it is for. Only words that occur twice, and once in COMMON words, count (so that
+    COMMON at most are ordered, however many there are); ties go by the word."""
+    counts = cut(docs.select("text").mapInArrow(_parts, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")), "words")
+    every = counts.agg(F.sum("n")).first()[0] or 0
+    common = counts.where((F.col("n") > 1) & (F.col("n") >= every / COMMON) & (F.length("part") <= 64))
+    rows = common.orderBy(F.desc("n"), "part").limit(most).collect()
     return Novelty([r.part for r in rows])
 
 
