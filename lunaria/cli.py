@@ -59,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--channels", action="append", required=True, help="A,B: a channel group")
         if name == "score":
             s.add_argument("--threshold", type=float, default=0.0)
+            s.add_argument("--confidences", action="store_true", help="class probabilities instead of stages")
+            s.add_argument("--each", action="store_true", help="the channel groups' own rows as well")
+            s.add_argument("--no-filter", action="store_true")
         if name == "usability":
             s.add_argument("--movement", required=True)
             s.add_argument("--features", type=int, required=True)
@@ -99,7 +102,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         elif a.job == "features":
             jobs.export_features(spark, config, a.eeg, out, a.eog, a.rate, a.test_share, existing=existing, on_error=on_error)
         elif a.job == "score":
-            jobs.score_stages(spark, config, [g.split(",") for g in a.channels], factory(a.model), out, a.threshold, on_error=on_error)
+            jobs.score_stages(spark, config, [g.split(",") for g in a.channels], factory(a.model), out, a.threshold, on_error=on_error, confidences=a.confidences, each=a.each, filtered=not a.no_filter)
         else:
             eeg = [c for g in a.channels for c in g.split(",")]
             loaded = jobs.load_edf(spark, config, [*eeg, a.movement], on_error)

@@ -131,23 +131,40 @@ def export_intervals(spark: SparkSession, config: DatasetConfig, pulse: str, roo
     return out
 
 
-def score_stages(spark: SparkSession, config: DatasetConfig, groups: Sequence[Sequence[str]], factory: Callable, root: str, threshold: float = 0.0, low: float = 0.3, high: float = 30.0, model_rate: float = 128.0, on_error: OnError = OnError.RAISE) -> DataFrame:
-    """(recording_id, epoch_idx, stage): band-pass, resample, a model per channel group, the consensus
-    of the groups' confident labels; written as CSV."""
+AGGREGATED = "aggregated"
+
+
+def score_stages(
+    spark: SparkSession, config: DatasetConfig, groups: Sequence[Sequence[str]], factory: Callable, root: str, threshold: float = 0.0, low: float = 0.3, high: float = 30.0, model_rate: float = 128.0,
+    on_error: OnError = OnError.RAISE, confidences: bool = False, each: bool = False, filtered: bool = True,
+) -> DataFrame:
+    """(recording_id, channel_group, epoch_idx, stage): band-pass (unless filtered is off), resample, a model
+    per channel group, the consensus of the groups' confident labels, as group 'aggregated'; written as CSV.
+
+    With confidences the rows are (recording_id, channel_group, epoch_idx, class_idx, prob) instead, and
+    the groups' probabilities are averaged. With each, every group's own rows stand beside the aggregate.
+    """
     names = sorted({c for g in groups for c in g})
     loaded = load_edf(spark, config, names, on_error)
-    votes = None
+    key, scored = ("recording_id", "channel_group", "epoch_idx"), None
     for g in groups:
         signal = None
         for c in g:
             s = loaded.signals[c]
-            clean = dsp.resample_signal(dsp.fir_filter(s.df, s.rate, low, min(high, 0.45 * s.rate)), s.rate, model_rate)
+            clean = dsp.fir_filter(s.df, s.rate, low, min(high, 0.45 * s.rate)) if filtered else s.df
+            clean = dsp.resample_signal(clean, s.rate, model_rate)
             signal = clean if signal is None else signal.unionByName(clean)
-        y = models.score_sleep(signal, model_rate, [g], factory, EPOCH_S)
-        v = y.select("recording_id", "epoch_idx", scores.confident("probs", threshold).alias("label"))
-        votes = v if votes is None else votes.unionByName(v)
-    out = scores.consensus_many(votes).withColumnRenamed("label", "stage")
-    export.write_csv(out.repartition("recording_id").sortWithinPartitions("recording_id", "epoch_idx"), root)
+        y = models.score_sleep(signal, model_rate, [g], factory, EPOCH_S).select("recording_id", F.lit("+".join(g)).alias("channel_group"), "epoch_idx", "probs")
+        scored = y if scored is None else scored.unionByName(y)
+    if confidences:
+        own = scores.mean_groups(scored, key)
+        whole = own.groupBy("recording_id", "epoch_idx", "class_idx").agg(F.avg("prob").alias("prob"))
+    else:
+        own = scored.select(*key, scores.confident("probs", threshold).alias("stage"))
+        whole = scores.consensus_many(own.withColumnRenamed("stage", "label")).withColumnRenamed("label", "stage")
+    out = whole.withColumn("channel_group", F.lit(AGGREGATED)).select(*own.columns)
+    out = out.unionByName(own) if each else out
+    export.write_csv(out.repartition("recording_id").sortWithinPartitions(*key), root)
     return out
 
 

@@ -72,7 +72,10 @@ def test_command_line(spark, nights, tmp_path, capsys):
     assert all(r.bpm == pytest.approx(75, rel=0.05) for r in ibi.collect()) and ibi.count() == 2
     cli.main(["score", *base, "--out", str(tmp_path / "s"), "--model", "test_jobs:steady", "--channels", "EEG_L", "--threshold", "0.6"], spark)
     stages = spark.read.csv(str(tmp_path / "s/d"), header=True, inferSchema=True).collect()
-    assert len(stages) == 7 and {r.stage for r in stages} == {1}
+    assert len(stages) == 7 and {(r.stage, r.channel_group) for r in stages} == {(1, "aggregated")}
+    cli.main(["score", *base, "--out", str(tmp_path / "c"), "--model", "test_jobs:steady", "--channels", "EEG_L", "--channels", "PPG", "--confidences", "--each", "--no-filter"], spark)
+    probs = spark.read.csv(str(tmp_path / "c/d"), header=True, inferSchema=True).collect()
+    assert {(r.channel_group, r.class_idx, round(r.prob, 6)) for r in probs} == {(g, k, p) for g in ("aggregated", "EEG_L", "PPG") for k, p in enumerate((0.1, 0.7, 0.2))}
     cli.main(["usability", *base, "--out", str(tmp_path / "u"), "--model", "test_jobs:steady", "--channels", "EEG_L,PPG", "--movement", "PPG", "--features", "516"], spark)
     assert spark.read.csv(str(tmp_path / "u/d"), header=True).count() == 18
 
