@@ -453,25 +453,27 @@ class _Join:
         shared = part.where("sig is null").select("low", "id", "n").union(met.select("low", "id", "n"))
         return cut(shared.dropDuplicates(["low", "id"]), "shared")
 
-    def candidates(self, members: DataFrame, leaders: bool) -> tuple[DataFrame, DataFrame]:
+    def candidates(self, members: DataFrame, leaders: bool, turn: int = 0) -> tuple[DataFrame, DataFrame, bool]:
         """(pairs(a, b) of members(low, id, n, label) of one group that have different labels and may link;
-        the groups (low) of which not all such pairs have been tried). Groups above TILE rows are split
-        by salts of the ids (with leaders) or into tiles, which are pairs of salts."""
+        the groups (low) of which not all such pairs have been tried; whether any was split). Groups above
+        TILE rows are split by salts of the ids, other ones at each turn (with leaders), or into tiles,
+        which are pairs of salts."""
         counts = members.groupBy("low").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l1"), F.max("label").alias("l2"))
         salts = F.ceil(F.col("rows") / TILE) if leaders else F.ceil(F.sqrt(F.col("rows") / UNIT))
         counts = cut(counts.select("low", (F.col("l1") == F.col("l2")).alias("one"), salts.cast("int").alias("salts")).where("one or salts > 1"), "counts")
         chosen = counts.where("not one").select("low", "salts")
         x = members if leaders else members.join(cut(counts.where("one").select("low"), "one"), "low", "left_anti")
         # the groups above a tile are few, so the members need not be shuffled to them
-        x = x.join(cut(chosen, "large"), "low", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        x = x.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+        large = cut(chosen, "large")
+        x = x.join(large, "low", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        x = x.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(turn)), F.col("salts")).cast("int"))
         others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
         x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
         x = x.join(self.marks.drop("docs"), "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
         x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_group_pairs(self.percent, leaders), "a long, b long"), "found")
-        left = found.where("b is null").select(F.col("a").alias("low")).union(chosen.select("low"))  # salts apart have not met
-        return found.where("b is not null").distinct(), cut(left.distinct(), "unfinished")
+        left = found.where("b is null").select(F.col("a").alias("low")).union(large.select("low"))  # salts apart have not met
+        return found.where("b is not null").distinct(), cut(left.distinct(), "unfinished"), leaders and not large.isEmpty()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
@@ -485,17 +487,27 @@ class _Join:
         """(links between representatives that connect the components, labels(id, label)). Pairs that
         already share a component are not tried."""
         shared = self.members()
-        pairs, unfinished = self.candidates(shared.withColumn("label", F.col("id")), True)
-        done = self.verified(cut(pairs, "pairs"))
-        labels = components(done.where("linked"))
-        own = labels.select("id", F.col("label").alias("l"))
-        rest = shared.join(unfinished, "low", "left_semi").join(own, "id", "left").select("low", "id", "n", F.coalesce("l", "id").alias("label"))
-        pairs = cut(self.candidates(rest, False)[0].join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
+        rest, done, labels, turn = shared.withColumn("label", F.col("id")), None, None, 0
+        leaders = split = True
+        while leaders:
+            # salts of a split group do not meet: it is dealt anew, with the labels so far, while that finds
+            # links, so that copies by the million merge by one link each and not by all their pairs
+            leaders = split
+            pairs, unfinished, split = self.candidates(rest, leaders, turn)
+            if done is not None:
+                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+            pairs, turn = cut(pairs, "pairs"), turn + 1
+            if done is not None and pairs.isEmpty():
+                split = False
+                continue
             more = self.verified(pairs)
-            done = done.union(more)
-            if not more.where("linked").isEmpty():
+            done = more if done is None else done.union(more)
+            if labels is None or not more.where("linked").isEmpty():
                 labels = components(done.where("linked"))
+            else:
+                split = False
+            own = labels.select("id", F.col("label").alias("l"))
+            rest = shared.join(unfinished, "low", "left_semi").join(own, "id", "left").select("low", "id", "n", F.coalesce("l", "id").alias("label"))
         return done.where("linked").select("a", "b"), labels
 
 

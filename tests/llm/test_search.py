@@ -123,6 +123,24 @@ def test_components_through_tiles(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == {i: c for i, (_, c) in want.items()}
 
 
+def test_many_copies_cost_one_link_each(spark, monkeypatch):
+    """A group that is dealt to many salts merges by about one verification a member and turn."""
+    monkeypatch.setattr(jaccard, "TILE", 10)
+    counts, verified = [], jaccard._Join.verified
+
+    def counted(self, pairs):
+        counts.append(pairs.count())
+        return verified(self, pairs)
+
+    monkeypatch.setattr(jaccard._Join, "verified", counted)
+    rng = random.Random(7)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(150))
+    rows = [(i, family(rng, base, 1)) for i in range(200)]
+    out = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert {r.component_id for r in out} == {0}
+    assert sum(counts) < 5 * len(rows)  # all pairs would be 19,900
+
+
 def test_components_by_deletions(spark):
     """Planned for large bands, small documents are found by one-deletion neighbourhoods."""
     large = 10**9
