@@ -1,6 +1,6 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, scored in context windows.
 
-The lexicon is learned: terms that occur in many contexts of toxic documents and in next to no
+The lexicon is learned: terms that occur in many contexts of toxic documents and in few
 others. Its trie is intersected with the Levenshtein automata of its terms (swapped neighbours count as
 one edit) into one deterministic automaton: the subset construction over trie node and edits, done for
 the states that the words of a corpus reach. It runs over all words of a chunk at once. Hits are weighed
@@ -24,7 +24,9 @@ from .quality import labelled_sample, with_score
 
 #: Documented bound: labelled rows that lexicon and weights are fitted on.
 FIT_ROWS = 20_000
-MIN_CONTEXTS = 3
+#: Contexts that a term has at least, and the share of them that is toxic; what else speaks for or against a
+#: document is left to the weights.
+MIN_CONTEXTS, PURE = 3, 0.8
 #: Letters of a term at least, and states that a task keeps before it begins anew.
 LEAST, STATES = 4, 1 << 17
 WINDOW = 50
@@ -335,14 +337,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 30
 
 
 def choose_terms(seen: DataFrame, share: float, words: int) -> list[str]:
-    """Terms and stems of (word, before, y) contexts that occur in toxic contexts (nearly) alone, and in
+    """Terms and stems of (word, before, y) contexts that occur in toxic contexts for the most part, and in
     so many that chance (the toxic share of all contexts, over all words) does not explain it. Contexts
     are counted, not documents: copies of one text repeat its contexts. Words of a chosen stem go. All that
     pass are kept; the sample bounds their number."""
     if not 0 < share < 1:
         return []
     least = max(MIN_CONTEXTS, int(np.ceil((np.log(max(words, 1)) - np.log(CHANCE)) / -np.log(share))))
-    picked = lambda df: df.where((F.col("bad") >= least) & (F.col("bad") >= 0.95 * F.col("all")))
+    picked = lambda df: df.where((F.col("bad") >= least) & (F.col("bad") >= PURE * F.col("all")))
     counts = seen.groupBy("word").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("all"))
     stems = counts.select(F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in range(STEM[0], STEM[1] + 1)])).alias("stem"), "bad", "all").where("stem is not null")
     stems = stems.groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("all").alias("all"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS)
