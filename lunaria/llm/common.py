@@ -53,11 +53,23 @@ def own_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, tag: str = "t") -> DataFrame:
     """Writes df to the shared folder and reads it back: later stages survive lost executors and
     nothing above is computed twice."""
+    return cut_at(df, tag)[0]
+
+
+def cut_at(df: DataFrame, tag: str = "t") -> tuple[DataFrame, str]:
+    """cut, with the path for `discard`."""
     spark = df.sparkSession
     path = f"{own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes one table that `cut_at` has written, when nothing reads it any more."""
+    remove(spark, path)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, cut, mix, shingle_set, text_chunks
+from .common import Words, cut, cut_at, discard, mix, shingle_set, text_chunks
 from .components import components
 
 BAND = 1.5
@@ -404,7 +404,7 @@ def _verify(n: int, percent: int):
 
 
 #: Rows of a group that one task compares with leaders; what would be more is dealt out.
-TILE = 4_000
+TILE = 20_000
 #: Where all pairs are compared, a group of n rows is dealt to tiles of its root: sqrt(n x UNIT) rows on
 #: either side, so that copies (n^1.5) and a tile's comparisons (n) both grow less than the pairs do.
 UNIT = 200
@@ -478,10 +478,12 @@ class _Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with linked; both texts are fetched once more, only for documents in pairs."""
         ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        texts = cut(self.texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        texts, path = cut_at(self.texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
         full = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         full = full.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
-        return cut(full.mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "verified")
+        out = cut(full.mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "verified")
+        discard(texts.sparkSession, path)
+        return out
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(links between representatives that connect the components, labels(id, label)). Pairs that
