@@ -8,17 +8,17 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .errors import AnnotationsMissing, MissingChannel, RateMismatch
+from .errors import AnnotationsMissing, ChannelCountMismatch, MissingChannel, RateMismatch
 from .operators import aggregate, dsp, evaluate, features, merge, metrics, models, scores, select, train
 from .plans.pipeline import Pipeline, rename_only
-from .plans.transforms import Signal
+from .plans.transforms import Signal, fir, resample_to, stacked
 from .schema import EPOCH_S, SHORT_LABELS, STAGE_CLASSES, UNKNOWN, UNSCORED
 from .sinks import export
 from .sinks.policy import Existing, OnError, delete, exists
-from .sources import edf, recordings, store, text
+from .sources import edf, edfsource, recordings, store, text
 from .sources.recordings import DatasetConfig
 
 
@@ -49,20 +49,37 @@ def load_edf(spark: SparkSession, config: DatasetConfig, channels: Sequence[str]
     errors = state.where(F.size("lost") > 0).select("recording_id", F.concat(F.lit("missing channels: "), F.array_join("lost", ", ")).alias("error_message"))
     if on_error is OnError.RAISE and (first := errors.limit(1).collect()):
         raise MissingChannel(f"{first[0].recording_id}: {first[0].error_message}")
-    fine = state.where(F.size("lost") == 0).select(*recs.columns)
+    # a row a recording, kept: Spark then knows its size, so blocks of samples are not shuffled to it
+    fine = state.where(F.size("lost") == 0).select(*recs.columns).persist()
+    several = fine.count()
+    own = annotations(spark, config, fine) if config.scoring_pattern else None
+    if not several:
+        return Loaded(fine, {}, own, errors)
     # when resuming, only the folders that are left are listed (a path a recording); otherwise the pattern is
     paths = glob if done is None else [r.folder.replace("%20", " ") for r in fine.select("folder").collect()]
-    named = lambda df: df.withColumn("folder", folder).withColumn("channel", stem).where(F.col("channel").isin(*channels)).join(fine.select("folder", "recording_id"), "folder")
+    named = lambda df: df.withColumn("channel", stem).withColumn("place", _place(folder)).join(fine.select(_place(F.col("folder")).alias("place"), "recording_id"), "place")
+    ranged = edfsource.readable(config.data_dir)
+    heads = edfsource.read_headers(spark, paths, channels) if ranged else edf.read_rates(spark, paths, channels).withColumn("n_samples", F.lit(None).cast("long"))
+    heads = named(heads).select("recording_id", "channel", "sample_rate", F.col("n_samples").alias("n")).persist()
     rates: dict[str, set[float]] = {c: set() for c in channels}
-    if not paths:
-        return Loaded(fine, {}, annotations(spark, config, fine) if config.scoring_pattern else None, errors)
-    for r in named(edf.read_rates(spark, paths, channels)).select("channel", "sample_rate").distinct().collect():  # a row per channel and rate
+    for r in heads.select("channel", "sample_rate").distinct().collect():  # a row per channel and rate
         rates[r.channel].add(r.sample_rate)
     if odd := [c for c, r in rates.items() if len(r) > 1]:
         raise RateMismatch(f"{config.name}: {', '.join(odd)} have several rates")
-    long = edf.to_long(named(edf.read_edf(spark, paths, channels)), ("recording_id",))
-    signals = {c: Signal(long.where(F.col("channel") == c), (c,), min(r)) for c, r in rates.items() if r}
-    return Loaded(fine, signals, annotations(spark, config, fine) if config.scoring_pattern else None, errors)
+    if (two := heads.groupBy("recording_id", "channel").count().where("count > 1").first()) is not None:
+        raise ChannelCountMismatch(f"{two.recording_id}: the file {two.channel} holds {two['count']} signals")
+    signals = {}
+    for c, r in rates.items():  # a plan of its own for each channel, which opens that channel's files alone
+        if r:
+            blocks = edfsource.read_signals(spark, paths, [c]) if ranged else edf.read_edf(spark, paths, [c])
+            sizes = heads.where(F.col("channel") == c).select("recording_id", "channel", "n") if ranged else None
+            signals[c] = Signal(edf.to_long(named(blocks), ("recording_id",)), (c,), min(r), sizes)
+    return Loaded(fine, signals, own, errors)
+
+
+def _place(folder: Column) -> Column:
+    """A folder's path in one spelling, as Spark's readers and Arrow's differ in theirs."""
+    return F.regexp_replace(F.replace(folder, F.lit("%20"), F.lit(" ")), r"^([A-Za-z0-9]+):/+", "$1:/")
 
 
 def annotation_codes(spark: SparkSession, config: DatasetConfig, recs: DataFrame, annotation_type: str = text.SLEEP_STAGE) -> DataFrame:
@@ -138,33 +155,30 @@ def score_stages(
     spark: SparkSession, config: DatasetConfig, groups: Sequence[Sequence[str]], factory: Callable, root: str, threshold: float = 0.0, low: float = 0.3, high: float = 30.0, model_rate: float = 128.0,
     on_error: OnError = OnError.RAISE, confidences: bool = False, each: bool = False, filtered: bool = True,
 ) -> DataFrame:
-    """(recording_id, channel_group, epoch_idx, stage): band-pass (unless filtered is off), resample, a model
-    per channel group, the consensus of the groups' confident labels, as group 'aggregated'; written as CSV.
+    """(recording_id, channel_group, epoch_idx, ts_ns, stage): band-pass (unless filtered is off), resample, a
+    model per channel group, the consensus of the groups' confident labels, as group 'aggregated'; written as
+    CSV. ts_ns is the time of a prediction, the middle of its samples.
 
-    With confidences the rows are (recording_id, channel_group, epoch_idx, class_idx, prob) instead, and
+    With confidences the rows are (recording_id, channel_group, epoch_idx, ts_ns, class_idx, prob) instead, and
     the groups' probabilities are averaged. With each, every group's own rows stand beside the aggregate.
     """
     names = sorted({c for g in groups for c in g})
     loaded = load_edf(spark, config, names, on_error)
-    key, scored = ("recording_id", "channel_group", "epoch_idx"), None
-    for g in groups:
-        signal = None
-        for c in g:
-            s = loaded.signals[c]
-            clean = dsp.fir_filter(s.df, s.rate, low, min(high, 0.45 * s.rate)) if filtered else s.df
-            clean = dsp.resample_signal(clean, s.rate, model_rate)
-            signal = clean if signal is None else signal.unionByName(clean)
-        y = models.score_sleep(signal, model_rate, [g], factory, EPOCH_S).select("recording_id", F.lit("+".join(g)).alias("channel_group"), "epoch_idx", "probs")
-        scored = y if scored is None else scored.unionByName(y)
+    key, given = ("recording_id", "channel_group", "epoch_idx", "ts_ns"), list(loaded.signals.values())
+    if not given:
+        raise MissingChannel(f"{config.name}: no recording has all of {', '.join(names)}")
+    clean = [fir(s, low, min(high, 0.45 * s.rate)) if filtered else s for s in given]
+    signal = stacked([resample_to(s, model_rate) for s in clean])
+    scored = models.score_groups(signal.df, model_rate, groups, factory, EPOCH_S, times=given[0].rate)
     if confidences:
         own = scores.mean_groups(scored, key)
-        whole = own.groupBy("recording_id", "epoch_idx", "class_idx").agg(F.avg("prob").alias("prob"))
+        whole = own.groupBy("recording_id", "epoch_idx", "ts_ns", "class_idx").agg(F.avg("prob").alias("prob"))
     else:
         own = scored.select(*key, scores.confident("probs", threshold).alias("stage"))
-        whole = scores.consensus_many(own.withColumnRenamed("stage", "label")).withColumnRenamed("label", "stage")
+        whole = scores.consensus_many(own.withColumnRenamed("stage", "label"), ("recording_id", "epoch_idx", "ts_ns")).withColumnRenamed("label", "stage")
     out = whole.withColumn("channel_group", F.lit(AGGREGATED)).select(*own.columns)
     out = out.unionByName(own) if each else out
-    export.write_csv(out.repartition("recording_id").sortWithinPartitions(*key), root)
+    export.write_csv(out.repartition("recording_id").sortWithinPartitions(*key[:3]), root)
     return out
 
 

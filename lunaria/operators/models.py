@@ -7,11 +7,13 @@ factory (so it need not be picklable) and maps an array to class scores.
 from __future__ import annotations
 
 import functools
+import operator
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import LunariaError
@@ -65,6 +67,32 @@ def window_offset(rate: float, samples: int) -> int:
     return int(np.mean((np.arange(max(1, samples)) * (1e9 / rate)).astype(np.int64)))
 
 
+def prediction_time(epoch: Column, period_s: float, rate: float, start_ns: int = 0) -> Column:
+    """The time (ns) of each prediction of period_s seconds: whole periods after the middle of the first
+    one's samples in the signal as recorded, at `rate`."""
+    return (epoch * F.lit(period_s * 1e9)).cast("long") + F.lit(window_offset(rate, int(period_s * rate)) + start_ns)
+
+
+def score_groups(signal: DataFrame, rate: float, groups: Sequence[Sequence[str]], factory: Callable[[], Predict], period_s: float = 30.0, n_periods: int | None = None, times: float | None = None) -> DataFrame:
+    """(recording_id, channel_group, epoch_idx, probs): each channel group scored by itself, channels named in
+    order. All channels are framed in one shuffle; a group's predictions end where its shortest channel does.
+    With n_periods the model gets (batch, n_periods, samples, channels), and periods after the last whole
+    multiple of n_periods are dropped; epoch_idx then counts the model's predictions. With times, the rate of
+    the signal as recorded, a column ts_ns (before probs) says when each prediction is made."""
+    names = list(dict.fromkeys(c for g in groups for c in g))
+    length, out = segment_length(period_s, rate) * (n_periods or 1), None
+    wide = frame_channels(signal, names, length, whole=False)
+    for g in groups:
+        columns = [f"c{names.index(c)}" for c in g]
+        full = reduce(operator.and_, [F.size(c) == length for c in columns])
+        y = predict_epochs(wide.where(full), columns, factory, periods=n_periods).withColumnRenamed("period_idx", "epoch_idx")
+        y = y.select(*KEY, F.lit("+".join(g)).alias("channel_group"), "epoch_idx", "probs")
+        out = y if out is None else out.unionByName(y)
+    if times is not None:
+        out = out.withColumn("ts_ns", prediction_time(F.col("epoch_idx"), period_s, times))
+    return out
+
+
 def score_sleep(signal: DataFrame, rate: float, groups: Sequence[Sequence[str]], factory: Callable[[], Predict], period_s: float = 30.0, channels: Sequence[str] | None = None, n_periods: int | None = None) -> DataFrame:
     """(recording_id, epoch_idx, probs, stage): each channel group is scored, scores are averaged, the
     tail of a recording is dropped. All channels are framed in one shuffle.

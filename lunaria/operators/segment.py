@@ -37,14 +37,14 @@ def frame_periods(signal: DataFrame, length: int, strict: bool = True, first: in
     return df.groupBy(*key, "period_idx").agg(F.transform(ordered, lambda s: s["value"]).alias("samples"))
 
 
-def frame_channels(signal: DataFrame, channels: Sequence[str], length: int, key: Sequence[str] = KEY) -> DataFrame:
+def frame_channels(signal: DataFrame, channels: Sequence[str], length: int, key: Sequence[str] = KEY, whole: bool = True) -> DataFrame:
     """(key, period_idx, c0, c1, ...): the samples of all channels side by side, in one shuffle. Periods in
-    which a channel has fewer samples than length (the tail) are dropped."""
+    which a channel has fewer samples than length (the tail) are dropped, unless whole is off."""
     own = signal.where(F.col("channel").isin(*channels))
     at = F.struct(INDEX, F.col("value").cast("double").alias("value"))
     lists = [F.array_sort(F.collect_list(F.when(F.col("channel") == c, at))).alias(f"c{i}") for i, c in enumerate(channels)]
     out = own.groupBy(*key, F.expr(f"{INDEX} div {length}").alias("period_idx")).agg(*lists)
-    for i in range(len(channels)):
+    for i in range(len(channels) if whole else 0):
         out = out.where(F.size(f"c{i}") == length)
     return out.select(*key, "period_idx", *[F.transform(f"c{i}", lambda s: s["value"]).alias(f"c{i}") for i in range(len(channels))])
 

@@ -1,4 +1,5 @@
-"""European Data Format: one file is read by one task; samples come as blocks."""
+"""European Data Format through Spark's binary files, for any store that Spark reads: one file is read whole
+by one task. `edfsource` reads headers and ranges of records alone, where Arrow has a file system."""
 
 from __future__ import annotations
 
@@ -8,30 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schema import HEADBAND_CHANNELS
+from .edfsource import BLOCK_SAMPLES, HEAD, EdfSource, header
 
-BLOCK_SAMPLES = 1 << 16
-SCHEMA = "path string, channel string, unit string, sample_rate double, n_samples long, block_idx long, start_idx long, samples array<double>"
-
-
-#: Bytes of the fixed header and of each signal's header.
-HEAD = 256
-#: Signals that a header pass reads at most; a file of more is read whole later on all the same.
-HEAD_SIGNALS = 64
+__all__ = ["EdfSource", "discover", "files", "header", "parse", "read_edf", "read_rates", "to_long"]
 
-
-def header(data: bytes) -> tuple[int, float, list[list[str]], int]:
-    """(records, seconds a record, the ten fields of all signals, bytes of the header)."""
-    text = lambda a, b: data[a:b].decode("latin-1").strip()
-    records, seconds, ns = int(text(236, 244)), float(text(244, 252)), int(text(252, 256))
-    widths = (16, 80, 8, 8, 8, 8, 8, 80, 8, 32)
-    fields, at = [], HEAD
-    for w in widths:
-        fields.append([text(at + i * w, at + (i + 1) * w) for i in range(ns)])
-        at += w * ns
-    return records, seconds, fields, at
+SCHEMA = "path string, channel string, unit string, sample_rate double, n_samples long, block_idx long, start_idx long, samples array<double>"
 
 
 def parse(data: bytes) -> list[tuple[str, str, float, np.ndarray]]:
@@ -98,7 +82,8 @@ def read_rates(spark: SparkSession, paths: str | list[str], channels: Sequence[s
                 rate += own
             yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(rate, pa.float64())], ["path", "sample_rate"])
 
-    heads = files(spark, paths, channels).select("path", F.substring("content", 1, HEAD * (1 + HEAD_SIGNALS)).alias("head"))
+    size = F.expr(f"{HEAD} * (1 + cast(trim(cast(substring(content, 253, 4) as string)) as int))")  # as the fixed header says
+    heads = files(spark, paths, channels).select("path", F.substring("content", F.lit(1), size).alias("head"))
     return heads.mapInArrow(run, "path string, sample_rate double")
 
 
@@ -112,39 +97,3 @@ def discover(spark: SparkSession, glob: str, channels: Sequence[str] = tuple(HEA
 def to_long(blocks: DataFrame, key: Sequence[str] = ("path",)) -> DataFrame:
     """(key, channel, sample_idx, value) of blocks."""
     return blocks.select(*key, "channel", "start_idx", F.posexplode("samples").alias("k", "value")).select(*key, "channel", (F.col("start_idx") + F.col("k")).alias("sample_idx"), "value")
-
-
-class _Part(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
-
-    def partitions(self) -> list[_Part]:
-        import glob
-
-        return [_Part(p) for p in sorted(glob.glob(self.path))]
-
-    def read(self, partition: _Part) -> Iterator[tuple]:
-        with open(partition.value, "rb") as f:
-            data = f.read()
-        for r in rows(partition.value, data):
-            yield (*r[:-1], r[-1].tolist())
-
-
-class EdfSource(DataSource):
-    """spark.dataSource.register(EdfSource); spark.read.format('edf').load(glob): for folders that all
-    nodes mount. read_edf works on every store."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "edf"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"])
