@@ -19,16 +19,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (five-word shingles, Jaccard 0.8): the smallest id.
-    Rows with a null id stay; of rows that repeat a kept id one stays."""
-    own = cut(jaccard.jaccard_components(docs, 5, 80), "components")
-    key = fresh(docs, "__id")
-    again = F.col("doc_id") == F.col(key)
+    """Keeps one text of each group of near copies (five-word shingles, Jaccard 0.8): one of the smallest id.
+    Texts are told apart, not ids: an id with several texts keeps those that are no copies. Rows with a null
+    id and texts without shingles stay; of rows that repeat an id and its text one stays."""
+    key, mark = fresh(docs, "__id"), fresh(docs, "__text")
+    copies, repeated = (cut(x.select(F.col("doc_id").alias(key), F.col("h").alias(mark)), "copies") for x in jaccard.surplus(docs, 5, 80))
+    same = (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(mark))
     # the copies are a small part or a large one: Spark picks the join by the size of their table
-    out = docs.join(cut(own.where("doc_id <> component_id").select(F.col("doc_id").alias(key)), "copies"), again, "left_anti")
-    twice = cut(own.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key), "repeated")
-    if not twice.isEmpty():
-        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+    out = docs.join(copies, same, "left_anti")
+    if not repeated.isEmpty():
+        again = out.join(repeated, same, "left_semi").withColumn(mark, F.xxhash64("text"))
+        out = out.join(repeated, same, "left_anti").unionByName(again.dropDuplicates(["doc_id", mark]).drop(mark))
     return out
 
 

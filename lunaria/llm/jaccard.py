@@ -3,7 +3,9 @@
 A document is its set of distinct word shingles. Two documents link when
 100 * |intersection| >= percent * |union|.
 
-1. Documents with equal sets form a class (by a 128-bit fingerprint); only the class's smallest id goes on.
+1. Texts with equal sets form a class (by a 128-bit fingerprint), which goes on as one: under its smallest
+   doc_id, or, where that stands for another class already (an id may have several texts), under a number
+   above all ids.
 2. Sizes are cut into bands. For a band, H is the largest symmetric difference that a linked pair
    whose smaller set lies in the band can have. The universe is hashed into segments, and segment i
    gets v_i = 1 (its subset is indexed) or 2 (its subset and all subsets with one element deleted
@@ -131,7 +133,7 @@ def _fingerprints(n: int):
                     f1[i] = mix(s, 21).sum(dtype=np.uint64).astype(np.int64)
                     f2[i] = mix(s, 22).sum(dtype=np.uint64).astype(np.int64)
                     marks.append(sketch(s))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary()), batch.column(2)[lo:hi]], ["doc_id", "n_shingles", "f1", "f2", "sketch", "h"])
 
     return run
 
@@ -415,15 +417,53 @@ SAMPLE, COMMON, COMMON_LEAST = 64, 1_000, 64
 BLOCK, BLOCK_SHINGLES = 500, 500_000
 
 
+_FINGERPRINTS = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, h long"
+_CLASS = ["f1", "f2", "n_shingles"]
+
+
 class _Join:
+    """rows: (doc_id, n_shingles, f1, f2, sketch, h) of all rows, h a hash of the text. classes: (f1, f2,
+    n_shingles, rep, docs, id): smallest doc_id, number of documents, and the number the class goes by.
+    texts: (doc_id, text), where doc_id is a class's number for all its representatives. ties: (a, b)
+    between classes of which one document has texts, or None if there are no such documents."""
+
     def __init__(self, docs: DataFrame, n: int, percent: int, population: int | None = None):
         self.n, self.percent, self.population = n, percent, population
         self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-        self.rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n), "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "sets")
-        classes = self.rows.where("n_shingles > 0").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"))
-        self.classes = cut(classes, "classes")
-        kept = self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id = rep")
-        self.marks = cut(kept.select(F.col("doc_id").alias("id"), "sketch", "docs").dropDuplicates(["id"]), "marks")
+        hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+        self.rows = cut(hashed.mapInArrow(_fingerprints(n), _FINGERPRINTS), "sets")
+        filled = self.rows.where("n_shingles > 0")
+        classes = filled.groupBy(*_CLASS).agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"))
+        self.classes = cut(classes.withColumn("id", F.col("rep")), "classes")
+        own = F.struct(*_CLASS)  # equal for all texts without shingles
+        several = self.rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("lo"), F.max(own).alias("hi"), F.min(F.when(F.col("n_shingles") > 0, own)).alias("main"))
+        self.several, self.ties = cut(several.where("lo <> hi").select("doc_id", "main"), "several"), None
+        if not self.several.isEmpty():
+            self._tell_apart()
+        kept = self.rows.join(self.classes, _CLASS).where("doc_id = rep")
+        self.marks = cut(kept.groupBy("id").agg(F.min("sketch").alias("sketch"), F.min("docs").alias("docs"), F.min("h").alias("h")), "marks")
+
+    def _tell_apart(self) -> None:
+        """Numbers, texts and ties where documents have texts of several classes."""
+        own = F.struct(*_CLASS)
+        shared = self.classes.join(self.several.withColumnRenamed("doc_id", "rep"), "rep")
+        above = max(self.rows.agg(F.max("doc_id")).first()[0], 0) + 1
+        extra = cut(shared.where(own != F.col("main")).select(*_CLASS, (F.lit(above) + F.monotonically_increasing_id()).alias("number")), "numbers")
+        self.classes = cut(self.classes.drop("id").join(extra, _CLASS, "left").withColumn("id", F.coalesce("number", "rep")).drop("number"), "classes")
+        ids = self.several.select("doc_id")
+        theirs = self.texts.join(ids, "doc_id", "left_semi").withColumn("h", F.xxhash64("text"))
+        seen = self.rows.join(ids, "doc_id", "left_semi").join(self.classes, _CLASS).select("doc_id", "h", "id", "rep")
+        member = cut(seen.distinct(), "members")
+        first = member.where("doc_id = rep").groupBy("doc_id", "id").agg(F.min("h").alias("h"))
+        reps = theirs.join(first, ["doc_id", "h"]).select(F.col("id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+        self.texts = self.texts.join(ids, "doc_id", "left_anti").union(cut(reps, "representatives"))
+        lows = member.groupBy("doc_id").agg(F.min("id").alias("a"))
+        self.ties = cut(member.join(lows, "doc_id").select("a", F.col("id").alias("b")).where("a <> b").distinct(), "ties")
+
+    def connected(self, links: DataFrame, tied: bool) -> DataFrame:
+        """(id, label) of the components of links(a, b), and of ties if asked for."""
+        edges = links.select("a", "b")
+        return components(edges if self.ties is None or not tied else edges.union(self.ties))
 
     def members(self) -> DataFrame:
         """(low, id, n): representatives that share a signature, grouped by the lowest id that shares it.
@@ -437,7 +477,7 @@ class _Join:
         found = {r.band: r["count"] for r in self.classes.groupBy(index.alias("band")).count().collect()}  # one row a band
         plans = [allocate(edges[k], edges[k + 1], self.population or found.get(k, 0) + found.get(k + 1, 0), self.percent) for k in range(len(edges) - 1)]
         # the copies are few or many: Spark picks the join by the size of the table that holds them
-        copies = cut(self.rows.join(self.classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id"), "copies")
+        copies = cut(self.rows.join(self.classes, _CLASS).where("doc_id <> rep").join(self.several.select("doc_id"), "doc_id", "left_anti").select("doc_id"), "copies")
         sign = lambda df: df.join(copies, "doc_id", "left_anti").mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
         some = sign(self.texts.where(F.pmod(F.xxhash64(F.lit("some"), "doc_id"), F.lit(SAMPLE)) == 0)).groupBy("sig").agg(F.count(F.lit(1)).alias("rows"))
         least = max(COMMON_LEAST, sum(found.values()) // (SAMPLE * COMMON))
@@ -469,7 +509,7 @@ class _Join:
         x = x.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(turn)), F.col("salts")).cast("int"))
         others = F.array("salt") if leaders else F.sequence(F.lit(0), F.col("salts") - 1)
         x = x.withColumn("other", F.explode(others)).withColumn("t1", F.least("salt", "other")).withColumn("t2", F.greatest("salt", "other"))
-        x = x.join(self.marks.drop("docs"), "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
+        x = x.join(self.marks.select("id", "sketch"), "id").select("low", "t1", "t2", "id", "n", "label", "salt", "sketch")
         x = x.repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_group_pairs(self.percent, leaders), "a long, b long"), "found")
         left = found.where("b is null").select(F.col("a").alias("low")).union(large.select("low"))  # salts apart have not met
@@ -485,9 +525,9 @@ class _Join:
         discard(texts.sparkSession, path)
         return out
 
-    def run(self) -> tuple[DataFrame, DataFrame]:
+    def run(self, tied: bool = True) -> tuple[DataFrame, DataFrame]:
         """(links between representatives that connect the components, labels(id, label)). Pairs that
-        already share a component are not tried."""
+        already share a component are not tried. If tied, the texts of one document are in one component."""
         shared = self.members()
         rest, done, labels, turn = shared.withColumn("label", F.col("id")), None, None, 0
         leaders = split = True
@@ -505,14 +545,13 @@ class _Join:
             more = self.verified(pairs)
             done = more if done is None else done.union(more)
             if labels is None or not more.where("linked").isEmpty():
-                labels = components(done.where("linked"))
+                labels = self.connected(done.where("linked"), tied)
             else:
                 split = False
             own = labels.select("id", F.col("label").alias("l"))
             rest = shared.join(unfinished, "low", "left_semi").join(own, "id", "left").select("low", "id", "n", F.coalesce("l", "id").alias("label"))
         return done.where("linked").select("a", "b"), labels
 
-
     def links(self, counted: bool) -> DataFrame:
         """All links (a, b, tree) between representatives, each once with a < b; those with tree connect the
         components. If counted, the latter alone and rows (a, null, docs), whose sums are the documents that
@@ -520,7 +559,7 @@ class _Join:
         shared = self.members()
         lows = shared.groupBy("id").agg(F.collect_list("low").alias("lows"))
         sizes = shared.groupBy("low").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / UNIT)).cast("int").alias("salts"))
-        x = _tiles(shared, sizes, ["low"], F.xxhash64("id"), "salt", "t1", "t2").join(lows, "id").join(self.marks, "id")
+        x = _tiles(shared, sizes, ["low"], F.xxhash64("id"), "salt", "t1", "t2").join(lows, "id").join(self.marks.drop("h"), "id")
         x = x.select("low", "t1", "t2", "id", "n", "salt", "docs", "lows", "sketch").repartition("low", "t1", "t2").sortWithinPartitions("low", "t1", "t2", "id")
         found = cut(x.mapInArrow(_clusters(self.percent), "cluster long, low long, t1 int, t2 int, id long, n int, salt int, docs long, lows array<long>"), "clusters")
         texts = cut(self.texts.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "texts")
@@ -546,7 +585,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, populatio
 
     component_id is the smallest doc_id reachable by links. A null, empty or blank text has no
     shingles, links with nothing, and is its own component. Rows that repeat a doc_id are one
-    document. A row with a null doc_id links with nothing and has a null component_id. An empty
+    document, whose texts are in one component (but for texts without shingles). A row with a null doc_id links with nothing and has a null component_id. An empty
     table gives an empty result; other columns are ignored. population is the number of documents in a
     size band that signatures are planned for (default: those counted); any plan gives the same result.
     """
@@ -556,12 +595,26 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, populatio
 
 
 def _labelled(join: _Join, labels: DataFrame) -> DataFrame:
-    """The rows with component_id and, of their class, rep and docs."""
-    reps = join.classes.join(labels, join.classes.rep == labels.id, "left").select("f1", "f2", "n_shingles", "rep", "docs", F.coalesce("label", "rep").alias("label"))
-    out = join.rows.join(reps, ["f1", "f2", "n_shingles"], "left")
+    """The rows with component_id and, of their class, id, rep, docs and label."""
+    own = labels.withColumnRenamed("id", "__id")
+    reps = join.classes.join(own, join.classes.id == own["__id"], "left").select(*_CLASS, "id", "rep", "docs", F.coalesce("label", "id").alias("label"))
+    out = join.rows.join(reps, _CLASS, "left")
     return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")))
 
 
+def surplus(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs(doc_id, text) that repeat others, as (doc_id, h), h being xxhash64 of the text: all but one
+    text of each group of texts that links connect, and what occurs in several equal rows. The text that
+    stays is one of the group's smallest doc_id. Rows with a null doc_id and texts without shingles are in no
+    group; a doc_id with several texts may be in the first table with some of them and not with others."""
+    join = _Join(docs, n, percent)
+    own = _labelled(join, join.run(tied=False)[1]).where("doc_id is not null and n_shingles > 0")
+    kept = join.marks.select(F.col("id").alias("__kept"), F.col("h").alias("__h"))
+    best = (F.col("id") == F.col("label")) & (F.col("doc_id") == F.col("rep")) & (F.col("h") == F.col("__h"))
+    again = join.rows.where("doc_id is not null").groupBy("doc_id", "h").count().where("count > 1")
+    return own.join(kept, F.col("id") == F.col("__kept")).where(~best).select("doc_id", "h"), again.select("doc_id", "h")
+
+
 def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """jaccard_components with n_links: the number of other documents that the row links with, copies
     included. All links are found. Rows with a null doc_id have a null n_links and count for nobody;
@@ -570,15 +623,22 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     join = _Join(docs, n, percent)
     links = join.links(True)
     degrees = links.where("b is null").groupBy("a").agg(F.sum("docs").alias("linked"))
-    out = _labelled(join, components(links.where("tree"))).join(degrees, F.col("rep") == F.col("a"), "left")
+    out = _labelled(join, join.connected(links.where("tree"), True)).join(degrees, F.col("id") == F.col("a"), "left")
     count = F.coalesce(F.col("docs") - 1, F.lit(0)) + F.coalesce("linked", F.lit(0))
     return out.select("doc_id", "n_shingles", "component_id", F.when(F.col("doc_id").isNotNull(), count).alias("n_links"))
 
 
 def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """All links (a, b), a < b, between documents with different shingle sets; a class of documents with
-    equal sets is named by its smallest id."""
-    return _Join(docs, n, percent).links(False).select("a", "b")
+    equal sets is named by its smallest id, so that texts of one id may link with each other (a = b)."""
+    join = _Join(docs, n, percent)
+    found = join.links(False).select("a", "b")
+    if join.ties is None:
+        return found
+    names = cut(join.classes.where("id <> rep").select("id", "rep"), "names")
+    for c in ("a", "b"):
+        found = found.join(names, found[c] == names["id"], "left").withColumn(c, F.coalesce("rep", c)).drop("id", "rep")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 #: All pairs that share a shingle, for tables of a few thousand documents.

@@ -94,3 +94,11 @@ def test_queries_with_sql(spark):
 @pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 11)])
 def test_every_query_is_there(name):
     assert sum(q.startswith(name) for q in queries.QUERIES) == 1
+
+
+def test_near_duplicate_stage_tells_texts_of_one_id_apart(spark):
+    a, b = "one text of some eight words or so", "quite another text that holds other words here"
+    rows = [(1, a), (1, b), (2, b), (3, a + " but more"), (3, a), (4, b.upper()), (1, a), (5, None), (5, None), (6, "alone in this table with its words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], DOC)
+    left = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()), key=repr)
+    assert left == sorted([(1, a), (1, b), (3, a + " but more"), (5, None), (6, rows[-1][1])], key=repr)

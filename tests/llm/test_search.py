@@ -383,3 +383,49 @@ def test_edited_copies_against_plain_alignment(kind):
         (_, _, data, offsets) = next(text_chunks(pa.array(texts)))
         got = {d: s for d, _, s, *_ in block.hits(data, offsets)}
         assert got == {d: s for d, s in enumerate(want) if s is not None} and got
+
+
+def brute_rows(rows, n, percent):
+    """(doc_id, n_shingles, component_id, n_links) of each row: texts of equal sets are one class, texts of one id one document."""
+    def shingles(text):
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+        return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+    sets = [shingles(t) for _, t in rows]
+    classes = sorted({s for s in sets if s}, key=sorted)
+    docs = {c: {i for (i, _), s in zip(rows, sets, strict=True) if s == c and i is not None} for c in classes}
+    linked = {c: [d for d in classes if d is not c and 100 * len(c & d) >= percent * len(c | d)] for c in classes}
+    group = {c: k for k, c in enumerate(classes)}
+    while True:
+        low = {c: min([group[c], *(group[d] for d in classes if d in linked[c] or docs[c] & docs[d])]) for c in classes}
+        if low == group:
+            break
+        group = low
+    least = {g: min(i for c in classes if group[c] == g for i in docs[c]) for g in set(group.values()) if any(docs[c] for c in classes if group[c] == g)}
+    out = []
+    for (i, _), s in zip(rows, sets, strict=True):
+        links = None if i is None else len(docs[s]) - 1 + sum(len(docs[d]) for d in linked[s]) if s else 0
+        out.append((i, len(s), None if i is None else least[group[s]] if s else i, links))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_with_several_texts(spark, seed):
+    """An id's texts are told apart: no link is lost, and they are in one component."""
+    rng = random.Random(seed)
+    base = [[f"w{rng.randrange(500)}" for _ in range(40)] for _ in range(6)]
+
+    def near():
+        t = list(rng.choice(base))
+        if rng.random() < 0.6:
+            t[rng.choice([0, 1, 38, 39])] = "edit"
+        return " ".join(t)
+
+    rows = [(rng.randrange(12) if rng.random() < 0.95 else None, rng.choice([near(), near(), near(), "", None, "two words"])) for _ in range(30)]
+    a, b = " ".join(base[0]), " ".join([*base[0][:-1], "changed"])
+    rows += [[], [(105, a), (105, "other text of five words"), (103, "other text of five words"), (109, b)], [(201, "x " * 9 + "y"), (201, a), (202, a)], [(-5, a), (-5, b), (-5, "z y x w v u")]][seed]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, jaccard.jaccard_join(df, 4, 85).collect()), key=repr)
+    assert got == brute_rows(rows, 4, 85)
+    parts = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, 4, 85).collect() if r.doc_id is not None)
+    assert parts == sorted(r[:3] for r in got if r[0] is not None)
