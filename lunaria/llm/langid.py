@@ -91,9 +91,10 @@ class Model:
     def __init__(self, languages: list[str], matrix: np.ndarray, prior: np.ndarray):
         self.languages, self.matrix, self.prior = languages, matrix, prior
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log scores (documents, languages), documents with a letter): the prior plus the n-grams' log
-        probabilities, tempered by their number to at most 50 independent ones."""
+    def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log scores (documents, languages), tempered ones, documents with a letter): the prior plus the
+        n-grams' log probabilities, which decides; and the same with n-grams that count as at most 50
+        independent ones, for a share that tells sure decisions from unsure ones."""
         doc, slot, count, used, some = sparse(data, offsets)
         total = np.zeros((len(used), len(self.languages)))
         weight = count.astype(np.float32)
@@ -102,13 +103,15 @@ class Model:
             for a in range(first[i], first[i + 1], ROWS):  # a long document's slots in blocks
                 part = slice(a, min(a + ROWS, first[i + 1]))
                 total[i] += weight[part] @ self.matrix[slot[part]]
-        return total * np.minimum(1.0, 50 / np.maximum(used, 1))[:, None] + self.prior, some
+        return total + self.prior, total * np.minimum(1.0, 50 / np.maximum(used, 1))[:, None] + self.prior, some
 
 
-def best_of(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per document the best column, its score, and the log of the summed exponentials of all."""
-    top = scores.max(1)
-    return scores.argmax(1), top, top + np.log(np.exp(scores - top[:, None]).sum(1))
+def best_of(scores: np.ndarray, tempered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per document the best column, its score, its tempered score, and the log of the summed exponentials of
+    all tempered ones."""
+    at, top = scores.argmax(1), tempered.max(1)
+    rows = np.arange(len(at))
+    return at, scores[rows, at], tempered[rows, at], top + np.log(np.exp(tempered - top[:, None]).sum(1))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +158,7 @@ def identify(docs: DataFrame, width: int = LANGUAGES) -> DataFrame:
     spark = docs.sparkSession
     models = train(docs, width=width)
     # one matrix is with a task at a time: with more languages than width, the passes hand on the best so far
-    state = docs.select("doc_id", "text", F.lit(UNKNOWN).alias("lang_pred"), F.lit(float("-inf")).alias("top"), F.lit(float("-inf")).alias("all"))
+    state = docs.select("doc_id", "text", F.lit(UNKNOWN).alias("lang_pred"), *[F.lit(float("-inf")).alias(c) for c in ("best", "top", "all")])
     kind = docs.schema["doc_id"].dataType.simpleString()
     for k, model in enumerate(models):
         last = k == len(models) - 1
@@ -166,16 +169,16 @@ def identify(docs: DataFrame, width: int = LANGUAGES) -> DataFrame:
             names = np.array(model.languages, dtype=object)
             for batch in batches:
                 for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                    scores, some = model.scores(data, offsets)
-                    best, top, every = best_of(scores)
-                    old, before, total = (batch.column(i)[lo:hi].to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-                    name = np.where(some & (top > before), names[best], old)
-                    top, every = np.maximum(top, before), np.logaddexp(every, total)
-                    top, every = (np.where(some, x, -np.inf) for x in (top, every))
-                    cols = [batch.column(0)[lo:hi], *([] if last else [batch.column(1)[lo:hi]]), pa.array(name, pa.string()), pa.array(top), pa.array(every)]
-                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", *([] if last else ["text"]), "lang_pred", "top", "all"])
-
-        state = state.mapInArrow(run, f"doc_id {kind}, " + ("" if last else "text string, ") + "lang_pred string, top double, all double")
+                    scores, tempered, some = model.scores(data, offsets)
+                    at, best, top, every = best_of(scores, tempered)
+                    old, *held_best = (batch.column(i)[lo:hi].to_numpy(zero_copy_only=False) for i in (2, 3, 4, 5))
+                    wins = some & (best > held_best[0])
+                    name, best, top = np.where(wins, names[at], old), np.where(wins, best, held_best[0]), np.where(wins, top, held_best[1])
+                    every = np.where(some, np.logaddexp(every, held_best[2]), -np.inf)
+                    cols = [batch.column(0)[lo:hi], *([] if last else [batch.column(1)[lo:hi]]), pa.array(name, pa.string()), pa.array(best), pa.array(top), pa.array(every)]
+                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", *([] if last else ["text"]), "lang_pred", "best", "top", "all"])
+
+        state = state.mapInArrow(run, f"doc_id {kind}, " + ("" if last else "text string, ") + "lang_pred string, best double, top double, all double")
         if not last:
             state = cut(state, "languages")
     score = F.when(F.col("top") > float("-inf"), F.least(F.exp(F.col("top") - F.col("all")), F.lit(1.0))).otherwise(0.0)

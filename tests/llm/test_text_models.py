@@ -130,6 +130,20 @@ def test_language_scores_by_brute_force(spark):
             assert got[i].score == pytest.approx(1 / sum(math.exp(v - score[best]) for v in score.values()), abs=1e-3)
 
 
+def test_long_texts_of_a_rare_close_language(spark):
+    """The evidence of a long text outweighs the prior: 2 of 21 documents are of the rare language."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnop"
+    usual = [1.0] * 16
+    rare = [1.12 if k % 2 else 0.88 for k in range(16)]
+    text = lambda w, n: " ".join("".join(rng.choices(letters, w, k=5)) for _ in range(n))
+    rows = [(i, text(usual, 150) if i % 21 else text(rare, 3000), "aa" if i % 21 else "bb", 0.0, 0) for i in range(1, 421)]
+    rows += [(10_000 + i, text(rare, 3000), None, 0.0, 0) for i in range(12)]
+    out = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, DOC)).collect()}
+    assert sum(out[10_000 + i].lang_pred == "bb" for i in range(12)) >= 11
+    assert sum(out[r[0]].lang_pred == r[2] for r in rows if r[2]) >= 400 and all(0 <= r.score <= 1 for r in out.values())
+
+
 def test_many_languages_cost_little_more():
     import time
 
