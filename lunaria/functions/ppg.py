@@ -26,20 +26,42 @@ def moving_mean(x: np.ndarray, width: int) -> np.ndarray:
     return (total[hi] - total[lo]) / (hi - lo)
 
 
-def elgendi(x: np.ndarray, rate: float, peak_s: float = 0.111, beat_s: float = 0.667, offset: float = 0.02, gap_s: float = 0.3) -> np.ndarray:
+def elgendi_widths(rate: float, peak_s: float = 0.111, beat_s: float = 0.667) -> tuple[int, int, int]:
+    """Samples of the short and of the long moving mean, and of a block at least."""
+    return 2 * int(peak_s * rate / 2) + 1, 2 * int(beat_s * rate / 2) + 1, int(peak_s * rate)
+
+
+def elgendi_blocks(x: np.ndarray, rate: float, level: float, lo: int = 0, hi: int | None = None, offset: float = 0.02) -> np.ndarray:
+    """Rows (first, after the last, place of the highest, its value) of the blocks in which the short mean of
+    the squared positive signal exceeds the long one and a share of its level, among samples lo to hi - 1."""
     squared = np.square(np.maximum(x, 0))
-    short, long = (moving_mean(squared, 2 * int(s * rate / 2) + 1) for s in (peak_s, beat_s))
-    block = short > long + offset * squared.mean()
-    edge = np.diff(np.concatenate([[0], block.astype(np.int8), [0]]))
+    short, long, _ = elgendi_widths(rate)
+    inside = moving_mean(squared, short) > moving_mean(squared, long) + offset * level
+    edge = np.diff(np.concatenate([[0], inside[lo:hi].astype(np.int8), [0]]))
+    a, b = np.flatnonzero(edge == 1) + lo, np.flatnonzero(edge == -1) + lo
+    top = np.array([i + int(np.argmax(x[i:j])) for i, j in zip(a, b, strict=True)], np.int64)
+    return np.column_stack([a, b, top, x[top]]) if len(a) else np.zeros((0, 4))
+
+
+def elgendi_beats(blocks: np.ndarray, rate: float, gap_s: float = 0.3) -> np.ndarray:
+    """Peaks of blocks in order, of which parts that touch are one: long enough, and apart from the peak before."""
     peaks: list[int] = []
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-        if b - a >= int(peak_s * rate):
-            at = a + int(np.argmax(x[a:b]))
-            if not peaks or at - peaks[-1] > gap_s * rate:
-                peaks.append(at)
+    k, least = 0, elgendi_widths(rate)[2]
+    while k < len(blocks):
+        end, best = k, k
+        while end + 1 < len(blocks) and blocks[end + 1, 0] == blocks[end, 1]:
+            end += 1
+            best = end if blocks[end, 3] > blocks[best, 3] else best
+        if blocks[end, 1] - blocks[k, 0] >= least and (not peaks or blocks[best, 2] - peaks[-1] > gap_s * rate):
+            peaks.append(int(blocks[best, 2]))
+        k = end + 1
     return np.array(peaks, np.int64)
 
 
+def elgendi(x: np.ndarray, rate: float) -> np.ndarray:
+    return elgendi_beats(elgendi_blocks(x, rate, float(np.square(np.maximum(x, 0)).mean())), rate)
+
+
 def _multiscale(x: np.ndarray, scales: int) -> np.ndarray:
     t = np.arange(len(x)) - (len(x) - 1) / 2
     x = x - x.mean() - t * ((x * t).sum() / max((t * t).sum(), 1e-12))
@@ -52,20 +74,40 @@ def _multiscale(x: np.ndarray, scales: int) -> np.ndarray:
     return np.flatnonzero(higher[:best].all(0))
 
 
-def bishop(x: np.ndarray, rate: float, window_s: float = 6.0, longest_s: float = 2.0) -> np.ndarray:
-    width, step = max(int(window_s * rate), 8), max(int(window_s * rate * 0.8), 4)
+WINDOW_S, STEP, LONGEST_S, THIN_HZ = 6.0, 0.8, 2.0, 20.0
+
+
+def bishop_windows(rate: float) -> tuple[int, int]:
+    """Samples of a window and from one to the next."""
+    return max(int(WINDOW_S * rate), 8), max(int(WINDOW_S * rate * STEP), 4)
+
+
+def bishop(x: np.ndarray, rate: float, first: int = 0, last: int | None = None, n: int | None = None) -> np.ndarray:
+    """Peaks of windows at whole steps. x may be a part of a signal of n samples that begins with sample `first`
+    (then a whole step); windows that begin before sample `last` are looked at."""
+    width, step = bishop_windows(rate)
+    n = len(x) if n is None else n
     found: set[int] = set()
-    for at in range(0, max(len(x) - width // 4, 1), step):
-        part = x[at : at + width]
-        found.update((at + _multiscale(part, max(1, min(len(part) // 2, int(longest_s * rate / 2))))).tolist())
+    for at in range(first, min(max(n - width // 4, 1), n if last is None else last), step):
+        part = x[at - first : at - first + width]
+        found.update((at + _multiscale(part, max(1, min(len(part) // 2, int(LONGEST_S * rate / 2))))).tolist())
     return np.array(sorted(found), np.int64)
 
 
-def charlton(x: np.ndarray, rate: float, thin_hz: float = 20.0) -> np.ndarray:
-    thin = max(1, int(rate // thin_hz))
-    rough = bishop(x[::thin], rate / thin) * thin
-    fine = [max(0, p - thin) + int(np.argmax(x[max(0, p - thin) : p + thin + 1])) for p in rough]
-    return np.array(sorted(set(fine)), np.int64)
+def thinning(rate: float) -> int:
+    return max(1, int(rate // THIN_HZ))
+
+
+def charlton(x: np.ndarray, rate: float) -> np.ndarray:
+    thin = thinning(rate)
+    return refined(x, bishop(x[::thin], rate / thin) * thin, thin)
+
+
+def refined(x: np.ndarray, rough: np.ndarray, thin: int, first: int = 0) -> np.ndarray:
+    """The highest samples within thin samples of peaks of a thinned signal; x begins with sample `first`."""
+    rough = rough - first
+    fine = [max(0, p - thin) + int(np.argmax(x[max(0, p - thin) : p + thin + 1])) for p in rough.tolist()]
+    return np.array(sorted(set(fine)), np.int64) + first
 
 
 def find_peaks(x: np.ndarray, rate: float, method: str = "elgendi") -> np.ndarray:
@@ -138,27 +180,66 @@ def _slopes_spline(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return _banded(low, mid, up, np.concatenate([[3 * d[0]], 3 * (h[1:] * d[:-1] + h[:-1] * d[1:]), [3 * d[-1]]]))
 
 
-def _quadratic(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Quadratic spline through all points, with knots midway between neighbours but for the outermost
-    two at either end, where one parabola goes on to the end."""
+def _quadratic_spline(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(knots, coefficients) of the quadratic spline through all points, with knots midway between neighbours
+    but for the outermost two at either end, where one parabola goes on to the end."""
     n = len(x)
-    knots = np.concatenate([[x[0]] * 3, ((x[1:] + x[:-1]) / 2)[1:-1], [x[-1]] * 3])
+    t = np.concatenate([[x[0]] * 3, ((x[1:] + x[:-1]) / 2)[1:-1], [x[-1]] * 3])
+    j = np.clip(np.searchsorted(t, x, "right") - 1, 2, n - 1)
+    width = t[j + 1] - t[j]
+    a = (t[j + 1] - x) ** 2 / ((t[j + 1] - t[j - 1]) * width)
+    c = (x - t[j]) ** 2 / ((t[j + 2] - t[j]) * width)
+    rows = np.zeros((n, 5))  # columns i - 2 to i + 2; all but the middle three stay 0
+    for k, part in enumerate((a, 1 - a - c, c)):
+        rows[np.arange(n), j - 2 + k - np.arange(n) + 2] = part
+    return t, _banded(rows[1:, 1], rows[:, 2], rows[:-1, 3], y)
 
-    def basis(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        j = np.clip(np.searchsorted(knots, p, "right") - 1, 2, n - 1)
-        t = knots
-        width = t[j + 1] - t[j]
-        a = (t[j + 1] - p) ** 2 / ((t[j + 1] - t[j - 1]) * width)
-        c = (p - t[j]) ** 2 / ((t[j + 2] - t[j]) * width)
-        return j, np.column_stack([a, 1 - a - c, c])
 
-    j, b = basis(x)
-    rows = np.zeros((n, 5))  # columns i - 2 to i + 2; all but the middle three stay 0
-    for k in range(3):
-        rows[np.arange(n), j - 2 + k - np.arange(n) + 2] = b[:, k]
-    c = _banded(rows[1:, 1], rows[:, 2], rows[:-1, 3], y)
-    j, b = basis(at)
-    return (b * c[j[:, None] + np.arange(-2, 1)]).sum(1)
+#: A curve over samples 0 to n - 1 as rows (first sample, sample after the last, x0, c0, c1, c2, c3): at a sample
+#: i of a row the curve is the polynomial of these coefficients at i - x0.
+def pieces(x: np.ndarray, y: np.ndarray, n: int, method: str = "monotone_cubic") -> np.ndarray:
+    """Interpolation through points (x, y), x being samples in rising order; beyond the ends the end values hold."""
+    if method not in INTERPOLATIONS:
+        raise LunariaError(f"interpolation {method}")
+    x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
+    m, zero = len(x), np.zeros(max(len(x) - 1, 0))
+    flat = lambda lo, hi, v: [lo, hi, lo, v, 0, 0, 0]
+    ends = [flat(0, x[0], y[0]), flat(x[-1], n, y[-1])]
+    if m == 1:
+        body = np.zeros((0, 7))
+    elif method in ("zero", "previous"):
+        body = np.column_stack([x[:-1], x[1:], x[:-1], y[:-1], zero, zero, zero])
+    elif method == "next":
+        ends = [flat(0, x[0] + 1, y[0]), flat(x[-1] + 1, n, y[-1])]
+        body = np.column_stack([x[:-1] + 1, x[1:] + 1, x[:-1], y[1:], zero, zero, zero])
+    elif method == "nearest":
+        half = np.concatenate([[0], np.floor((x[:-1] + x[1:]) / 2) + 1, [n]])
+        return np.column_stack([half[:-1], half[1:], x, y, *[np.zeros(m)] * 3])
+    elif method in ("linear", "slinear") or m < 3:
+        body = np.column_stack([x[:-1], x[1:], x[:-1], y[:-1], np.diff(y) / np.diff(x), zero, zero])
+    elif method == "quadratic":
+        t, c = _quadratic_spline(x, y)
+        j = np.arange(2, m)
+        w = t[j + 1] - t[j]
+        a, b = (c[j - 2] - c[j - 1]) / ((t[j + 1] - t[j - 1]) * w), (c[j] - c[j - 1]) / ((t[j + 2] - t[j]) * w)
+        body = np.column_stack([np.ceil(t[j]), np.ceil(t[j + 1]), t[j], c[j - 1] + a * w * w, -2 * a * w, a + b, np.zeros(len(j))])
+    else:
+        s = {"monotone_cubic": _slopes_monotone, "akima": _slopes_akima, "cubic": _slopes_spline}[method](x, y)
+        h, d = np.diff(x), np.diff(y) / np.diff(x)
+        body = np.column_stack([x[:-1], x[1:], x[:-1], y[:-1], s[:-1], (3 * d - 2 * s[:-1] - s[1:]) / h, (s[:-1] + s[1:] - 2 * d) / h**2])
+    return np.vstack([ends[0], body, ends[1]])
+
+
+def on_pieces(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Values of a curve at samples; NaN where no row holds."""
+    out = np.full(len(at), np.nan)
+    rows = rows[rows[:, 0] < rows[:, 1]]
+    if len(rows):
+        k = np.searchsorted(rows[:, 0], at, "right") - 1
+        held = (k >= 0) & (at < rows[k, 1])
+        r, u = rows[k[held]], at[held] - rows[k[held], 2]
+        out[held] = ((r[:, 6] * u + r[:, 5]) * u + r[:, 4]) * u + r[:, 3]
+    return out
 
 
 def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray, method: str = "monotone_cubic") -> np.ndarray:
@@ -178,7 +259,11 @@ def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray, method: str = "mon
     if method in ("linear", "slinear") or len(x) < 3:
         return np.interp(at, x, y)
     if method == "quadratic":
-        return _quadratic(x, np.asarray(y, np.float64), at)
+        t, c = _quadratic_spline(x, np.asarray(y, np.float64))
+        j = np.clip(np.searchsorted(t, at, "right") - 1, 2, len(x) - 1)
+        w = t[j + 1] - t[j]
+        a, b = (t[j + 1] - at) ** 2 / ((t[j + 1] - t[j - 1]) * w), (at - t[j]) ** 2 / ((t[j + 2] - t[j]) * w)
+        return a * c[j - 2] + (1 - a - b) * c[j - 1] + b * c[j]
     m = {"monotone_cubic": _slopes_monotone, "akima": _slopes_akima, "cubic": _slopes_spline}[method](x, y)
     h = x[k + 1] - x[k]
     t = (at - x[k]) / h
@@ -193,6 +278,24 @@ def beat_series(peaks: np.ndarray, n: int, rate: float, method: str = "monotone_
     return interpolate(peaks.astype(np.float64), np.append(period[0], period), np.arange(n, dtype=np.float64), method)
 
 
+def window_half(peaks: np.ndarray) -> int:
+    """Samples of a beat before and after its peak: half the median interval."""
+    return max(2, int(np.median(np.diff(peaks)) / 2))
+
+
+def likeness(beats: np.ndarray, mean: np.ndarray, method: str) -> np.ndarray:
+    """Quality of beats (rows, each less its own mean), given the mean beat."""
+    if method == "templatematch":
+        scale = np.sqrt((beats**2).sum(1) * (mean**2).sum())
+        return np.divide(beats @ mean, scale, out=np.zeros(len(beats)), where=scale > 0)
+    return np.abs(beats - mean).sum(1) / max(np.abs(mean).sum(), 1e-12)
+
+
+def beat_ends(peaks: np.ndarray, n: int) -> np.ndarray:
+    """Where each beat's stretch of samples ends: midway to the next peak."""
+    return np.append(peaks[:-1] + np.diff(peaks) // 2, n)
+
+
 def beat_quality(x: np.ndarray, peaks: np.ndarray, method: str = "templatematch") -> np.ndarray:
     """A value per sample, held from beat to beat: correlation with the mean beat, or its mean distance."""
     if method not in QUALITY_METHODS:
@@ -200,18 +303,10 @@ def beat_quality(x: np.ndarray, peaks: np.ndarray, method: str = "templatematch"
     out = np.full(len(x), np.nan)
     if len(peaks) < 2:
         return out
-    half = max(2, int(np.median(np.diff(peaks)) / 2))
-    grid = np.arange(-half, half + 1)
-    beats = x[np.clip(peaks[:, None] + grid, 0, len(x) - 1)].astype(np.float64)
+    half = window_half(peaks)
+    beats = x[np.clip(peaks[:, None] + np.arange(-half, half + 1), 0, len(x) - 1)].astype(np.float64)
     beats -= beats.mean(1, keepdims=True)
-    mean = beats.mean(0)
-    if method == "templatematch":
-        scale = np.sqrt((beats**2).sum(1) * (mean**2).sum())
-        q = np.divide(beats @ mean, scale, out=np.zeros(len(beats)), where=scale > 0)
-    else:
-        total = np.abs(beats - mean).sum(1)
-        q = total / max(np.abs(mean).sum(), 1e-12)
-    bound = np.append(peaks[:-1] + np.diff(peaks) // 2, len(x))
+    q, bound = likeness(beats, beats.mean(0), method), beat_ends(peaks, len(x))
     at = 0
     for b, v in zip(bound, q, strict=True):
         out[at:b] = v

@@ -2,8 +2,8 @@
 
 A long night is not one task: filters and resampling run on blocks of BLOCK samples, to which the
 edge samples of their neighbours are copied (the halo is as wide as the kernel reaches), so a block
-gives exactly what the whole signal would. Only true ends are padded. Peak finding needs whole
-recordings, so it has one group for each recording and channel.
+gives exactly what the whole signal would. Only true ends are padded. Pulse waves are processed in blocks
+as well; only what has a row a beat is grouped by recording.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import LunariaError
 from ..functions import fir, ppg, resample, spectro
+from . import pulse
 from .select import INDEX, KEY
 
 BLOCK = 1 << 18
@@ -95,17 +97,156 @@ def resample_signal(signal: DataFrame, rate: float, target: float, key: Sequence
     return _grouped(signal, key, work, block, halo, sizes)
 
 
-def process_ppg(signal: DataFrame, rate: float, peak_method: str = "elgendi", quality_method: str = "templatematch", interpolation: str = "monotone_cubic", correct: bool = False, key: Sequence[str] = KEY) -> DataFrame:
-    """(key, index, clean, peaks, ibi, rate, quality) of each recording's pulse wave."""
-    columns = ("clean", "peaks", "ibi", "rate", "quality")
-
-    def run(t: pa.Table) -> pa.Table:
+def _halo(rate: float, method: str) -> int:
+    """Samples beyond a block that peaks within it can depend on."""
+    if method == "elgendi":
+        return ppg.elgendi_widths(rate)[1] // 2 + 1
+    thin = ppg.thinning(rate) if method == "charlton" else 1
+    return (ppg.bishop_windows(rate / thin)[0] + 2) * thin
+
+
+def _peaks_within(x: np.ndarray, first: int, lo: int, hi: int, n: int, level: float, rate: float, method: str) -> np.ndarray:
+    """Rows (first, after the last, place, value) of a block's candidates for peaks, lo to hi - 1 being the
+    block and x the signal from sample `first` to its halo's end."""
+    if n < 3:
+        return np.zeros((0, 4))
+    if method == "elgendi":
+        rows = ppg.elgendi_blocks(x, rate, level, lo - first, hi - first)
+        return rows + np.array([first, first, first, 0]) if len(rows) else rows
+    thin = ppg.thinning(rate) if method == "charlton" else 1
+    step, up = ppg.bishop_windows(rate / thin)[1], lambda v, by: -(-v // by)
+    start = up(up(lo, thin), step) * step  # the first window that begins in the block, in thinned samples
+    found = ppg.bishop(x[start * thin - first :: thin], rate / thin, start, up(hi, thin), up(n, thin)) * thin if start * thin < hi else np.zeros(0, np.int64)
+    if method == "charlton":
+        found = ppg.refined(x, found, thin, first)
+    return np.column_stack([found, found + 1, found, x[found - first]]) if len(found) else np.zeros((0, 4))
+
+
+def _layout(at: np.ndarray, n: int, rate: float, interpolation: str) -> np.ndarray:
+    """What a recording's beats say about its samples, as rows (kind, lo, hi, x0, c0, c1, c2, c3): 0 a
+    polynomial of the interval, 1 the samples of beat x0, 2 a peak, 3 the window of beat x0 (c0: samples)."""
+    k = np.arange(len(at), dtype=np.float64)
+    row = lambda kind, lo, hi, x0, c0: np.column_stack([np.full(len(at), kind), lo, hi, x0, np.full(len(at), c0), *[np.zeros(len(at))] * 3])
+    peaks = row(2, at, at + 1, k, 0)
+    if len(at) < 2:
+        return peaks
+    period = np.diff(at) / rate
+    curve = ppg.pieces(at, np.append(period[0], period), n, interpolation)
+    ends, half = ppg.beat_ends(at, n), ppg.window_half(at)
+    return np.vstack([np.column_stack([np.zeros(len(curve)), curve]), row(1, np.append(0, ends[:-1]), ends, k, 0), peaks, row(3, at - half, at + half + 1, k, n)])
+
+
+def process_ppg(
+    signal: DataFrame, rate: float, peak_method: str = "elgendi", quality_method: str = "templatematch", interpolation: str = "monotone_cubic", correct: bool = False,
+    key: Sequence[str] = KEY, block: int = BLOCK,
+) -> DataFrame:
+    """(key, index, clean, peaks, ibi, rate, quality) of each recording's pulse wave, block by block.
+
+    Samples are dealt to blocks once. Blocks tell their neighbours their edge samples, and find peaks (runs
+    that end at an edge go on in the next block). What is in order or concerns the whole recording, that is
+    which peaks are beats, the curve through them and the mean beat, has a row a beat; then each block takes
+    the part of it that its samples need. Any block size gives what the whole signal would.
+    """
+    for value, known, name in ((peak_method, ppg.PEAK_METHODS, "peak method"), (quality_method, ppg.QUALITY_METHODS, "quality method"), (interpolation, ppg.INTERPOLATIONS, "interpolation")):
+        if value not in known:
+            raise LunariaError(f"{name} {value}")
+    key, halo = list(key), _halo(rate, peak_method)
+    block, on, kinds = max(block, halo), [*key, "__block"], _kinds(signal, key)
+    x = signal.select(*key, INDEX, F.col("value").cast("double").alias("value")).withColumn("__block", F.expr(f"{INDEX} div {block}"))
+    same = lambda t, n: [pa.repeat(t.column(k)[0], n) for k in key]
+    long = lambda v: pa.array(np.asarray(v).astype(np.int64))
+
+    def told(t: pa.Table) -> pa.Table:
         t = t.sort_by(INDEX)
-        out = ppg.process(t.column("value").to_numpy(), rate, peak_method, quality_method, interpolation, correct)
-        return pa.table([*(t.column(k) for k in key), t.column(INDEX), *(pa.array(out[c]) for c in columns)], names=[*key, INDEX, *columns])
+        at, v, b = t.column(INDEX).to_numpy(), t.column("value").to_numpy(), t.column("__block")[0].as_py()
+        right, left = at >= (b + 1) * block - halo, (at < b * block + halo) & (b > 0)
+        to = np.concatenate([np.full(right.sum(), b + 1), np.full(left.sum(), b - 1), [b]])
+        kind = np.append(np.zeros(len(to) - 1, np.int32), np.int32(1))
+        columns = [long(to), pa.array(kind), long(np.concatenate([at[right], at[left], [len(at)]])), pa.array(np.concatenate([v[right], v[left], [np.square(np.maximum(v, 0)).sum()]]))]
+        return pa.table([*same(t, len(to)), *columns], names=[*on, "kind", "at", "v"])
+
+    parts = x.groupBy(*on).applyInArrow(told, f"{kinds}, __block long, kind int, at long, v double")
+    whole = parts.where("kind = 1").groupBy(*key).agg(F.sum("at").alias("n"), (F.sum("v") / F.sum("at")).alias("level"))
+    info = whole.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {block}"))).alias("__block"), F.lit(1).alias("kind"), F.col("n").alias("at"), F.col("level").alias("v"))
+
+    def found(t: pa.Table, near: pa.Table) -> pa.Table:
+        if not t.num_rows:
+            return pa.table([*(pa.array([], t.schema.field(k).type) for k in key), *[long([])] * 3, pa.array([], pa.float64())], names=[*key, "a", "b", "at", "v"])
+        about = near.column("kind").to_numpy() == 1
+        n, level = near.column("at").to_numpy()[about][0], near.column("v").to_numpy()[about][0]
+        at = np.concatenate([t.column(INDEX).to_numpy(), near.column("at").to_numpy()[~about]])
+        v = np.concatenate([t.column("value").to_numpy(), near.column("v").to_numpy()[~about]])
+        order, lo = np.argsort(at), t.column("__block")[0].as_py() * block
+        rows = _peaks_within(v[order], int(at.min()), lo, min(lo + block, int(n)), int(n), level, rate, peak_method)
+        return pa.table([*same(t, len(rows)), *(long(rows[:, i]) for i in range(3)), pa.array(rows[:, 3])], names=[*key, "a", "b", "at", "v"])
+
+    near = parts.where("kind = 0").unionByName(info)
+    candidates = x.groupBy(*on).cogroup(near.groupBy(*on)).applyInArrow(found, f"{kinds}, a long, b long, at long, v double")
+
+    def chosen(t: pa.Table) -> pa.Table:
+        t = t.sort_by("a")
+        rows = np.column_stack([t.column(c).to_numpy() for c in ("a", "b", "at", "v")])
+        at = ppg.elgendi_beats(rows, rate) if peak_method == "elgendi" else np.unique(rows[:, 2])
+        return pa.table([*same(t, len(at)), long(at)], names=[*key, INDEX])
+
+    beats = candidates.groupBy(*key).applyInArrow(chosen, f"{kinds}, {INDEX} long")
+    if correct:
+        beats = pulse.correct_beats(beats, rate, key).select(*key, INDEX)
+    names = ["kind", "lo", "hi", "x0", "c0", "c1", "c2", "c3"]
+
+    def laid(t: pa.Table) -> pa.Table:
+        rows = _layout(np.unique(t.column(INDEX).to_numpy()), t.column("n")[0].as_py(), rate, interpolation)
+        return pa.table([*same(t, len(rows)), *(long(rows[:, i]) for i in range(3)), *(pa.array(rows[:, i]) for i in range(3, 8))], names=[*key, *names])
+
+    kind = ", ".join(f"{c} {'long' if i < 3 else 'double'}" for i, c in enumerate(names))
+    layout = beats.join(whole.select(*key, "n"), key).groupBy(*key).applyInArrow(laid, f"{kinds}, {kind}")
+    spread = lambda df, lo, hi: df.withColumn("__block", F.explode(F.sequence(F.expr(f"{lo} div {block}"), F.expr(f"({hi} - 1) div {block}"))))
+
+    def windows(t: pa.Table, near: pa.Table) -> pa.Table:
+        k, off, values = [], [], []
+        if t.num_rows and near.num_rows:
+            t = t.sort_by(INDEX)
+            v, first, last = t.column("value").to_numpy(), t.column(INDEX)[0].as_py(), t.column(INDEX)[-1].as_py()
+            for lo, hi, beat, n in zip(*(near.column(c).to_pylist() for c in ("lo", "hi", "x0", "c0")), strict=True):
+                at = np.clip(np.arange(lo, hi), 0, int(n) - 1)  # beyond its ends the signal stays as it is there
+                mine = np.flatnonzero((at >= first) & (at <= last))
+                if len(mine):
+                    k.append(int(beat))
+                    off.append(int(mine[0]))
+                    values.append(v[at[mine] - first])
+        own = t if t.num_rows else near
+        columns = [*same(own, len(k))] if own.num_rows else [pa.array([], t.schema.field(c).type) for c in key]
+        return pa.table([*columns, long(k), long(off), pa.array(values, pa.list_(pa.float64()))], names=[*key, "k", "off", "values"])
+
+    cut = x.groupBy(*on).cogroup(spread(layout.where("kind = 3"), "greatest(lo, 0)", "least(hi, cast(c0 as long))").groupBy(*on)).applyInArrow(windows, f"{kinds}, k long, off long, values array<double>")
+    waves = cut.groupBy(*key, "k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("off", "values"))), lambda s: s["values"])).alias("w"))
+    centre = F.aggregate("w", F.lit(0.0), lambda a, v: a + v) / F.size("w")
+    waves = waves.withColumn("m", centre).select(*key, "k", F.transform("w", lambda v: v - F.col("m")).alias("w"))
+    mean = waves.select(*key, F.posexplode("w").alias("p", "v")).groupBy(*key, "p").agg(F.avg("v").alias("v"))
+    mean = mean.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda s: s["v"]).alias("mean"))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, m = (batch.column(len(key) + i).to_pylist() for i in (1, 2))
+            q = np.array([ppg.likeness(np.array([a]), np.array(b), quality_method)[0] for a, b in zip(w, m, strict=True)], np.float64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(key) + 1)), pa.array(q)], [*key, "x0", "q"])
 
-    schema = f"{_kinds(signal, key)}, {INDEX} long, " + ", ".join(f"{c} double" for c in columns)
-    return signal.select(*key, INDEX, F.col("value").cast("double").alias("value")).groupBy(*key).applyInArrow(run, schema)
+    quality = waves.join(mean, key).select(*key, F.col("k").cast("double").alias("x0"), "w", "mean").mapInArrow(judged, f"{kinds}, x0 double, q double")
+    cells = layout.where("kind = 1").join(quality, [*key, "x0"]).withColumn("c0", F.col("q")).select(*layout.columns)
+    rows = layout.where("kind in (0, 2)").unionByName(cells).where("lo < hi")
+
+    def filled(t: pa.Table, near: pa.Table) -> pa.Table:
+        t = t.sort_by(INDEX)
+        at = t.column(INDEX).to_numpy()
+        rows = np.column_stack([near.column(c).to_numpy().astype(np.float64) for c in names]) if near.num_rows else np.zeros((0, 8))
+        rows = rows[np.argsort(rows[:, 1], kind="stable")]
+        of = lambda k: rows[rows[:, 0] == k, 1:]
+        period, peaks = ppg.on_pieces(of(0), at), np.isin(at, of(2)[:, 0]).astype(np.float64)
+        columns = [t.column("value").combine_chunks(), pa.array(peaks), pa.array(period * 1000), pa.array(60 / period), pa.array(ppg.on_pieces(of(1), at))]
+        return pa.table([*(t.column(k) for k in key), t.column(INDEX), *columns], names=[*key, INDEX, "clean", "peaks", "ibi", "rate", "quality"])
+
+    out = f"{kinds}, {INDEX} long, clean double, peaks double, ibi double, rate double, quality double"
+    return x.groupBy(*on).cogroup(spread(rows, "lo", "hi").groupBy(*on)).applyInArrow(filled, out)
 
 
 def _per_epoch(periods: DataFrame, rows: Callable[[np.ndarray], np.ndarray], out: str, key: Sequence[str], columns: Sequence[str]) -> DataFrame:

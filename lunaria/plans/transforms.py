@@ -104,7 +104,9 @@ def process_ppg(s: Signal, peak_detection_method: str = "elgendi", quality_metho
         if value not in known:
             raise BadConfig(f"{value} is none of {', '.join(known)}")
     out = dsp.process_ppg(s.df, one_rate(s, "ProcessPPG"), peak, quality, inter, correct_artifacts, KEY)
-    return _from_wide(out, ("peaks", "ibi", "rate", "quality"), s.rate)
+    made = ("peaks", "ibi", "rate", "quality")
+    n = None if s.sizes is None else s.sizes.select(*KEY, F.explode(F.array(*map(F.lit, made))).alias("channel"), "n")
+    return replace(_from_wide(out, made, s.rate), sizes=n)
 
 
 def ppg_artifacts(s: Signal, segment_duration: float = 30.0, quality_threshold: float = 0.8, ibi_range: tuple[float, float] = (300, 2000), min_valid_ratio: float = 0.5) -> Signal:

@@ -510,6 +510,35 @@ def positive_ibi(spark, d):
     return rounded(pulse.positive_intervals(beats), "ibi")
 
 
+_KINDS = f"""{_PEAKS}, b0 AS (SELECT recording_id, sample_idx AS p, lag(sample_idx) OVER w AS p0, lead(sample_idx) OVER w AS p1 FROM pk WINDOW w AS (PARTITION BY recording_id ORDER BY sample_idx)),
+b1 AS (SELECT *, coalesce(p - p0, p1 - p) * 250::DOUBLE AS rr FROM b0),
+b2 AS (SELECT *, coalesce(rr - lag(rr) OVER w, 0) AS d, lead(rr) OVER w AS nx, quantile_cont(rr, 0.5) OVER (PARTITION BY recording_id ORDER BY p ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS med FROM b1 WINDOW w AS (PARTITION BY recording_id ORDER BY p)),
+b3 AS (SELECT *, (rr - med) * CASE WHEN rr < med THEN 2 ELSE 1 END AS m FROM b2),
+b4 AS (SELECT *, greatest(2.6::DOUBLE * (quantile_cont(abs(d), 0.75) OVER w - quantile_cont(abs(d), 0.25) OVER w), 20) AS td, greatest(2.6::DOUBLE * (quantile_cont(abs(m), 0.75) OVER w - quantile_cont(abs(m), 0.25) OVER w), 20) AS tm
+  FROM b3 WINDOW w AS (PARTITION BY recording_id ORDER BY p ROWS BETWEEN 45 PRECEDING AND 45 FOLLOWING)),
+b5 AS (SELECT *, d / td AS x, m / tm AS y FROM b4),
+b6 AS (SELECT *, coalesce(lag(x) OVER w, 0) AS x0, coalesce(lead(x) OVER w, 0) AS x1, coalesce(lead(x, 2) OVER w, 0) AS x2 FROM b5 WINDOW w AS (PARTITION BY recording_id ORDER BY p)),
+b7 AS (SELECT *, (x > 1 AND least(x1, x2) < -1) OR y > 3 AS long, (x < -1 AND greatest(x1, x2) > 1) OR y < -3 AS short,
+  (x > 1 AND greatest(x0, x1) < -0.13::DOUBLE * x - 0.17::DOUBLE) OR (x < -1 AND least(x0, x1) > -0.13::DOUBLE * x + 0.17::DOUBLE) AS ectopic FROM b6),
+b8 AS (SELECT *, CASE WHEN p0 IS NULL THEN 'normal' WHEN ectopic THEN 'ectopic' WHEN long AND abs(rr / 2 - med) < tm THEN 'missed' WHEN short AND coalesce(abs(rr + nx - med) < tm, false) THEN 'extra'
+  WHEN long THEN 'long' WHEN short THEN 'short' ELSE 'normal' END AS k FROM b7),
+b9 AS (SELECT *, CASE WHEN coalesce(lag(k) OVER w = 'extra', false) OR (k IN ('long', 'short') AND coalesce(lead(k) OVER w = 'ectopic', false)) THEN 'normal' ELSE k END AS kind FROM b8 WINDOW w AS (PARTITION BY recording_id ORDER BY p)),
+kd AS (SELECT *, lead(kind) OVER (PARTITION BY recording_id ORDER BY p) AS follows, p0 IS NOT NULL AND p1 IS NOT NULL AND (coalesce(lead(kind) OVER (PARTITION BY recording_id ORDER BY p) = 'ectopic', false) OR kind IN ('long', 'short')) AS moved FROM b9)"""
+
+
+@query(f"WITH {_KINDS} SELECT recording_id, p AS sample_idx, kind, round(rr, 6) AS rr FROM kd")
+def beat_kinds(spark, d):
+    """Each interval's place among normal, ectopic, missed, extra, long and short ones."""
+    return rounded(pulse.classify_beats(_peaks(spark, d), 4.0).select("recording_id", "sample_idx", "kind", "rr"), "rr")
+
+
+@query(f"""WITH {_KINDS} SELECT recording_id, CASE WHEN moved THEN p0 + (p1 - p0) // 2 ELSE p END AS sample_idx, CASE WHEN moved THEN 'moved' ELSE 'normal' END AS kind FROM kd WHERE kind <> 'extra'
+UNION ALL SELECT recording_id, p0 + (p - p0) // 2, 'missed' FROM kd WHERE kind = 'missed'""")
+def interval_correction(spark, d):
+    """Beats after correction: extra ones gone, missed ones put in, those out of place moved."""
+    return pulse.correct_beats(_peaks(spark, d), 4.0)
+
+
 def _long_y(spark, d):
     return imu(spark, d).select("recording_id", F.lit("y").alias("channel"), "sample_idx", F.col("y").alias("value"))
 
@@ -546,7 +575,37 @@ def resample(spark, d):
     return dsp.resample_signal(_long_y(spark, d), _RATE, _TARGET).withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
-@query()
+# block-wise peaks, then beats in order (a step to the first peak that is far enough), the monotone curve
+# through their intervals, and the correlation of each beat with the mean beat
+_WAVE = f"""{_Y}, sq AS (SELECT *, CASE WHEN v > 0 THEN v * v ELSE 0 END AS q FROM y),
+m AS (SELECT *, avg(q) OVER (PARTITION BY recording_id) AS level, avg(q) OVER (PARTITION BY recording_id ORDER BY sample_idx ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS l FROM sq),
+r AS (SELECT recording_id, sample_idx, v, sample_idx - row_number() OVER (PARTITION BY recording_id ORDER BY sample_idx) AS g FROM m WHERE q > l + 0.02::DOUBLE * level),
+c AS (SELECT recording_id, arg_min(sample_idx, (-v, sample_idx)) AS p FROM r GROUP BY recording_id, g),
+nx AS (SELECT *, min(p) OVER (PARTITION BY recording_id ORDER BY p RANGE BETWEEN 5 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM c),
+b0 AS (SELECT recording_id, min(p) AS p FROM c GROUP BY 1 UNION ALL SELECT b0.recording_id, nx FROM b0 JOIN nx USING (recording_id, p) WHERE nx IS NOT NULL),
+b1 AS (SELECT recording_id, p, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY recording_id) AS many, (p - lag(p) OVER w) / 16::DOUBLE AS d, lead(p) OVER w AS p1 FROM b0 WINDOW w AS (PARTITION BY recording_id ORDER BY p)),
+b2 AS (SELECT *, coalesce(d, lead(d) OVER w) AS t FROM b1 WINDOW w AS (PARTITION BY recording_id ORDER BY j)),
+b3 AS (SELECT *, (p1 - p)::DOUBLE AS h, (lead(t) OVER w - t) / (p1 - p) AS s FROM b2 WINDOW w AS (PARTITION BY recording_id ORDER BY j)),
+b4 AS (SELECT *, lag(h) OVER w AS h0, lag(s) OVER w AS s0, lag(h, 2) OVER w AS h00, lag(s, 2) OVER w AS s00, lead(h) OVER w AS h1, lead(s) OVER w AS s1 FROM b3 WINDOW w AS (PARTITION BY recording_id ORDER BY j)),
+b5 AS (SELECT *, CASE WHEN many < 3 THEN s WHEN j = 0 THEN ((2 * h + h1) * s - h * s1) / (h + h1) WHEN j = many - 1 THEN ((2 * h0 + h00) * s0 - h0 * s00) / (h0 + h00) END AS e,
+  CASE WHEN j = 0 THEN s ELSE s0 END AS u, CASE WHEN j = 0 THEN s1 ELSE s00 END AS u1 FROM b4),
+b6 AS (SELECT *, CASE WHEN many < 3 THEN e WHEN j IN (0, many - 1) THEN CASE WHEN e * u <= 0 THEN 0 WHEN u * u1 <= 0 AND abs(e) > 3 * abs(u) THEN 3 * u ELSE e END
+  WHEN s0 * s > 0 THEN (3 * h + 3 * h0) / ((2 * h + h0) / s0 + (h + 2 * h0) / s) ELSE 0 END AS m FROM b5),
+b AS (SELECT recording_id, p, j, many, t, h, m, p1, lead(t) OVER w AS t1, lead(m) OVER w AS m1, lag(p) OVER w AS p0 FROM b6 WINDOW w AS (PARTITION BY recording_id ORDER BY j)),
+a AS (SELECT y.recording_id, sample_idx, v, p, p1, h, t, t1, m, m1, CASE WHEN p IS NULL THEN NULL ELSE (sample_idx - p) / h END AS z,
+  first_value(t) OVER (PARTITION BY y.recording_id ORDER BY p NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first FROM y ASOF LEFT JOIN b ON y.recording_id = b.recording_id AND y.sample_idx >= b.p),
+i AS (SELECT recording_id, sample_idx, v, CAST(coalesce(sample_idx = p, false) AS INTEGER) AS peak, CASE WHEN p IS NULL THEN first WHEN p1 IS NULL THEN t
+  ELSE (1 + 2 * z) * (1 - z) * (1 - z) * t + z * (1 - z) * (1 - z) * h * m + z * z * (3 - 2 * z) * t1 + z * z * (z - 1) * h * m1 END AS ibi FROM a),
+f AS (SELECT recording_id, greatest(2, CAST(trunc(quantile_cont(p1 - p, 0.5) / 2) AS BIGINT)) AS half, any_value(many) AS many FROM b WHERE p1 IS NOT NULL GROUP BY 1),
+w0 AS (SELECT b.recording_id, j, p, o FROM b JOIN (SELECT recording_id, unnest(range(-half, half + 1)) AS o FROM f) USING (recording_id)),
+w1 AS (SELECT w0.*, y.v - avg(y.v) OVER (PARTITION BY w0.recording_id, j) AS v FROM w0 JOIN y ON y.recording_id = w0.recording_id AND y.sample_idx = least(greatest(p + o, 0), y.n - 1)),
+w2 AS (SELECT *, avg(v) OVER (PARTITION BY recording_id, o) AS k FROM w1),
+q AS (SELECT recording_id, j, any_value(p) AS p, CASE WHEN sum(v * v) * sum(k * k) > 0 THEN sum(v * k) / sqrt(sum(v * v) * sum(k * k)) ELSE 0 END AS q FROM w2 GROUP BY 1, 2),
+z AS (SELECT recording_id, q, coalesce(lag(p) OVER w + (p - lag(p) OVER w) // 2, 0) AS lo FROM q WINDOW w AS (PARTITION BY recording_id ORDER BY j))"""
+
+
+@query(f"""WITH RECURSIVE {_WAVE} SELECT i.recording_id, sample_idx, v AS clean, peak::DOUBLE AS peaks, round(ibi * 1000, 6) AS ibi, round(60 / ibi, 6) AS rate, round(q, 6) AS quality
+FROM i ASOF JOIN z ON i.recording_id = z.recording_id AND i.sample_idx >= z.lo""")
 def process_ppg(spark, d):
     return rounded(dsp.process_ppg(_long_y(spark, d), 16.0, "elgendi"), "ibi", "rate", "quality")
 
