@@ -72,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--out", required=True, help="folder of the fitted model")
     t.add_argument("--trees", type=int, default=50)
     t.add_argument("--depth", type=int, default=6)
+    t.add_argument("--boosted", action="store_true", help="boosted trees that stop early, instead of a forest")
     sub.add_parser("pipelines")
     return p
 
@@ -83,7 +84,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return
     spark = spark or SparkSession.builder.appName(f"lunaria {a.job}").getOrCreate()
     if a.job == "train":
-        jobs.train_stages(spark, a.features, a.prefix, a.out, {k: float(v) for k, v in (w.split("=", 1) for w in a.weight)}, a.trees, a.depth).show(truncate=False)
+        jobs.train_stages(spark, a.features, a.prefix, a.out, {k: float(v) for k, v in (w.split("=", 1) for w in a.weight)}, a.trees, a.depth, a.boosted).show(truncate=False)
         return
     existing, on_error = Existing[a.existing], OnError[a.on_error]
     if a.job == "evaluate":

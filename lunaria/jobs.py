@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .errors import AnnotationsMissing, ChannelCountMismatch, MissingChannel, RateMismatch
-from .operators import aggregate, dsp, evaluate, features, merge, metrics, models, scores, select, train
+from .operators import aggregate, boost, dsp, evaluate, features, merge, metrics, models, scores, select, train
 from .plans.pipeline import Pipeline, rename_only
 from .plans.transforms import Signal, fir, resample_to, stacked
 from .schema import EPOCH_S, SHORT_LABELS, STAGE_CLASSES, UNKNOWN, UNSCORED
@@ -242,13 +242,25 @@ def export_features(spark: SparkSession, config: DatasetConfig, eeg_channel: str
     return store.read_features(spark, out)
 
 
-def train_stages(spark: SparkSession, path: str, prefixes: Sequence[str], out: str, weights: Mapping[str, float] | None = None, trees: int = 50, depth: int = 6) -> DataFrame:
+def train_stages(
+    spark: SparkSession, path: str, prefixes: Sequence[str], out: str, weights: Mapping[str, float] | None = None, trees: int = 50, depth: int = 6,
+    boosted: bool = False, patience: int = 10,
+) -> DataFrame:
     """Fits a classifier on the train set of a feature table, saves it to a new folder, and gives the report
-    (label, precision, recall, f1, support) over the test set, or over the train set if there is no other."""
+    (label, precision, recall, f1, support) over the test set, or over the train set if there is no other.
+    It is a forest or, if boosted, boosted trees, at most so many rounds, which end early by the loss over a
+    fifth of the train set's subjects."""
     table = store.read_features(spark, path)
     rows = table.where("set = 'train'")
-    model = train.train(rows, prefixes, weights, trees, depth)
-    model.save(out)
-    test, _ = train.training_rows(table.where("set = 'test'"), prefixes)
-    guessed = train.predicted(model, rows.where(F.col("stage") != UNSCORED) if test.isEmpty() else test)
+    test, names = train.training_rows(table.where("set = 'test'"), prefixes)
+    if test.isEmpty():
+        test = rows.where(F.col("stage") != UNSCORED)
+    if boosted:
+        model = boost.train(rows.where(F.col("stage") != UNSCORED), names, "stage", "subj", weights, trees=trees, depth=depth, patience=patience)
+        model.save(spark, out)
+        guessed = model.predicted(test)
+    else:
+        model = train.train(rows, prefixes, weights, trees, depth)
+        model.save(out)
+        guessed = train.predicted(model, test)
     return metrics.class_report(guessed, "stage", "guess").orderBy("label")

@@ -47,20 +47,28 @@ def to_long(wide: DataFrame, channels: Sequence[str] | None = None, key: Sequenc
     return wide.unpivot([*key, INDEX], names, "channel", "value")
 
 
-def concatenate(parts: Sequence[DataFrame], key: Sequence[str] = KEY) -> DataFrame:
+def concatenate(parts: Sequence[DataFrame], key: Sequence[str] = KEY, rates: Sequence[float] | None = None) -> DataFrame:
     """Parts of recordings end to end, indexes running on; channel names must agree.
 
-    Offsets come from the parts' lengths (one row per recording and part), so samples are not sorted.
+    Offsets come from the parts' lengths (one row per recording and part), so samples are not sorted. With
+    rates, one for each part, which must agree, the times of later parts (ts_ns, if there is such a column)
+    move on so that each part begins a sample after the one before ends; without, times stay as they are.
     """
     if len(parts) < 2:
         raise NoSamples("concatenation takes two parts or more")
     if any(sorted(p.columns) != sorted(parts[0].columns) for p in parts):
         raise DuplicateChannel("parts differ in their columns")
+    if rates is not None and len(set(rates)) > 1:
+        raise RateMismatch(", ".join(map(str, rates)))
+    timed = rates is not None and "ts_ns" in parts[0].columns
     whole = reduce(DataFrame.unionByName, [p.withColumn("__part", F.lit(i)) for i, p in enumerate(parts)])
-    sizes = whole.groupBy(*key, "__part").agg((F.max(INDEX) + 1).alias("__n"))
-    before = Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*key, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__from"))
-    out = whole.join(offsets, [*key, "__part"]).withColumn(INDEX, F.col(INDEX) + F.col("__from"))
+    sizes = whole.groupBy(*key, "__part").agg((F.max(INDEX) + 1).alias("__n"), *([F.min("ts_ns").alias("__t")] if timed else []))
+    order = Window.partitionBy(*key).orderBy("__part")
+    offset = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__from")
+    first = [F.first("__t").over(order).alias("__t0"), "__t"] if timed else []
+    out = whole.join(sizes.select(*key, "__part", offset, *first), [*key, "__part"]).withColumn(INDEX, F.col(INDEX) + F.col("__from"))
+    if timed:
+        out = out.withColumn("ts_ns", F.col("ts_ns") - F.col("__t") + F.col("__t0") + (F.col("__from") * F.lit(1e9 / rates[0])).cast("long"))
     return out.select(*parts[0].columns)
 
 

@@ -1,5 +1,5 @@
 """Training a stage classifier on epoch features with Spark ML: weights per class. It has no early
-stopping. It stands in for gradient-boosted multiclass libraries and is not equal to them."""
+stopping; `boost` trains boosted trees, with it. Neither is equal to any library's model."""
 
 from __future__ import annotations
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import fir
 from .functions import resample as polyphase
-from .operators import aggregate, align, annotate, dsp, evaluate, features, merge, metrics, models, motion, pulse, scores, segment, select, split, train
+from .operators import aggregate, align, annotate, boost, dsp, evaluate, features, merge, metrics, models, motion, pulse, scores, segment, select, split, timeline, train
 from .plans.pipeline import bundled
 from .plans.transforms import Signal
 from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, SHORT_LABELS
@@ -142,7 +142,7 @@ def stack_channels(spark, d):
     return align.stack_long(long, ["x", "y", "z"])
 
 
-@query(f"WITH {IMU}, m AS (SELECT recording_id, sample_idx, sqrt(x*x + y*y + z*z) AS m FROM imu) SELECT recording_id, sample_idx, z, round(m, 6) AS magnitude FROM imu JOIN m USING (recording_id, sample_idx)")
+@query(f"WITH {IMU} SELECT recording_id, sample_idx, z, round(sqrt(x*x + y*y + z*z), 6) AS magnitude FROM imu")
 def stack_join(spark, d):
     wide = imu(spark, d)
     return rounded(align.stack_wide([select.select_channels(wide, ["z"]), motion.dynamic(wide, 1.0).drop("derivative")]), "magnitude")
@@ -716,6 +716,63 @@ def ppg_pipeline(spark, d):
     return rounded(made["PPG_ibi"].df.unionByName(made["PPG_quality"].df), "value")
 
 
+# ------------------------------------------------------------------ by time
+
+
+@query("""WITH v AS (SELECT user_id AS recording_id, ts, event_id FROM events WHERE event_type = 'view'),
+c AS (SELECT user_id AS recording_id, ts, max(event_id) AS label_id, arg_max(value, event_id) AS label_value FROM events WHERE event_type = 'click' GROUP BY ALL)
+SELECT v.recording_id, v.event_id, label_id, label_value FROM v ASOF LEFT JOIN c ON v.recording_id = c.recording_id AND v.ts >= c.ts""")
+def asof_labels(spark, d):
+    """Each score (view) with the last label (click) of its recording at or before its time; slices of a day."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("recording_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "event_type", "value")
+    labels = e.where("event_type = 'click'").select("recording_id", "ts_us", F.col("event_id").alias("label_id"), F.col("value").alias("label_value"))
+    views = e.where("event_type = 'view'").select("recording_id", "ts_us", "event_id")
+    return timeline.asof_join(views, labels, ["label_id", "label_value"], at="ts_us", size=86_400_000_000).drop("ts_us")
+
+
+@query("""WITH p AS (SELECT o_custkey AS recording_id, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS a, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + o_orderkey % 120 AS b FROM orders),
+e AS (SELECT recording_id, a AS day, 1 AS d FROM p WHERE a < b UNION ALL SELECT recording_id, b, -1 FROM p WHERE a < b),
+t AS (SELECT recording_id, day, sum(d) AS d FROM e GROUP BY recording_id, day HAVING sum(d) <> 0)
+SELECT recording_id, day AS start_day, nx AS end_day, depth::BIGINT AS depth FROM (SELECT *, lead(day) OVER w AS nx, sum(d) OVER w AS depth FROM t WINDOW w AS (PARTITION BY recording_id ORDER BY day)) WHERE nx IS NOT NULL""")
+def part_overlaps(spark, d):
+    """Orders as parts of some days: gaps between and overlaps of each customer's parts."""
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("long")
+    parts = table(spark, d, "orders").select(F.col("o_custkey").alias("recording_id"), day.alias("start_day"), (day + F.col("o_orderkey") % 120).alias("end_day"))
+    return timeline.covered(parts, start="start_day", end="end_day", size=90)
+
+
+# ------------------------------------------------------------------ boosted trees
+
+
+def _columns(spark, d):
+    e = emb(spark, d)
+    return e.select("vec_id", "label", *[F.get("e", F.lit(i)).alias(f"v{i}") for i in range(64)])
+
+
+_VALUES = [f"v{i}" for i in range(64)]
+
+
+@query("""WITH x AS (SELECT label::BIGINT AS label, unnest(range(64)) AS f, unnest(embedding)::DOUBLE AS x FROM embeddings),
+q AS (SELECT f, list_sort(list_distinct(quantile_cont(x, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]))) AS e FROM x GROUP BY f),
+b AS (SELECT label, f, len(list_filter(e, lambda v: v < x)) AS bin, count(*) AS n FROM x JOIN q USING (f) GROUP BY ALL),
+z AS (SELECT f, unnest(range(len(e)))::INTEGER AS s FROM q), k AS (SELECT DISTINCT label FROM x), m AS (SELECT count(*)::DOUBLE AS m FROM k),
+c AS (SELECT z.f, s, k.label, m, sum(n)::DOUBLE AS n, coalesce(sum(n) FILTER (WHERE b.label = k.label), 0)::DOUBLE AS y, coalesce(sum(n) FILTER (WHERE bin <= s), 0)::DOUBLE AS nl, coalesce(sum(n) FILTER (WHERE bin <= s AND b.label = k.label), 0)::DOUBLE AS yl
+  FROM z JOIN b USING (f), k, m GROUP BY ALL),
+g AS (SELECT *, n / m - y AS g, nl / m - yl AS gl, n * (m - 1) / (m * m) AS h, nl * (m - 1) / (m * m) AS hl FROM c)
+SELECT label, 'v' || f AS feature, s AS bin, round(gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1), 6) + 0.0 AS gain FROM g""")
+def boosted_gains(spark, d):
+    """The gains of all first splits of a booster over embeddings, by label, feature and bin."""
+    return boost.root_gains(_columns(spark, d), _VALUES, "label", 8).withColumn("gain", F.round("gain", 6) + F.lit(0.0))
+
+
+@query()
+def boosted_labels(spark, d):
+    """A booster over embeddings with early stopping, and the labels that it gives to all of them."""
+    rows = _columns(spark, d)
+    model = boost.train(rows, _VALUES, "label", "vec_id", trees=6, depth=3, rate=0.3, bins=16, patience=2)
+    return model.predicted(rows).select("vec_id", "guess")
+
+
 # ------------------------------------------------------------------ flagship
 
 _FLAG = f"""{LAB}, {_PPG}, a AS (SELECT recording_id, l.epoch_idx, CASE WHEN valid_ratio < 0.5 THEN 'ARTIFACT' ELSE label END AS label FROM lab l LEFT JOIN seg USING (recording_id, epoch_idx)),
