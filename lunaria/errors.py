@@ -63,3 +63,7 @@ class ExistingOutput(LunariaError):
 
 class ModelUnavailable(LunariaError):
     """An optional model library or file is missing."""
+
+
+class StoreConflict(LunariaError):
+    """Another job has written to the store since this one read its version."""

@@ -16,7 +16,7 @@ from .operators import aggregate, boost, dsp, evaluate, features, merge, metrics
 from .plans.pipeline import Pipeline, rename_only
 from .plans.transforms import Signal, fir, resample_to, stacked
 from .schema import EPOCH_S, SHORT_LABELS, STAGE_CLASSES, UNKNOWN, UNSCORED
-from .sinks import export
+from .sinks import export, transactions
 from .sinks.policy import Existing, OnError, delete, exists
 from .sources import edf, edfsource, recordings, store, text
 from .sources.recordings import DatasetConfig
@@ -98,8 +98,9 @@ def annotations(spark: SparkSession, config: DatasetConfig, recs: DataFrame, ann
     return select.map_labels(codes, config.mapping, UNKNOWN).select("recording_id", "epoch_idx", "label")
 
 
-def process(spark: SparkSession, config: DatasetConfig, pipeline: Pipeline, root: str, outputs: Iterable[str] | None = None, existing: Existing = Existing.RAISE, on_error: OnError = OnError.RAISE, resume: bool = True) -> DataFrame:
-    """Runs a pipeline over a dataset and writes signals, runs of labels and the catalog; gives the catalog."""
+def process(spark: SparkSession, config: DatasetConfig, pipeline: Pipeline, root: str, outputs: Iterable[str] | None = None, existing: Existing = Existing.RAISE, on_error: OnError = OnError.RAISE, resume: bool = True, versioned: bool = False) -> DataFrame:
+    """Runs a pipeline over a dataset and writes signals, runs of labels and the catalog; gives the catalog.
+    If versioned, signals go to the versioned store in <root>/store, as a whole or not at all."""
     book = f"{root}/catalog"
     done = text.read_catalog(spark, book) if resume and exists(spark.range(0), book) else None
     names = sorted(pipeline.missing(()))
@@ -112,19 +113,22 @@ def process(spark: SparkSession, config: DatasetConfig, pipeline: Pipeline, root
         stage = f"{root}/.stage-{uuid.uuid4().hex}"
         try:
             reduce(DataFrame.unionByName, frames).write.parquet(stage)
-            return _store(spark, spark.read.parquet(stage), made, wanted, loaded, root, existing if done is None else Existing.APPEND)
+            return _store(spark, spark.read.parquet(stage), made, wanted, loaded, root, existing if done is None else Existing.APPEND, versioned)
         finally:
             delete(spark, stage)
     return text.read_catalog(spark, book) if done is not None else loaded.errors
 
 
-def _store(spark: SparkSession, signal: DataFrame, made: Sequence[Signal], wanted: Sequence[str], loaded: Loaded, root: str, existing: Existing) -> DataFrame:
+def _store(spark: SparkSession, signal: DataFrame, made: Sequence[Signal], wanted: Sequence[str], loaded: Loaded, root: str, existing: Existing, versioned: bool) -> DataFrame:
     """Writes signals with their metadata, runs of labels and the catalog; gives the catalog."""
     names = {c for s in made for c in s.channels}
     rates = spark.createDataFrame([(c, s.rate) for s in made for c in s.channels], "channel string, sample_rate double")
     meta = signal.groupBy("dataset", "recording_id", "channel").agg(F.count(F.lit(1)).alias("n_samples")).join(rates, "channel")
     meta = meta.select("dataset", "recording_id", "channel", "sample_rate", "n_samples")
-    export.write_signals(signal, meta, root, existing)
+    if versioned:
+        transactions.store_signals(signal, f"{root}/store", {c: s.rate for s in made for c in s.channels})
+    else:
+        export.write_signals(signal, meta, root, existing)
     if loaded.annotations is not None:
         export.write_runs(loaded.annotations, f"{root}/runs", Existing.OVERWRITE)
     every = loaded.recordings.select("recording_id").union(loaded.errors.select("recording_id"))
