@@ -23,10 +23,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts are told apart, not ids: an id with several texts keeps those that are no copies. Rows with a null
     id and texts without shingles stay; of rows that repeat an id and its text one stays."""
     key, mark = fresh(docs, "__id"), fresh(docs, "__text")
-    copies, repeated = (cut(x.select(F.col("doc_id").alias(key), F.col("h").alias(mark)), "copies") for x in jaccard.surplus(docs, 5, 80))
-    same = (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(mark))
+    whole, rows, repeated = (cut(x.withColumnsRenamed({"doc_id": key, "h": mark}), "surplus") for x in jaccard.surplus(docs, 5, 80))
+    own = F.col("doc_id") == F.col(key)
+    same = own & (F.xxhash64("text") == F.col(mark))
     # the copies are a small part or a large one: Spark picks the join by the size of their table
-    out = docs.join(copies, same, "left_anti")
+    out = docs.join(whole, own, "left_anti")
+    if not rows.isEmpty():
+        out = out.join(rows, same, "left_anti")
     if not repeated.isEmpty():
         again = out.join(repeated, same, "left_semi").withColumn(mark, F.xxhash64("text"))
         out = out.join(repeated, same, "left_anti").unionByName(again.dropDuplicates(["doc_id", mark]).drop(mark))

@@ -602,17 +602,22 @@ def _labelled(join: _Join, labels: DataFrame) -> DataFrame:
     return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")))
 
 
-def surplus(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of docs(doc_id, text) that repeat others, as (doc_id, h), h being xxhash64 of the text: all but one
-    text of each group of texts that links connect, and what occurs in several equal rows. The text that
-    stays is one of the group's smallest doc_id. Rows with a null doc_id and texts without shingles are in no
-    group; a doc_id with several texts may be in the first table with some of them and not with others."""
+def surplus(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What repeats in docs(doc_id, text): of each group of texts that links connect all but one text, and what
+    occurs in several equal rows. Three tables: doc_id of documents all of whose rows are surplus; (doc_id, h)
+    of the surplus rows of other documents, h being xxhash64 of the text; and (doc_id, h) of what occurs more
+    than once. The text that stays is one of its group's smallest doc_id. Rows with a null doc_id and texts
+    without shingles are in no group."""
     join = _Join(docs, n, percent)
-    own = _labelled(join, join.run(tied=False)[1]).where("doc_id is not null and n_shingles > 0")
+    own = _labelled(join, join.run(tied=False)[1]).where("doc_id is not null")
     kept = join.marks.select(F.col("id").alias("__kept"), F.col("h").alias("__h"))
     best = (F.col("id") == F.col("label")) & (F.col("doc_id") == F.col("rep")) & (F.col("h") == F.col("__h"))
-    again = join.rows.where("doc_id is not null").groupBy("doc_id", "h").count().where("count > 1")
-    return own.join(kept, F.col("id") == F.col("__kept")).where(~best).select("doc_id", "h"), again.select("doc_id", "h")
+    # a text without shingles has no class, so its row is not surplus
+    rows = cut(own.join(kept, F.col("id") == F.col("__kept"), "left").select("doc_id", "h", F.coalesce(~best, F.lit(False)).alias("gone")), "judged")
+    each = rows.groupBy("doc_id").agg(F.min("gone").alias("whole"), F.max("gone").alias("some")).where("some")
+    mixed = rows.where("gone").join(each.where("not whole").select("doc_id"), "doc_id", "left_semi").select("doc_id", "h").distinct()
+    again = rows.groupBy("doc_id", "h").count().where("count > 1")
+    return each.where("whole").select("doc_id"), mixed, again.select("doc_id", "h")
 
 
 def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
