@@ -716,6 +716,88 @@ def ppg_pipeline(spark, d):
     return rounded(made["PPG_ibi"].df.unionByName(made["PPG_quality"].df), "value")
 
 
+# ------------------------------------------------------------------ epochs and intervals
+
+# ordinal patterns, curve lengths at ten lags, turns and variances of epochs of 64 samples
+_COMPLEX = f"""{_Y}, x AS (SELECT recording_id, sample_idx // 64 AS epoch_idx, sample_idx % 64 AS i, v FROM y WHERE sample_idx < n // 64 * 64),
+l AS (SELECT *, lead(v) OVER w AS b, lead(v, 2) OVER w AS c, lag(v) OVER w AS a FROM x WINDOW w AS (PARTITION BY recording_id, epoch_idx ORDER BY i)),
+o AS (SELECT recording_id, epoch_idx, -sum(p * log2(p)) / log2(6) AS perm_entropy FROM (SELECT recording_id, epoch_idx, v <= b, b <= c, v <= c, count(*) / 62::DOUBLE AS p FROM l WHERE c IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+h AS (SELECT recording_id, epoch_idx, k, m, sum(abs(nx - v)) * 63 / (((63 - m) // k) * k * k)::DOUBLE AS len FROM
+  (SELECT recording_id, epoch_idx, v, k, i % k AS m, lead(v) OVER (PARTITION BY recording_id, epoch_idx, k, i % k ORDER BY i) AS nx FROM x, (SELECT unnest(range(1, 11)) AS k)) WHERE nx IS NOT NULL GROUP BY recording_id, epoch_idx, k, m),
+g AS (SELECT recording_id, epoch_idx, regr_slope(ln(len), ln(1 / k::DOUBLE)) AS higuchi FROM (SELECT recording_id, epoch_idx, k, avg(len) AS len FROM h GROUP BY ALL) GROUP BY ALL),
+d AS (SELECT recording_id, epoch_idx, count(*) FILTER (WHERE (b - v) * (v - a) < 0) AS turns, var_pop(v) AS v0, var_pop(b - v) AS v1, var_pop(b - 2 * v + a) AS v2 FROM l GROUP BY ALL)"""
+
+
+@query(f"""WITH {_COMPLEX} SELECT recording_id, epoch_idx, round(perm_entropy, 8) AS y_perm_entropy, round(higuchi, 8) AS y_higuchi, round(log10(64) / (log10(64) + log10(64 / (64 + 0.4::DOUBLE * turns))), 8) AS y_petrosian,
+round(sqrt(v1 / v0), 8) AS y_mobility, round(sqrt(v2 / v1) / sqrt(v1 / v0), 8) AS y_complexity FROM o JOIN g USING (recording_id, epoch_idx) JOIN d USING (recording_id, epoch_idx)""")
+def epoch_complexity(spark, d):
+    made = features.epoch_complexity(_long_y(spark, d), _RATE, {"y": "y"}, 1.0)
+    return rounded(made, *[c for c in made.columns if c.startswith("y_")], digits=8)
+
+
+_HAAR = ", ".join(f"round(sum(CASE WHEN k = {k} THEN e END), 6) AS y_wavelet_{k}" for k in range(1, 7))
+
+
+@query(f"""WITH {_Y}, x AS (SELECT recording_id, sample_idx // 64 AS epoch_idx, sample_idx % 64 AS i, v FROM y WHERE sample_idx < n // 64 * 64),
+w AS (SELECT recording_id, epoch_idx, k, pow(sum(CASE WHEN i % (1 << k) < (1 << (k - 1)) THEN v ELSE -v END), 2) / pow(2, k) AS e FROM x, (SELECT unnest(range(1, 7)) AS k) GROUP BY recording_id, epoch_idx, k, i // (1 << k))
+SELECT recording_id, epoch_idx, {_HAAR} FROM w GROUP BY ALL""")
+def epoch_wavelets(spark, d):
+    """Haar wavelet energies of epochs; the other model features have unit tests."""
+    made = features.epoch_models(_long_y(spark, d), _RATE, {"y": "y"}, 1.0)
+    return made.select("recording_id", "epoch_idx", *[F.round(f"y_wavelet_{k}", 6).alias(f"y_wavelet_{k}") for k in range(1, 7)])
+
+
+_NEAR = " + ".join(f"{8 - abs(k)} * coalesce({'lag' if k > 0 else 'lead'}(value, {abs(k)}) OVER w, 0)" for k in range(-7, 8))
+_WEIGHTS = " + ".join(f"CASE WHEN {'lag' if k > 0 else 'lead'}(value, {abs(k)}) OVER w IS NULL THEN 0 ELSE {8 - abs(k)} END" for k in range(-7, 8))
+
+
+@query(f"""WITH {SIG}, s AS (SELECT recording_id, sample_idx AS epoch_idx, value, ({_NEAR}) / ({_WEIGHTS})::DOUBLE AS c, avg(value) OVER (PARTITION BY recording_id ORDER BY sample_idx ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS p
+  FROM sig WINDOW w AS (PARTITION BY recording_id ORDER BY sample_idx)),
+q AS (SELECT recording_id, quantile_cont(c, [0.05, 0.5, 0.95]) AS qc, quantile_cont(p, [0.05, 0.5, 0.95]) AS qp FROM s GROUP BY 1)
+SELECT recording_id, epoch_idx, value, round((c - qc[2]) / (qc[3] - qc[1]), 7) + 0.0 AS value_centred, round((p - qp[2]) / (qp[3] - qp[1]), 7) + 0.0 AS value_past FROM s JOIN q USING (recording_id)""")
+def smoothed_features(spark, d):
+    """Centred and past means over epochs, scaled by each recording's quantiles."""
+    own = sig(spark, d).select("recording_id", F.col("sample_idx").alias("epoch_idx"), "value")
+    made = features.smoothed(own, ["value"])
+    return made.withColumns({c: F.round(c, 7) + F.lit(0.0) for c in ("value_centred", "value_past")})
+
+
+_IBI = f"""{_PEAKS}, ib AS (SELECT * FROM (SELECT recording_id, sample_idx, (sample_idx - lag(sample_idx) OVER (PARTITION BY recording_id ORDER BY sample_idx)) * 250::DOUBLE AS ibi FROM pk) WHERE ibi > 0)"""
+
+
+def _lomb(first: float, step: float, n: int) -> str:
+    return f"""fr AS (SELECT unnest(list_transform(range({n}), lambda k: round({first!r}::DOUBLE + k * {step!r}::DOUBLE, 9))) AS frequency),
+lx AS (SELECT recording_id, frequency, ibi - avg(ibi) OVER (PARTITION BY recording_id, frequency) AS y, 2 * pi() * frequency * (sample_idx / 4::DOUBLE) AS a, count(*) OVER (PARTITION BY recording_id, frequency) AS k FROM ib, fr),
+ls AS (SELECT recording_id, frequency, sum(y * cos(a)) AS yc, sum(y * sin(a)) AS ys, sum(cos(a) * cos(a)) AS cc, sum(sin(a) * sin(a)) AS ss, sum(cos(a) * sin(a)) AS cs FROM lx WHERE k > 1 GROUP BY 1, 2),
+lt AS (SELECT *, cos(atan2(2 * cs, cc - ss) / 2) AS c, sin(atan2(2 * cs, cc - ss) / 2) AS s FROM ls),
+lu AS (SELECT recording_id, frequency, pow(c * yc + s * ys, 2) AS e, c * c * cc + 2 * c * s * cs + s * s * ss AS ew, pow(c * ys - s * yc, 2) AS o, c * c * ss - 2 * c * s * cs + s * s * cc AS ow FROM lt),
+lomb AS (SELECT recording_id, frequency, (CASE WHEN ew > 1e-9::DOUBLE THEN e / ew ELSE 0 END + CASE WHEN ow > 1e-9::DOUBLE THEN o / ow ELSE 0 END) / 2 AS power FROM lu)"""
+
+
+def _beats(spark, d):
+    return pulse.beat_intervals(_peaks(spark, d), 4.0).select("recording_id", "sample_idx", "ibi")
+
+
+@query(f"WITH {_IBI}, {_lomb(0.02, 0.02, 20)} SELECT recording_id, frequency, round(power, 3) AS power FROM lomb")
+def ibi_spectrum(spark, d):
+    """Power of beat intervals at uneven times, 0.02 to 0.4 Hz."""
+    return rounded(aggregate.interval_spectrum(_beats(spark, d), 4.0, [round(0.02 + k * 0.02, 9) for k in range(20)]), "power", digits=3)
+
+
+@query(f"""WITH {_IBI}, {_lomb(0.1, 0.01, 31)}, st AS (SELECT *, lead(ibi) OVER (PARTITION BY recording_id ORDER BY sample_idx) AS nx FROM ib),
+md AS (SELECT recording_id, median(abs(ibi - mid)) AS hr_mad FROM ib JOIN (SELECT recording_id, median(ibi) AS mid FROM ib GROUP BY 1) USING (recording_id) GROUP BY 1),
+br AS (SELECT recording_id, arg_max(frequency, (round(power, 3), -frequency)) AS breathingrate FROM lomb GROUP BY 1),
+me AS (SELECT recording_id, 60000 / avg(ibi) AS bpm, avg(ibi) AS ibi, stddev_pop(ibi) AS sdnn, stddev_pop(abs(nx - ibi)) AS sdsd, sqrt(avg((nx - ibi) * (nx - ibi))) AS rmssd,
+  avg(CASE WHEN abs(nx - ibi) > 20 THEN 1.0::DOUBLE WHEN nx IS NOT NULL THEN 0.0::DOUBLE END) AS pnn20, avg(CASE WHEN abs(nx - ibi) > 50 THEN 1.0::DOUBLE WHEN nx IS NOT NULL THEN 0.0::DOUBLE END) AS pnn50,
+  stddev_pop((nx - ibi) / sqrt(2)) AS sd1, stddev_pop((nx + ibi) / sqrt(2)) AS sd2 FROM st GROUP BY 1)
+SELECT recording_id, {", ".join(f"round({c}, 4) AS {c}" for c in ("bpm", "ibi", "sdnn", "sdsd", "rmssd", "pnn20", "pnn50", "hr_mad", "sd1", "sd2"))}, round(pi() * sd1 * sd2, 4) AS s, round(CASE WHEN sd2 <> 0 THEN sd1 / sd2 END, 4) AS sd1_sd2, round(breathingrate, 4) AS breathingrate
+FROM me JOIN md USING (recording_id) LEFT JOIN br USING (recording_id)""")
+def interval_measures(spark, d):
+    """All declared measures of beat intervals."""
+    made = aggregate.interval_measures(_beats(spark, d), 4.0)
+    return rounded(made, *made.columns[1:], digits=4)
+
+
 # ------------------------------------------------------------------ by time
 
 
