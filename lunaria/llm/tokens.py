@@ -123,6 +123,14 @@ def _pieces(n: int, length: int, key: int):
     return run
 
 
+def _distinct(ids: list) -> list:
+    """ids without repeats, in order of first appearance; ids may be structs or arrays."""
+    try:
+        return list(dict.fromkeys(ids))
+    except TypeError:
+        return list({repr(i): i for i in ids}.values())
+
+
 def _joined(length: int, stride: int, end: int, kind: pa.DataType):
     names = ["slot", "shard", "byte_offset", "n_tokens", "doc_ids", "tokens_crc32", "tokens"]
 
@@ -134,7 +142,7 @@ def _joined(length: int, stride: int, end: int, kind: pa.DataType):
             data = b"".join(held)
             n = len(data) // WIDTH.itemsize
             data += pad * (length - n)
-            rows.append((now, now // stride, now % stride * full, n, list(dict.fromkeys(owners)), zlib.crc32(data), data))
+            rows.append((now, now // stride, now % stride * full, n, _distinct(owners), zlib.crc32(data), data))
 
         def flush() -> pa.RecordBatch:
             a, b, c, d, e, f, g = zip(*rows, strict=True)

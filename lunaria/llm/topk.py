@@ -18,6 +18,8 @@ from .common import cut
 #: Rows of a tile at most (as expected from hashing): each side is copied once for every tile of the other,
 #: so tiles are as large as a task's memory allows, and multiplied in slices of SLICE (queries, candidates).
 QUERY_ROWS, SHARD_ROWS, SLICE = 65_536, 131_072, (512, 8_192)
+#: Bytes of either side of a tile at most, at eight a component: wide vectors get tiles of fewer rows.
+TILE_BYTES = 64 << 20
 #: Candidates of a tile at least where tables are small and cores many; lists merged at a time.
 SHARD_LEAST, FAN = 4_096, 32
 SCALE = 256
@@ -125,8 +127,9 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     v = v.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(fine, F.lit(False)))
     v = v.withColumn("qv", F.xxhash64("v"))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    total = v.select(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
-    blocks, shards = (max(1, -(-n // size)) for n, size in ((total.q, QUERY_ROWS), (total.n, SHARD_ROWS)))
+    total = v.select(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q"), F.max(F.size("v")).alias("width")).first()
+    most = max(1, TILE_BYTES // (8 * max(total.width or 1, 1)))
+    blocks, shards = (max(1, -(-n // min(size, most))) for n, size in ((total.q, QUERY_ROWS), (total.n, SHARD_ROWS)))
     shards = max(shards, min(-(-total.n // SHARD_LEAST), 2 * vectors.sparkSession.sparkContext.defaultParallelism))
     queries = v.where(is_query).dropDuplicates(["vec_id", "qv"])
     deal = lambda m: F.pmod(F.xxhash64(F.lit("tile"), "vec_id"), F.lit(m))

@@ -429,3 +429,15 @@ def test_ids_with_several_texts(spark, seed):
     assert got == brute_rows(rows, 4, 85)
     parts = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, 4, 85).collect() if r.doc_id is not None)
     assert parts == sorted(r[:3] for r in got if r[0] is not None)
+
+
+def test_wide_vectors_get_smaller_tiles(spark, monkeypatch):
+    """Tiles are bounded by bytes: at a width of 64 and 4 KB a side, eight rows."""
+    monkeypatch.setattr(topk, "TILE_BYTES", 4096)
+    seen = []
+    real = topk._tiles
+    monkeypatch.setattr(topk, "_tiles", lambda k: seen.append(k) or real(k))
+    rng = random.Random(7)
+    rows = [(i, [rng.random() for _ in range(64)]) for i in range(200)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], V)
+    assert sorted(map(tuple, topk.search(df, 5, 10).collect())) == brute_topk(rows, 5, 10) and seen == [5]

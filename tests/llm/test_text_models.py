@@ -464,3 +464,11 @@ def test_tokens_round_trip(spark, tmp_path):
     for s in (0, n // 2, n - 1):
         assert tokens.read_sequence(str(tmp_path), s, 64, 10).tobytes() == by_slot[s].tokens
     assert tokens.training_order(df.limit(0)).count() == 0
+
+
+def test_tokens_of_documents_with_nested_ids(spark):
+    rows = [({"a": k % 3}, "one two three " * 5) for k in range(9)]
+    out = tokens.training_order(spark.createDataFrame(rows, "doc_id struct<a:int>, text string"), length=32, stride=4).collect()
+    assert {i.a for r in out for i in r.doc_ids} == {0, 1, 2} and all(len({i.a for i in r.doc_ids}) == len(r.doc_ids) for r in out)
+    listed = spark.createDataFrame([([1, 2], "a b c"), ([1, 2], "d e"), ([3], None)], "doc_id array<int>, text string")
+    assert sorted(i for r in tokens.training_order(listed, length=64).collect() for i in r.doc_ids) == [[1, 2], [3]]
