@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..errors import LunariaError
 from . import dsp, scores
 from .segment import frame_channels, segment_length
-from .select import KEY, quantiles
+from .select import INDEX, KEY, quantiles
 
 Predict = Callable[[np.ndarray], np.ndarray]
 
@@ -136,11 +136,38 @@ def _flat(factory: Callable[[], Predict]) -> Predict:
     return lambda x: model(x[:, :, 0])
 
 
-def quality_control(signal: DataFrame, length: int, k: float = 20.0, key: Sequence[str] = (*KEY, "channel")) -> DataFrame:
-    """Clips each channel to k interquartile ranges beyond its quartiles, then scales it by its median
-    and interquartile range. Both steps are off unless asked for."""
+#: Scalers by the names that models' parameters use: what is taken off and what it is divided by.
+SCALERS = ("RobustScaler", "StandardScaler", "MinMaxScaler", "MaxAbsScaler", "none")
+
+
+def quality_control(signal: DataFrame, length: int, k: float = 20.0, key: Sequence[str] = (*KEY, "channel"), scaler: str = "RobustScaler", affected: bool = False) -> DataFrame:
+    """Clips each channel to k interquartile ranges beyond its quartiles, then scales it: by median and
+    interquartile range (RobustScaler), mean and deviation (StandardScaler), or its range (MinMaxScaler,
+    MaxAbsScaler); what cannot be divided is 0. With affected, a column of that name says whether any sample
+    of the period of `length` samples was clipped."""
+    if scaler not in SCALERS:
+        raise LunariaError(f"scaler {scaler}; known: {', '.join(SCALERS)}")
+    key, v = list(key), F.col("value")
     q = quantiles(signal, (0.25, 0.5, 0.75), "value", key)
-    low, mid, high = (F.col(f"q{i}") for i in range(3))
-    held = F.least(F.greatest(F.col("value"), low - k * (high - low)), high + k * (high - low))
-    scaled = F.coalesce(F.try_divide(held - mid, high - low), F.lit(0.0))
-    return signal.join(q, list(key), "left").withColumn("value", scaled).drop("q0", "q1", "q2")
+    low, high = F.col("q0") - k * (F.col("q2") - F.col("q0")), F.col("q2") + k * (F.col("q2") - F.col("q0"))
+    held = signal.join(q, key, "left").withColumns({"value": F.least(F.greatest(v, low), high), "__hit": (v < low) | (v > high)})
+    by = {"RobustScaler": (F.col("q1"), F.col("q2") - F.col("q0")), "none": (F.lit(0.0), F.lit(1.0))}.get(scaler)
+    if by is None:
+        m = held.groupBy(*key).agg(F.avg(v).alias("__mean"), F.stddev_pop(v).alias("__std"), F.min(v).alias("__min"), F.max(v).alias("__max"), F.max(F.abs(v)).alias("__abs"))
+        held = held.join(m, key, "left")
+        by = {"StandardScaler": (F.col("__mean"), F.col("__std")), "MinMaxScaler": (F.col("__min"), F.col("__max") - F.col("__min")), "MaxAbsScaler": (F.lit(0.0), F.col("__abs"))}[scaler]
+    out = held.withColumn("value", F.coalesce(F.try_divide(v - by[0], by[1]), F.lit(0.0)))
+    if affected:
+        period = F.expr(f"{INDEX} div {length}").alias("__period")
+        hit = held.groupBy(*key, period).agg(F.max(F.coalesce("__hit", F.lit(False))).alias("affected"))
+        out = out.withColumn("__period", F.expr(f"{INDEX} div {length}")).join(hit, [*key, "__period"])
+    return out.select(*signal.columns, *(["affected"] if affected else []))
+
+
+def affected_periods(signal: DataFrame, length: int, k: float = 20.0, key: Sequence[str] = (*KEY, "channel")) -> DataFrame:
+    """(key, period_idx, n_clipped) of the periods in which quality control clips samples."""
+    key, v = list(key), F.col("value")
+    q = quantiles(signal, (0.25, 0.75), "value", key)
+    spread = k * (F.col("q1") - F.col("q0"))
+    hit = signal.join(q, key).where((v < F.col("q0") - spread) | (v > F.col("q1") + spread))
+    return hit.groupBy(*key, F.expr(f"{INDEX} div {length}").alias("period_idx")).agg(F.count(F.lit(1)).alias("n_clipped"))

@@ -55,3 +55,11 @@ def with_truth(predicted: DataFrame, truth: DataFrame, key: Sequence[str] = (*KE
     """Predictions joined with the truth of the same epoch; truth beyond the predictions is cut off, as are
     predictions beyond the truth."""
     return predicted.join(truth, list(key))
+
+
+def lengths(predicted: DataFrame, truth: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """(key, n_predicted, n_truth): the epochs of each recording in predictions and in truth, of which `with_truth`
+    keeps what both have; a difference says how much it cuts, and on which side."""
+    key = list(key)
+    a, b = (df.groupBy(*key).agg(F.count(F.lit(1)).alias(n)) for df, n in ((predicted, "n_predicted"), (truth, "n_truth")))
+    return a.join(b, key, "full").fillna(0, ["n_predicted", "n_truth"])

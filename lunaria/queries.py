@@ -391,6 +391,13 @@ def truth_prediction_join(spark, d):
     return scores.with_truth(guess, ann(spark, d).select("recording_id", "epoch_idx", (F.col("code") == 1).cast("int").alias("truth")))
 
 
+@query(f"WITH {SIG} SELECT coalesce(p.recording_id, t.recording_id) AS recording_id, coalesce(a, 0) AS n_predicted, coalesce(b, 0) AS n_truth FROM (SELECT recording_id, count(*) AS a FROM sig WHERE sample_idx < 40 GROUP BY 1) p FULL JOIN (SELECT recording_id, count(*) AS b FROM sig WHERE value > 99 GROUP BY 1) t ON p.recording_id = t.recording_id")
+def truth_lengths(spark, d):
+    """How many epochs predictions and truth have, recording by recording."""
+    s = sig(spark, d)
+    return scores.lengths(s.where("sample_idx < 40"), s.where("value > 99"))
+
+
 @query(f"WITH {ANN} SELECT recording_id, epoch_idx, code FROM ann WHERE code NOT IN (0, 1, -1)")
 def deep_sleep_only(spark, d):
     return metrics.deep_sleep(ann(spark, d), "code")
@@ -691,6 +698,23 @@ def quality_control(spark, d):
     return rounded(models.quality_control(s, 1, 0.5, ("recording_id",)), "value")
 
 
+@query(f"""WITH {IMU}, q AS (SELECT recording_id, quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM imu GROUP BY 1)
+SELECT recording_id, sample_idx // 50 AS period_idx, count(*) AS n_clipped FROM imu JOIN q USING (recording_id) WHERE y < a - 0.5 * (b - a) OR y > b + 0.5 * (b - a) GROUP BY 1, 2""")
+def affected_periods(spark, d):
+    s = imu(spark, d).select("recording_id", "sample_idx", F.col("y").alias("value"))
+    return models.affected_periods(s, 50, 0.5, ("recording_id",))
+
+
+@query(f"""WITH {IMU}, q AS (SELECT recording_id, quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM imu GROUP BY 1),
+c AS (SELECT recording_id, sample_idx, least(greatest(y, a - 0.5 * (b - a)), b + 0.5 * (b - a)) AS v, y < a - 0.5 * (b - a) OR y > b + 0.5 * (b - a) AS hit FROM imu JOIN q USING (recording_id))
+SELECT recording_id, sample_idx, round((v - avg(v) OVER r) / stddev_pop(v) OVER r, 6) + 0.0 AS value, bool_or(hit) OVER (PARTITION BY recording_id, sample_idx // 50) AS affected FROM c WINDOW r AS (PARTITION BY recording_id)""")
+def quality_control_standard(spark, d):
+    """Clipped, scaled by mean and deviation, with the periods that were clipped marked."""
+    s = imu(spark, d).select("recording_id", "sample_idx", F.col("y").alias("value"))
+    made = models.quality_control(s, 50, 0.5, ("recording_id",), "StandardScaler", affected=True)
+    return made.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
 @query(f"""WITH {_PEAKS}, i AS (SELECT recording_id, sample_idx, (sample_idx - lag(sample_idx) OVER (PARTITION BY recording_id ORDER BY sample_idx))::DOUBLE / 4 * 1000 AS ibi FROM pk),
 k AS (SELECT *, ibi - lag(ibi) OVER (PARTITION BY recording_id ORDER BY sample_idx) AS step FROM i WHERE ibi > 0)
 SELECT recording_id, count(*) AS n_beats, round(avg(ibi), 4) AS mean_ibi, round(stddev_samp(ibi), 4) AS sdnn, round(sqrt(avg(step * step)), 4) AS rmssd,

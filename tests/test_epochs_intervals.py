@@ -136,3 +136,20 @@ def test_few_intervals(spark):
     row = aggregate.interval_measures(beats(spark, [800]), 1000.0).first()
     assert row.ibi == 800 and row.rmssd is None and row.breathingrate is None
     assert aggregate.interval_measures(beats(spark, [800]).limit(0), 1000.0).collect() == []
+
+
+def test_scalers_and_affected_periods(spark):
+    from lunaria.errors import LunariaError
+    from lunaria.operators import models
+
+    x = np.append(RNG.normal(size=60), [1e6, -1e6])
+    df = spark.createDataFrame([("a", "c", i, float(v)) for i, v in enumerate(x)], "recording_id string, channel string, sample_idx long, value double")
+    q1, q2, q3 = np.quantile(x, (0.25, 0.5, 0.75))
+    held = np.clip(x, q1 - 2 * (q3 - q1), q3 + 2 * (q3 - q1))
+    want = {"RobustScaler": (held - q2) / (q3 - q1), "StandardScaler": (held - held.mean()) / held.std(), "MinMaxScaler": (held - held.min()) / np.ptp(held), "MaxAbsScaler": held / abs(held).max(), "none": held}
+    for name, y in want.items():
+        rows = models.quality_control(df, 20, 2.0, scaler=name, affected=True).orderBy("sample_idx").collect()
+        assert np.allclose([r.value for r in rows], y) and {r.sample_idx // 20 for r in rows if r.affected} == {i // 20 for i in np.flatnonzero(held != x)}
+    assert {r.period_idx: r.n_clipped for r in models.affected_periods(df, 20, 2.0).collect()} == {k: int((held != x)[k * 20 : k * 20 + 20].sum()) for k in {i // 20 for i in np.flatnonzero(held != x)}}
+    with pytest.raises(LunariaError):
+        models.quality_control(df, 20, scaler="other")
