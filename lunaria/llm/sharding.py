@@ -1,7 +1,9 @@
 """Sharding by minimax contiguous partition (DataFrame functions only).
 
-Rows with equal texts form one atomic group. Groups are ordered by 60 bits of the text's md5 (a null
-text comes first; texts whose hashes collide form one group, so equal texts always stay together).
+Rows with equal texts form one atomic group. A group that is larger than a fair share of what is left for
+the shards left is a shard by itself, the largest first, so that it does not set the others' size. The
+other groups are ordered by 60 bits of the text's md5 (a null text comes first; texts whose hashes collide
+form one group, so equal texts always stay together).
 The smallest capacity C for which a greedy pass over the ordered group sizes needs at most K shards is
 found by binary search, and the order is cut where that pass cuts.
 
@@ -121,6 +123,18 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
         seg = _Segments([r for k, r in enumerate(seg.rows) if k not in set(split)] + more)
 
 
+def outsized(groups: DataFrame, shards: int) -> list[int]:
+    """h of the groups that are shards by themselves, the largest first (ties by h), fewer than `shards`."""
+    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    out, left = [], shards
+    for r in groups.orderBy(F.col("bytes").desc(), "h").limit(shards - 1).collect():
+        if r.bytes * left <= total:
+            break
+        out.append(r.h)
+        total, left = total - r.bytes, left - 1
+    return out
+
+
 def added(terms: list[Column]) -> Column:
     """The sum of terms as a balanced tree, so that many terms do not nest deeply."""
     while len(terms) > 1:
@@ -139,8 +153,8 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     size is the UTF-8 bytes of the text plus 1; a null text has size 1 and a null text_crc32 and
     forms a group of its own, apart from the empty text. Slots run from 0 without gaps in each shard.
     Repeated rows are equal texts, so they share a shard; the order of exact repeats is immaterial.
-    A text that outweighs a fair shard sets the capacity, and the greedy pass then fills fewer shards.
-    An empty table gives an empty result; other columns are ignored.
+    Texts that outweigh a fair shard have the last shards to themselves; the others fill those before, whose
+    sizes are near equal. An empty table gives an empty result; other columns are ignored.
     """
     narrow = cut(
         docs.select(
@@ -152,8 +166,11 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         "sizes",
     )
     groups = cut(narrow.groupBy("h").agg(F.sum("size").alias("bytes")), "groups")
-    _, cuts = minimax_cuts(groups, shards)
+    alone = outsized(groups, shards)
+    _, cuts = minimax_cuts(groups.where(~F.col("h").isin(alone)) if alone else groups, shards - len(alone))
     number = added([F.lit(0), *((F.col("h") >= F.lit(c)).cast("int") for c in cuts)])
+    for k, h in enumerate(alone):
+        number = F.when(F.col("h") == F.lit(h), shards - len(alone) + k).otherwise(number)
     part = F.conv(F.substring(F.md5(F.concat(F.lit("part:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), 1, 2), 16, 10).cast("int")
     placed = narrow.withColumn("shard", number.cast("int")).withColumn("part", part)
     counts = placed.groupBy("shard", "part").count()  # at most shards x PARTS rows
@@ -184,15 +201,17 @@ WITH RECURSIVE d AS (
     ('0x' || substr(md5('part:' || coalesce(doc_id::VARCHAR, 'null')), 1, 2))::BIGINT AS part FROM documents),
 crc AS (SELECT DISTINCT h, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda y: ('0x' || y)::BIGINT)),
   lambda c, y: xor(c >> 8, {_crc_table()}[(xor(c, y) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM (SELECT DISTINCT text, h FROM d WHERE text IS NOT NULL)),
-g AS (SELECT h, sum(size)::BIGINT AS b FROM d GROUP BY h), c AS (SELECT h, b, sum(b) OVER (ORDER BY h)::BIGINT AS e FROM g),
-total AS (SELECT sum(b)::BIGINT AS t, max(b)::BIGINT AS m FROM g),
-s AS (SELECT greatest(m, (t + 15) // 16) AS lo, t AS hi, 0::BIGINT AS pos, 0 AS step, t FROM total
-  UNION ALL SELECT CASE WHEN step = 16 AND pos < t THEN (lo + hi) // 2 + 1 ELSE lo END, CASE WHEN pos >= t THEN (lo + hi) // 2 ELSE hi END,
-    CASE WHEN step = 16 OR pos >= t THEN 0 ELSE (SELECT coalesce(max(e), 0) FROM c WHERE e <= s.pos + (s.lo + s.hi) // 2) END,
-    CASE WHEN step = 16 OR pos >= t THEN 0 ELSE step + 1 END, t FROM s WHERE lo < hi),
+g0 AS (SELECT h, sum(size)::BIGINT AS b FROM d GROUP BY h), g1 AS (SELECT *, row_number() OVER w AS r, sum(b) OVER () - coalesce(sum(b) OVER (ORDER BY b DESC, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM g0 WINDOW w AS (ORDER BY b DESC, h)),
+g2 AS (SELECT *, bool_and(r < 16 AND b * (17 - r) > rest) OVER (ORDER BY r) AS alone FROM g1), sh AS (SELECT 16 - count(*) FILTER (WHERE alone) AS n FROM g2),
+g AS (SELECT h, b FROM g2 WHERE NOT alone), c AS (SELECT h, b, sum(b) OVER (ORDER BY h)::BIGINT AS e FROM g),
+total AS (SELECT sum(b)::BIGINT AS t, max(b)::BIGINT AS m, any_value(n)::BIGINT AS n FROM g, sh),
+s AS (SELECT greatest(m, (t + n - 1) // n) AS lo, t AS hi, 0::BIGINT AS pos, 0 AS step, t, n FROM total
+  UNION ALL SELECT CASE WHEN step = n AND pos < t THEN (lo + hi) // 2 + 1 ELSE lo END, CASE WHEN pos >= t THEN (lo + hi) // 2 ELSE hi END,
+    CASE WHEN step = n OR pos >= t THEN 0 ELSE (SELECT coalesce(max(e), 0) FROM c WHERE e <= s.pos + (s.lo + s.hi) // 2) END,
+    CASE WHEN step = n OR pos >= t THEN 0 ELSE step + 1 END, t, n FROM s WHERE lo < hi),
 cap AS (SELECT max(lo) AS cap FROM s WHERE lo >= hi),
-k AS (SELECT 0 AS step, 0::BIGINT AS pos UNION ALL SELECT step + 1, (SELECT coalesce(max(e), 0) FROM c WHERE e <= k.pos + (SELECT cap FROM cap)) FROM k WHERE step < 15),
-p AS (SELECT h, (SELECT count(*) FROM k WHERE step > 0 AND pos <= c.e - c.b)::INTEGER AS shard FROM c)
+k AS (SELECT 0 AS step, 0::BIGINT AS pos UNION ALL SELECT step + 1, (SELECT coalesce(max(e), 0) FROM c WHERE e <= k.pos + (SELECT cap FROM cap)) FROM k WHERE step < (SELECT n FROM sh) - 1),
+p AS (SELECT h, (SELECT count(*) FROM k WHERE step > 0 AND pos <= c.e - c.b)::INTEGER AS shard FROM c UNION ALL SELECT h, ((SELECT n FROM sh) + r - 1)::INTEGER FROM g2 WHERE alone)
 SELECT d.doc_id, d.size::BIGINT AS size, crc.text_crc32, 'bytes' AS law, p.shard, row_number() OVER (PARTITION BY p.shard ORDER BY d.part, d.h, d.doc_id NULLS FIRST) - 1 AS slot, NULL::INTEGER AS grown_shard
 FROM d JOIN p USING (h) LEFT JOIN crc USING (h)
 """

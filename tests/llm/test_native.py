@@ -160,3 +160,32 @@ def test_emit_repeats_rows(spark):
     assert out.columns == d.columns
     n = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert n == {i: k for i, k in taken.items() if k}
+
+
+@pytest.mark.parametrize("hot", [(12_000,), (9_000, 8_000), (900, 40)])
+def test_hot_texts_leave_the_others_balanced(spark, hot):
+    """Texts of most rows have shards to themselves; the rest is spread evenly over all other shards; the SQL agrees."""
+    import duckdb
+
+    rng = random.Random(3)
+    rows = [(f"t{rng.randrange(10**9)}", "s") for _ in range(3000)] + [("hot" * (k + 1), "s") for k, n in enumerate(hot) for _ in range(n)]
+    df = docs(spark, [(i, t, s) for i, (t, s) in enumerate(rows)])
+    got = sharding.shard(df, 16).collect()
+    size, of = {}, {}
+    for r in got:
+        size[r.shard] = size.get(r.shard, 0) + r.size
+        of.setdefault(rows[r.doc_id][0], set()).add(r.shard)
+    assert set(size) == set(range(16)) and all(len(v) == 1 for v in of.values())
+    alone = {next(iter(of["hot" * (k + 1)])) for k, n in enumerate(hot) if n > 500}
+    others = [v for k, v in size.items() if k not in alone]
+    assert len(alone) == sum(n > 500 for n in hot) and max(others) < 1.2 * sum(others) / len(others) and min(others) > 0.7 * sum(others) / len(others)
+    pdf = df.select("doc_id", "text").toPandas()
+    con = duckdb.connect()
+    con.register("documents", pdf)
+    want = con.sql(sharding.ORACLE_SQL).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
+
+
+def test_all_texts_outsized(spark):
+    df = docs(spark, [(i, "x" * (1 << i), "s") for i in range(12)])
+    assert len({r.shard for r in sharding.shard(df, 16).collect()}) == 12
