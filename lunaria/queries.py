@@ -827,13 +827,13 @@ def interval_measures(spark, d):
 
 @query("""WITH v AS (SELECT user_id AS recording_id, ts, event_id FROM events WHERE event_type = 'view'),
 c AS (SELECT user_id AS recording_id, ts, max(event_id) AS label_id, arg_max(value, event_id) AS label_value FROM events WHERE event_type = 'click' GROUP BY ALL)
-SELECT v.recording_id, v.event_id, label_id, label_value FROM v ASOF LEFT JOIN c ON v.recording_id = c.recording_id AND v.ts >= c.ts""")
+SELECT v.recording_id, v.event_id, coalesce(label_id, -1) AS label_id, label_value FROM v ASOF LEFT JOIN c ON v.recording_id = c.recording_id AND v.ts >= c.ts""")
 def asof_labels(spark, d):
-    """Each score (view) with the last label (click) of its recording at or before its time; slices of a day."""
+    """Each score (view) with the last label (click) of its recording at or before its time, -1 for none; slices of a day."""
     e = table(spark, d, "events").select(F.col("user_id").alias("recording_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "event_type", "value")
     labels = e.where("event_type = 'click'").select("recording_id", "ts_us", F.col("event_id").alias("label_id"), F.col("value").alias("label_value"))
     views = e.where("event_type = 'view'").select("recording_id", "ts_us", "event_id")
-    return timeline.asof_join(views, labels, ["label_id", "label_value"], at="ts_us", size=86_400_000_000).drop("ts_us")
+    return timeline.asof_join(views, labels, ["label_id", "label_value"], at="ts_us", size=86_400_000_000).drop("ts_us").fillna(-1, ["label_id"])
 
 
 @query("""WITH p AS (SELECT o_custkey AS recording_id, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS a, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + o_orderkey % 120 AS b FROM orders),

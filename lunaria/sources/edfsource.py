@@ -74,6 +74,12 @@ def readable(uri: str) -> bool:
     return SCHEMES.get(scheme, scheme) in ("file", "hdfs", "s3", "gs", "gcs")
 
 
+def braces(pattern: str) -> list[str]:
+    """The patterns that alternatives in braces stand for."""
+    m = re.search(r"\{([^{}]*)\}", pattern)
+    return [pattern] if m is None else [p for part in m[1].split(",") for p in braces(pattern[: m.start()] + part + pattern[m.end() :])]
+
+
 def expand(fs: pa.fs.FileSystem, pattern: str) -> Iterator[tuple[str, int]]:
     """(name, size) of the EDF files that match a pattern or lie in folders that do; only folders that a
     part of the pattern matches are listed."""
@@ -136,11 +142,12 @@ class EdfReader(DataSourceReader):
         self.headers, self.audit = get("headers") == "true", get("audit")
 
     def partitions(self) -> list[_Task]:
-        files: list[tuple[str, int]] = []
+        found: dict[str, int] = {}
         for uri in self.paths:
-            prefix, pattern = split_uri(uri)
-            files += [(prefix + path, size) for path, size in expand(file_system(prefix), pattern) if self.stems is None or stem_of(path) in self.stems]
-        files = [f for f in files if self.names is None or f[0] in self.names]
+            prefix, whole = split_uri(uri)
+            for pattern in braces(whole):
+                found |= {prefix + path: size for path, size in expand(file_system(prefix), pattern) if self.stems is None or stem_of(path) in self.stems}
+        files = [f for f in found.items() if self.names is None or f[0] in self.names]
         if self.headers:
             each = max(1, min(512, -(-len(files) // self.parallelism)))
             return [_Task([(p, n, 0, n) for p, n in files[k : k + each]]) for k in range(0, len(files), each)] or [_Task([])]

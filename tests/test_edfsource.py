@@ -135,6 +135,13 @@ def test_a_file_of_several_signals_is_no_channel(spark, tmp_path):
         jobs.load_edf(spark, config, ["PPG"])
 
 
+def test_patterns(spark, tmp_path):
+    for s in ("a1", "b1", "c1"):
+        put(tmp_path / f"{s}/x.edf", [("x", 2, [1, 2])], 1)
+    count = lambda p: edfsource.read_headers(spark, f"file://{tmp_path}/{p}").count()
+    assert (count("{a,b}1"), count("{a,b}1/{x,y}.edf"), count("[bc]?/*.edf"), count("{a1,a*}/x.edf")) == (2, 2, 2, 1)
+
+
 def test_no_files(spark, tmp_path):
     assert edfsource.read_signals(spark, f"file://{tmp_path}/none*").collect() == []
     assert edfsource.split_uri("s3a://b/x/*.edf") == ("s3a://", "b/x/*.edf") and edfsource.split_uri("hdfs://h:8020/x") == ("hdfs://h:8020", "/x")
