@@ -83,15 +83,15 @@ def test_queries_with_sql(spark):
     for name in os.listdir(DATA):
         con.sql(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{name}'")
     for name, sql in queries.ORACLE_SQL.items():
-        got, want = queries.QUERIES[name](spark, DATA).toPandas(), con.sql(sql).df()
+        got, want = queries.QUERIES[name](spark, DATA), con.sql(sql)
         columns = sorted(want.columns)
         assert columns == sorted(got.columns)
-        a, b = (x[columns].astype(object) for x in (got, want))
-        a, b = (sorted(map(repr, x.where(x.notna(), None).itertuples(index=False, name=None))) for x in (a, b))
+        a = sorted(repr(tuple(r)) for r in got.select(*columns).collect())  # as rows: pandas has no whole numbers beside nulls
+        b = sorted(map(repr, want.select(*columns).fetchall()))
         assert a == b, name
 
 
-@pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 11)])
+@pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 14)])
 def test_every_query_is_there(name):
     assert sum(q.startswith(name) for q in queries.QUERIES) == 1
 
