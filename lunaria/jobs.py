@@ -144,13 +144,19 @@ def export_channels(spark: SparkSession, config: DatasetConfig, names: Mapping[s
 def export_intervals(spark: SparkSession, config: DatasetConfig, pulse: str, root: str, pipeline: Pipeline, on_error: OnError = OnError.RAISE) -> DataFrame:
     """Measures of beat intervals per recording: (recording_id, n_beats, mean_ibi, ..., and all of interval_measures)."""
     loaded = load_edf(spark, config, [pulse], on_error)
-    made = pipeline.run({"PPG": loaded.signals[pulse]}, ["PPG_peaks", "PPG_ibi"])
-    peaks = made["PPG_peaks"].df.where("value = 1").select("recording_id", "sample_idx")
-    beats = made["PPG_ibi"].df.join(peaks, ["recording_id", "sample_idx"]).select("recording_id", "sample_idx", F.col("value").alias("ibi"))
+    made = stacked(pipeline.together({"PPG": loaded.signals[pulse]}, ["PPG_peaks", "PPG_ibi"]))
+    of = lambda c: F.max(F.when(F.col("channel") == c, F.col("value")))
+    wide = made.df.groupBy("recording_id", "sample_idx").agg(of("PPG_peaks").alias("peak"), of("PPG_ibi").alias("ibi"))
+    # a row a beat, kept, so that the measures do not process the pulse wave again each
+    beats = wide.where("peak = 1").select("recording_id", "sample_idx", "ibi").persist()
     names = ("sdsd", "pnn20", "hr_mad", "sd1", "sd2", "s", "sd1_sd2", "breathingrate")  # what beat_measures has not got
-    out = aggregate.beat_measures(beats).join(aggregate.interval_measures(beats, made["PPG_peaks"].rate).select("recording_id", *names), "recording_id")
-    export.write_csv(out.coalesce(1), root)
-    return out
+    try:
+        beats.count()
+        out = aggregate.beat_measures(beats).join(aggregate.interval_measures(beats, made.rate).select("recording_id", *names), "recording_id")
+        export.write_csv(out.coalesce(1), root)
+    finally:
+        beats.unpersist()
+    return spark.read.csv(root, header=True, inferSchema=True)
 
 
 AGGREGATED = "aggregated"

@@ -145,7 +145,8 @@ def process_ppg(
     Samples are dealt to blocks once. Blocks tell their neighbours their edge samples, and find peaks (runs
     that end at an edge go on in the next block). What is in order or concerns the whole recording, that is
     which peaks are beats, the curve through them and the mean beat, has a row a beat; then each block takes
-    the part of it that its samples need. Any block size gives what the whole signal would.
+    the part of it that its samples need. Any block size gives what the whole signal would. Tables of a row a
+    recording or beat stay cached in the session (`spark.catalog.clearCache()` drops them).
     """
     for value, known, name in ((peak_method, ppg.PEAK_METHODS, "peak method"), (quality_method, ppg.QUALITY_METHODS, "quality method"), (interpolation, ppg.INTERPOLATIONS, "interpolation")):
         if value not in known:
@@ -166,7 +167,8 @@ def process_ppg(
         return pa.table([*same(t, len(to)), *columns], names=[*on, "kind", "at", "v"])
 
     parts = x.groupBy(*on).applyInArrow(told, f"{kinds}, __block long, kind int, at long, v double")
-    whole = parts.where("kind = 1").groupBy(*key).agg(F.sum("at").alias("n"), (F.sum("v") / F.sum("at")).alias("level"))
+    # what has a row a recording or a beat is kept: several later steps read it, and plans stay short
+    whole = parts.where("kind = 1").groupBy(*key).agg(F.sum("at").alias("n"), (F.sum("v") / F.sum("at")).alias("level")).persist()
     info = whole.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {block}"))).alias("__block"), F.lit(1).alias("kind"), F.col("n").alias("at"), F.col("level").alias("v"))
 
     def found(t: pa.Table, near: pa.Table) -> pa.Table:
@@ -199,7 +201,7 @@ def process_ppg(
         return pa.table([*same(t, len(rows)), *(long(rows[:, i]) for i in range(3)), *(pa.array(rows[:, i]) for i in range(3, 8))], names=[*key, *names])
 
     kind = ", ".join(f"{c} {'long' if i < 3 else 'double'}" for i, c in enumerate(names))
-    layout = beats.join(whole.select(*key, "n"), key).groupBy(*key).applyInArrow(laid, f"{kinds}, {kind}")
+    layout = beats.join(whole.select(*key, "n"), key).groupBy(*key).applyInArrow(laid, f"{kinds}, {kind}").persist()
     spread = lambda df, lo, hi: df.withColumn("__block", F.explode(F.sequence(F.expr(f"{lo} div {block}"), F.expr(f"({hi} - 1) div {block}"))))
 
     def windows(t: pa.Table, near: pa.Table) -> pa.Table:
@@ -231,7 +233,7 @@ def process_ppg(
             q = np.array([ppg.likeness(np.array([a]), np.array(b), quality_method)[0] for a, b in zip(w, m, strict=True)], np.float64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(key) + 1)), pa.array(q)], [*key, "x0", "q"])
 
-    quality = waves.join(mean, key).select(*key, F.col("k").cast("double").alias("x0"), "w", "mean").mapInArrow(judged, f"{kinds}, x0 double, q double")
+    quality = waves.join(mean, key).select(*key, F.col("k").cast("double").alias("x0"), "w", "mean").mapInArrow(judged, f"{kinds}, x0 double, q double").persist()
     cells = layout.where("kind = 1").join(quality, [*key, "x0"]).withColumn("c0", F.col("q")).select(*layout.columns)
     rows = layout.where("kind in (0, 2)").unionByName(cells).where("lo < hi")
 
