@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns plus dictionary-primed zstandard novelty.
 
 The fixed patterns give the base spans. The method adds spans. Words are counted over the whole corpus, and
-the commonest are the dictionary of ordinary identifiers. A string in a sensitive context is compressed
-together with the text around it, under that dictionary; what it adds to the compressed size, for each of
-its characters, is its novelty. Identifiers, repeated strings and prose add little; random keys cannot be
-compressed. What separates the two at a length is measured on identifiers made of the dictionary's own
-words and on random strings, so it follows the corpus.
+a zstandard dictionary is fitted on names made of the commonest: it holds them, and the codes of letters as
+names use them. A string in a sensitive context is compressed together with the text around it, under that
+dictionary; what it adds to the compressed size, for each of its characters, is its novelty. Identifiers,
+repeated strings and prose add little, also where their words are unknown; random keys cannot be compressed.
+What separates the two, at a length and for a mix of characters, is measured on names made of the corpus's
+own words, in the dictionary and out of it, and on random strings, so it follows the corpus.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
+from statistics import median
 
 import pyarrow as pa
 import zstandard
@@ -34,21 +37,28 @@ KINDS = ("assign", "access", "hex", "novel")
 
 #: Words that make what stands near them sensitive, how far they reach on either side, and a candidate's
 #: least length (a documented bound of the method: shorter strings cannot be told from words).
-SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authorization|bearer|signature|client[_-]?id|pwd", re.IGNORECASE | re.ASCII)
+SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|authorization|bearer|signature|client[ _-]?id|pwd", re.IGNORECASE | re.ASCII)
 REACH, LEAST = 64, 10
 RUN = re.compile(r"[!-~]+")
-EDGES = ".,;:!?()[]{}<>\"'`=|"
+EDGES = string.punctuation
+#: What looks random by its grammar alone: dates and times, UUIDs, addresses of mail. Of an address with a scheme only a password in it counts.
+ORDINARY = re.compile(r"\d{4}-\d\d-\d\d(?:[T_]\d\d:?\d\d(?::?\d\d)?(?:[.,]\d+)?(?:Z|[+-]\d\d:?\d\d)?)?|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[\w.+-]+@[\w-]+(?:\.[\w-]+)+", re.ASCII)
+ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}://(?:[^/@:]*:([^/@]+)@)?", re.ASCII)
 #: Kinds of characters, of which a candidate has two at least: lower case, upper case within, digits, symbols within.
-CLASSES = (re.compile(r"[a-z]"), re.compile(r"(?<=.)[A-Z]"), re.compile(r"[0-9]"), re.compile(r"(?<=.)[^A-Za-z0-9](?=.)"))
+CLASSES = (re.compile(r"[a-z]"), re.compile(r"(?<=.)[A-Z]"), re.compile(r"[0-9]"), re.compile(r"[^A-Za-z0-9]"))
 LETTER = re.compile(r"[A-Za-z]")  # dates and numbers are none
-AROUND = 256
+#: Characters on either side that a string is compressed with: the middle of what these give is its novelty.
+AROUND = (64, 144, 256)
 #: Words of the dictionary, and pieces of a string that are looked up in it: a string that is for KNOWN of its characters such words is an identifier.
 PARTS, KNOWN = 4_000, 0.5
 COMMON = 250_000
 PIECE = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
 LEVEL = 9
-#: Strings of either sort that thresholds are measured on, by length in steps of STEP up to LONGEST.
-TRIALS, STEP, LONGEST = 64, 8, 56
+#: Strings of either sort that thresholds are measured on, by length in steps of STEP up to LONGEST, and what
+#: a name reported weighs against a key missed.
+TRIALS, STEP, LONGEST, WRONG = 96, 4, 48, 1
+#: Names that the zstandard dictionary is fitted on, and its bytes.
+NAMES, SIZE = 2_000, 32_768
 #: Common words of code, in the dictionary of any corpus.
 CODE_WORDS = (
     "abc account add admin api app application array auth authentication authorization base bean build bytes cache call class client code color command config "
@@ -67,48 +77,79 @@ CODE_WORDS = (
 SEQUENCES = "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 abcdefghijklmnopqrstuvwxyz0123456789 00000000000000000000000000000000 xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx "
 
 
+def mix(s: str) -> int:
+    """0: letters alone, 1: digits too, 2: symbols too."""
+    return 2 if CLASSES[3].search(s) else 1 if CLASSES[2].search(s) else 0
+
+
+def made(rng: random.Random, words: list[str], length: int, kind: int) -> str:
+    """A name of a length and mix of characters, as code and configurations spell them."""
+    name = rng.choice(words)
+    while len(name) < length:
+        joint = "" if kind == 0 or kind == 2 and rng.random() < 0.3 else str(rng.randrange(100)) if kind == 1 and rng.random() < 0.5 else ""
+        if kind == 2 and rng.random() < 0.7:
+            joint = rng.choice("_-/.") + joint
+        word = rng.choice(words)
+        name += joint + (word if joint and kind == 2 else word.capitalize())
+    return name[:length]
+
+
 class Novelty:
-    """Marginal compressed bytes of a string within its surroundings, and from where it is novel."""
+    """Marginal compressed bytes of a string within its surroundings, and from where it is novel.
+
+    `parts` are the corpus's commonest words, most common first: the dictionary is fitted on the first PARTS,
+    and the bounds are measured on names of which every other is made of the words after those, if there are any."""
 
-    def __init__(self, parts: list[str] = (), level: int = LEVEL):
-        self.parts = list(parts)
-        self.known = {w.lower() for w in (*self.parts, *CODE_WORDS.split())}
-        content = SEQUENCES + CODE_WORDS + " " + " ".join(reversed(self.parts))  # the commonest last, where they cost least
-        primer = zstandard.ZstdCompressionDict(content.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, parts: list[str] = (), level: int = LEVEL, fitted: tuple[bytes, list[list[float]]] | None = None):
+        self.parts, self.level = list(parts), level
+        words = [*self.parts[:PARTS], *CODE_WORDS.split()]
+        self.known = {w.lower() for w in words}
+        self.primer = fitted[0] if fitted else self.fit(words)
+        primer = zstandard.ZstdCompressionDict(self.primer, dict_type=zstandard.DICT_TYPE_FULLDICT)
         self.squeeze = zstandard.ZstdCompressor(level=level, dict_data=primer, write_checksum=False, write_content_size=False, write_dict_id=False).compress
-        self.bounds = self.measured()
+        self.bounds = fitted[1] if fitted else self.measured(words, self.parts[PARTS:] or words)
 
     def __reduce__(self):
-        return Novelty, (self.parts,)
+        return Novelty, (self.parts, self.level, (self.primer, self.bounds))
+
+    @staticmethod
+    def fit(words: list[str]) -> bytes:
+        """A zstandard dictionary of names among words; the same for the same words."""
+        rng = random.Random(0)
+        names = [" ".join([*rng.choices(words, k=20), made(rng, words, 24, i % 3)]).encode() for i in range(NAMES)]
+        return zstandard.train_dictionary(SIZE, names, k=256, d=8, level=LEVEL).as_bytes()
 
     def of(self, text: str, start: int, end: int) -> float:
-        around = (text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND] + "\n").encode("utf-8", "replace")
-        return (len(self.squeeze(around + text[start:end].encode())) - len(self.squeeze(around))) / (end - start)
-
-    def measured(self) -> list[float]:
-        """For each length the novelty between that of identifiers (all but a few) and of random strings."""
-        rng, words = random.Random(0), [*self.parts, *CODE_WORDS.split()]
-        random_letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-        out = []
-        for length in range(STEP, LONGEST + 1, STEP):
-            found: tuple[list[float], list[float]] = ([], [])
-            for _ in range(TRIALS):
-                name = rng.choice(words)
-                while len(name) < length:
-                    name += rng.choice("_-/") + rng.choice(words) if rng.random() < 0.5 else rng.choice(words).capitalize()
-                for kind, s in enumerate((name[:length], "".join(rng.choices(random_letters, k=length)))):
+        s, added = text[start:end].encode("utf-8", "replace"), []
+        for reach in AROUND:
+            around = (SEQUENCES + text[max(0, start - reach) : start] + "\n" + text[end : end + reach] + "\n").encode("utf-8", "replace")
+            added.append(len(self.squeeze(around + s)) - len(self.squeeze(around)))
+        return median(added) / (end - start)
+
+    def measured(self, words: list[str], others: list[str]) -> list[list[float]]:
+        """For each mix of characters and length the bound that tells names from random strings with the least error."""
+        rng = random.Random(0)
+        letters, digits, symbols = string.ascii_letters, string.digits, "!@#$%^&*-_+"
+        out: list[list[float]] = []
+        for kind, alphabet in enumerate((letters, letters + digits, letters + digits + symbols)):
+            out.append([])
+            for length in range(LEAST, LONGEST + 1, STEP):
+                found: tuple[list[float], list[float]] = ([], [])
+                for i in range(TRIALS):
                     left, right = (" ".join(rng.choices(words, k=40)) for _ in range(2))
-                    found[kind].append(self.of(f"{left} {s} {right}", len(left) + 1, len(left) + 1 + length))
-            names, keys = map(sorted, found)
-            # nearer to the keys' low end where the two overlap: strings of known words are out already
-            out.append(max(names[TRIALS // 2], min(keys[TRIALS // 20], (names[TRIALS * 9 // 10] + keys[TRIALS // 10]) / 2)))
+                    for side, s in zip(found, (made(rng, (words, others)[i % 2], length, kind), "".join(rng.choices(alphabet, k=length))), strict=True):
+                        side.append(self.of(f"{left} {s} {right}", len(left) + 1, len(left) + 1 + length))
+                names, keys = map(sorted, found)
+                error = lambda b: WRONG * (TRIALS - bisect_left(names, b)) + bisect_left(keys, b)  # noqa: B023, E731
+                out[-1].append(min(sorted({*names, *keys}), key=error))
         return out
 
     def novel(self, text: str, start: int, end: int) -> bool:
         s = text[start:end]
         if sum(len(p) for p in PIECE.findall(s) if p.lower() in self.known) >= KNOWN * len(s):
             return False
-        return self.of(text, start, end) >= self.bounds[min(len(s) // STEP, len(self.bounds)) - 1]
+        bounds = self.bounds[mix(s)]
+        return self.of(text, start, end) >= bounds[min((len(s) - LEAST) // STEP, len(bounds) - 1)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -138,11 +179,18 @@ def candidates(text: str) -> list[tuple[int, int]]:
                 a = end
                 while a < b and text[a] in "-_/":
                     a += 1
+        if not near or b - a < LEAST:
+            continue
+        if address := ADDRESS.match(text, a, b):
+            a, b = address.span(1)
         while a < b and text[a] in EDGES:
             a += 1
         while a < b and text[b - 1] in EDGES:
             b -= 1
-        if near and b - a >= LEAST and LETTER.search(text, a, b) and sum(bool(c.search(text, a, b)) for c in CLASSES) > 1:
+        if b - a < LEAST:
+            continue
+        s = text[a:b]  # kinds are looked for in it alone: what stands before it says nothing of it
+        if LETTER.search(s) and sum(bool(c.search(s)) for c in CLASSES) > 1 and not ORDINARY.fullmatch(s):
             out.append((a, b))
     return out
 
@@ -190,13 +238,13 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, most: int = PARTS) -> Novelty:
-    """The measure with the `most` commonest words (as they are spelt) of all documents: a dictionary's size
-    is bounded by what it is for. Only words that occur twice, and once in COMMON words, count (so that
+    """The measure with the `most` commonest words (as they are spelt) of all documents, and as many after those
+    to measure bounds on: a dictionary's size is bounded by what it is for. Only words that occur twice, and once in COMMON words, count (so that
     COMMON at most are ordered, however many there are); ties go by the word."""
     counts = cut(docs.select("text").mapInArrow(_parts, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")), "words")
     every = counts.agg(F.sum("n")).first()[0] or 0
     common = counts.where((F.col("n") > 1) & (F.col("n") >= every / COMMON) & (F.length("part") <= 64))
-    rows = common.orderBy(F.desc("n"), "part").limit(most).collect()
+    rows = common.orderBy(F.desc("n"), "part").limit(2 * most).collect()
     return Novelty([r.part for r in rows])
 
 

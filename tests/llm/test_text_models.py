@@ -388,6 +388,45 @@ def test_novelty_separates_keys_from_identifiers():
     assert keys >= 270 and passwords >= 255 and wrong <= 9
 
 
+def test_names_of_unknown_words_are_no_secrets():
+    """Names of words that the dictionary does not hold, spelt like those it holds."""
+    rng = random.Random(6)
+    piece = ["la", "tion", "eau", "ver", "qui", "den", "sch", "mor", "ist", "und", "ter", "al"]
+    words = sorted({"".join(rng.choices(piece, k=3)) for _ in range(2_000)})
+    rng.shuffle(words)
+    measure = secrets.Novelty(words[:400])
+    wrong = 0
+    for i in range(300):
+        w = rng.choices(words[400:], k=rng.randrange(2, 4))
+        name = ("_".join(w), w[0] + "".join(x.capitalize() for x in w[1:]), "-".join(w) + "2")[i % 3]
+        wrong += "novel" in secrets.scan_text(" ".join(rng.choices(words, k=40)) + f" the password {name} and", measure)[4]
+    assert wrong <= 15
+
+
+def test_what_stands_around_a_candidate_says_nothing_of_its_kinds():
+    """A capital after a blank, and symbols at the ends, are no second kind of characters."""
+    for text in ("the token Einerverchen is", "token schgechelung%%% here", 'secret: "Reentionea***"', "the password ***Verchenelung###"):
+        assert secrets.candidates(text) == [], text
+    text = "the secret Zq8vT2mXw9Lr4Kc7!! and"
+    assert [text[a:b] for a, b in secrets.candidates(text)] == ["Zq8vT2mXw9Lr4Kc7"]
+
+
+def test_dates_uuids_and_addresses_are_no_secrets():
+    for s in ("2024-11-28T09:32:06Z", "550e8400-e29b-41d4-a716-446655440000", "https://example.com/a/b?q=Zq8vT2mXw9Lr4Kc7", "bob.43@mail7.example.com"):
+        assert secrets.candidates(f"the secret of {s} is") == [], s
+    text = "the secret of postgres://bob:Zq8vT2mXw9Lr4Kc7@db.example.com/x is"
+    assert [text[a:b] for a, b in secrets.candidates(text)] == ["Zq8vT2mXw9Lr4Kc7"]
+
+
+def test_measure_is_the_same_on_every_worker():
+    import pickle
+
+    measure = secrets.Novelty(["alpha", "beta", "gamma"])
+    again = pickle.loads(pickle.dumps(measure))
+    assert (again.primer, again.bounds, again.known) == (measure.primer, measure.bounds, measure.known)
+    assert secrets.Novelty(["alpha", "beta", "gamma"]).bounds == measure.bounds
+
+
 def test_identifiers_are_no_secrets():
     measure = secrets.Novelty()
     for s in ("get_user_preferences_by_account_id2", "userAuthenticationProviderFactory2Bean", "/usr/share/dict/words2024edition/index/abc", "password-protected", "2024-11-28", "555-0100-123"):
