@@ -13,6 +13,8 @@ from .operators import aggregate, align, annotate, boost, dsp, evaluate, feature
 from .plans.pipeline import bundled
 from .plans.transforms import Signal
 from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, SHORT_LABELS
+from .streaming import signals
+from .streaming.replay import replay
 from .views import ANN, EMB, IMU, LAB, SIG, ann, emb, imu, sig, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -562,16 +564,40 @@ _UP, _DOWN = polyphase.factors(_RATE, _TARGET)
 _KERNEL = polyphase.kernel(_UP, _DOWN)
 
 
-@query(f"""WITH {_Y}, e AS (SELECT recording_id, max(n) AS n, arg_min(v, sample_idx) AS a, arg_max(v, sample_idx) AS b FROM y GROUP BY 1),
+_FILTER = f"""WITH {_Y}, e AS (SELECT recording_id, max(n) AS n, arg_min(v, sample_idx) AS a, arg_max(v, sample_idx) AS b FROM y GROUP BY 1),
 p AS (SELECT recording_id, sample_idx AS i, v FROM y UNION ALL SELECT recording_id, -sample_idx, 2 * a - v FROM y JOIN e USING (recording_id) WHERE sample_idx BETWEEN 1 AND {_PAD}
   UNION ALL SELECT recording_id, 2 * (e.n - 1) - sample_idx, 2 * b - v FROM y JOIN e USING (recording_id) WHERE sample_idx BETWEEN e.n - 1 - {_PAD} AND e.n - 2),
 x AS (SELECT recording_id, sample_idx AS j, unnest(range(sample_idx - {_PAD}, sample_idx + {_PAD} + 1)) AS i FROM y)
-SELECT recording_id, 'y' AS channel, j AS sample_idx, round(sum(p.v * {_listed(_TAPS)}[i - j + {_PAD} + 1]), 6) + 0.0 AS value FROM x JOIN p USING (recording_id, i) GROUP BY recording_id, j""")
+SELECT recording_id, 'y' AS channel, j AS sample_idx, round(sum(p.v * {_listed(_TAPS)}[i - j + {_PAD} + 1]), 6) + 0.0 AS value FROM x JOIN p USING (recording_id, i) GROUP BY recording_id, j"""
+
+
+@query(_FILTER)
 def fir_filter(spark, d):
     """The taps, which depend on the design alone, are literals in the SQL."""
     return dsp.fir_filter(_long_y(spark, d), _RATE, _LOW, _HIGH).withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
+def _sampled(df, rate: float):
+    """df with the times of its samples from 2024 on."""
+    return df.withColumn("ts", F.timestamp_micros(F.expr(f"1704067200000000L + sample_idx * {round(1e6 / rate)}L")))
+
+
+@query(_FILTER)
+def streamed_filter(spark, d):
+    """The filter as a stream with state: the rows of the batch."""
+    out = replay(_sampled(_long_y(spark, d), _RATE), lambda s, late: signals.fir_filter(s, _RATE, _LOW, _HIGH, late))
+    return out.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+@query(f"""WITH {_PEAKS.replace("level * 0.02::DOUBLE", "0")}, i AS (SELECT *, (sample_idx - lag(sample_idx) OVER (PARTITION BY recording_id ORDER BY sample_idx))::DOUBLE AS d FROM pk)
+SELECT recording_id, sample_idx, value::DOUBLE AS value, round(d / 4 * 1000, 6) AS ibi, round(240 / d, 6) AS rate FROM i""")
+def streamed_beats(spark, d):
+    """Pulse peaks and their intervals as a stream with state."""
+    samples = _sampled(_pulse(spark, d).withColumn("channel", F.lit("pulse")), 4.0)
+    out = replay(samples, lambda s, late: signals.beats(s, 4.0, 3, 11, least=2, lateness=late))
+    return rounded(out.drop("channel"), "ibi", "rate")
+
+
 @query(f"""WITH {_Y}, n AS (SELECT recording_id, max(n) AS n FROM y GROUP BY 1),
 o AS (SELECT recording_id, unnest(range((n * {_UP} + {_DOWN - 1}) // {_DOWN})) AS j FROM n),
 x AS (SELECT recording_id, j, unnest(range((j * {_DOWN} - {len(_KERNEL) // 2}) // {_UP} - 1, (j * {_DOWN} + {len(_KERNEL) // 2}) // {_UP} + 1)) AS i FROM o),
