@@ -1,8 +1,9 @@
 """Token-ID output in training order: fixed-length sequences in a keyed pseudo-random order.
 
-1. Texts are tokenised once; each task writes its documents' ids (end-of-text appended) with their
-   token offset in the task. The table fixes the numbering, so retries agree with each other.
-2. Task totals, summed up, turn offsets into places in one token stream, cut every `length` tokens.
+1. Texts are tokenised once, into a table of ids (end-of-text appended) with a hash of id and text, whose
+   order is the stream's: no file, split or cluster changes it, and retries agree with each other.
+2. Lengths are summed up by ranges of the hash; a shuffle by range, with each range's start as its first
+   row, turns lengths into places in one token stream, which is cut every `length` tokens.
 3. A keyed Feistel permutation with cycle-walking sends sequence number to slot: a bijection of
    0..N-1 that needs no sort and no table.
 4. Pieces go straight to the range partition of their slot (slot div stride), are sorted there and
@@ -21,7 +22,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -35,6 +35,8 @@ END = 50256
 LENGTH, STRIDE, ROUNDS = 1024, 4096, 6
 #: Whole shards that one task writes at most, and tasks from which it writes more than one.
 SHARDS, TASKS = 64, 4_000
+#: Bits of the hash that lengths are summed up by, and so the most ranges; the least ranges (bits), and bytes of a range.
+FINE, MIN_BITS, PART_BYTES = 20, 4, 16 << 20
 WIDTH = np.dtype("<u2")
 
 
@@ -85,25 +87,32 @@ def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
 
 def _tokenise(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, part, start = encoder(path), TaskContext.get().partitionId(), 0
-        tail = np.array([end], WIDTH).tobytes()
+        code, tail = encoder(path), np.array([end], WIDTH).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 piece = batch.slice(at, 500)
-                out, starts = [], []
-                for text in piece.column(1):
-                    ids = token_ids(code, text.as_py() or "")
-                    out.append(ids.astype(WIDTH).tobytes() + tail)
-                    starts.append(start)
-                    start += len(ids) + 1
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([part] * len(out), pa.int32()), pa.array(starts, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "part", "start", "tokens"])
+                out = [token_ids(code, text.as_py() or "").astype(WIDTH).tobytes() + tail for text in piece.column(1)]
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(out, pa.binary())], ["doc_id", "h", "tokens"])
 
     return run
 
 
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, place in the stream, tokens) of one part's rows in their order; the first row says where the part starts."""
+    at = None
+    for batch in batches:
+        if at is None:
+            at, batch = batch.column(1)[0].as_py(), batch.slice(1)
+        if batch.num_rows:
+            size = pa.compute.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64) // WIDTH.itemsize
+            ends = at + np.cumsum(size)
+            at = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - size), batch.column(2)], ["doc_id", "g", "tokens"])
+
+
 def _pieces(n: int, length: int, key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _starts(batches):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 size = pa.compute.binary_length(part.column(2)).to_numpy(zero_copy_only=False).astype(np.int64) // WIDTH.itemsize
@@ -174,20 +183,29 @@ def training_order(docs: DataFrame, vocabulary: str = VOCABULARY, length: int =
 
     A null or empty text is an end-of-text token alone. Repeated rows are tokenised again each time.
     A null doc_id stays null in doc_ids. An empty table gives an empty result; other columns are
-    ignored. The stream's order before the permutation is that of the scan's tasks. The vocabulary file has
-    the same path on all nodes; its ids and `end` fit 16 bits, or ValueError is raised. doc_id may be of any type.
+    ignored. The stream's order before the permutation is that of a hash of id and text, so it does not depend
+    on files, splits or the cluster; rows of one hash go by their tokens. The vocabulary file has the same path on all nodes; its ids and `end` fit 16 bits, or ValueError is raised. doc_id may be of any type.
     """
     if not 0 <= end < 1 << 16 or max_id(vocabulary) >= 1 << 16:
         raise ValueError(f"{vocabulary}: ids beyond 16 bits")
     field = docs.schema["doc_id"].dataType
     kind = field.simpleString()
-    made = cut(docs.select("doc_id", "text").mapInArrow(_tokenise(vocabulary, end), f"doc_id {kind}, part int, start long, tokens binary"), "tokens")
-    parts = made.groupBy("part").agg(F.max(F.col("start") + F.octet_length("tokens") / WIDTH.itemsize).cast("long").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of the scan
-    base = cut(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), "n"), "bases")
-    total = base.agg(F.sum("n")).first()[0] or 0
+    hashed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
+    made = cut(hashed.mapInArrow(_tokenise(vocabulary, end), f"doc_id {kind}, h long, tokens binary"), "tokens")
+    fine = made.groupBy(F.shiftright("h", 64 - FINE).alias("f")).agg(F.sum(F.octet_length("tokens") / WIDTH.itemsize).cast("long").alias("n"))
+    fine = cut(fine, "lengths")
+    total = fine.agg(F.sum("n")).first()[0] or 0
     n = -(-total // length)
-    placed = made.join(base.select("part", "base"), "part").select("doc_id", (F.col("base") + F.col("start")).alias("g"), "tokens")
+    # parts are ranges of the hash, so their number does not change the order
+    bits = max(MIN_BITS, min(FINE, (total * WIDTH.itemsize // PART_BYTES).bit_length()))
+    part = F.shiftright("h", 64 - bits) + F.lit(1 << (bits - 1))
+    every = docs.sparkSession.range(1 << bits).select(F.col("id").alias("part"))
+    sizes = fine.groupBy((F.shiftright("f", FINE - bits) + F.lit(1 << (bits - 1))).alias("part")).agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    starts = every.join(sizes, "part", "left").select(F.lit(None).cast(field).alias("doc_id"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("h"), F.lit(None).cast("binary").alias("tokens"), F.col("part"))
+    # each part's start goes with its rows through the one shuffle, before them
+    whole = made.withColumn("part", part).unionByName(starts).repartitionById(1 << bits, F.col("part").cast("int"))
+    placed = whole.sortWithinPartitions(F.col("tokens").isNotNull(), "h", "tokens").select("doc_id", "h", "tokens")
     pieces = placed.mapInArrow(_pieces(n, length, key), f"slot long, at int, doc_id {kind}, piece binary")
     shards = max(1, -(-n // stride))
     each = min(SHARDS, -(-shards // TASKS))

@@ -505,6 +505,21 @@ def test_tokens_round_trip(spark, tmp_path):
     assert tokens.training_order(df.limit(0)).count() == 0
 
 
+def test_training_order_is_that_of_no_split(spark, monkeypatch):
+    """The same sequences from any split, order of rows and number of ranges; rows that repeat, null and empty ones among them."""
+    rng = random.Random(8)
+    rows = [(i % 150, " ".join(rng.choices(["alpha", "beta", "gamma"], k=rng.randrange(40)))) for i in range(200)]
+    rows += [*rows[:5], (None, "delta"), (None, None), (7, ""), (7, None), (8, "long " * 3_000)]
+    found = []
+    for parts, bits in ((1, 1), (3, 4), (7, 6)):
+        monkeypatch.setattr(tokens, "MIN_BITS", bits)
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found.append(sorted((r.slot, r.n_tokens, tuple(map(str, r.doc_ids)), bytes(r.tokens)) for r in tokens.training_order(df, length=32, stride=8, key=3).collect()))
+    assert found[0] == found[1] == found[2]
+    assert [r[0] for r in found[0]] == list(range(len(found[0])))
+
+
 def test_tokens_of_documents_with_nested_ids(spark):
     rows = [({"a": k % 3}, "one two three " * 5) for k in range(9)]
     out = tokens.training_order(spark.createDataFrame(rows, "doc_id struct<a:int>, text string"), length=32, stride=4).collect()
