@@ -50,17 +50,17 @@ def own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lunaria-{spark.sparkContext.applicationId}"
 
 
-def cut(df: DataFrame, tag: str = "t") -> DataFrame:
+def cut(df: DataFrame, tag: str = "t", codec: str | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: later stages survive lost executors and
     nothing above is computed twice."""
-    return cut_at(df, tag)[0]
+    return cut_at(df, tag, codec)[0]
 
 
-def cut_at(df: DataFrame, tag: str = "t") -> tuple[DataFrame, str]:
-    """cut, with the path for `discard`."""
+def cut_at(df: DataFrame, tag: str = "t", codec: str | None = None) -> tuple[DataFrame, str]:
+    """cut, with the path for `discard`; by a codec, if given, that is not the session's."""
     spark = df.sparkSession
     path = f"{own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 

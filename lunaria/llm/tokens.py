@@ -191,7 +191,7 @@ def training_order(docs: DataFrame, vocabulary: str = VOCABULARY, length: int =
     field = docs.schema["doc_id"].dataType
     kind = field.simpleString()
     hashed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
-    made = cut(hashed.mapInArrow(_tokenise(vocabulary, end), f"doc_id {kind}, h long, tokens binary"), "tokens")
+    made = cut(hashed.mapInArrow(_tokenise(vocabulary, end), f"doc_id {kind}, h long, tokens binary"), "tokens", "zstd")
     fine = made.groupBy(F.shiftright("h", 64 - FINE).alias("f")).agg(F.sum(F.octet_length("tokens") / WIDTH.itemsize).cast("long").alias("n"))
     fine = cut(fine, "lengths")
     total = fine.agg(F.sum("n")).first()[0] or 0
