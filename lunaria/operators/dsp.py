@@ -9,6 +9,8 @@ as well; only what has a row a beat is grouped by recording.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from math import prod
 
 import numpy as np
 import pyarrow as pa
@@ -34,67 +36,105 @@ def sizes_of(signal: DataFrame, key: Sequence[str] = (*KEY, "channel")) -> DataF
     return signal.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _blocks(signal: DataFrame, key: Sequence[str], block: int, halo: int, sizes: DataFrame | None) -> DataFrame:
-    """signal with its length and, for each block that needs it, a copy of each sample."""
-    n = (sizes_of(signal, key) if sizes is None else sizes).select(*key, F.col("n").alias("__n"))
-    slim = signal.select(*key, INDEX, "value").join(n, list(key))
-    reach = F.array_distinct(F.array(F.expr(f"greatest({INDEX} - {halo}, 0) div {block}"), F.expr(f"{INDEX} div {block}"), F.expr(f"least({INDEX} + {halo}, __n - 1) div {block}")))
-    return slim.withColumn("__block", F.explode(reach))
+@dataclass(frozen=True)
+class Step:
+    """A step of a chain: up / down is the change of rate, reach the input samples on either side that a result
+    depends on. apply(x, first, starts, ends) takes a stretch of a signal that begins with sample `first` (and
+    is its start or its end) and gives the results that depend on nothing beyond the stretch, and the index of
+    the first of them."""
 
+    up: int
+    down: int
+    reach: int
+    apply: Callable[[np.ndarray, int, bool, bool], tuple[np.ndarray, int]]
 
-def _grouped(signal: DataFrame, key: Sequence[str], work: Callable[[np.ndarray, np.ndarray, int, int], tuple[np.ndarray, np.ndarray]], block: int, halo: int, sizes: DataFrame | None) -> DataFrame:
-    """work(indexes, values, block number, length) gives the indexes and values that the block owns."""
-    halo = min(halo, block)
-    names = [*key, INDEX, "value"]
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by(INDEX)
-        at, out = work(t.column(INDEX).to_numpy(), t.column("value").to_numpy().astype(np.float64), t.column("__block")[0].as_py(), t.column("__n")[0].as_py())
-        same = [pa.repeat(t.column(k)[0], len(at)) for k in key]
-        return pa.table([*same, pa.array(at.astype(np.int64)), pa.array(out.astype(np.float64))], names=names)
-
-    return _blocks(signal, key, block, halo, sizes).groupBy(*key, "__block").applyInArrow(run, f"{_kinds(signal, key)}, {INDEX} long, value double")
-
-
-def fir_filter(signal: DataFrame, rate: float, low: float | None = None, high: float | None = None, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
-    """Zero-phase FIR filter of each channel. Indexes are 0..n-1 of each recording."""
+def fir_step(rate: float, low: float | None = None, high: float | None = None) -> Step:
+    """Zero-phase FIR filter."""
     taps = fir.design(rate, low, high)
     pad = len(taps) // 2
-    block = max(block, len(taps))
 
-    def work(at: np.ndarray, x: np.ndarray, b: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        lo, hi = b * block, min((b + 1) * block, n)
-        own = len(x)
+    def apply(x: np.ndarray, first: int, starts: bool, ends: bool) -> tuple[np.ndarray, int]:
         padded, _ = fir.reflected(x, pad)
-        if at[0] > 0:  # not the recording's start: real samples stand where the padding would
+        if not starts:  # real samples stand where the padding would
             padded = padded[pad:]
-        if at[-1] < n - 1:
+        if not ends:
             padded = padded[: len(padded) - pad]
-        y = fir.convolve(padded, taps)
-        first = at[0] + (pad if at[0] > 0 else 0)
-        return np.arange(lo, hi), y[lo - first : hi - first] if own else y
+        return fir.convolve(padded, taps), first if starts else first + pad
+
+    return Step(1, 1, pad, apply)
+
+
+def resample_step(rate: float, target: float) -> Step:
+    """Another rate."""
+    up, down = resample.factors(rate, target)
+    reach = -(-10 * max(up, down) // up) + 2
+    edge = -(-reach * up // down)
+
+    def apply(x: np.ndarray, first: int, starts: bool, ends: bool) -> tuple[np.ndarray, int]:
+        skip = -first % down  # start on the output grid
+        y = resample.resampled(x[skip:], up, down)
+        lo, hi = 0 if starts else edge, len(y) if ends else len(y) - edge
+        return y[lo : max(hi, lo)], (first + skip) * up // down + lo
+
+    return Step(up, down, reach, apply)
 
-    return _grouped(signal, key, work, block, pad + 1, sizes)
+
+def stepped(x: np.ndarray, steps: Sequence[Step], first: int = 0, starts: bool = True, ends: bool = True) -> tuple[np.ndarray, int]:
+    """A stretch after all steps, and the index of its first sample."""
+    for s in steps:
+        if len(x):
+            x, first = s.apply(x, first, starts, ends)
+    return x, first
+
+
+def length_after(n, steps: Sequence[Step]):
+    """Samples (a number, or a column's SQL) of a signal after all steps."""
+    for s in steps:
+        n = f"({n} * {s.up} + {s.down - 1}) div {s.down}" if isinstance(n, str) else -(-n * s.up // s.down)
+    return n
+
+
+def chain(signal: DataFrame, steps: Sequence[Step], key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, values: Sequence[str] = ("value",)) -> DataFrame:
+    """(key, index, values) after all steps, in one pass: a block and what the steps reach beyond it is one
+    group, whatever the number of steps, so nothing between them is written or shuffled. With several columns
+    of values, the channels of a wide signal, they stay side by side. Indexes are 0..n-1 of each recording."""
+    up, down, halo = prod(s.up for s in steps), prod(s.down for s in steps), 0
+    for s in reversed(steps):
+        halo = -(-halo * s.down // s.up) + s.reach + 2 * s.down
+    block = -(-max(block, halo) // down) * down
+    names = [*key, INDEX, *values]
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by(INDEX)
+        at, b = t.column(INDEX).to_numpy(), t.column("__block")[0].as_py()
+        lo, hi = b * block, (b + 1) * block
+        first, made = 0, []
+        for v in values if at[-1] >= lo else ():  # else the signal ends before this block
+            # a halo that lacks samples tells that the signal ends in it
+            y, first = stepped(t.column(v).to_numpy().astype(np.float64), steps, int(at[0]), at[0] == 0, at[-1] < hi + halo - 1)
+            made.append(y[lo * up // down - first : hi * up // down - first])
+        n = len(made[0]) if made else 0
+        same = [pa.repeat(t.column(k)[0], n) for k in key]
+        return pa.table([*same, pa.array(np.arange(n, dtype=np.int64) + lo * up // down), *(pa.array(y) for y in made or [np.zeros(0)] * len(values))], names=names)
+
+    reach = F.array_distinct(F.array(F.expr(f"greatest({INDEX} - {halo}, 0) div {block}"), F.expr(f"{INDEX} div {block}"), F.expr(f"({INDEX} + {halo}) div {block}")))
+    dealt = signal.select(*names).withColumn("__block", F.explode(reach))
+    columns = ", ".join(f"`{v}` double" for v in values)
+    return dealt.groupBy(*key, "__block").applyInArrow(run, f"{_kinds(signal, key)}, {INDEX} long, {columns}")
+
+
+def fir_filter(signal: DataFrame, rate: float, low: float | None = None, high: float | None = None, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
+    """Zero-phase FIR filter of each channel. Indexes are 0..n-1 of each recording; sizes are not needed."""
+    return chain(signal, (fir_step(rate, low, high),), key, block)
 
 
 def resample_signal(signal: DataFrame, rate: float, target: float, key: Sequence[str] = (*KEY, "channel"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
-    """Each channel at another rate, indexes anew from 0; equal rates give the signal back."""
+    """Each channel at another rate, indexes anew from 0; equal rates give the signal back. Sizes are not needed."""
     up, down = resample.factors(rate, target)
     if up == down:
         return signal.select(*key, INDEX, F.col("value").cast("double").alias("value"))
-    halo = -(-(10 * max(up, down) // up + 2) // down) * down
-    block = max(block // down, -(-halo // down)) * down
-
-    def work(at: np.ndarray, x: np.ndarray, b: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        skip = (-int(at[0])) % down  # start on the output grid
-        x, start = x[skip:], int(at[0]) + skip
-        lo = b * block * up // down
-        hi = min((b + 1) * block * up // down, -(-n * up // down))
-        first = start * up // down
-        y = resample.resampled(x, up, down)
-        return np.arange(lo, hi), y[lo - first : hi - first]
-
-    return _grouped(signal, key, work, block, halo, sizes)
+    return chain(signal, (resample_step(rate, target),), key, block)
 
 
 def _halo(rate: float, method: str) -> int:

@@ -114,7 +114,7 @@ def _together(inputs: list[tuple[str, Signal]]) -> Signal:
             parts.append(s.select(*names))
     whole = stacked(parts)
     order = tuple(n for n, _ in inputs)
-    return Signal(whole.df, order, whole.rate, whole.sizes) if set(order) == set(whole.channels) else whole
+    return whole.ordered(order) if set(order) == set(whole.channels) else whole
 
 
 def parse(config: Mapping) -> Pipeline:

@@ -7,7 +7,7 @@ validation needs: channel order and rate. Nothing runs while a pipeline is built
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from enum import Enum
 from functools import reduce
@@ -24,32 +24,55 @@ KEY = ("recording_id",)
 
 @dataclass(frozen=True)
 class Signal:
-    """sizes (recording_id, channel, n), where known, spare later steps a count of computed samples."""
+    """sizes (recording_id, channel, n), where known, spare later steps a count. side, where at hand, holds the
+    same samples side by side, a column a channel. What filters and resampling make remembers the signal it was
+    made from (given) and the steps, so that one more step is one more in the same pass over that signal."""
 
     df: DataFrame
     channels: tuple[str, ...]
     rate: float
     sizes: DataFrame | None = None
+    side: DataFrame | None = None
+    given: Signal | None = None
+    steps: tuple[dsp.Step, ...] = ()
 
-    def counted(self) -> DataFrame:
-        return dsp.sizes_of(self.df, (*KEY, "channel")) if self.sizes is None else self.sizes
-
-    def _with(self, change: Callable[[DataFrame], DataFrame], names: tuple[str, ...]) -> Signal:
-        return Signal(change(self.df), names, self.rate, None if self.sizes is None else change(self.sizes))
+    def _with(self, change: Callable[[DataFrame], DataFrame], beside: Callable[[DataFrame], DataFrame], again: Callable[[Signal], Signal], names: tuple[str, ...]) -> Signal:
+        side, sizes = (None if x is None else f(x) for f, x in ((beside, self.side), (change, self.sizes)))
+        df = change(self.df) if side is None else align.to_long(side, names, KEY)
+        return Signal(df, names, self.rate, sizes, side, self.given and again(self.given), self.steps)
 
     def select(self, *channels: str) -> Signal:
-        return self._with(lambda df: df.where(F.col("channel").isin(*channels)), channels)
+        return self._with(lambda df: df.where(F.col("channel").isin(*channels)), lambda w: w.select(*KEY, "sample_idx", *channels), lambda s: s.select(*channels), channels)
 
     def renamed(self, names: tuple[str, ...]) -> Signal:
         if names == self.channels:
             return self
-        if len(names) == 1:
-            return self._with(lambda df: df.withColumn("channel", F.lit(names[0])), names)
         table = F.create_map(*[F.lit(x) for pair in zip(self.channels, names, strict=True) for x in pair])
-        return self._with(lambda df: df.withColumn("channel", F.element_at(table, F.col("channel"))), names)
+        name = F.lit(names[0]) if len(names) == 1 else F.element_at(table, F.col("channel"))
+        beside = lambda w: w.select(*KEY, "sample_idx", *[F.col(a).alias(b) for a, b in zip(self.channels, names, strict=True)])
+        return self._with(lambda df: df.withColumn("channel", name), beside, lambda s: s.renamed(names), names)
+
+    def ordered(self, names: tuple[str, ...]) -> Signal:
+        """The same channels in another order."""
+        return replace(self, channels=names, given=self.given and self.given.ordered(names))
+
+    def stepped(self, step: dsp.Step, rate: float) -> Signal:
+        """After one more step of filtering or resampling, in one pass with those before it."""
+        base, steps = (self, (step,)) if self.given is None else (self.given, (*self.steps, step))
+        if base.side is not None:
+            out = beside(dsp.chain(base.side, steps, KEY, values=base.channels), self.channels, rate)
+        else:
+            out = Signal(dsp.chain(base.df, steps, (*KEY, "channel")), self.channels, rate)
+        sizes = None if self.sizes is None else self.sizes.withColumn("n", F.expr(dsp.length_after("n", (step,))))
+        return replace(out, sizes=sizes, given=base, steps=steps)
 
     def wide(self) -> DataFrame:
-        return align.stack_long(self.df, self.channels)
+        return align.stack_long(self.df, self.channels) if self.side is None else self.side.dropna(subset=list(self.channels))
+
+
+def beside(wide: DataFrame, channels: Iterable[str], rate: float) -> Signal:
+    """The signal of a wide table (recording_id, sample_idx, a column a channel)."""
+    return Signal(align.to_long(wide, tuple(channels), KEY), tuple(channels), rate, side=wide)
 
 
 def stacked(signals: list[Signal]) -> Signal:
@@ -83,18 +106,13 @@ def plain(value):
 
 def resample_to(s: Signal, new_sample_rate: float) -> Signal:
     up, down = resample.factors(one_rate(s, "Resample"), new_sample_rate)
-    n = s.counted()
-    out = dsp.resample_signal(s.df, s.rate, new_sample_rate, (*KEY, "channel"), sizes=n)
-    return Signal(out, s.channels, float(new_sample_rate), n.withColumn("n", F.expr(f"(n * {up} + {down - 1}) div {down}")))
+    if up == down:
+        return Signal(dsp.resample_signal(s.df, s.rate, new_sample_rate), s.channels, float(new_sample_rate), s.sizes)
+    return s.stepped(dsp.resample_step(s.rate, new_sample_rate), float(new_sample_rate))
 
 
 def fir(s: Signal, low_cutoff: float | None = None, high_cutoff: float | None = None) -> Signal:
-    n = s.counted()
-    return replace(s, df=dsp.fir_filter(s.df, one_rate(s, "FIRFilter"), low_cutoff, high_cutoff, (*KEY, "channel"), sizes=n), sizes=n)
-
-
-def _from_wide(wide: DataFrame, channels: tuple[str, ...], rate: float) -> Signal:
-    return Signal(align.to_long(wide, channels, KEY), channels, rate)
+    return s.stepped(dsp.fir_step(one_rate(s, "FIRFilter"), low_cutoff, high_cutoff), s.rate)
 
 
 def process_ppg(s: Signal, peak_detection_method: str = "elgendi", quality_method: str = "templatematch", interpolation_method: str = "monotone_cubic", correct_artifacts: bool = False) -> Signal:
@@ -106,7 +124,7 @@ def process_ppg(s: Signal, peak_detection_method: str = "elgendi", quality_metho
     out = dsp.process_ppg(s.df, one_rate(s, "ProcessPPG"), peak, quality, inter, correct_artifacts, KEY)
     made = ("peaks", "ibi", "rate", "quality")
     n = None if s.sizes is None else s.sizes.select(*KEY, F.explode(F.array(*map(F.lit, made))).alias("channel"), "n")
-    return replace(_from_wide(out, made, s.rate), sizes=n)
+    return replace(beside(out, made, s.rate), sizes=n)
 
 
 def ppg_artifacts(s: Signal, segment_duration: float = 30.0, quality_threshold: float = 0.8, ibi_range: tuple[float, float] = (300, 2000), min_valid_ratio: float = 0.5) -> Signal:
@@ -131,13 +149,13 @@ def merge_artifacts(s: Signal) -> Signal:
 
 def dynamic(s: Signal) -> Signal:
     needs(s, 3, "ProcessDynamicAccelerometer")
-    return _from_wide(motion.dynamic(s.wide(), one_rate(s, "ProcessDynamicAccelerometer"), s.channels, KEY), ("magnitude", "derivative"), s.rate)
+    return beside(motion.dynamic(s.wide(), one_rate(s, "ProcessDynamicAccelerometer"), s.channels, KEY), ("magnitude", "derivative"), s.rate)
 
 
 def gravity(s: Signal) -> Signal:
     needs(s, 3, "ProcessGravityAccelerometer")
     one_rate(s, "ProcessGravityAccelerometer")
-    return _from_wide(motion.gravity(s.wide(), s.channels, KEY), ("pitch", "roll"), s.rate)
+    return beside(motion.gravity(s.wide(), s.channels, KEY), ("pitch", "roll"), s.rate)
 
 
 TRANSFORMS: dict[str, Callable[..., Signal]] = {

@@ -11,7 +11,7 @@ from .functions import fir
 from .functions import resample as polyphase
 from .operators import aggregate, align, annotate, boost, dsp, evaluate, features, merge, metrics, models, motion, pulse, scores, segment, select, split, timeline, train
 from .plans.pipeline import bundled
-from .plans.transforms import Signal
+from .plans.transforms import Signal, beside
 from .schema import EPOCH_S, STAGES, UNKNOWN, UNSCORED, SHORT_LABELS
 from .streaming import signals
 from .streaming.replay import replay
@@ -753,9 +753,9 @@ def beat_measures(spark, d):
 @query()
 def accelerometer_pipeline(spark, d):
     """The bundled accelerometer pipeline: a fork into dynamic and gravity parts."""
-    wide = imu(spark, d)
-    given = {f"ACCELEROMETER_{a.upper()}": Signal(wide.select("recording_id", F.lit(a).alias("channel"), "sample_idx", F.col(a).alias("value")), (a,), 64.0) for a in ("x", "y", "z")}
-    made = bundled("accelerometer").run(given, ["ACCELEROMETER_magnitude", "ACCELEROMETER_pitch"])
+    names = {a: f"ACCELEROMETER_{a.upper()}" for a in ("x", "y", "z")}
+    axes = beside(imu(spark, d).withColumnsRenamed(names), names.values(), 64.0)
+    made = bundled("accelerometer").run(dict.fromkeys(names.values(), axes), ["ACCELEROMETER_magnitude", "ACCELEROMETER_pitch"])
     return rounded(made["ACCELEROMETER_magnitude"].df.unionByName(made["ACCELEROMETER_pitch"].df), "value")
 
 

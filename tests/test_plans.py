@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lunaria.errors import BadConfig, ChannelCountMismatch, LunariaError, MissingChannel, RateMismatch, UnknownName
-from lunaria.operators import models, train
+from lunaria.functions import fir, resample
+from lunaria.operators import dsp, models, train
 from lunaria.plans import pipeline, transforms
 from lunaria.plans.transforms import Signal
 
@@ -42,6 +43,33 @@ def test_accelerometer_fork(spark):
         p.run({})
 
 
+def test_filters_in_one_pass(spark):
+    """Resampling, a filter and the channels side by side: one shuffle a fork, the values of step by step."""
+    rng = np.random.default_rng(1)
+    x = {c: rng.normal(size=700) for c in "XYZ"}
+    names = [f"ACCELEROMETER_{c}" for c in "XYZ"]
+    wide = spark.createDataFrame([("a", i, *(float(x[c][i]) for c in "XYZ")) for i in range(700)], f"recording_id string, sample_idx long, {', '.join(f'{n} double' for n in names)}")
+    axes = transforms.beside(wide, names, 64.0)
+    out = pipeline.bundled("accelerometer").run(dict.fromkeys(names, axes), ["ACCELEROMETER_magnitude", "ACCELEROMETER_pitch"])
+    for name in out:
+        assert out[name].df._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    taps = fir.design(128.0, 0.25, 15.0)
+    norm = np.sqrt(sum(fir.filtered(resample.resampled(x[c], 2, 1), taps) ** 2 for c in "XYZ"))
+    assert np.allclose(read(out["ACCELEROMETER_magnitude"]), norm, atol=1e-9)
+
+
+@pytest.mark.parametrize("block", [1, 1000, 1 << 18])
+@pytest.mark.parametrize("n", [1, 5, 1280, 2561])
+def test_chain_in_blocks(spark, n, block):
+    """A filter between two changes of rate: any block size gives what the whole signal does."""
+    x = np.random.default_rng(n).normal(size=n)
+    steps = (dsp.resample_step(64.0, 40.0), dsp.fir_step(40.0, 2.0, 8.0), dsp.resample_step(40.0, 100.0))
+    got = dsp.chain(signal(spark, x, 64.0).df, steps, block=block).orderBy("sample_idx").collect()
+    want = resample.resampled(fir.filtered(resample.resampled(x, 5, 8), fir.design(40.0, 2.0, 8.0)), 5, 2)
+    assert [r.sample_idx for r in got] == list(range(len(want))) and len(want) == dsp.length_after(n, steps)
+    assert np.allclose([r.value for r in got], want, atol=1e-9)
+
+
 def test_pulse_pipelines(spark):
     t = np.arange(64 * 40) / 64
     wave = signal(spark, np.sin(2 * np.pi * 1.2 * t), 64.0)
