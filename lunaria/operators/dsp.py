@@ -176,13 +176,32 @@ def _layout(at: np.ndarray, n: int, rate: float, interpolation: str) -> np.ndarr
     return np.vstack([np.column_stack([np.zeros(len(curve)), curve]), row(1, np.append(0, ends[:-1]), ends, k, 0), peaks, row(3, at - half, at + half + 1, k, n)])
 
 
+def _whole(key: Sequence[str], rate: float, peak_method: str, quality_method: str, interpolation: str, steps: Sequence[Step]) -> Callable[[pa.Table], pa.Table]:
+    """What process_ppg gives of a recording that is one group."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by(INDEX)
+        x, _ = stepped(t.column("value").to_numpy().astype(np.float64), steps)
+        made = ppg.process(x, rate, peak_method, quality_method, interpolation)
+        same = [pa.repeat(t.column(k)[0], len(x)) for k in key]
+        at = pa.array(np.arange(len(x), dtype=np.int64)) if steps else t.column(INDEX)
+        return pa.table([*same, at, *(pa.array(v) for v in made.values())], names=[*key, INDEX, *made])
+
+    return run
+
+
 def process_ppg(
     signal: DataFrame, rate: float, peak_method: str = "elgendi", quality_method: str = "templatematch", interpolation: str = "monotone_cubic", correct: bool = False,
-    key: Sequence[str] = KEY, block: int = BLOCK,
+    key: Sequence[str] = KEY, block: int = BLOCK, steps: Sequence[Step] = (), sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, index, clean, peaks, ibi, rate, quality) of each recording's pulse wave, block by block.
+    """(key, index, clean, peaks, ibi, rate, quality) of each recording's pulse wave, after steps of filtering
+    and resampling (rate is the rate after them).
 
-    Samples are dealt to blocks once. Blocks tell their neighbours their edge samples, and find peaks (runs
+    A recording of no more than `block` samples is one group, steps included: one pass. Longer ones, and all if
+    beats are to be corrected, go block by block. Which there are is asked when the plan is made, by sizes (key,
+    n) of the signal as given: without them its rows are counted.
+
+    Block by block, samples are dealt to blocks once. Blocks tell their neighbours their edge samples, and find peaks (runs
     that end at an edge go on in the next block). What is in order or concerns the whole recording, that is
     which peaks are beats, the curve through them and the mean beat, has a row a beat; then each block takes
     the part of it that its samples need. Any block size gives what the whole signal would. Tables of a row a
@@ -192,8 +211,25 @@ def process_ppg(
         if value not in known:
             raise LunariaError(f"{name} {value}")
     key, halo = list(key), _halo(rate, peak_method)
-    block, on, kinds = max(block, halo), [*key, "__block"], _kinds(signal, key)
-    x = signal.select(*key, INDEX, F.col("value").cast("double").alias("value")).withColumn("__block", F.expr(f"{INDEX} div {block}"))
+    block, kinds = max(block, halo), _kinds(signal, key)
+    out = f"{kinds}, {INDEX} long, clean double, peaks double, ibi double, rate double, quality double"
+    if not correct:
+        sizes = (sizes_of(signal, key) if sizes is None else sizes).select(*key, F.expr(length_after("n", steps)).alias("n"))
+        least, most = sizes.agg(F.min("n"), F.max("n")).first()
+        short = lambda df: df.groupBy(*key).applyInArrow(_whole(key, rate, peak_method, quality_method, interpolation, steps), out)
+        if most is None or most <= block:
+            return short(signal.select(*key, INDEX, "value"))
+        if least <= block:
+            part = lambda kept: signal.join(sizes.where(kept).select(*key), key, "left_semi")
+            rest = _in_blocks(part(f"n > {block}"), rate, peak_method, quality_method, interpolation, False, key, block, steps)
+            return short(part(f"n <= {block}").select(*key, INDEX, "value")).unionByName(rest)
+    return _in_blocks(signal, rate, peak_method, quality_method, interpolation, correct, key, block, steps)
+
+
+def _in_blocks(signal: DataFrame, rate: float, peak_method: str, quality_method: str, interpolation: str, correct: bool, key: list[str], block: int, steps: Sequence[Step]) -> DataFrame:
+    """process_ppg block by block."""
+    halo, on, kinds = _halo(rate, peak_method), [*key, "__block"], _kinds(signal, key)
+    x = (chain(signal, steps, key, block) if steps else signal).select(*key, INDEX, F.col("value").cast("double").alias("value")).withColumn("__block", F.expr(f"{INDEX} div {block}"))
     same = lambda t, n: [pa.repeat(t.column(k)[0], n) for k in key]
     long = lambda v: pa.array(np.asarray(v).astype(np.int64))
 

@@ -58,6 +58,22 @@ def test_dissimilarity_in_blocks(spark):
         dsp.process_ppg(frame(spark, {"a": x}), 32.0, "none")
 
 
+def test_short_recordings_are_one_pass(spark):
+    """Steps before included: one shuffle, and in one plan with longer recordings the values of the whole."""
+    steps = (dsp.resample_step(32.0, 20.0), dsp.fir_step(20.0, 0.5, 8.0))
+    given = {"long": wave(3001), "short": wave(900, seed=1), "edge": wave(1601, seed=2)}
+    df = frame(spark, given)
+    plan = dsp.process_ppg(df, 20.0, "charlton", steps=steps)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    out = {}
+    for r in dsp.process_ppg(df, 20.0, "charlton", block=1000, steps=steps).orderBy("recording_id", "sample_idx").collect():
+        out.setdefault(r.recording_id, []).append(r)
+    assert out.keys() == given.keys()
+    for name, x in given.items():
+        same(out[name], dsp.stepped(x, steps)[0], 20.0, "charlton")
+    assert dsp.process_ppg(df.limit(0), 20.0).count() == 0
+
+
 RATE = 250.0
 
 
