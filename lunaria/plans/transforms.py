@@ -1,7 +1,8 @@
 """Transforms of pipelines: named, parametrised functions from signal to signal.
 
 A Signal is a lazy long table (recording_id, channel, sample_idx, value) with the metadata that
-validation needs: channel order and rate. Nothing runs while a pipeline is built.
+validation needs: channel order and rate. Nothing runs while a pipeline is built, but that ProcessPPG asks for
+the longest recording (known sizes, or a count).
 """
 
 from __future__ import annotations
@@ -121,10 +122,11 @@ def process_ppg(s: Signal, peak_detection_method: str = "elgendi", quality_metho
     for value, known in ((peak, ppg.PEAK_METHODS), (quality, ppg.QUALITY_METHODS), (inter, ppg.INTERPOLATIONS)):
         if value not in known:
             raise BadConfig(f"{value} is none of {', '.join(known)}")
-    out = dsp.process_ppg(s.df, one_rate(s, "ProcessPPG"), peak, quality, inter, correct_artifacts, KEY)
+    base = s if s.given is None else s.given
+    out = dsp.process_ppg(base.df, one_rate(s, "ProcessPPG"), peak, quality, inter, correct_artifacts, KEY, steps=s.steps, sizes=base.sizes)
     made = ("peaks", "ibi", "rate", "quality")
     n = None if s.sizes is None else s.sizes.select(*KEY, F.explode(F.array(*map(F.lit, made))).alias("channel"), "n")
-    return replace(beside(out, made, s.rate), sizes=n)
+    return replace(beside(out.select(*KEY, "sample_idx", *made), made, s.rate), sizes=n)
 
 
 def ppg_artifacts(s: Signal, segment_duration: float = 30.0, quality_threshold: float = 0.8, ibi_range: tuple[float, float] = (300, 2000), min_valid_ratio: float = 0.5) -> Signal:

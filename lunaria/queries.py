@@ -762,8 +762,8 @@ def accelerometer_pipeline(spark, d):
 @query()
 def ppg_pipeline(spark, d):
     """The bundled pulse-wave pipeline."""
-    made = bundled("ppg").run({"PPG": Signal(_long_y(spark, d), ("y",), 64.0)}, ["PPG_ibi", "PPG_quality"])
-    return rounded(made["PPG_ibi"].df.unionByName(made["PPG_quality"].df), "value")
+    (made,) = bundled("ppg").together({"PPG": Signal(_long_y(spark, d), ("y",), 64.0)}, ["PPG_ibi", "PPG_quality"])
+    return rounded(made.df, "value")
 
 
 # ------------------------------------------------------------------ epochs and intervals
