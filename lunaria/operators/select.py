@@ -141,16 +141,24 @@ def quantiles(df: DataFrame, at: Sequence[float], value: str = "value", key: Seq
     """(key, q0, q1, ...): exact quantiles with linear interpolation, a row for each recording that has a
     value. NaN sorts above all numbers, null is left out.
 
-    No task holds a recording's values: a sketch brackets each quantile, values below the bracket are
-    counted, and only the distinct values within it (some thousandths of a recording) are ranked.
+    No task holds a long recording's values. Recordings of at most 2 x SKETCH values are aggregated as they
+    are; of longer ones a sketch brackets each quantile, values below the bracket are counted, and only the
+    distinct values within it (some thousandths of a recording) are ranked.
     """
-    key = list(key)
+    key, few = list(key), F.col("__n") <= 2 * SKETCH  # a bracket would be narrower than the ranks next to it
     own = df.where(F.col(value).isNotNull()).select(*key, F.col(value).cast("double").alias("__v"))
+    sizes = own.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    each = own.join(sizes.where(few).select(*key), key).groupBy(*key).agg(F.percentile("__v", F.array(*map(F.lit, at))).alias("__q"))
+    short = each.select(*key, *[F.get("__q", F.lit(i)).alias(f"q{i}") for i in range(len(at))])
+    return short.unionByName(_long_quantiles(own.join(sizes.where(~few), key), at, key))
+
+
+def _long_quantiles(own: DataFrame, at: Sequence[float], key: list[str]) -> DataFrame:
+    """quantiles of recordings of own(key, __v, __n) that are longer than 2 x SKETCH."""
     edges = [min(max(q + d, 0.0), 1.0) for q in at for d in (-2 / SKETCH, 2 / SKETCH)]
-    found = own.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", F.array(*map(F.lit, edges)), SKETCH).alias("__e"))
+    found = own.groupBy(*key).agg(F.percentile_approx("__v", F.array(*map(F.lit, edges)), SKETCH).alias("__e"))
     near = own.join(found, key)
-    few = F.col("__n") <= 2 * SKETCH  # a bracket would be narrower than the ranks next to it
-    place = [F.when(~few & (F.col("__v") < F.get("__e", F.lit(2 * i))), F.lit(-1)).when(few | (F.col("__v") <= F.get("__e", F.lit(2 * i + 1))), F.lit(i)) for i in range(len(at))]
+    place = [F.when(F.col("__v") < F.get("__e", F.lit(2 * i)), F.lit(-1)).when(F.col("__v") <= F.get("__e", F.lit(2 * i + 1)), F.lit(i)) for i in range(len(at))]
     # what lies below a bracket is one group of its recording and quantile, without its values
     each = near.select(*key, "__n", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.when(p >= 0, F.col("__v")).alias("v"), p.alias("p")) for i, p in enumerate(place)])).alias("x")).where("x.p is not null")
     counts = each.groupBy(*key, "__n", F.col("x.i").alias("__i"), F.col("x.v").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))

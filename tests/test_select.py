@@ -105,3 +105,15 @@ def test_quantiles_are_exact(spark):
     got = {r.recording_id: list(r)[1:] for r in select.quantiles(df, at).collect()}
     assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=1e-12, atol=1e-12) for k in want)
     assert [r.value for r in select.clip_iqr(df.where("recording_id = 'none'")).collect()] == [None]
+
+
+def test_quantiles_of_short_recordings_are_one_aggregate(spark):
+    """Their values are neither multiplied nor ranked row by row; NaN sorts last, infinities stay."""
+    nan, inf = float("nan"), float("inf")
+    rows = {"a": [nan, 1.0, 2.0, 4.0, nan], "b": [inf, -inf, inf, inf], "c": [0.5] * 2000}
+    df = spark.createDataFrame([(k, v) for k, x in rows.items() for v in x], "recording_id string, value double")
+    q = select.quantiles(df, (0.0, 0.25, 0.5, 1.0))
+    got = {r.recording_id: list(r)[1:] for r in q.collect()}
+    assert got["a"][:3] == [1.0, 2.0, 4.0] and got["a"][3] != got["a"][3]
+    assert got["b"][0] == -inf and got["b"][2:] == [inf, inf] and got["c"] == [0.5] * 4
+    assert "percentile(__v" in q._jdf.queryExecution().executedPlan().toString()
