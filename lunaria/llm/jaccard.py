@@ -6,7 +6,12 @@ A document is its set of distinct word shingles. Two documents link when
 1. Texts with equal sets form a class (by a 128-bit fingerprint), which goes on as one: under its smallest
    doc_id, or, where that stands for another class already (an id may have several texts), under a number
    above all ids.
-2. Sizes are cut into bands. For a band, H is the largest symmetric difference that a linked pair
+2. Sets that share too little with all others are left out. A set of a shingles lacks at most u of them in
+   one that it links with (u is percent's rest of a). So if both sets of a linked pair are ordered by hash,
+   each has l common ones among its first u + l (the l-th common one has at most u others before it). Only
+   sets go on of whose first u + l shingles l are among the first of another set, with l at least a
+   SHARED-th of the size.
+3. Sizes are cut into bands. For a band, H is the largest symmetric difference that a linked pair
    whose smaller set lies in the band can have. The universe is hashed into segments, and segment i
    gets v_i = 1 (its subset is indexed) or 2 (its subset and all subsets with one element deleted
    are), so that the v_i sum to H + 1 + 2R. Each document leaves out its R weakest (smallest, hence
@@ -14,12 +19,12 @@ A document is its set of distinct word shingles. Two documents link when
    so if every remaining segment differed by v_i or more, the difference would exceed H: the pair
    shares a signature. R and the number of segments with v_i = 2 come from a cost model over the
    band's population.
-3. Documents that share a signature meet in a group, named by the lowest id that shares it. Parity
+4. Documents that share a signature meet in a group, named by the lowest id that shares it. Parity
    sketches bound their difference from below, so a pair beyond the bound goes at once.
-4. The join (jaccard_join, jaccard_links): the pairs that sketches allow cut each group into clusters,
+5. The join (jaccard_join, jaccard_links): the pairs that sketches allow cut each group into clusters,
    and in a cluster the sets of all pairs are compared, in blocks of bounded size to which each text is
    sent once. A pair that shares several groups is compared in the first of them. No link is lost.
-5. Components alone (jaccard_components): first each member is paired with one leader of its group at
+6. Components alone (jaccard_components): first each member is paired with one leader of its group at
    most; these pairs are verified on the whole texts, and the links give components. Then, in the
    groups of which not all pairs have been tried so, every pair that still lies in two components is,
    and if the sketches allow a link it is verified. Thus g copies cost about g verifications, and no
@@ -121,19 +126,35 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _fingerprints(n: int):
+def first_by_hash(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Of a sorted set as many as a linked set may lack, and a SHARED-th of its size beside."""
+    size = len(shingles)
+    return shingles[: size * (100 - percent) // 100 + 1 + size // SHARED] if size else shingles
+
+
+def least_shared(size, percent: int):
+    """How many of first_by_hash a set of that size has in common with that of each set it links with
+    (whose size is percent of its own at least)."""
+    return (size * percent + 99) // 100 // SHARED + 1
+
+
+def _fingerprints(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 w = Words(data, offsets)
                 size, f1, f2, marks = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64), []
+                first = []
                 for i in range(hi - lo):
                     s = shingle_set(w.hashes[w.doc_first[i] : w.doc_first[i + 1]], n)
                     size[i] = len(s)
                     f1[i] = mix(s, 21).sum(dtype=np.uint64).astype(np.int64)
                     f2[i] = mix(s, 22).sum(dtype=np.uint64).astype(np.int64)
                     marks.append(sketch(s))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary()), batch.column(2)[lo:hi]], ["doc_id", "n_shingles", "f1", "f2", "sketch", "h"])
+                    first.append(first_by_hash(s, percent))
+                ends = pa.array(np.cumsum([0, *map(len, first)]), pa.int32())
+                firsts = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(first).astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary()), batch.column(2)[lo:hi], firsts], ["doc_id", "n_shingles", "f1", "f2", "sketch", "h", "first"])
 
     return run
 
@@ -174,6 +195,21 @@ def _folded(marks: list[bytes]) -> np.ndarray:
     return out
 
 
+def _coarse(x: np.ndarray) -> list[np.ndarray]:
+    """Sketches, before them the same folded to a quarter: what that tells apart needs no look at the whole."""
+    q = x.shape[1] // 4
+    return [x] if q < 1 else [x[:, :q] ^ x[:, q : 2 * q] ^ x[:, 2 * q : 3 * q] ^ x[:, 3 * q :], x]
+
+
+def _alike(sketches: list[np.ndarray], n: np.ndarray, i: int, k: np.ndarray, percent: int) -> np.ndarray:
+    """Positions in k of the rows whose sketches allow a link with row i."""
+    at = np.arange(len(k))
+    for x in sketches:
+        j = k[at]
+        at = at[np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64) <= (n[i] + n[j]) * (100 - percent) // (100 + percent)]
+    return at
+
+
 class _Sets:
     """Sets of whole numbers, one a row, for the sizes of their intersections. Numbers that one set alone
     holds are left out."""
@@ -216,7 +252,7 @@ def _clusters(percent: int):
             low, t1, t2, ids, size, salt = (part.column(i).to_numpy() for i in range(6))
             rows, cluster = [], []
             for lo, hi in bounds:
-                x, n, s, tile = _folded(part.column(8)[lo:hi].to_pylist()), size[lo:hi].astype(np.int64), salt[lo:hi], t1[lo] != t2[lo]
+                x, n, s, tile = _coarse(_folded(part.column(8)[lo:hi].to_pylist())), size[lo:hi].astype(np.int64), salt[lo:hi], t1[lo] != t2[lo]
                 met = _earlier(part.column(7)[lo:hi].combine_chunks(), low[lo])
                 rest = np.arange(hi - lo)
                 while len(rest) > 1:
@@ -228,7 +264,7 @@ def _clusters(percent: int):
                         if tile:
                             ok &= s[rest] != s[i]
                         k = np.flatnonzero(ok)
-                        k = k[np.bitwise_count(x[i] ^ x[rest[k]]).sum(1, dtype=np.int64) <= (n[i] + n[rest[k]]) * (100 - percent) // (100 + percent)]
+                        k = k[_alike(x, n, i, rest[k], percent)]
                         k = k[met.common(i, rest[k]) == 0]
                         queue += rest[k].tolist()
                         mine += rest[k].tolist()
@@ -307,12 +343,13 @@ def _group_pairs(percent: int, leaders: bool):
     """
 
     def group(ids: np.ndarray, n: np.ndarray, label: np.ndarray, salt: np.ndarray, tile: bool, marks: list[bytes]) -> tuple[list, list, bool]:
-        x, a, b, skipped = _folded(marks), [], [], False
+        x, a, b, skipped = _coarse(_folded(marks)), [], [], False
 
         def near(i: int, j: np.ndarray) -> np.ndarray:
             size = (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent) & (label[j] != label[i])
             k = np.flatnonzero(size)
-            size[k] = np.bitwise_count(x[i] ^ x[j[k]]).sum(1, dtype=np.int64) <= (n[i] + n[j[k]]) * (100 - percent) // (100 + percent)
+            size[k] = False
+            size[k[_alike(x, n, i, j[k], percent)]] = True
             return size
 
         rest = np.arange(len(ids))
@@ -413,16 +450,18 @@ UNIT = 200
 #: One document in SAMPLE shows which signatures are common: those of COMMON_LEAST sampled documents and of
 #: 1 / COMMON of them all. They number COMMON times the signatures of a document at most.
 SAMPLE, COMMON, COMMON_LEAST = 64, 1_000, 64
+#: A set must share one in SHARED of its shingles, beyond those that any linked set may lack, to go on.
+SHARED = 20
 #: Documents, and their shingles, that a block of whole texts takes from one cluster on either side.
 BLOCK, BLOCK_SHINGLES = 500, 500_000
 
 
-_FINGERPRINTS = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, h long"
+_FINGERPRINTS = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, h long, first array<long>"
 _CLASS = ["f1", "f2", "n_shingles"]
 
 
 class _Join:
-    """rows: (doc_id, n_shingles, f1, f2, sketch, h) of all rows, h a hash of the text. classes: (f1, f2,
+    """rows: (doc_id, n_shingles, f1, f2, sketch, h, first) of all rows, h a hash of the text. classes: (f1, f2,
     n_shingles, rep, docs, id): smallest doc_id, number of documents, and the number the class goes by.
     texts: (doc_id, text), where doc_id is a class's number for all its representatives. ties: (a, b)
     between classes of which one document has texts, or None if there are no such documents."""
@@ -431,7 +470,7 @@ class _Join:
         self.n, self.percent, self.population = n, percent, population
         self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
         hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-        self.rows = cut(hashed.mapInArrow(_fingerprints(n), _FINGERPRINTS), "sets")
+        self.rows = cut(hashed.mapInArrow(_fingerprints(n, percent), _FINGERPRINTS), "sets")
         filled = self.rows.where("n_shingles > 0")
         classes = filled.groupBy(*_CLASS).agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"))
         self.classes = cut(classes.withColumn("id", F.col("rep")), "classes")
@@ -465,20 +504,35 @@ class _Join:
         edges = links.select("a", "b")
         return components(edges if self.ties is None or not tied else edges.union(self.ties))
 
+    def sharing(self) -> DataFrame:
+        """(id, n_shingles) of the classes that may link with another by their first shingles. A shingle
+        that a sample shows to be common counts as shared, so that no task gets all its rows."""
+        some = self.rows.where(F.pmod(F.xxhash64(F.lit("some"), "doc_id"), F.lit(SAMPLE)) == 0).select(F.explode("first").alias("g"))
+        least = max(COMMON_LEAST, self.classes.count() // (SAMPLE * COMMON))
+        common = cut(some.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least).select("g", F.lit(True).alias("often")), "often")
+        # copies of one set do not share with each other: only representatives take part
+        own = self.rows.join(self.classes, _CLASS).where("doc_id = rep").select("id", F.explode("first").alias("g"))
+        own = own.join(F.broadcast(common), "g", "left").select("id", F.coalesce("often", F.lit(False)).alias("often"), "g")
+        w = Window.partitionBy(F.when(F.col("often"), F.xxhash64("g", "id")).otherwise(F.col("g")))
+        own = own.select("id", "often", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"))
+        found = own.where("often or low <> high").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+        enough = F.expr(f"shared >= (n_shingles * {self.percent} + 99) div 100 div {SHARED} + 1")  # least_shared
+        return cut(self.classes.join(found, "id").where(enough).select("id", "n_shingles"), "sharing")
+
     def members(self) -> DataFrame:
         """(low, id, n): representatives that share a signature, grouped by the lowest id that shares it.
         A pair that shares a signature is in one group; buckets of one low id are one group, so a pair is
         compared about once, however many signatures it shares."""
-        most = self.classes.agg(F.max("n_shingles")).first()[0] or 1
+        sharing = self.sharing()
+        self.texts = cut(self.texts.join(sharing.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "sharing-texts")
+        most = sharing.agg(F.max("n_shingles")).first()[0] or 1
         edges = bands(most)
         index = F.lit(-1)
         for e in edges:
             index = index + (F.col("n_shingles") >= e).cast("int")
-        found = {r.band: r["count"] for r in self.classes.groupBy(index.alias("band")).count().collect()}  # one row a band
+        found = {r.band: r["count"] for r in sharing.groupBy(index.alias("band")).count().collect()}  # one row a band
         plans = [allocate(edges[k], edges[k + 1], self.population or found.get(k, 0) + found.get(k + 1, 0), self.percent) for k in range(len(edges) - 1)]
-        # the copies are few or many: Spark picks the join by the size of the table that holds them
-        copies = cut(self.rows.join(self.classes, _CLASS).where("doc_id <> rep").join(self.several.select("doc_id"), "doc_id", "left_anti").select("doc_id"), "copies")
-        sign = lambda df: df.join(copies, "doc_id", "left_anti").mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
+        sign = lambda df: df.mapInArrow(_signature_rows(self.n, self.percent, edges, plans), "sig long, id long, n int")
         some = sign(self.texts.where(F.pmod(F.xxhash64(F.lit("some"), "doc_id"), F.lit(SAMPLE)) == 0)).groupBy("sig").agg(F.count(F.lit(1)).alias("rows"))
         least = max(COMMON_LEAST, sum(found.values()) // (SAMPLE * COMMON))
         common = cut(some.where(F.col("rows") >= least).select("sig", F.ceil(F.col("rows") * SAMPLE / TILE).cast("int").alias("salts")), "common")

@@ -214,6 +214,36 @@ def test_linked_sets_share_a_signature(plan):
         assert a & b
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_linked_sets_share_first_shingles(percent):
+    """Of the first shingles by hash, linked sets have as many in common as either must have to go on."""
+    rng = np.random.default_rng(percent)
+    for _ in range(400):
+        same = rng.integers(0, 1 << 63, rng.integers(1, 200)).astype(np.uint64)
+        most = len(same) * (100 - percent) // percent  # of the union, what is not in both
+        left, right = np.sort(rng.integers(0, most + 1, 2))
+        a, b = (np.unique(np.concatenate([same, rng.integers(0, 1 << 63, k).astype(np.uint64)])) for k in (left, right - left))
+        both = len(np.intersect1d(jaccard.first_by_hash(a, percent), jaccard.first_by_hash(b, percent)))
+        assert 100 * len(same) >= percent * len(np.union1d(a, b))
+        assert both >= jaccard.least_shared(len(a), percent) and both >= jaccard.least_shared(len(b), percent)
+
+
+@pytest.mark.parametrize("least", [64, 2])
+def test_sets_that_share_little_get_no_signatures(spark, monkeypatch, least):
+    """Only texts that share more shingles than a line with others are indexed, whether shingles are common or not."""
+    for name, value in (("SAMPLE", 1), ("COMMON_LEAST", least)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(3)
+    fresh = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    line = "one line of some words that many of these texts hold somewhere"
+    alone = [(i, f"{fresh()} {line} {fresh()}") for i in range(60)]
+    pairs = [(100 + i, family(rng, t, 2)) for i, t in alone[:5]]
+    join = jaccard._Join(spark.createDataFrame([*alone, *pairs, (201, None)], "doc_id long, text string"), 4, 85)
+    links = {tuple(r)[:2] for r in join.links(False).collect()}
+    assert links == {(i, 100 + i) for i in range(5)}
+    assert {r.doc_id for r in join.texts.collect()} == {*range(5), *range(100, 105)}
+
+
 def test_sketch_bounds_the_difference():
     rng = np.random.default_rng(0)
     for _ in range(100):
